@@ -13,49 +13,17 @@ subtracting its vector.  A vector has two parts:
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arbora.llm.hashing import ODD, Words, mixed_bits
+
 EXACT, NEAR = 8, 256
-ODD = np.uint64(0x9E3779B97F4A7C15)
-SIZE = EXACT * 8 + NEAR * 2
-
-
-def mixed_bits(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit over all others."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Words:
-    """64-bit hashes of all words of a text at once: differences of running sums of byte x power."""
-
-    def __init__(self):
-        self.powers = self.inverse = np.ones(1, np.uint64)
-
-    def grow(self, n: int) -> None:
-        if n > len(self.powers):
-            n = 1 << n.bit_length()
-            base = np.full(n, 0x2545F4914F6CDD1D, np.uint64)
-            base[0] = 1
-            self.powers = base.cumprod(dtype=np.uint64)
-            base[1:] = pow(0x2545F4914F6CDD1D, -1, 1 << 64)
-            self.inverse = base.cumprod(dtype=np.uint64)
-
-    def __call__(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of UTF-8 -> hashes of its words (runs without 0x20 and 0x09-0x0D), and where they start."""
-        space = (data == 32) | ((data >= 9) & (data <= 13))
-        edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
-        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        self.grow(len(data) + 1)
-        with np.errstate(over="ignore"):
-            run = np.concatenate([np.zeros(1, np.uint64), ((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)]).cumsum(dtype=np.uint64)])
-            return mixed_bits((run[end] - run[start]) * self.inverse[start] + (end - start).astype(np.uint64) * ODD), start
 
 
 class Fingerprint:
@@ -120,7 +88,19 @@ class Fingerprint:
         return min(1.0, max(0.0, float(a @ b) / size)) if size else 0.0
 
 
-def with_next(docs: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+def range_of(value: Column, cuts: list[int]) -> Column:
+    """The number of cuts (sorted) at or below value, in two steps: which run of cuts, and where in it."""
+    step = max(1, math.isqrt(len(cuts)))
+    runs = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    if not runs:
+        return F.lit(0)
+    upto = lambda array: F.size(F.filter(array, lambda c: c <= value))
+    run = upto(F.array(*[F.lit(r[0]) for r in runs]))
+    inner = upto(F.element_at(F.array(*[F.array(*[F.lit(c) for c in r]) for r in runs]), run))
+    return F.when(run == 0, 0).otherwise((run - 1) * step + inner)
+
+
+def with_next(docs: DataFrame, rows_per_task: int = 20_000, most_parts: int = 4096) -> DataFrame:
     """docs (doc_id, text) dealt by ranges of ids, so that each range also has the row that follows it: rows (part, ahead, doc_id, text).
 
     Ends of ranges come from quantiles of the ids.  The text is shuffled once; besides, the first row of each range goes
@@ -128,10 +108,9 @@ def with_next(docs: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
     """
     ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_hash(docs).alias("h"))
     n = ids.count()
-    parts = max(1, -(-n // rows_per_task))
-    cuts = sorted(set(ids.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or [])) if parts > 1 else []
-    at = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    at = F.when(F.col("doc_id").isNull(), 0).otherwise(at)
+    parts = min(most_parts, max(1, -(-n // rows_per_task)))
+    cuts = sorted(set(ids.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or [])) if parts > 1 else []
+    at = F.when(F.col("doc_id").isNull(), 0).otherwise(range_of(F.col("doc_id"), cuts))
     firsts = sorted((r["part"], r["k"]) for r in ids.groupBy(at.alias("part")).agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("given"), "doc_id", "h")).alias("k")).collect())
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), text_hash(docs).alias("h")).withColumn("part", at)
     back = {part: firsts[i - 1][0] for i, (part, _) in enumerate(firsts)}
@@ -146,10 +125,10 @@ def with_next(docs: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
         rows = rows.withColumn("back", lead.cast("int"))
     twice = F.when(F.col("back").isNull(), F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("ahead")))).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("ahead")), F.struct(F.col("back").alias("part"), F.lit(True).alias("ahead"))))
     rows = rows.select(F.explode(twice).alias("x"), "doc_id", "text", "h").select("x.part", "x.ahead", "doc_id", "text", "h")
-    return rows.repartition(parts, "part").sortWithinPartitions("part", "ahead", F.col("doc_id").asc_nulls_first(), "h").select("part", "ahead", "doc_id", "text")
+    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "ahead", F.col("doc_id").asc_nulls_first(), "h").select("part", "ahead", "doc_id", "text")
 
 
-def text_hash(docs: DataFrame):
+def text_hash(docs: DataFrame) -> Column:
     return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
 
 

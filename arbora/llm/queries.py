@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arbora.llm import fingerprints, mixing, packing
-from arbora.llm.common import table
+from arbora.llm import embedding_dedup, fingerprints, language_model, minhash_dedup, mixing, packing, toxicity
+from arbora.llm.common import remainder_of_five, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(remainder_of_five() == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -21,12 +33,20 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_packing, op7_mixing, op9_fingerprints)}
+    return {f.__name__: f for f in (op2_embedding_dedup, op4_toxicity, op5_packing, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
