@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,25 @@ def remainder_of_five(doc_id: str | Column = "doc_id") -> Column:
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")) % 5
 
 
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest node that each of n nodes reaches by edges (a, b)."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        for end in (root[a], root[b], a, b):
+            np.minimum.at(new, end, low)
+        while True:
+            shorter = new[new]
+            if (shorter == new).all():
+                break
+            new = shorter
+        if (new == root).all():
+            break
+        root = new
+    return root
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b: long): rows (id, component), component the smallest id reachable.
 

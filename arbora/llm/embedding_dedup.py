@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import components, written
+from arbora.llm.common import components, forest, written
 
 
 def normalised(x: np.ndarray) -> np.ndarray:
@@ -43,25 +43,6 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10, apart: float = 0.8
     return c[kept]
 
 
-def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest node that each of n nodes reaches by edges (a, b)."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        for end in (root[a], root[b], a, b):
-            np.minimum.at(new, end, low)
-        while True:
-            shorter = new[new]
-            if (shorter == new).all():
-                break
-            new = shorter
-        if (new == root).all():
-            break
-        root = new
-    return root
-
-
 def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_cells: int = 4096, sample: int = 65_536, visits: int = 8, slack: float = 0.25, block: int = 4096) -> tuple[DataFrame, DataFrame]:
     """vectors (rep: long, times: long, embedding: array of finite doubles, not all zero, of one length; rep unique)
     -> counts (rep, n: links to other vectors, equal ones counted) and edges (a, b) that connect what is linked."""

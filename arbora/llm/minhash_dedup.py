@@ -7,9 +7,10 @@ documents agree in it with the probability of their weighted Jaccard similarity:
 Points are drawn only up to the time at which all places are filled, for many documents at once.
 
 Documents that agree on all places of a band share a bucket.  Each is compared with its bucket's first document, by exact
-counts.  What is then still in different groups of one bucket is compared pair by pair, but for pairs that the triangle
-inequality (the Jaccard distance is a metric) rules out by their distances to the first.  So a link is lost only if its ends
-share no bucket (at 0.8, 7 in 100,000), whatever a bucket's size, and a bucket of copies costs its size, not its square.
+counts.  What is then in other groups than the first is compared with all of the bucket: in large buckets by blocks, whose
+tasks multiply matrices of counts and return a spanning forest of the links; in small ones pair by pair, but for pairs that
+the triangle inequality (the Jaccard distance is a metric) rules out by their distances to the first.  So a link is lost
+only if its ends share no bucket (at 0.8, 7 in 100,000), whatever a bucket's size.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import components, dropped, written
+from arbora.llm.common import components, dropped, forest, written
 from arbora.llm.hashing import ODD, Words, lowered, mixed_bits
 
 WIDTH = 5
@@ -174,7 +175,82 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(task, "a long, b long, sim double")
 
 
-def dedup(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 5) -> DataFrame:
+def overlaps(x: list[tuple], y: list[tuple]) -> np.ndarray:
+    """[i, j] -> sum of smaller counts of multisets x[i] and y[j] (sorted hashes, counts).
+
+    A count of c is c features, so that sums of smaller counts are products of matrices of zeros and ones.  Frequent
+    features are columns of such matrices; of the others each pair of holders is added by itself.
+    """
+
+    def features(sets: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        h = [np.repeat(a, c) for a, c in sets]
+        nth = [np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) for _, c in sets]
+        with np.errstate(over="ignore"):
+            return mixed_bits(np.concatenate(h) + np.concatenate(nth).astype(np.uint64) * ODD), np.repeat(np.arange(len(sets)), [len(a) for a in h])
+
+    (fx, ix), (fy, iy) = features(x), features(y)
+    both = np.intersect1d(fx, fy)
+    out = np.zeros((len(x), len(y)), np.float32)
+
+    def held(f: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.searchsorted(both, f)
+        ok = both[np.minimum(at, len(both) - 1)] == f if len(both) else np.zeros(len(f), bool)
+        order = np.argsort(at[ok], kind="stable")
+        return at[ok][order], i[ok][order], np.searchsorted(at[ok][order], np.arange(len(both) + 1))
+
+    cx, hx, sx = held(fx, ix)
+    cy, hy, sy = held(fy, iy)
+    nx, ny = np.diff(sx), np.diff(sy)
+    frequent = np.flatnonzero(nx * ny > 64)
+    for k in range(0, len(frequent), 1024):
+        some = frequent[k : k + 1024]
+        place = np.full(len(both), -1)
+        place[some] = np.arange(len(some))
+        a, b = np.zeros((len(x), len(some)), np.float32), np.zeros((len(y), len(some)), np.float32)
+        a[hx[place[cx] >= 0], place[cx[place[cx] >= 0]]] = 1
+        b[hy[place[cy] >= 0], place[cy[place[cy] >= 0]]] = 1
+        out += a @ b.T
+    rare = np.flatnonzero(nx * ny <= 64)
+    times = nx[rare] * ny[rare]
+    which = np.repeat(rare, times)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+    np.add.at(out, (hx[sx[which] + nth // ny[which]], hy[sy[which] + nth % ny[which]]), 1)
+    return out
+
+
+def blocked(placed: DataFrame, others: DataFrame, texts: DataFrame, threshold: float, block: int = 1024) -> DataFrame:
+    """Links (a, b) that connect whatever is linked between `others` and all that is `placed` in the same bucket."""
+    blocks = lambda rows, name: rows.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    sizes = blocks(others, "nx").join(blocks(placed, "ny"), "bucket")
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    told = lambda rows: rows.select("bucket", "id").join(sizes, "bucket").join(texts, "id")
+    x = told(others).select("bucket", part("nx").alias("x"), F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("y"), F.lit(True).alias("asks"), "id", "text")
+    y = told(placed).select("bucket", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("x"), part("ny").alias("y"), F.lit(False).alias("asks"), "id", "text")
+
+    def task(group: pa.Table) -> pa.Table:
+        asks = np.array(group["asks"].to_pylist(), bool)
+        ids, own = group["id"].to_numpy(), group["text"].to_pylist()
+        s = Shingles([t.encode("utf-8", "surrogatepass") for t in own])
+        at = np.searchsorted(s.doc, np.arange(s.n + 1))
+        sets = [(s.hash[i:j], s.count[i:j]) for i, j in zip(at, at[1:], strict=False)]
+        total = np.array([c.sum() for _, c in sets])
+        xs, ys = np.flatnonzero(asks), np.flatnonzero(~asks)
+        a, b = np.zeros(0, int), np.zeros(0, int)
+        if len(xs) and len(ys):
+            both = overlaps([sets[i] for i in xs], [sets[i] for i in ys]).astype(float)
+            i, j = np.nonzero(both >= threshold * (total[xs][:, None] + total[ys][None, :] - both) - 1e-9)
+            exact = both[i, j] / (total[xs[i]] + total[ys[j]] - both[i, j]) >= threshold
+            a, b = xs[i[exact]], ys[j[exact]]
+        # The same document may ask and be asked: both are one node.
+        nodes, inverse = np.unique(ids, return_inverse=True)
+        root = forest(inverse[a], inverse[b], len(nodes))
+        moved = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.Table.from_arrays([pa.array(nodes[root[moved]]), pa.array(nodes[moved])], ["a", "b"])
+
+    return x.unionByName(y).groupBy("bucket", "x", "y").applyInArrow(task, "a long, b long")
+
+
+def dedup(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 5, small: int = 32) -> DataFrame:
     """A row for each row of docs (doc_id, text): doc_id, component_id, kept.
 
     component_id is the smallest id that links reach, and its document is kept.  A text of one to four words is one
@@ -186,33 +262,42 @@ def dedup(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int =
     whole = signs.where("bands is not null and doc_id is not null")
     same = written(whole.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "bands")).alias("x")).select("k1", "k2", F.col("x.doc_id").alias("rep"), "x.bands"), "distinct")
     entries = same.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
-    buckets = entries.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("bucket", "first")
+    buckets = entries.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     member = written(entries.join(buckets, "bucket"), "buckets")
     pairs = written(member.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     # An id may have rows of several texts: the one whose words were signed is meant.
-    texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text")).join(ids, "id").where("text is not null").groupBy("id").agg(F.min("text").alias("text"))
+    texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text")).join(ids.hint("merge"), "id").where("text is not null").groupBy("id").agg(F.min("text").alias("text"))
     texts = written(texts, "texts")
     sims = written(compared(pairs, texts), "sims")
     near = sims.where(F.col("sim") >= threshold).select("a", "b")
     comp = written(components(near), "groups")
 
-    # What is still apart within a bucket: `other` members are not in the first one's group.
-    apart = 1 - threshold
-    placed = member.join(comp.select(F.col("id"), F.col("component").alias("c")), "id", "left").join(sims.select(F.col("a").alias("first"), F.col("b").alias("id"), "sim"), ["first", "id"], "left")
-    placed = placed.select("bucket", "id", "first", F.coalesce("c", "id").alias("c"), F.when(F.col("id") == F.col("first"), 0.0).otherwise(1 - F.col("sim")).alias("d"))
-    heads = placed.where("id = first").select("bucket", F.col("c").alias("head"))
-    others = written(placed.join(heads, "bucket").where("c != head").select("bucket", "id", "c", "d"), "apart")
-    step = F.floor(F.col("d") / apart + 1e-9)
-    left = others.select("bucket", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("d").alias("da"), F.explode(F.array(step - 1, step, step + 1)).alias("s"))
-    # Only buckets that have something apart are read again.
-    right = placed.join(others.select("bucket").distinct(), "bucket").select("bucket", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("d").alias("db"), step.alias("s"))
-    more = left.join(right, ["bucket", "s"]).where((F.col("ca") != F.col("cb")) & (F.abs(F.col("da") - F.col("db")) <= apart + 1e-9)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def apart(comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Of buckets with more than one group: all members, and those that aren't in the first one's group."""
+        placed = member.join(comp.select(F.col("id"), F.col("component").alias("c")), "id", "left").join(comp.select(F.col("id").alias("first"), F.col("component").alias("head")), "first", "left").select("bucket", "n", "id", "first", F.coalesce("c", "id").alias("c"), F.coalesce("head", "first").alias("head"))
+        others = written(placed.where("c != head"), "apart")
+        return placed.join(others.select("bucket").distinct(), "bucket"), others
+
+    found = near
+    placed, others = apart(comp)
+    large = F.col("n") > small
+    if not others.where(large).isEmpty():
+        found = written(found.union(blocked(placed.where(large), others.where(large), texts, threshold)), "near")
+        comp = written(components(found), "groups")
+        placed, others = apart(comp)
+
+    reach = 1 - threshold
+    d = F.when(F.col("id") == F.col("first"), 0.0).otherwise(1 - F.col("sim"))
+    far = lambda rows: rows.where(~large).join(sims.select(F.col("a").alias("first"), F.col("b").alias("id"), "sim"), ["first", "id"], "left").select("bucket", "id", "c", d.alias("d"), F.floor(d / reach + 1e-9).alias("step"))
+    left = far(others).select("bucket", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("d").alias("da"), F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"))
+    right = far(placed).select("bucket", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("d").alias("db"), "step")
+    more = left.join(right, ["bucket", "step"]).where((F.col("ca") != F.col("cb")) & (F.abs(F.col("da") - F.col("db")) <= reach + 1e-9)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = written(more.join(sims.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         also = written(compared(more, texts).where(F.col("sim") >= threshold).select("a", "b"), "sims")
         if not also.isEmpty():
-            comp = components(near.union(also))
+            comp = components(found.union(also))
     named = same.join(comp, same["rep"] == comp["id"], "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
     out = signs.withColumn("linked", F.col("bands").isNotNull() & F.col("doc_id").isNotNull()).drop("bands")
     linked = out.where("linked").join(named, ["k1", "k2"]).select("doc_id", "component_id")
