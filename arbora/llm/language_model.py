@@ -3,9 +3,9 @@
 Smoothing: P(w | h) = (c(hw) + K * P(w | h')) / (c(h) + K), h' the context without its first word; at the end,
 P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)).  It sums to one.  As an automaton: a context seen in training is a state; each
 n-gram seen in training is an arc with its log-probability; every state has a failure arc to its shorter context, weighted
-log10(K / (c(h) + K)).  A text is read once, left to right, and its state carried along.
+log10(K / (c(h) + K)).  A text is read once, left to right, and its state carried along (for all texts of a block at once).
 
-How it runs: each task cuts its documents into blocks of some 100,000 words.  A block sends each distinct n-gram once,
+How it runs: each task cuts its documents into blocks of some 300,000 words.  A block sends each distinct n-gram once,
 with its training count here, to the bucket of the n-gram's hash.  A bucket sums them and answers a block only where the
 corpus's count differs from the block's own.  So a block knows the exact counts of its own n-grams, builds the part of the
 automaton that its documents can reach, and reads them.  Rows between tasks are packed arrays, so a frequent word costs
@@ -84,7 +84,7 @@ class Automaton:
         sizes = [len(c) for c in counts]
         self.width = sizes[0]
         #: State 0 has no context; the others are n-grams of orders 1 to order - 1, in this numbering.
-        base = np.concatenate([[1], 1 + np.cumsum(sizes)])
+        self.base = base = np.concatenate([[1], 1 + np.cumsum(sizes)])
         ids = block.ids
         self.unigram = np.log10((counts[0] + 0.5) / (tokens + 0.5 * (types + 1)))
         chance = 10.0**self.unigram
@@ -108,13 +108,44 @@ class Automaton:
                 following.append(state_of[seen] if n else state_of)
             else:
                 following.append(shorter[seen] if n else shorter)
-        self.start = int(base[0] + ids[0][0]) if order > 1 and len(ids[0]) and counts[0][ids[0][0]] > 0 else 0
-        self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys))), strict=True))
-        self.weights, self.following = np.concatenate(weights).tolist(), np.concatenate(following).tolist()
-        self.fail, self.fail_weight = np.concatenate(self.fail).tolist(), np.concatenate(self.fail_weight).tolist()
+        self.block, self.seen = block, [c > 0 for c in counts]
+        self.start = int(base[0] + ids[0][0]) if order > 1 and len(ids[0]) and self.seen[0][ids[0][0]] else 0
+        self.keys, self.weights, self.following = keys, weights, following
+        self.fail, self.fail_weight = np.concatenate(self.fail), np.concatenate(self.fail_weight)
+
+    def read_all(self) -> np.ndarray:
+        """The log-probability of each text of the block, all read from left to right at once.
+
+        The state before a token is the longest context seen in training; what is added there is the weights of failure
+        arcs from this state down to the longest whose arc has the token, and this arc's weight.
+        """
+        ids, first = self.block.ids, self.block.first
+        at = np.delete(np.arange(first[-1]), first[:-1])
+        total = np.zeros(len(at))
+        open_ = np.ones(len(at), bool)
+        for n in range(len(ids) - 1, -1, -1):
+            gram = ids[n][at]
+            have = gram >= 0
+            # The state's failure arc is taken where the context of this order is a state but has no arc for the token.
+            seen = have & self.seen[n][gram] if n else have
+            take = np.flatnonzero(open_ & seen)
+            place = np.cumsum(self.seen[n]) - 1 if n else np.arange(len(self.seen[0]))
+            total[take] += self.weights[n][place[gram[take]]]
+            open_[take] = False
+            if n:
+                context = ids[n - 1][at - 1]
+                down = np.flatnonzero(open_ & (context >= 0) & self.seen[n - 1][context])
+                total[down] += self.fail_weight[self.base[n - 1] + context[down]]
+        return np.bincount(np.repeat(np.arange(len(self.block.words)), self.block.words + 1), total, len(self.block.words))
+
+    def compile(self) -> None:
+        """Tables for read()."""
+        self.arcs = dict(zip(np.concatenate(self.keys).tolist(), range(sum(map(len, self.keys))), strict=True))
+        self.lists = [np.concatenate(x).tolist() if isinstance(x, list) else x.tolist() for x in (self.weights, self.following, self.fail, self.fail_weight)]
 
     def read(self, words: list[int]) -> float:
-        arc, weights, following, fail, fail_weight, width = self.arcs.get, self.weights, self.following, self.fail, self.fail_weight, self.width
+        """The log-probability of one text, given as numbers of the block's words, arc by arc."""
+        arc, (weights, following, fail, fail_weight), width = self.arcs.get, self.lists, self.width
         state, total = self.start, 0.0
         for w in words:
             a = arc(state * width + w)
@@ -146,7 +177,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int,
         yield number, ids, texts, held
 
 
-def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0, block_bytes: int = 1_000_000, bucket_bytes: int = 4_000_000) -> DataFrame:
+def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0, block_bytes: int = 2_000_000, bucket_bytes: int = 8_000_000) -> DataFrame:
     """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams), score.
 
     Both scores are log10 probabilities of the whole text and its end.  Trained on the rows of docs (doc_id, text) whose
@@ -227,9 +258,7 @@ def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0,
         of = np.repeat(np.arange(len(held)), block.words + 1)
         base = np.bincount(of, automaton.unigram[real], len(held))
         known = np.bincount(of, counts[0][real] > 0, len(held)).astype(np.int64)
-        listed = ids.tolist()
-        whole = [automaton.read(listed[i + 1 : j]) for i, j in zip(first.tolist(), first[1:].tolist(), strict=False)]
-        columns = [own["doc_id"].combine_chunks(), own["held_out"].combine_chunks(), pa.array(block.words + 1, pa.int64()), pa.array(known), pa.array(np.full(len(held), tokens)), pa.array(base), pa.array(whole, pa.float64())]
+        columns = [own["doc_id"].combine_chunks(), own["held_out"].combine_chunks(), pa.array(block.words + 1, pa.int64()), pa.array(known), pa.array(np.full(len(held), tokens)), pa.array(base), pa.array(automaton.read_all())]
         return pa.Table.from_arrays(columns, [x.split()[0] for x in OUT.split(", ")])
 
     parts = max(1, min(1 << 14, 2 * total // block_bytes + 1))
