@@ -8,16 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import embedding_dedup, fingerprints, language_model, minhash_dedup, mixing, packing, toxicity
+from arbora.llm import embedding_dedup, fingerprints, language_model, licences, minhash_dedup, mixing, packing, pii, toxicity, urls
 from arbora.llm.common import remainder_of_five, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The rules of the URL query.
+URL_RULES = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+PII_KEY = "a key of the deployment; this one is for the query"
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filtered(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_found")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -29,6 +42,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).drop("text", "places")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("source")
 
@@ -46,7 +63,9 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_embedding_dedup, op4_toxicity, op5_packing, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup)}
+    import corpus_pipeline
+
+    return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup)} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
