@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from arbora.llm.common import text_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-EDGE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+#: What parts words, once A-Z are lower-cased.
+EDGE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases whose every place counts by itself: fixed values, phrase -> label.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Common notices: label, the notice's words, its mandatory key phrase.
@@ -40,8 +40,9 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
 )
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
+def runs(text: Column) -> Column:
+    """The words of a text; before the first and after the last there may be an empty one."""
+    return F.split(F.translate(text, UPPER, LOWER), EDGE)
 
 
 def literal(items: list[str]) -> Column:
@@ -53,7 +54,7 @@ def frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str,
 
     Each task sums for the words it has seen before anything is sent.
     """
-    present = F.array_intersect(words_of(text_of(docs["text"])), literal(vocabulary))
+    present = F.array_intersect(runs(text_of(docs["text"])), literal(vocabulary))
     found = docs.select(F.explode(F.array_append(present, F.lit(""))).alias("word")).groupBy("word").count().collect()
     seen = {r["word"]: r["count"] for r in found}
     return seen.pop("", 0), seen
@@ -84,9 +85,9 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str, str], ...] = TEMPLATE
     anchors = sorted({w for own in rare for w, _ in own})
     # A file without the rarest word of any template isn't looked at further.
     rarest = sorted({own[0][0] for own in rare})
-    may = F.translate(F.col("_text"), UPPER, LOWER).rlike(f"(?:^|{EDGE})(?:{'|'.join(rarest)})(?:$|{EDGE})")
-    rows = docs.select(docs["doc_id"], docs["text"], text_of(docs["text"]).alias("_text"))
-    rows = rows.select("doc_id", "text", F.regexp_count("_text", F.lit(WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60"))).cast("long").alias("n_words"), F.when(may, words_of(F.col("_text"))).alias("_w"))
+    rows = docs.select(docs["doc_id"], docs["text"], runs(text_of(docs["text"])).alias("_s"))
+    ends = (F.get("_s", F.lit(0)) == "").cast("long") + ((F.size("_s") > 1) & (F.element_at("_s", -1) == "")).cast("long")
+    rows = rows.select("doc_id", "text", (F.size("_s") - ends).alias("n_words"), F.when(F.arrays_overlap("_s", literal(rarest)), F.filter("_s", lambda w: w != "")).alias("_w"))
     hits = F.filter(F.transform("_w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h["w"].isin(anchors))
     rows = rows.withColumn("_hits", hits)
 
