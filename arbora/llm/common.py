@@ -2,41 +2,34 @@
 
 from __future__ import annotations
 
-import uuid
+import ctypes
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arbora.session import dropped, written
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, as the cluster names it.
+__all__ = ["components", "dropped", "forest", "remainder_of_five", "slices", "table", "text_of", "written"]
 
-    Only a local session may leave it unset: it then gets a folder of its own, since one machine holds everything.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", "")
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: its lineage ends there, and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(*frames: DataFrame) -> None:
-    """Deletes tables that written() made and that nothing reads any more."""
-    for df in frames:
-        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A task's batches in small parts, so that few rows are Python objects at a time; then freed memory goes back."""
+    for b in batches:
+        for i in range(0, len(b), rows):
+            yield b.slice(i, rows)
+    trim()
+
+
+def trim() -> None:
+    """A reused worker keeps what it has freed, unless told otherwise (where the C library can)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        return
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

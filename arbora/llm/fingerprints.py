@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arbora.llm.common import slices
 from arbora.llm.hashing import ODD, Words, mixed_bits
 
 EXACT, NEAR = 8, 256
@@ -142,7 +143,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([Fingerprint.of(t).hex() for t in texts], pa.string())], ["doc_id", "n_chars", "fingerprint"])
 
@@ -174,7 +175,7 @@ def edited(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in OUT.split(", ")])
 
         held = None
-        for b in batches:
+        for b in slices(batches):
             for part, ahead, doc_id, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 row = (part, doc_id, text or "", Fingerprint.of(text or ""))
                 if held is not None and held[0] == part:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import remainder_of_five, written
+from arbora.llm.common import remainder_of_five, slices, written
 from arbora.llm.hashing import ODD, Words, lowered, mixed_bits
 
 #: Stand for the beginning of a text, which is only a context, and its end, which is a token.
@@ -162,7 +162,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int,
     """A task's rows (doc_id, held_out, text) as blocks of some `size` bytes: number, ids, texts, held_out."""
     number = TaskContext.get().partitionId() << 40
     ids, texts, held, n = [], [], [], 0
-    for b in batches:
+    for b in slices(batches):
         for doc_id, out, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
             ids.append(doc_id)

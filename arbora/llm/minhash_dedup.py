@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import components, dropped, forest, written
+from arbora.llm.common import components, dropped, forest, slices, trim, written
 from arbora.llm.hashing import ODD, Words, lowered, mixed_bits
 
 WIDTH = 5
@@ -135,7 +135,7 @@ def signed(docs: DataFrame, bands: int, rows: int, chunk: int = 1_000_000) -> Da
     """(doc_id, key: two longs of the words, bands: array of longs, null without words)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ids, texts = b.column(0).to_pylist(), [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
             i = 0
             while i < len(ids):
@@ -167,7 +167,7 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 known[i] = s.hash, s.count
             return known[i]
 
-        for batch in batches:
+        for batch in slices(batches, 128):
             a, b, ta, tb = (c.to_pylist() for c in batch.columns)
             sim = [jaccard(of(i, x), of(j, y)) for i, j, x, y in zip(a, b, ta, tb, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], ["a", "b", "sim"])
@@ -211,14 +211,16 @@ def overlaps(x: list[tuple], y: list[tuple]) -> np.ndarray:
         b[hy[place[cy] >= 0], place[cy[place[cy] >= 0]]] = 1
         out += a @ b.T
     rare = np.flatnonzero(nx * ny <= 64)
-    times = nx[rare] * ny[rare]
-    which = np.repeat(rare, times)
-    nth = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-    np.add.at(out, (hx[sx[which] + nth // ny[which]], hy[sy[which] + nth % ny[which]]), 1)
+    for k in range(0, len(rare), 8192):
+        some = rare[k : k + 8192]
+        times = nx[some] * ny[some]
+        which = np.repeat(some, times)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+        np.add.at(out, (hx[sx[which] + nth // ny[which]], hy[sy[which] + nth % ny[which]]), 1)
     return out
 
 
-def blocked(placed: DataFrame, others: DataFrame, texts: DataFrame, threshold: float, block: int = 1024) -> DataFrame:
+def blocked(placed: DataFrame, others: DataFrame, texts: DataFrame, threshold: float, block: int = 512) -> DataFrame:
     """Links (a, b) that connect whatever is linked between `others` and all that is `placed` in the same bucket."""
     blocks = lambda rows, name: rows.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
     sizes = blocks(others, "nx").join(blocks(placed, "ny"), "bucket")
@@ -245,6 +247,7 @@ def blocked(placed: DataFrame, others: DataFrame, texts: DataFrame, threshold: f
         nodes, inverse = np.unique(ids, return_inverse=True)
         root = forest(inverse[a], inverse[b], len(nodes))
         moved = np.flatnonzero(root != np.arange(len(nodes)))
+        trim()
         return pa.Table.from_arrays([pa.array(nodes[root[moved]]), pa.array(nodes[moved])], ["a", "b"])
 
     return x.unionByName(y).groupBy("bucket", "x", "y").applyInArrow(task, "a long, b long")

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from arbora.llm.common import slices
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: The splitting pattern of the public byte-level BPE vocabulary, and the special token in its file.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -36,9 +38,8 @@ class Coder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(path)
+        self.path, self.whole = path, None
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         self.special = [x["content"] for x in told["added_tokens"]]
@@ -55,7 +56,11 @@ class Coder:
     def __call__(self, text: str) -> np.ndarray:
         if self.fast and (text.isascii() or max(text) < "ɐ") and not any(s in text for s in self.special):
             return np.array(self.fast.encode_ordinary(text), np.dtype("<u4"))
-        return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.dtype("<u4"))
+        if self.whole is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.dtype("<u4"))
 
 
 @lru_cache(maxsize=2)
@@ -190,7 +195,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int | None = 1, capacity: int
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [x.split()[0] for x in PIECES.split(", ")])
 
-        for b in batches:
+        for b in slices(batches):
             lead = b.column(2).to_pylist() if prompt else [0] * len(b)
             for doc_id, text, bare in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), lead, strict=True):
                 ids = code(text) if text else np.zeros(0, np.dtype("<u4"))

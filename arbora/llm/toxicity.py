@@ -17,12 +17,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import remainder_of_five
+from arbora.llm.common import remainder_of_five, slices, trim
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -148,7 +147,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8192, held_out: int
     rows = docs.select(docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("text")).join(F.broadcast(told), "_id")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2048):
             seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for text, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 seen[y].update(set(terms(text)))
@@ -169,7 +168,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8192, held_out: int
     idf = np.array([math.log((1 + sum(n)) / (1 + r["clean"] + r["toxic"])) + 1 for r in chosen])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             own = [Counter([w for w in terms(t) if w in vocabulary]) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([list(c.items()) for c in own], pa.map_(pa.string(), pa.int64()))], ["_id", "_toxic", "counts"])
 
@@ -206,8 +205,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     One pass without a shuffle; all columns and repeated rows stay.
     """
 
-    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([model.score(t) for t in texts], dtype="float64")
+            yield pa.array([model.score(t) for i in range(0, len(texts), 512) for t in texts.slice(i, 512).to_pylist()], pa.float64())
+        trim()
 
-    return docs.withColumn("toxicity", F.pandas_udf(judged, "double")(docs["text"]))
+    return docs.withColumn("toxicity", F.arrow_udf(judged, "double")(docs["text"]))
