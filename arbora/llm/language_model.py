@@ -108,7 +108,7 @@ class Automaton:
                 following.append(state_of[seen] if n else state_of)
             else:
                 following.append(shorter[seen] if n else shorter)
-        self.block, self.seen = block, [c > 0 for c in counts]
+        self.block, self.seen = block, [np.append(c > 0, False) for c in counts]  # the last stands for no n-gram
         self.start = int(base[0] + ids[0][0]) if order > 1 and len(ids[0]) and self.seen[0][ids[0][0]] else 0
         self.keys, self.weights, self.following = keys, weights, following
         self.fail, self.fail_weight = np.concatenate(self.fail), np.concatenate(self.fail_weight)
