@@ -68,5 +68,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup)} | {"pipeline": corpus_pipeline.run}
 
 
+#: Words of a text for shingles and licences: lower case A-Z, runs of ASCII letters and digits and all beyond ASCII.
+_FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"list_filter(regexp_split_to_array({_FOLD}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w != '')"
+_GROUPS = """reach AS (SELECT id, id AS root FROM ids UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.root)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can express an operator; the others are tested against brute force in tests/llm."""
+    return {
+        "op2_embedding_dedup": f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), ids AS (SELECT vec_id AS id FROM v),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v AS x JOIN v AS y ON x.vec_id != y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9), {_GROUPS}
+SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, min(root) AS component_id, id = min(root) AS kept FROM reach GROUP BY id""",
+        "op10_minhash_dedup": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents), ids AS (SELECT id FROM w),
+s AS (SELECT id, s, count(*) AS n FROM (SELECT id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w WHERE len(w) > 0) GROUP BY id, s),
+total AS (SELECT id, sum(n) AS n FROM s GROUP BY id), shared AS (SELECT x.id AS a, y.id AS b, sum(least(x.n, y.n)) AS n FROM s AS x JOIN s AS y ON x.s = y.s AND x.id != y.id GROUP BY x.id, y.id),
+links AS (SELECT a, b FROM shared JOIN total AS p ON p.id = a JOIN total AS q ON q.id = b WHERE shared.n >= 0.8 * (p.n + q.n - shared.n)), {_GROUPS}
+SELECT id AS doc_id, min(root) AS component_id, id = min(root) AS kept FROM reach GROUP BY id""",
+    }
