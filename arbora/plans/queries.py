@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbora.functions import text
-from arbora.operators import aggregates, graph, joins, ranking, rules, votes
+from arbora.operators import aggregates, audit, graph, joins, ranking, rules, votes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -553,3 +553,36 @@ def ruling_replay(t: Tables) -> DataFrame:
     edges = one(t.nation, "core", named("n", "n_nationkey"), named("r", "n_regionkey")).union(one(t.region, "core", named("r", "r_regionkey"), F.lit("*"))).union(one(t.supplier, "pack", named("s", "s_suppkey"), named("n", "s_nationkey")))
     moves = t.nation.select(F.col("n_nationkey").cast("long").alias("seq"), F.lit("core").alias("pack"), named("n", "n_nationkey").alias("sub"), F.lit("move").alias("action"), named("r", "n_regionkey").alias("old"), F.concat(F.lit("r:"), ((F.col("n_regionkey") + F.col("n_nationkey") % 2) % 5).cast("string")).alias("new"))
     return rules.replay(edges, moves)[0]
+
+
+# Audits.
+
+
+@query("""WITH c AS (SELECT l_partkey AS lemma, 's:'||l_suppkey AS offset, CAST(sum(l_linenumber) AS BIGINT) AS n FROM lineitem GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY lemma ORDER BY n DESC, "offset" DESC) AS k FROM c)
+SELECT a.lemma, a."offset" FROM r AS a JOIN r AS b ON a.lemma = b.lemma AND a.k = 1 AND b.k = 2 WHERE a.n >= 5 AND a.n >= 2 * b.n""".replace("AS offset,", 'AS "offset",'))
+def gold_senses(t: Tables) -> DataFrame:
+    counts = t.lineitem.groupBy(F.col("l_partkey").alias("lemma"), named("s", "l_suppkey").alias("offset")).agg(F.sum("l_linenumber").alias("count"))
+    return audit.gold_first_senses(counts)
+
+
+@query("""WITH w AS (SELECT user_id AS lemma, count(*) FILTER (WHERE event_type = 'click') AS n, count(*) FILTER (WHERE event_type = 'view') AS v, count(*) FILTER (WHERE event_type = 'error') AS a, count(*) FILTER (WHERE event_type = 'purchase') AS r FROM events
+WHERE event_type != 'signup' GROUP BY user_id) SELECT lemma, n, v, a, r FROM w WHERE n >= greatest(v, a, r)""")
+def noun_dominance(t: Tables) -> DataFrame:
+    pos = F.when(F.col("event_type") == "click", "n").when(F.col("event_type") == "view", "v").when(F.col("event_type") == "error", "a").otherwise("r")
+    return audit.noun_dominant(t.events.where("event_type != 'signup'").groupBy(F.col("user_id").alias("lemma"), pos.alias("pos")).agg(F.count("*").alias("count")))
+
+
+@query("""WITH s AS (SELECT o_custkey AS lemma, o_orderstatus AS sense, o_orderkey % 7 AS voter, max(o_totalprice) / 1e6 - 0.2 AS sim FROM orders GROUP BY 1, 2, 3), b AS (SELECT lemma, voter, row_number() OVER (PARTITION BY lemma ORDER BY max(sim) DESC, voter) AS k FROM s GROUP BY lemma, voter),
+w AS (SELECT s.lemma, s.sense, s.voter, greatest(s.sim, 0) AS w, sum(greatest(s.sim, 0)) OVER (PARTITION BY s.lemma, s.voter) AS total FROM s JOIN b ON b.lemma = s.lemma AND b.voter = s.voter WHERE k <= 3)
+SELECT lemma, sense, round(sum(CASE WHEN total > 0 THEN w / total ELSE 0 END), 6) AS votes FROM w GROUP BY lemma, sense""")
+def neighbour_votes(t: Tables) -> DataFrame:
+    rows = t.orders.groupBy(F.col("o_custkey").alias("lemma"), F.col("o_orderstatus").alias("sense"), (F.col("o_orderkey") % 7).alias("voter")).agg((F.max("o_totalprice") / 1e6 - 0.2).alias("sim"))
+    return audit.neighbour_votes(rows, 3).withColumn("votes", F.round("votes", 6))
+
+
+@query("""WITH r AS (SELECT 's:'||l_suppkey AS k, CAST(l_partkey AS VARCHAR) AS c, l_linenumber AS n FROM lineitem), w AS (SELECT k, min(c) AS lo, max(c) AS hi FROM r GROUP BY k), d AS (SELECT k, c[1] AS d, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY k) AS total FROM r GROUP BY k, c[1]),
+m AS (SELECT r.k, min(c) AS lo, max(c) AS hi FROM r JOIN d ON d.k = r.k AND d.d = r.c[1] WHERE 3 * d.n >= 2 * total GROUP BY r.k), p AS (SELECT w.k, lo[1:(SELECT max(i) FROM range(0, 20) AS t(i) WHERE substr(lo, 1, i) = substr(hi, 1, i) AND i <= length(lo))] AS prefix FROM w),
+q AS (SELECT m.k, lo[1:(SELECT max(i) FROM range(0, 20) AS t(i) WHERE substr(lo, 1, i) = substr(hi, 1, i) AND i <= length(lo))] AS prefix FROM m) SELECT p.k, CASE WHEN p.prefix != '' THEN p.prefix ELSE coalesce(q.prefix, '') END AS c FROM p LEFT JOIN q USING (k)""")
+def majority_code(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(named("s", "l_suppkey").alias("k"), F.col("l_partkey").cast("string").alias("c"), F.col("l_linenumber").alias("n"))
+    return audit.majority_code(rows, "k", "c", "n")
