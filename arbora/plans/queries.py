@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbora.functions import text
-from arbora.operators import aggregates, audit, graph, joins, ranking, rules, votes
+from arbora.operators import aggregates, audit, graph, joins, ranking, revisions, rules, senses, votes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -586,3 +586,71 @@ q AS (SELECT m.k, lo[1:(SELECT max(i) FROM range(0, 20) AS t(i) WHERE substr(lo,
 def majority_code(t: Tables) -> DataFrame:
     rows = t.lineitem.select(named("s", "l_suppkey").alias("k"), F.col("l_partkey").cast("string").alias("c"), F.col("l_linenumber").alias("n"))
     return audit.majority_code(rows, "k", "c", "n")
+
+
+@query("""WITH home AS (SELECT c_custkey AS k, c_mktsegment = 'BUILDING' AS two, 'n:'||c_nationkey AS nation FROM customer),
+c AS (SELECT DISTINCT o_orderkey AS k, o_custkey, l_suppkey, 'n:'||s_nationkey AS nation FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey),
+n AS (SELECT c.k, count(*) AS every, count(*) FILTER (WHERE home.nation = c.nation AND NOT two) AS near, min(l_suppkey) AS s, min(l_suppkey) FILTER (WHERE home.nation = c.nation AND NOT two) AS t FROM c LEFT JOIN home ON home.k = o_custkey GROUP BY c.k),
+r AS (SELECT 'o:'||o_orderkey AS node, CASE WHEN every > 1 AND near > 0 THEN near ELSE coalesce(every, 0) END AS n, coalesce(t, s) AS s FROM orders LEFT JOIN n ON k = o_orderkey)
+SELECT node, CASE WHEN n = 1 THEN 's:'||s END AS sense, CASE n WHEN 0 THEN 'unmatched' WHEN 1 THEN 'chosen' ELSE 'ambiguous' END AS route, CAST(n AS INTEGER) AS n_left FROM r
+UNION ALL SELECT 'c:'||k, CASE WHEN NOT two THEN nation END, CASE WHEN two THEN 'ambiguous' ELSE 'chosen' END, CASE WHEN two THEN 2 ELSE 1 END FROM home""")
+def guided_senses(t: Tables) -> DataFrame:
+    """An order means one of its suppliers, guided by its customer's nation; BUILDING customers mean two nations."""
+    o, c = named("o", "o_orderkey"), named("c", "c_custkey")
+    tree = t.orders.select(o.alias("node"), named("c", "o_custkey").alias("parent")).union(t.customer.select(c, F.lit("all")))
+    labels = t.orders.select(o.alias("node"), F.lit("supply").alias("label")).union(t.customer.select(c, F.lit("home")))
+    supply = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+    other = t.customer.where("c_mktsegment = 'BUILDING'").select(c, F.lit("home"), F.concat(F.lit("n:"), ((F.col("c_nationkey") + 1) % 25).cast("string")))
+    candidates = supply.select(named("o", "l_orderkey").alias("node"), F.lit("supply").alias("label"), named("s", "l_suppkey").alias("sense")).union(t.customer.select(c, F.lit("home"), named("n", "c_nationkey"))).union(other)
+    above = t.supplier.select(named("s", "s_suppkey").alias("sense"), named("n", "s_nationkey").alias("above"))
+    return senses.guided_senses(tree, labels, candidates, above).select("node", "sense", "route", F.size("left").alias("n_left"))
+
+
+# Revisions.
+
+
+@query("""WITH r AS (SELECT 'n:'||n_nationkey AS sub, n_nationkey AS k, 'r:'||n_regionkey AS old, 'r:'||((n_regionkey + 1) % 5) AS new FROM nation)
+SELECT 'core' AS pack, CASE WHEN k % 4 = 2 THEN sub||'-x' ELSE sub END AS sub, CASE k % 4 WHEN 0 THEN 'move' WHEN 1 THEN 'parent+' WHEN 2 THEN 'add' ELSE 'drop' END AS action,
+CASE WHEN k % 4 = 0 THEN old ELSE '-' END AS old, CASE WHEN k % 4 < 2 THEN new WHEN k % 4 = 2 THEN old ELSE '-' END AS new FROM r
+UNION ALL SELECT 'core', sub, 'drop', '-', '-' FROM r WHERE k % 4 = 2""")
+def decision_compiler(t: Tables) -> DataFrame:
+    """Nations are moved, filed twice, renamed or dropped."""
+    rows = t.nation.orderBy("n_nationkey").collect()
+    regions = {f"r:{r['r_regionkey']}": ["*"] for r in t.region.collect()}
+    stores = {"core": {**regions, **{f"n:{r['n_nationkey']}": [f"r:{r['n_regionkey']}"] for r in rows}}}
+    sheet = []
+    for r in rows:
+        old, new, k = f"r:{r['n_regionkey']}", f"r:{(r['n_regionkey'] + 1) % 5}", r["n_nationkey"]
+        action, args = (("move", f"{old} {new}"), ("parent+", new), ("rename", f"n:{k}-x"), ("drop", ""))[k % 4]
+        sheet.append({"pack": "core", "name": f"n:{k}", "action": action, "args": args, "apply": "yes"})
+    rulings = [x[:5] for x in revisions.compiled(stores, sheet).rulings]
+    return t.spark.createDataFrame(rulings, "pack string, sub string, action string, old string, new string")
+
+
+@query("SELECT 'core' AS store, 'n:'||n_nationkey AS sub, CASE WHEN n_nationkey % 3 = 0 THEN 'in(r:'||n_regionkey||')' ELSE 'r:'||n_regionkey END AS sup FROM nation UNION ALL SELECT 'core', 'r:'||r_regionkey, '*' FROM region UNION ALL SELECT 'core', 'in', '*'")
+def role_rewrites(t: Tables) -> DataFrame:
+    """Every third nation is in its region rather than a kind of it."""
+    n, r = named("n", "n_nationkey"), named("r", "n_regionkey")
+    one = lambda df, a, b: df.select(F.lit("core").alias("store"), a.alias("sub"), b.alias("sup"), F.lit(0).alias("ord"))
+    edges = one(t.nation, n, r).union(one(t.region, named("r", "r_regionkey"), F.lit("*"))).union(t.spark.createDataFrame([("core", "in", "*", 0)], "store string, sub string, sup string, ord int"))
+    text_ = F.concat(F.lit("in("), r, F.lit(")"))
+    rewrites = t.nation.where("n_nationkey % 3 = 0").select(F.col("n_nationkey").alias("seq"), F.lit("core").alias("pack"), n.alias("sub"), r.alias("old"), F.lit("rewrite").alias("action"), text_.alias("text"))
+    none = t.spark.createDataFrame([], "seq long, pack string, sub string, action string, old string, new string")
+    return revisions.revised(edges, none, rewrites=rewrites)[0].select("store", "sub", "sup")
+
+
+@query("""WITH g AS (SELECT 's:'||s_suppkey AS name, max(p_partkey) AS p FROM supplier JOIN part ON p_partkey % 50 = s_suppkey % 50 GROUP BY 1)
+SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'core' ELSE 'pack' END AS store, name, CASE WHEN s_suppkey % 7 = 0 THEN 'by hand' ELSE p_name END AS gloss, CASE WHEN s_suppkey % 7 != 0 THEN p||'-n' END AS wn30
+FROM supplier JOIN g ON name = 's:'||s_suppkey JOIN part ON p_partkey = p WHERE s_suppkey % 5 != 0 AND NOT (s_suppkey % 2 = 1 AND s_suppkey % 3 = 0)""")
+def gloss_owners(t: Tables) -> DataFrame:
+    """Suppliers are named after parts; even ones are the core's, a third of the others disowned, a fifth without gloss."""
+    s = named("s", "s_suppkey")
+    concepts = t.supplier.join(t.part, F.col("p_partkey") % 50 == F.col("s_suppkey") % 50).select(F.col("p_partkey").alias("ord"), s.alias("name"), F.col("p_partkey").cast("string").alias("offset"))
+    definitions = t.part.select(F.col("p_partkey").cast("string").alias("offset"), F.col("p_name").alias("gloss"))
+    by_hand = t.supplier.where("s_suppkey % 7 = 0 or s_suppkey % 5 = 0").select(F.col("s_suppkey").alias("ord"), s.alias("name"), F.lit("-").alias("offset"), F.when(F.col("s_suppkey") % 5 != 0, "by hand").alias("gloss"))
+    texts = revisions.glosses(concepts, definitions, [], by_hand)
+    edges = t.supplier.where("s_suppkey % 2 = 0").select(F.lit("core").alias("store"), s.alias("sub"), named("n", "s_nationkey").alias("sup"))
+    edges = edges.union(t.supplier.select(F.lit("pack"), s, named("n", "s_nationkey")))
+    disowned = t.supplier.where("s_suppkey % 3 = 0").select(F.lit("pack").alias("store"), s.alias("name"))
+    none = t.spark.createDataFrame([], "store string, name string")
+    return revisions.attached(edges, texts, disowned, none)
