@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.functions.vectors import cosine
-from arbora.operators.ranking import centroids, first_per_group
+from arbora.operators.ranking import centroids, first_per_group, ranked
 
 
 def gold_first_senses(counts: DataFrame, least: int = 5) -> DataFrame:
@@ -109,3 +109,74 @@ def majority_code(rows: DataFrame, key: str, code: str, titles: str) -> DataFram
     major = two_thirds(digit, key, "_d", titles)
     within = group_prefix(digit.join(major, [key, "_d"], "left_semi"), key, code).withColumnRenamed("prefix", "_major")
     return whole.join(within, key, "left").select(key, F.when(F.col("prefix") != "", F.col("prefix")).otherwise(F.coalesce("_major", F.lit(""))).alias(code))
+
+
+def occupation_route(rows: DataFrame, owned: DataFrame) -> DataFrame:
+    """rows (offset, code), owned (offset, owner, name) -> (offset, code, name, route): no common code (spread), a code that
+    begins with 0 (armed), a synset that the core (core) or a pack has (held), or a new row (new)."""
+    code = F.coalesce("code", F.lit(""))
+    route = F.when(code == "", "spread").when(code.startswith("0"), "armed").when(F.col("owner") == "core", "core").when(F.col("owner").isNotNull(), "held").otherwise("new")
+    return rows.join(owned.groupBy("offset").agg(F.min(F.struct("owner", "name")).alias("o")).select("offset", "o.owner", "o.name"), "offset", "left").select("offset", code.alias("code"), "name", route.alias("route"))
+
+
+def agreement(chosen: DataFrame, gold: DataFrame) -> DataFrame:
+    """chosen (method, lemma, sense, lead), gold (lemma, sense) -> (method, part, n, agree): the share of lemmas whose sense
+    is the gold one, of all, and of the half and the quarter with the largest leads (ties by lemma)."""
+    rows = chosen.join(gold.withColumnRenamed("sense", "right"), "lemma").withColumn("ok", (F.col("sense") == F.col("right")).cast("double"))
+    rows = ranked(rows, [F.col("method"), F.desc("lead"), F.col("lemma")], "_rank")
+    sizes = rows.groupBy("method").agg(F.min("_rank").alias("_first"), F.count("*").alias("size"))
+    told = rows.join(sizes, "method").select("method", "ok", (F.col("_rank") - F.col("_first") + 1).alias("place"), "size").withColumn("part", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(d).alias("d")) for n, d in (("all", 1), ("half", 2), ("quarter", 4))])))
+    return told.where(F.col("place") * F.col("part.d") <= F.col("size")).groupBy("method", F.col("part.name").alias("part")).agg(F.count("*").alias("n"), F.avg("ok").alias("agree"))
+
+
+class Naming:
+    """Names of concepts, given one after the other: each choice is taken for all that follow.  It runs on the driver, over
+    what people have selected.  names: name -> offset or None; queue: (name, why, offset) for people to look at."""
+
+    def __init__(self, fixed: dict[str, str | None] | None = None):
+        self.names: dict[str, str | None] = dict(fixed or {})
+        self.of = {o: n for n, o in self.names.items() if o}
+        self.queue: list[tuple[str, str, str]] = []
+
+    def give(self, name: str, offset: str | None) -> None:
+        self.names[name] = offset
+        if offset:
+            self.of[offset] = name
+
+    def settled(self, senses: dict[str, str | None], overrides: dict[str, str]) -> None:
+        """Names whose spelling is settled, with their first senses; an override replaces the sense, `-` by none.  Overrides
+        of other names take their synsets too, before any candidate does."""
+        for name in sorted(senses):
+            offset = overrides.get(name, senses[name])
+            if offset in (None, "", "-"):
+                self.queue.append((name, "no sense", ""))
+                self.give(name, None)
+            elif offset in self.of:
+                self.queue.append((name, f"same synset as {self.of[offset]}", offset))
+            else:
+                self.give(name, offset)
+        for name, offset in overrides.items():
+            if offset not in (None, "", "-") and name not in self.names and offset not in self.of:
+                self.give(name, offset)
+
+    def candidates(self, found: list[tuple[str, list[str], str]], by_hand: dict[str, str] | None = None, dropped: set[str] = frozenset()) -> None:
+        """found (offset, names of its lemmas, field).  A name given by hand is as said; else the first lemma, if it is free;
+        else another lemma that is neither taken nor any candidate's first; else the first with its field, or a number."""
+        by_hand = by_hand or {}
+        wanted = [c for c in found if c[0] not in dropped]
+        reserved = {lemmas[0] for offset, lemmas, _ in wanted if offset not in by_hand} | set(by_hand.values())
+        for offset, lemmas, field in wanted:
+            if offset in self.of:
+                continue
+            name = by_hand.get(offset, lemmas[0])
+            if offset not in by_hand and name in self.names:
+                spare = [w for w in lemmas[1:] if w not in self.names and w not in reserved]
+                name = self.numbered(spare[0] if spare else f"{name}.{field}")
+                self.queue.append((name, f"{lemmas[0]} is taken", offset))
+            self.give(name, offset)
+
+    def numbered(self, name: str) -> str:
+        n = 1
+        while (name if n == 1 else f"{name}.{n}") in self.names:
+            n += 1
+        return name if n == 1 else f"{name}.{n}"

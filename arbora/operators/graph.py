@@ -265,3 +265,26 @@ def content_hash(edges: DataFrame) -> DataFrame:
     line = F.sha2(F.concat_ws(" ", "sub", "sup"), 256)
     part = lambda i: F.coalesce(F.sum(F.conv(F.substring(line, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")) % 4294967296
     return edges_of(edges).agg(*[part(i).cast("long").alias(f"h{i}") for i in range(4)])
+
+
+def unattached(stores: DataFrame, edges: DataFrame, root: str = "*") -> DataFrame:
+    """stores (store, name) -> (store, name, what): names that the union doesn't have (missing) or that don't reach its root
+    (stranded)."""
+    names = stores.where((F.col("name") != root) & F.col("name").isNotNull()).select("store", "name").distinct()
+    there = nodes_of(edges_of(edges)).withColumn("there", F.lit(True))
+    below = reachable(edges, edges.sparkSession.createDataFrame([(root,)], "name string")).withColumn("below", F.lit(True))
+    told = names.join(there, "name", "left").join(below, "name", "left").where("below is null")
+    return told.select("store", "name", F.when(F.col("there").isNull(), "missing").otherwise("stranded").alias("what"))
+
+
+def differing_parents(edges: DataFrame) -> DataFrame:
+    """edges (store, sub, sup) -> (name, stores, sets): names of several stores with more than one set of parents."""
+    each = edges.groupBy("store", "sub").agg(F.array_join(F.array_sort(F.collect_set("sup")), " ").alias("parents"))
+    return each.groupBy(F.col("sub").alias("name")).agg(F.count("*").alias("stores"), F.count_distinct("parents").alias("sets")).where("stores > 1 and sets > 1")
+
+
+def cone_without(closed: DataFrame, top: str, without: str) -> DataFrame:
+    """(name): below `top` but neither below `without` nor it."""
+    inside = closed.where(F.col("sup") == top).select(F.col("sub").alias("name"))
+    out = closed.where(F.col("sup") == without).select(F.col("sub").alias("name"))
+    return inside.where(F.col("name") != without).join(out, "name", "left_anti")

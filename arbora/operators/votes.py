@@ -109,3 +109,24 @@ def verdict(text):
     """'yes, but ...' -> true, 'n' -> false, anything else -> null."""
     word = F.regexp_extract(F.lower(F.trim(text)), "^([a-z]+)", 1)
     return F.when(word.isin("yes", "y"), True).when(word.isin("no", "n"), False)
+
+
+def external_names(concepts: DataFrame, pack: str, base: DataFrame) -> DataFrame:
+    """(name): what sibling packs have of their own: concepts (pack, name, origin) of others whose origin is neither base
+    nor empty, without the base's (name) and this pack's own."""
+    others = concepts.where((F.col("pack") != pack) & (F.coalesce("origin", F.lit("")) != "") & (F.col("origin") != "base")).select("name").distinct()
+    own = concepts.where((F.col("pack") == pack) & (F.col("origin") == pack)).select("name")
+    return others.join(base.select("name"), "name", "left_anti").join(own, "name", "left_anti")
+
+
+def owned_edges(accepted: DataFrame, placed: DataFrame, concepts: DataFrame, base: DataFrame, external: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a pack writes: its own names (name), and their accepted parents (sub, sup) that are placed.
+
+    Own are placed names beyond the base (name) that the pack has as concepts (name), makes a claim about, or that no
+    sibling has (external: name); names that it only hangs things from stay borrowed.
+    """
+    mine = placed.select("name").distinct().join(base.select("name"), "name", "left_anti")
+    claims = concepts.select("name").union(accepted.select("sub")).distinct()
+    own = mine.join(claims, "name", "left_semi").union(mine.join(external.select("name"), "name", "left_anti")).distinct()
+    edges = accepted.select("sub", "sup").distinct().join(own.withColumnRenamed("name", "sub"), "sub", "left_semi").join(placed.select(F.col("name").alias("sup")).distinct(), "sup", "left_semi")
+    return own, edges.select("sub", "sup")

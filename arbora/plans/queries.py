@@ -654,3 +654,46 @@ def gloss_owners(t: Tables) -> DataFrame:
     disowned = t.supplier.where("s_suppkey % 3 = 0").select(F.lit("pack").alias("store"), s.alias("name"))
     none = t.spark.createDataFrame([], "store string, name string")
     return revisions.attached(edges, texts, disowned, none)
+
+
+# Checks.
+
+
+@query("""WITH e AS (SELECT 'c:'||c_custkey AS sub, c_nationkey AS n FROM customer), s AS (SELECT 'orders' AS store, 'c:'||o_custkey AS name FROM orders UNION SELECT 'customers', 'c:'||c_custkey FROM customer)
+SELECT store, name, CASE WHEN n IS NULL THEN 'missing' ELSE 'stranded' END AS what FROM s LEFT JOIN e ON sub = name WHERE n IS NULL OR n % 3 = 0""")
+def unattached(t: Tables) -> DataFrame:
+    """Customers hang below nations, every third of which hangs below no region."""
+    edges = t.customer.select(named("c", "c_custkey").alias("sub"), named("n", "c_nationkey").alias("sup")).union(t.nation.where("n_nationkey % 3 != 0").select(named("n", "n_nationkey"), F.lit("*")))
+    stores = t.orders.select(F.lit("orders").alias("store"), named("c", "o_custkey").alias("name")).union(t.customer.select(F.lit("customers"), named("c", "c_custkey")))
+    return graph.unattached(stores, edges)
+
+
+@query("""WITH e AS (SELECT l_returnflag AS store, l_partkey AS p, string_agg(DISTINCT 's:'||l_suppkey, ' ' ORDER BY 's:'||l_suppkey) AS parents FROM lineitem GROUP BY 1, 2)
+SELECT 'p:'||p AS name, count(*) AS stores, count(DISTINCT parents) AS sets FROM e GROUP BY p HAVING count(*) > 1 AND count(DISTINCT parents) > 1""")
+def differing_parents(t: Tables) -> DataFrame:
+    return graph.differing_parents(t.lineitem.select(F.col("l_returnflag").alias("store"), named("p", "l_partkey").alias("sub"), named("s", "l_suppkey").alias("sup")))
+
+
+@query("SELECT 'c:'||c_custkey AS name FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey = 1 AND n_nationkey != 2 UNION SELECT 's:'||s_suppkey FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = 1 AND n_nationkey != 2 UNION SELECT 'n:'||n_nationkey FROM nation WHERE n_regionkey = 1 AND n_nationkey != 2 UNION SELECT 'o:'||o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey = 1 AND n_nationkey != 2")
+def cone_without(t: Tables) -> DataFrame:
+    return graph.cone_without(graph.closure(geo(t)), "r:1", "n:2")
+
+
+@query("""WITH c AS (SELECT l_shipdate_m AS method, l_partkey AS lemma, l_suppkey AS sense, lead FROM (SELECT l_returnflag AS l_shipdate_m, l_partkey, l_suppkey, l_quantity AS lead, row_number() OVER (PARTITION BY l_returnflag, l_partkey ORDER BY l_quantity DESC, l_suppkey) AS k FROM lineitem) WHERE k = 1),
+g AS (SELECT l_partkey AS lemma, min(l_suppkey) AS r FROM lineitem GROUP BY 1), r AS (SELECT c.method, CASE WHEN sense = r THEN 1.0 ELSE 0.0 END AS ok, row_number() OVER (PARTITION BY method ORDER BY lead DESC, c.lemma) AS k, count(*) OVER (PARTITION BY method) AS n FROM c JOIN g ON g.lemma = c.lemma)
+SELECT method, part, count(*) AS n, round(avg(ok), 6) AS agree FROM r CROSS JOIN (VALUES ('all', 1), ('half', 2), ('quarter', 4)) AS p(part, d) WHERE k * d <= r.n GROUP BY method, part""".replace("count(*) AS n, round(avg(ok), 6) AS agree", "CAST(count(*) AS BIGINT) AS n, round(avg(CAST(ok AS DOUBLE)), 6) AS agree"))
+def sense_agreement(t: Tables) -> DataFrame:
+    best = ranking.first_per_group(t.lineitem.select(F.col("l_returnflag").alias("method"), F.col("l_partkey").alias("lemma"), F.col("l_suppkey").alias("sense"), F.col("l_quantity").alias("lead")), ["method", "lemma"], [F.desc("lead"), F.col("sense")], 1)
+    gold = t.lineitem.groupBy(F.col("l_partkey").alias("lemma")).agg(F.min("l_suppkey").alias("sense"))
+    return audit.agreement(best, gold).withColumn("agree", F.round("agree", 6))
+
+
+@query("""WITH p AS (SELECT 's:'||s_suppkey AS sub, 'n:'||s_nationkey AS sup FROM supplier WHERE s_suppkey % 4 != 0), placed AS (SELECT DISTINCT sup AS name FROM p UNION SELECT 's:'||s_suppkey FROM supplier WHERE s_suppkey % 3 != 0)
+SELECT sub, sup FROM p WHERE sub IN (SELECT name FROM placed)""")
+def owned_edges(t: Tables) -> DataFrame:
+    """Suppliers are the pack's names, nations the base's; a third isn't placed, a fourth has no accepted parent."""
+    accepted = t.supplier.where("s_suppkey % 4 != 0").select(named("s", "s_suppkey").alias("sub"), named("n", "s_nationkey").alias("sup"))
+    placed = accepted.select(F.col("sup").alias("name")).union(t.supplier.where("s_suppkey % 3 != 0").select(named("s", "s_suppkey")))
+    base = t.nation.select(named("n", "n_nationkey").alias("name"))
+    concepts = t.supplier.select(named("s", "s_suppkey").alias("name"))
+    return votes.owned_edges(accepted, placed, concepts, base, base.limit(0))[1]

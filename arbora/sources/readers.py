@@ -5,16 +5,23 @@ All of them are plans over Spark's own text, CSV, JSON and XML sources; only she
 
 from __future__ import annotations
 
+import io
+import re
 import shlex
-from collections.abc import Iterator
+import time
+import zipfile
+from collections.abc import Callable, Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arbora.functions import text
+from arbora.session import written
 
 ORD = "_ord"
+RDF, RDFS, OWL = "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "http://www.w3.org/2000/01/rdf-schema#", "http://www.w3.org/2002/07/owl#"
 
 
 def lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -150,18 +157,134 @@ def ntriples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def owl_classes(spark: SparkSession, path: str, row_tag: str = "owl:Class") -> tuple[DataFrame, DataFrame]:
     """RDF/XML classes -> nodes (id, label), edges to classes that are there; parents named, or in an intersection."""
-    link = "STRUCT<`_rdf:resource`: STRING, `owl:Class`: STRUCT<`owl:intersectionOf`: STRUCT<`rdf:Description`: ARRAY<STRUCT<`_rdf:about`: STRING>>>>>"
-    schema = f"`_rdf:about` STRING, `rdfs:label` ARRAY<STRUCT<_VALUE: STRING, `_xml:lang`: STRING>>, `rdfs:subClassOf` ARRAY<{link}>"
+    link = "STRUCT<`_rdf:resource`: STRING, `owl:Class`: STRUCT<`owl:intersectionOf`: STRUCT<`rdf:Description`: ARRAY<STRUCT<`_rdf:about`: STRING>>, `owl:Class`: ARRAY<STRUCT<`_rdf:about`: STRING>>>>>"
+    schema = f"`_rdf:about` STRING, `rdfs:label` ARRAY<STRUCT<_VALUE: STRING, `_xml:lang`: STRING>>, `rdfs:subClassOf` ARRAY<{link}>, `owl:equivalentClass` ARRAY<{link}>"
     rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path).where("`_rdf:about` is not null")
     label = F.array_min(F.transform("`rdfs:label`", lambda x: F.struct(F.when(x["_xml:lang"] == "en", 0).when(x["_xml:lang"].isNull(), 1).otherwise(2).alias("o"), x["_VALUE"].alias("v"))))["v"]
-    told = rows.select(text.local_name(F.col("`_rdf:about`")).alias("id"), label.alias("label"), F.col("`rdfs:subClassOf`").alias("up"))
+    told = rows.select(text.local_name(F.col("`_rdf:about`")).alias("id"), label.alias("label"), F.flatten(F.array(*[F.coalesce(c, F.array()) for c in ("`rdfs:subClassOf`", "`owl:equivalentClass`")])).alias("up"))
     own = told.select("id", F.explode("up").alias("u"))
-    members = own.select("id", F.explode("u.`owl:Class`.`owl:intersectionOf`.`rdf:Description`").alias("d")).select("id", F.col("d").getField("_rdf:about").alias("to"))
-    named = own.select("id", F.col("u").getField("_rdf:resource").alias("to")).union(members).where("to is not null").select(F.col("id").alias("sub"), text.local_name(F.col("to")).alias("sup"))
+    listed = "u.`owl:Class`.`owl:intersectionOf`.`{}`"
+    members = [own.select("id", F.explode(listed.format(kind)).alias("d")).select("id", F.col("d").getField("_rdf:about").alias("to")) for kind in ("rdf:Description", "owl:Class")]
+    named = own.select("id", F.col("u").getField("_rdf:resource").alias("to")).union(members[0]).union(members[1]).where("to is not null and to != ''").select(F.col("id").alias("sub"), text.local_name(F.col("to")).alias("sup"))
     nodes = told.groupBy("id").agg(F.min("label").alias("label")).select("id", F.coalesce("label", "id").alias("label"))
     return nodes, named.join(nodes.select(F.col("id").alias("sup")), "sup", "left_semi").select("sub", "sup").distinct()
 
 
+_TURTLE = re.compile(r'''"""(?:[^"\\]|\\.|"(?!""))*"""(?:@[\w-]+|\^\^\S+)?|"(?:[^"\\\n]|\\.)*"(?:@[\w-]+|\^\^\S+)?|<[^<>\s]*>|#[^\n]*|[\[\]();,]|\.(?=\s|$)|[^\s\[\]();,"<>#]+?(?=\.?(?:[\s\[\]();,"<>#]|$))''', re.S)
+
+
+class _Turtle:
+    """Statements of one Turtle document as triples; blank nodes and lists get names of their own."""
+
+    def __init__(self, document: str):
+        self.tokens = [t for t in _TURTLE.findall(document) if not t.startswith("#")]
+        self.at, self.blanks, self.base = 0, 0, ""
+        self.prefixes: dict[str, str] = {}
+        self.triples: list[tuple[str, str, str]] = []
+
+    def take(self) -> str:
+        self.at += 1
+        return self.tokens[self.at - 1] if self.at <= len(self.tokens) else "."
+
+    def peek(self) -> str:
+        return self.tokens[self.at] if self.at < len(self.tokens) else "."
+
+    def blank(self) -> str:
+        self.blanks += 1
+        return f"_:{self.blanks}"
+
+    def full(self, token: str) -> str:
+        if token.startswith("<"):
+            iri = token[1:-1]
+            return iri if ":" in iri else self.base + iri
+        if token.startswith(('"', "_:")):
+            return token
+        if token == "a":
+            return RDF + "type"
+        prefix, colon, rest = token.partition(":")
+        return self.prefixes.get(prefix, prefix + colon) + rest if colon else token
+
+    def node(self) -> str:
+        token = self.take()
+        if token == "[":
+            name = self.blank()
+            self.about(name)
+            self.take()
+            return name
+        if token == "(":
+            items = []
+            while self.peek() != ")" and self.at < len(self.tokens):
+                items.append(self.node())
+            self.take()
+            name = self.blank()
+            self.triples += [(name, "item", i) for i in items]
+            return name
+        return self.full(token)
+
+    def about(self, subject: str) -> None:
+        while self.peek() not in (".", "]"):
+            predicate = self.full(self.take())
+            while True:
+                self.triples.append((subject, predicate, self.node()))
+                if self.peek() != ",":
+                    break
+                self.take()
+            while self.peek() == ";":
+                self.take()
+
+    def read(self) -> list[tuple[str, str, str]]:
+        while self.at < len(self.tokens):
+            word = self.peek().lower()
+            if word in ("@prefix", "prefix"):
+                self.take()
+                prefix, iri = self.take(), self.take()
+                self.prefixes[prefix.rstrip(":")] = iri[1:-1] if ":" in iri else self.base + iri[1:-1]
+            elif word in ("@base", "base"):
+                self.take()
+                self.base = self.take()[1:-1]
+            else:
+                self.about(self.node())
+            if self.peek() == ".":
+                self.take()
+        return self.triples
+
+
+def _triples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for document in b["value"]:
+            yield pd.DataFrame(_Turtle(document).read(), columns=["s", "p", "o"], dtype="object")
+
+
+def turtle(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Turtle classes -> nodes (id, label), edges to classes that are there; parents named, or in an intersection.
+
+    A document is read by one task (its blank nodes have no names elsewhere); several documents are read in parallel.
+    """
+    files = spark.read.text(path, wholetext=True).select("value")
+    triples = files.mapInPandas(_triples, "s string, p string, o string")
+    found = written(triples, "triples")
+    of = lambda p: found.where(F.col("p") == p).select("s", "o")
+    classes = of(RDF + "type").where((F.col("o") == OWL + "Class") & ~F.col("s").startswith("_:")).select("s").distinct()
+    language = F.regexp_extract("o", r'"@([\w-]+)$', 1)
+    labels = of(RDFS + "label").select("s", F.when(language == "en", 0).when(language == "", 1).otherwise(2).alias("rank"), F.regexp_extract("o", r'(?s)^"+(.*?)"+(?:@[\w-]+|\^\^\S+)?$', 1).alias("label"))
+    nodes = classes.join(labels.groupBy("s").agg(F.min(F.struct("rank", "label")).getField("label").alias("label")), "s", "left")
+    up = of(RDFS + "subClassOf").union(of(OWL + "equivalentClass"))
+    inside = of(OWL + "intersectionOf").withColumnsRenamed({"s": "b", "o": "l"}).join(of("item").withColumnsRenamed({"s": "l", "o": "m"}), "l").select("b", "m")
+    reached = up.union(up.join(inside, up["o"] == inside["b"]).select("s", F.col("m").alias("o")))
+    edges = reached.join(classes, "s", "left_semi").join(classes.select(F.col("s").alias("o")), "o", "left_semi")
+    local = lambda c: text.local_name(F.col(c))
+    return nodes.select(local("s").alias("id"), F.coalesce("label", local("s")).alias("label")), edges.select(local("s").alias("sub"), local("o").alias("sup")).where("sub != sup").distinct()
+
+
+def owl(spark: SparkSession, path: str, root: str) -> tuple[DataFrame, DataFrame]:
+    """owl_classes() or turtle(), by how the file begins; a root that isn't there is an error."""
+    head = spark.read.text(path).where("trim(value) != ''").first()
+    nodes, edges = (turtle if head and head["value"].lstrip().lower().startswith(("@prefix", "@base", "prefix ")) else owl_classes)(spark, path)
+    if nodes.where(F.col("id") == root).isEmpty():
+        raise ValueError(f"{root} isn't among the classes of {path}")
+    return nodes, edges
+
+
 def json_ld(spark: SparkSession, path: str, prefix: str = "schema:") -> tuple[DataFrame, DataFrame]:
     """A JSON-LD graph of rdfs:Class -> nodes, edges.  A label or a parent may be a string, an object or a list."""
     whole = spark.read.text(path, wholetext=True)
@@ -253,3 +376,78 @@ def vectors(spark: SparkSession, path: str) -> DataFrame:
     """Lines `word x y z` -> (word, vector)."""
     f = F.split("value", " ")
     return spark.read.text(path).select(f[0].alias("word"), F.transform(F.slice(f, F.lit(2), F.size(f) - 1), lambda x: x.cast("float")).alias("vector"))
+
+
+# Workbooks.
+
+
+def _cells(data: bytes, sheet: int) -> Iterator[tuple[int, list[str | None]]]:
+    """Rows of a sheet, numbered from 0: shared, inline and plain values as text."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = set(z.namelist())
+        told = lambda e: "".join(t.text or "" for t in e.iter() if t.tag.endswith("}t"))
+        shared = [told(si) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
+        with z.open(f"xl/worksheets/sheet{sheet}.xml") as body:
+            for _, row in ElementTree.iterparse(body):
+                if not row.tag.endswith("}row"):
+                    continue
+                cells: dict[int, str | None] = {}
+                for c in (e for e in row if e.tag.endswith("}c")):
+                    column = 0
+                    for letter in re.match("[A-Z]*", c.get("r", ""))[0]:
+                        column = 26 * column + ord(letter) - 64
+                    value = next((e.text for e in c if e.tag.endswith("}v")), None)
+                    kind = c.get("t")
+                    cells[column or len(cells) + 1] = shared[int(value)] if kind == "s" and value is not None else told(c) if kind == "inlineStr" else value
+                yield int(row.get("r", "1")) - 1, [cells.get(i) for i in range(1, max(cells, default=0) + 1)]
+                row.clear()
+
+
+def workbook(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
+    """A sheet of each workbook -> (file, row from 0, cells: array of text).  A workbook is read by one task."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for file, content in zip(b["path"], b["content"], strict=True):
+                part = []
+                for number, cells in _cells(content, sheet):
+                    part.append((file, number, cells))
+                    if len(part) == 4096:
+                        yield pd.DataFrame(part, columns=["file", "row", "cells"])
+                        part = []
+                yield pd.DataFrame(part, columns=["file", "row", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(rows, "file string, row long, cells array<string>")
+
+
+# Remote pulls.
+
+
+def chunked(ids: DataFrame, column: str, size: int) -> DataFrame:
+    """ids in chunks of some `size`: (chunk, values: array).  Chunks are by hash, so no task numbers all rows; each is cut
+    to size within."""
+    parts = max(1, -(-ids.count() // max(1, 64 * size)))
+    held = ids.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct().groupBy(F.pmod(F.xxhash64("v"), F.lit(parts)).alias("p")).agg(F.array_sort(F.collect_list("v")).alias("all"))
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(size))
+    return held.select("p", "all", F.explode(starts).alias("at")).select((F.col("p") * (1 << 20) + F.col("at") / size).cast("long").alias("chunk"), F.slice("all", F.col("at") + 1, F.lit(size)).alias("values"))
+
+
+def pulled(chunks: DataFrame, ask: Callable[[list], list[tuple]], schema: str, tries: int = 4, pause: float = 1.0) -> DataFrame:
+    """The rows that a remote source answers to each chunk: ask(values) -> rows.  Failures are tried again after pauses that
+    double, then raised: the task is repeated elsewhere.  `ask` may read a folder of earlier answers instead."""
+    names = [c.split()[0] for c in schema.split(",")]
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for values in b["values"]:
+                for n in range(tries):
+                    try:
+                        found = ask(list(values))
+                        break
+                    except OSError:
+                        if n == tries - 1:
+                            raise
+                        time.sleep(pause * 2**n)
+                yield pd.DataFrame(found, columns=names)
+
+    return chunks.select("values").mapInPandas(rows, schema)

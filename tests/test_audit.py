@@ -1,6 +1,6 @@
 """Audit rules on small cases."""
 
-from arbora.operators import audit
+from arbora.operators import audit, votes
 
 
 def test_flags(spark):
@@ -27,3 +27,29 @@ def test_routes_and_senses(spark):
     assert [(r["lemma"], r["offset"], r["place"]) for r in audit.first_senses(bags, words, vectors).orderBy("place").collect()] == [("bank", "2", 1), ("bank", "1", 2)]
     trial = spark.createDataFrame([(None, True, True, False), (False, True, True, True), (None, True, False, False)], "ruling boolean, standard boolean, alone boolean, sourced boolean")
     assert [r["accepted"] for r in audit.trial_acceptance(trial).collect()] == [True, False, False]
+
+
+def test_naming():
+    n = audit.Naming({"fixed": "9"})
+    n.settled({"bank": "1", "shore": "1", "odd": None, "cut": "5"}, {"cut": "-", "service": "7"})
+    assert n.names == {"fixed": "9", "bank": "1", "odd": None, "cut": None, "service": "7"}
+    n.candidates([("2", ["bank", "depository"], "group"), ("3", ["bank"], "object"), ("4", ["bank"], "object"), ("7", ["service"], "act"), ("8", ["service", "depository", "rite"], "act"), ("10", ["x"], "act"), ("11", ["grinder"], "food"), ("12", ["mill"], "act")], {"12": "grinding-mill"}, {"10"})
+    assert n.names == {"fixed": "9", "bank": "1", "odd": None, "cut": None, "service": "7", "depository": "2", "bank.object": "3", "bank.object.2": "4", "rite": "8", "grinder": "11", "grinding-mill": "12"}
+    assert len(n.queue) == 7
+
+
+def test_routes_of_occupations(spark):
+    rows = spark.createDataFrame([("1", ""), ("2", "0110"), ("3", "21"), ("4", "22"), ("5", "23"), ("6", None)], "offset string, code string")
+    owned = spark.createDataFrame([("3", "core", "c"), ("4", "law", "l"), ("1", "core", "x")], "offset string, owner string, name string")
+    assert {r["offset"]: r["route"] for r in audit.occupation_route(rows, owned).collect()} == {"1": "spread", "2": "armed", "3": "core", "4": "held", "5": "new", "6": "spread"}
+
+
+def test_ownership(spark):
+    names = lambda *x: spark.createDataFrame([(v,) for v in x], "name string")
+    concepts = spark.createDataFrame([("p", "mine", "p"), ("q", "theirs", "q"), ("q", "both", "q"), ("p", "both", "p"), ("q", "base", "q"), ("q", "plain", "")], "pack string, name string, origin string")
+    external = votes.external_names(concepts, "p", names("base"))
+    assert {r["name"] for r in external.collect()} == {"theirs"}
+    accepted = spark.createDataFrame([("mine", "base"), ("theirs", "mine"), ("leaf", "nowhere"), ("base", "mine")], "sub string, sup string")
+    own, edges = votes.owned_edges(accepted, names("mine", "theirs", "base", "leaf", "both"), names("mine", "both"), names("base"), external)
+    assert {r["name"] for r in own.collect()} == {"mine", "theirs", "leaf", "both"}
+    assert {tuple(r) for r in edges.collect()} == {("mine", "base"), ("theirs", "mine")}

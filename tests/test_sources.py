@@ -2,6 +2,9 @@
 
 import gzip
 import json
+import zipfile
+
+import pytest
 
 from arbora.operators import graph
 from arbora.sources import readers, sinks
@@ -86,3 +89,51 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("verdicts").first()["decision"] == "reject"
+
+
+def test_turtle_and_sniffing(spark, tmp_path):
+    (tmp_path / "t.owl").write_text('''@prefix : <http://x.org/d#> .
+@prefix owl: <http://www.w3.org/2002/07/owl#> .
+@prefix rdfs: <http://www.w3.org/2000/01/rdf-schema#> .
+# a note; with . marks
+:Top a owl:Class ; rdfs:label "alto"@it , "top"@en .
+:Mid rdf:type owl:Class .
+:Mid a owl:Class ; rdfs:subClassOf :Top , [ a owl:Restriction ; owl:onProperty :p ; owl:someValuesFrom :Top ] ;
+  rdfs:comment """two "quoted"
+lines.""" .
+<http://x.org/d#Low> a owl:Class ; rdfs:subClassOf :Gone ; owl:equivalentClass [ a owl:Class ; owl:intersectionOf ( :Mid [ a owl:Restriction ] :Top ) ] ; rdfs:label "low" .
+''')
+    nodes, edges = readers.owl(spark, str(tmp_path / "t.owl"), "Top")
+    assert {tuple(r) for r in nodes.collect()} == {("Top", "top"), ("Mid", "Mid"), ("Low", "low")}
+    assert pairs(edges) == {("Mid", "Top"), ("Low", "Mid"), ("Low", "Top")}
+    (tmp_path / "x.owl").write_text('<rdf:RDF xmlns:rdf="r" xmlns:owl="o" xmlns:rdfs="s">\n<owl:Class rdf:about="h#A"/>\n<owl:Class rdf:about="h#B"><owl:equivalentClass><owl:Class><owl:intersectionOf><owl:Class rdf:about="h#A"/></owl:intersectionOf></owl:Class></owl:equivalentClass></owl:Class>\n</rdf:RDF>')
+    assert pairs(readers.owl(spark, str(tmp_path / "x.owl"), "A")[1]) == {("B", "A")}
+    with pytest.raises(ValueError, match="isn't among"):
+        readers.owl(spark, str(tmp_path / "x.owl"), "Z")
+
+
+def test_workbook(spark, tmp_path):
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(tmp_path / "b.xlsx", "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>code</t></si><si><r><t>Engineer, </t></r><r><t>civil</t></r></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c></row><row r="2"><c r="A2"><v>2142</v></c><c r="C2" t="s"><v>1</v></c></row><row r="3"><c r="B3" t="inlineStr"><is><t>x</t></is></c></row></sheetData></worksheet>')
+    assert [(r["row"], r["cells"]) for r in readers.workbook(spark, str(tmp_path / "b.xlsx")).collect()] == [(0, ["code"]), (1, ["2142", None, "Engineer, civil"]), (2, [None, "x"])]
+
+
+def test_pulls(spark, tmp_path):
+    chunks = readers.chunked(spark.range(250).union(spark.range(5)), "id", 60)
+    sizes = [len(r["values"]) for r in chunks.collect()]
+    assert sum(sizes) == 250 and max(sizes) <= 60 and chunks.select("chunk").distinct().count() == len(sizes)
+    flag = str(tmp_path / "failed")
+
+    def ask(values):
+        import os
+
+        if not os.path.exists(flag):
+            open(flag, "w").close()
+            raise OSError("busy")
+        return [(int(v), f"label {v}") for v in values]
+
+    out = readers.pulled(chunks.coalesce(1), ask, "id long, label string", pause=0.01)
+    assert out.distinct().count() == 250
+    assert readers.chunked(spark.range(0), "id", 60).count() == 0
