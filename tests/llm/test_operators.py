@@ -155,6 +155,18 @@ def luhn(s):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(s))) % 10 == 0
 
 
+def test_cards_beside_numbers(spark):
+    """A card number is found whatever stands beside it, each by itself, and the same in groups."""
+    number, other = "4465758382889437", "2123465659789240"
+    texts = [f"{number} {number}", f"3 {number}", f"{number} 12", f"{other} {number}", f"{number}-{number}-1", "4465 7583 8288 9437", "4465-7583-8288-9437.", f"x{number}", f"{number}7777", other, f"{number}\n{number}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    out = [(r["text"], r["n_found"]) for r in pii.pseudonymised(df, "key").orderBy("doc_id").collect()]
+    assert [n for _, n in out] == [2, 1, 1, 1, 2, 1, 1, 0, 0, 0, 2]
+    new = out[1][0][2:]
+    assert new != number and out[0][0] == f"{new} {new}" and out[2][0] == f"{new} 12" and out[3][0] == f"{other} {new}" and out[4][0] == f"{new}-{new}-1"
+    assert out[5][0].replace(" ", "") == new and out[6][0].replace("-", "") == new + "."
+
+
 def test_pseudonyms_keep_formats_and_links(spark):
     cards = ["4539578763621486", "4539 5787 6362 1486", "378282246310005"]
     given = [*cards, "4539578763621487", "+1 (017) 555-7713", "+1-017-555-7713", "192.168.0.1", "256.1.1.1", "1.2.3.4.5", "1984-02-29", "29.02.1984", "1984-02-30", "ab.99@mail9.example.com", "123-45-6789", "000-12-3456", 'token = "99acdfb99bb99999"']
