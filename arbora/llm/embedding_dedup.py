@@ -1,11 +1,13 @@
-"""Near-duplicate vectors: spherical k-means cells, blocked cosine products within cells, one representative per group.
+"""Near-duplicate vectors: spherical k-means cells, blocked cosine products of all cells that can hold a link, one
+representative per group.
 
 Centroids come from a bounded sample in the order of a hash of the ids; those closer to each other than a group of
 near-duplicates is wide are merged, so that a dense group isn't cut up.  Every vector is a member of its nearest cell (its
-home) and is compared with the members of the few cells nearest to it, those whose centroid is nearly as close as its home's
-(`slack`).  A pair is found if either end visits the other's home.  Equal vectors are one, with a count.  A cell of any size
-is cut into blocks of members and of visitors, and each pair of blocks is a task of its own.  A task returns counts of
-links and a spanning forest of its links, never the pairs.
+home).  Cells are cut or packed, neighbours together, into blocks, and a vector visits every later block with a cell that
+may hold a link of it: by the cell's radius (the triangle inequality) and by the plane between the centroids.  Nothing but
+these bounds leaves a pair out, so the links are all links; where they rule out little, as on vectors spread evenly over
+many dimensions, all pairs are compared.  Equal vectors are one, with a count.  A group of blocks that visits and a block
+that is visited are a task.  A task returns counts of links and a spanning forest of its links, never the pairs.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arbora.llm.common import components, forest, written
+from arbora.llm.hashing import mixed_bits
+
+#: More than rounding adds to a cosine, or to the angle of one.
+SURE = 1e-6
 
 
 def normalised(x: np.ndarray) -> np.ndarray:
@@ -43,9 +49,72 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 10, apart: float = 0.8
     return c[kept]
 
 
-def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_cells: int = 4096, sample: int = 65_536, visits: int = 8, slack: float = 0.25, block: int = 4096) -> tuple[DataFrame, DataFrame]:
+def chained(c: np.ndarray) -> np.ndarray:
+    """An order of unit rows in which each is followed by the nearest that is left."""
+    left, at = np.ones(len(c), bool), 0
+    order = []
+    for _ in range(len(c)):
+        order.append(at)
+        left[at] = False
+        at = int(np.where(left, c @ c[at], -2.0).argmax())
+    return np.array(order)
+
+
+class Layout:
+    """Cells in the order of centroids, cut and packed into blocks of about `block` members, and who has to visit whom.
+
+    A unit is a cell of more than `block` members, cut into blocks, or a row of cells that make one block.
+    """
+
+    def __init__(self, centroids: np.ndarray, members: np.ndarray, radius: np.ndarray, threshold: float, block: int, group: int):
+        self.centroids, self.radius, self.threshold, self.group = centroids, radius, threshold, group
+        self.angle = float(np.arccos(np.clip(threshold, -1, 1)))
+        starts, parts, held = [], [], block + 1
+        for c, m in enumerate(members.tolist()):
+            if m > block or held + m > block:
+                starts.append(c)
+                parts.append(max(1, -(-m // block)))
+                held = 0
+            held = block + 1 if m > block else held + m
+        self.starts, self.parts = np.array(starts), np.array(parts)
+        self.first = np.concatenate([[0], self.parts.cumsum()])
+        self.unit = np.repeat(np.arange(len(starts)), np.diff([*starts, len(members)]))
+        blocks = int(self.first[-1])
+        self.groups = -(-blocks // group)
+        # Cells with members so far apart that none of them are linked.
+        near = np.arccos(np.clip(centroids @ centroids.T, -1, 1)) <= radius[:, None] + radius[None, :] + self.angle + SURE
+        near = np.logical_or.reduceat(self.by_block(near), self.starts, axis=0)
+        near = np.logical_or.reduceat(np.repeat(near, self.parts, axis=0), np.arange(0, blocks, group), axis=0)
+        #: [group of visitors, block]: whether the block's members are needed there.
+        self.needed = near & (np.arange(self.groups)[:, None] <= np.arange(blocks)[None, :] // group)
+
+    def by_block(self, cells: np.ndarray) -> np.ndarray:
+        """[row, cell] -> [row, block]: whether any of the block's cells is set."""
+        return np.repeat(np.logical_or.reduceat(cells, self.starts, axis=1), self.parts, axis=1)
+
+    def own(self, home: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        unit = self.unit[home]
+        return self.first[unit] + (mixed_bits(ids.astype(np.uint64)) % self.parts[unit].astype(np.uint64)).astype(np.int64)
+
+    def visited(self, sims: np.ndarray, home: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """[row, block]: the later blocks that may hold a link of the row, by two bounds that are exact.
+
+        A member is within the cell's radius, so the row is within that and the threshold's angle of the centroid.  And
+        a member is on its own centroid's side of the plane between it and the row's home's.
+        """
+        cells = np.arccos(np.clip(sims, -1, 1)) <= self.radius + self.angle + SURE
+        if self.threshold > 0:
+            gap = np.sqrt(np.maximum(0, 2 - 2 * self.centroids[home] @ self.centroids.T))
+            cells &= np.take_along_axis(sims, home[:, None], axis=1) - sims <= np.sin(self.angle) * gap + SURE
+        return self.by_block(cells) & (np.arange(self.first[-1])[None, :] > own[:, None])
+
+
+def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_cells: int = 4096, sample: int = 65_536, visits: int | None = None, slack: float | None = None, block: int = 4096, group: int = 4) -> tuple[DataFrame, DataFrame]:
     """vectors (rep: long, times: long, embedding: array of finite doubles, not all zero, of one length; rep unique)
-    -> counts (rep, n: links to other vectors, equal ones counted) and edges (a, b) that connect what is linked."""
+    -> counts (rep, n: links to other vectors, equal ones counted) and edges (a, b) that connect what is linked.
+
+    `visits` and `slack`, which used to limit the cells compared, change nothing: all that can hold a link are.
+    """
     spark = vectors.sparkSession
     n = vectors.count()
     empty = spark.createDataFrame([], "rep long, n long"), spark.createDataFrame([], "a long, b long")
@@ -54,50 +123,69 @@ def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_
     k = max(1, min(most_cells, n // per_cell))
     told = vectors.orderBy(F.xxhash64("rep"), "rep").limit(min(sample, 64 * k)).select("embedding").toArrow()["embedding"].combine_chunks()
     centroids = spherical_kmeans(normalised(told.flatten().to_numpy(zero_copy_only=False).reshape(len(told), -1)), k)
-    width, p = centroids.shape[1], min(visits, len(centroids))
+    centroids = centroids[chained(centroids)]
+    width = centroids.shape[1]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+        for whole in batches:
+            for i in range(0, len(whole), 1024):
+                b = whole.slice(i, 1024)
+                x = normalised(b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
+                yield b, x, x @ centroids.T
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, radius = np.zeros(len(centroids), np.int64), np.zeros(len(centroids))
+        for _, _, sims in read(batches):
+            # Every home that rounding could choose.
+            row, cell = np.nonzero(sims >= sims.max(axis=1, keepdims=True) - SURE)
+            np.add.at(members, cell, 1)
+            np.maximum.at(radius, cell, np.arccos(np.clip(sims[row, cell], -1, 1)))
+        some = np.flatnonzero(members)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(members[some]), pa.array(radius[some])], ["cell", "members", "radius"])
+
+    # As many rows as there are cells.
+    rows = vectors.select("rep", "times", "embedding")
+    sizes = rows.mapInArrow(measured, "cell long, members long, radius double").groupBy("cell").agg(F.sum("members").alias("members"), F.max("radius").alias("radius")).collect()
+    members, radius = np.zeros(len(centroids), np.int64), np.full(len(centroids), -np.inf)
+    for r in sizes:
+        members[r["cell"]], radius[r["cell"]] = r["members"], r["radius"]
+    layout = Layout(centroids, members, radius, threshold, block, group)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not len(b):
-                continue
-            x = normalised(b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
-            sims = x @ centroids.T
-            cells = np.argsort(-sims, axis=1, kind="stable")[:, :p]
-            near = np.take_along_axis(sims, cells, axis=1)
-            far = near < near[:, :1] - slack
-            cells = np.where(far, -1, cells).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in cells], pa.binary()), pa.array([[int(c) for c in r if c >= 0] for r in cells], pa.list_(pa.int32()))], ["rep", "times", "vector", "cells", "visited"])
-
-    rows = vectors.select("rep", "times", "embedding").mapInArrow(dealt, "rep long, times long, vector binary, cells binary, visited array<int>")
-    # How many members and visitors each cell has: as many rows as there are cells.
-    sizes = rows.select(F.explode("visited").alias("cell"), (F.col("visited")[0]).alias("home")).groupBy("cell").agg(F.count("*").alias("visitors"), F.count_if(F.col("home") == F.col("cell")).alias("members")).collect()
-    most = max([r["cell"] for r in sizes], default=0) + 1
-    members, visitors = ([1] * most for _ in range(2))
-    for r in sizes:
-        members[r["cell"]], visitors[r["cell"]] = max(1, -(-r["members"] // block)), max(1, -(-r["visitors"] // block))
-    blocks_of = lambda told: F.element_at(F.array(*[F.lit(v) for v in told]), F.col("cell") + 1)
-    own = F.pmod(F.xxhash64("rep"), blocks_of(members)).cast("int")
-    visit = rows.select("*", F.explode("visited").alias("cell")).select("cell", F.pmod(F.xxhash64("rep"), blocks_of(visitors)).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), blocks_of(members) - 1)).alias("y"), F.lit(False).alias("member"), "rep", "times", "vector", "cells")
-    home = rows.select("*", F.col("visited")[0].alias("cell")).select("cell", F.explode(F.sequence(F.lit(0), blocks_of(visitors) - 1)).alias("x"), own.alias("y"), F.lit(True).alias("member"), "rep", "times", "vector", "cells")
-
-    def compared(group: pa.Table) -> pa.Table:
-        member = np.array(group["member"].to_pylist(), bool)
-        ids = group["rep"].to_numpy()
-        times = group["times"].to_numpy()
-        vector = np.frombuffer(b"".join(group["vector"].to_pylist()), float).reshape(-1, width)
-        cells = np.frombuffer(b"".join(group["cells"].to_pylist()), np.int32).reshape(-1, p)
-        vi, me = np.flatnonzero(~member), np.flatnonzero(member)
+        for b, x, sims in read(batches):
+            home = sims.argmax(axis=1)
+            own = layout.own(home, b.column(0).to_numpy())
+            vector = pa.array([r.tobytes() for r in x], pa.binary())
+            v, to = np.nonzero(layout.visited(sims, home, own))
+            m, at = np.nonzero(layout.needed[:, own].T)
+            row, x_, y = np.concatenate([v, m]), np.concatenate([own[v] // group, at]), np.concatenate([to, own[m]])
+            member = np.arange(len(row)) >= len(v)
+            for i in range(0, len(row), 4096):
+                part = slice(i, i + 4096)
+                take = pa.array(row[part])
+                yield pa.RecordBatch.from_arrays([pa.array(x_[part].astype(np.int32)), pa.array(y[part].astype(np.int32)), pa.array(member[part]), b.column(0).take(take), b.column(1).take(take), vector.take(take)], ["x", "y", "member", "rep", "times", "vector"])
+
+    def compared(tile: pa.Table) -> pa.Table:
+        member = tile["member"].to_numpy()
+        ids = tile["rep"].to_numpy()
+        times = tile["times"].to_numpy()
+        vector = np.frombuffer(b"".join(tile["vector"].to_pylist()), float).reshape(-1, width)
+        me = np.flatnonzero(member)
+        # In their own group's tile the members are compared with each other, too.
+        inner = len(ids) and tile["x"][0].as_py() == tile["y"][0].as_py() // group
+        vi = np.arange(len(ids)) if inner else np.flatnonzero(~member)
         n, edges = np.zeros(len(ids), np.int64), []
+        held = vector[me]
         for i in range(0, len(vi), 512):
             some = vi[i : i + 512]
-            a, b = np.nonzero(vector[some] @ vector[me].T >= threshold)
+            a, b = np.nonzero(vector[some] @ held.T >= threshold)
             a, b = some[a], me[b]
             other = ids[a] != ids[b]
             a, b = a[other], b[other]
             np.add.at(n, a, times[b])
-            # The member counts the visitor when it visits the visitor's home itself, else here.
-            here = ~(cells[b] == cells[a, :1]).any(axis=1)
-            np.add.at(n, b[here], times[a[here]])
+            # Members that are compared with each other meet twice, a visitor and a member once.
+            once = ~member[a]
+            np.add.at(n, b[once], times[a[once]])
             if len(a):
                 nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
                 root = forest(inverse[: len(a)], inverse[len(a) :], len(nodes))
@@ -111,7 +199,8 @@ def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_
         some = np.flatnonzero(n)
         return pa.Table.from_arrays([pa.array(np.concatenate([ids[some], out_a])), pa.array(np.concatenate([n[some], out_b])), pa.array([False] * len(some) + [True] * len(out_a), pa.bool_())], ["a", "b", "edge"])
 
-    found = written(visit.unionByName(home).groupBy("cell", "x", "y").applyInArrow(compared, "a long, b long, edge boolean"), "cosines")
+    tiles = rows.mapInArrow(dealt, "x int, y int, member boolean, rep long, times long, vector binary").groupBy("x", "y")
+    found = written(tiles.applyInArrow(compared, "a long, b long, edge boolean"), "cosines")
     return found.where("not edge").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("n")), found.where("edge and a != b").select("a", "b")
 
 

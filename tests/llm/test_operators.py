@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from arbora.llm import embedding_dedup, fingerprints, language_model, licences, minhash_dedup, mixing, packing, pii, toxicity, urls
-from arbora.llm.common import components, remainder_of_five
+from arbora.llm.common import components, forest, remainder_of_five
 from arbora.llm.fingerprints import Fingerprint
 
 DIR = "/root/testdata/sf0.001"
@@ -130,6 +130,24 @@ def test_vectors_against_brute_force(spark):
     assert (exact.component_id.to_numpy() == forest(a, b, len(x))).all()
 
 
+def test_links_of_spread_vectors_are_all_found(spark):
+    """Vectors in no cluster, each with a neighbour just above the threshold, in many cells."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(2500, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1)[:, None]
+    cosine = rng.uniform(0.901, 0.93, (len(x), 1))
+    x = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * z])
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    out = embedding_dedup.dedup(df, per_cell=40, block=300).toPandas().set_index("vec_id").sort_index()
+    assert (out.n_links.to_numpy() == near.sum(axis=1)).all()
+    assert (out.component_id.to_numpy() == forest(*np.nonzero(near), len(x))).all()
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (150, 2))] + [(i, i + 1) for i in range(1000, 1060)]
