@@ -102,7 +102,7 @@ def power(k: Column) -> Column:
     return F.element_at(F.array(*[F.lit(10**i).cast("long") for i in range(11)]), k + 1)
 
 
-Kind = tuple[str, str, str, Callable[[Column], Column], Callable[[Column, str], Column]]
+Kind = tuple[str, str, str, Callable[[Column], Column] | None, Callable[[Column, str], Column]]
 
 
 def card_ok(m: Column) -> Column:
@@ -179,15 +179,57 @@ def secret(m: Column, key: str) -> Column:
 
 always = lambda m: F.lit(True)
 DATE = r"[0-9](?<![0-9A-Za-z].)(?:{0}-{1}-{2}|{0}/{1}/{2}|{0}\.{1}\.{2})(?![0-9A-Za-z])"
-#: In one run, whatever numbers stand beside it; or in groups, which have no such run among or after them.
-CARD = r"[0-9](?<![0-9A-Za-z+].)(?:[0-9]{12,18}(?![0-9A-Za-z])|(?<![0-9][ -].)(?![0-9 -]{0,20}[0-9]{13})(?:[ -]?[0-9]){12,18}(?![ -]?[0-9])(?![A-Za-z]))"
-#: Name, what every match contains, pattern, further validation of a match, pseudonym.  Patterns begin with what they
+#: A run of numbers parted by single blanks or hyphens, 13 digits or more, with what is glued to its ends.
+RUN = r"[A-Za-z+]?(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?:[ -][0-9]++)*+[0-9A-Za-z]*+"
+#: How cards are written: unbroken, or in these groups with one separator, the first digit an issuer's.
+USUAL = r"^(?:[0-9]{13,19}|(?=[3-6]|2[2-7])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}|[0-9]{4}([ -])[0-9]{3}\3[0-9]{3}\3[0-9]{3}))[ -]?$"
+
+
+def cards(run: Column, key: str) -> Column:
+    """A run with the card numbers in it replaced: a struct (n, m).
+
+    A card number is a span of 13 to 19 digits that begins and ends at group borders and has a right Luhn sum; a group
+    that is long enough stands by itself.  Spans are taken from left to right, those in a usual grouping first.
+    """
+
+    def chosen(groups: Column) -> Column:
+        n = F.size(groups)
+        spelt = lambda i, k: F.array_join(F.slice(groups, i, k), "")
+        # A span of 19 digits has 19 groups at most; none has a group with letters or + in it.
+        sizes = lambda i: F.sequence(F.lit(1), F.least(F.lit(19), n - i + 1))
+
+        def fits(m: Column, k: Column) -> Column:
+            return F.when(m.rlike("[A-Za-z+]") | ((k > 1) & m.rlike("[0-9]{13}")), F.lit(False)).otherwise(card_ok(m))
+
+        spans = F.transform(F.sequence(F.lit(1), n), lambda i: F.filter(sizes(i), lambda k: let(spelt(i, k), lambda m: fits(m, k))))
+        # For each group, the size of the span from it in a usual grouping (0 if none is), and the longest of all.
+        sized = F.transform(spans, lambda ks, j: F.struct(F.coalesce(F.array_min(F.filter(ks, lambda k: spelt(j + 1, k).rlike(USUAL))), F.lit(0)).alias("usual"), F.coalesce(F.array_max(ks), F.lit(0)).alias("k"), ks.alias("ks")))
+
+        def turn(s: Column, i: Column, all_: Column) -> Column:
+            at = F.element_at(all_, i)
+            # A span in no usual grouping mustn't reach into one.
+            free = F.filter(at["ks"], lambda k: ~F.exists(F.slice(all_, i + 1, k - 1), lambda x: x["usual"] > 0))
+            k = F.when(at["usual"] > 0, at["usual"]).when(at["k"] == 0, F.lit(0)).otherwise(F.coalesce(F.array_max(free), F.lit(0)))
+            taken = let(k, lambda k: F.struct(F.greatest(k, F.lit(1)).alias("k"), (k > 0).alias("card")))
+            step = lambda t: F.struct((i + t["k"]).alias("next"), F.concat(s["parts"], F.array(F.struct(i.alias("i"), t["k"].alias("k"), t["card"].alias("card")))).alias("parts"))
+            return F.when(i < s["next"], s).otherwise(let(taken, step))
+
+        start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<i:int,k:int,card:boolean>>").alias("parts"))
+        parts = let(sized, lambda all_: F.aggregate(F.sequence(F.lit(1), n), start, lambda s, i: turn(s, i, all_), lambda s: s["parts"]))
+        put = lambda p: let(spelt(p["i"], p["k"]), lambda m: F.when(p["card"], card(m, key)).otherwise(m))
+        return let(parts, lambda ps: F.struct(F.size(F.filter(ps, lambda p: p["card"])).alias("n"), F.array_join(F.transform(ps, put), "").alias("m")))
+
+    return let(F.regexp_extract_all(run, F.lit("[0-9A-Za-z+]++[ -]?"), F.lit(0)), chosen)
+
+
+#: Name, what every match contains, pattern, further validation of a match, pseudonym; without a validation, a struct (n, m)
+#: of how many values are in the match and the match with their pseudonyms.  Patterns begin with what they
 #: match, and look behind it only then; none can start inside a run that it could start before.
 KINDS: tuple[Kind, ...] = (
     ("emails", "@", r"[A-Za-z0-9._%+-](?<![A-Za-z0-9._%+-].)[A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", always, email),
     ("secrets", "[=:]", r"""(?:token|secret|password|api.?key)\s{0,3}[=:]\s{0,3}["']?(?<![0-9A-Za-z])[0-9a-f]{16,128}(?![0-9A-Za-z])""", always, secret),
     ("phones", "[+]", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])", always, phone),
-    ("cards", "[0-9][0-9 -]{11}[0-9]", CARD, card_ok, card),
+    ("cards", "[0-9][0-9 -]{11}[0-9]", RUN, None, cards),
     ("ssns", "[0-9]-[0-9]{2}-[0-9]", r"[0-9](?<![0-9A-Za-z-].)[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", lambda m: ~m.rlike("^(?:000|666|9)|-00-|-0000$"), ssn),
     ("ips", "[0-9][.][0-9]", r"[0-9](?<![0-9A-Za-z.].)[0-9]{0,2}\.(?:[0-9]{1,3}\.){2}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])", lambda m: F.greatest(*octets(m)) < 256, address),
     ("dates", "[0-9]{4}[-/.][0-9]", DATE.format("[0-9]{3}", "[0-9]{2}", "[0-9]{2}"), in_days(True), lambda m, key: dated(m, key, True)),
@@ -195,8 +237,10 @@ KINDS: tuple[Kind, ...] = (
 )
 
 
-def replacing(ok: Callable[[Column], Column], new: Callable[[Column, str], Column], key: str) -> Callable[[Column], Column]:
-    return lambda m: let(ok(m), lambda v: F.struct(v.alias("ok"), F.when(v, new(m, key)).otherwise(m).alias("m")))
+def replacing(ok: Callable[[Column], Column] | None, new: Callable[[Column, str], Column], key: str) -> Callable[[Column], Column]:
+    if ok is None:
+        return lambda m: new(m, key)
+    return lambda m: let(ok(m), lambda v: F.struct(v.cast("int").alias("n"), F.when(v, new(m, key)).otherwise(m).alias("m")))
 
 
 def pseudonymised(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
@@ -211,5 +255,5 @@ def pseudonymised(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
         step = F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
         out = out.withColumn("_found", F.transform(step, replacing(ok, new, key)))
         joined = F.array_join(F.zip_with(F.split(text, pattern, -1), F.col("_found"), lambda a, b: F.concat(a, F.coalesce(b["m"], F.lit("")))), "")
-        out = out.withColumns({column: F.when(F.col("_found").isNull(), text).otherwise(joined), "n_found": F.col("n_found") + F.coalesce(F.size(F.filter("_found", lambda b: b["ok"])), F.lit(0))}).drop("_found")
+        out = out.withColumns({column: F.when(F.col("_found").isNull(), text).otherwise(joined), "n_found": F.col("n_found") + F.coalesce(F.aggregate("_found", F.lit(0), lambda n, b: n + b["n"]), F.lit(0))}).drop("_found")
     return out

@@ -185,6 +185,23 @@ def test_cards_beside_numbers(spark):
     assert out[5][0].replace(" ", "") == new and out[6][0].replace("-", "") == new + "."
 
 
+def test_grouped_cards_beside_numbers(spark):
+    """A card number in groups is found whatever numbers stand before or after it."""
+    card, other = "4465 7583 8288 9437", "3782 822463 10005"
+    frames = ["3 {}", "{} 12", "{}-123", "exp 12/2025 {}", "12 {} 2025 7", "{} 2123465659789240", "2123465659789240 {}", "+1 (017) 555-7713 {}", "call 555-7713 {}", "x12 {} 9y", "+1-017-555-7713 {}"]
+    texts = [f.format(c) for f in frames for c in (card, card.replace(" ", "-"), other)]
+    texts += [f"{card} {card}", f"{card} {other} {card}", "4465 7583 8288 9437x", "x4465 7583 8288 9437", "4465 7583 8288 9438 12", " ".join(["12"] * 3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    out = [(r["text"], r["n_found"]) for r in pii.pseudonymised(df, "key").orderBy("doc_id").collect()]
+    alone = {c: pii.pseudonymised(spark.createDataFrame([(c,)], "text string"), "key").first()["text"] for c in (card, card.replace(" ", "-"), other)}
+    assert all(new != c and luhn(re.sub(r"\D", "", new)) for c, new in alone.items())
+    for (new, n), (f, c) in zip(out, itertools.product(frames, alone)):
+        assert alone[c] in new and c not in new and n == (2 if "(017)" in f or "+1-" in f else 1), (f, c, new, n)
+        if "+1" not in f:
+            assert new == f.format(alone[c])
+    assert out[len(frames) * 3 :] == [(f"{alone[card]} {alone[card]}", 2), (f"{alone[card]} {alone[other]} {alone[card]}", 3), *[(t, 0) for t in texts[-4:]]]
+
+
 def test_pseudonyms_keep_formats_and_links(spark):
     cards = ["4539578763621486", "4539 5787 6362 1486", "378282246310005"]
     given = [*cards, "4539578763621487", "+1 (017) 555-7713", "+1-017-555-7713", "192.168.0.1", "256.1.1.1", "1.2.3.4.5", "1984-02-29", "29.02.1984", "1984-02-30", "ab.99@mail9.example.com", "123-45-6789", "000-12-3456", 'token = "99acdfb99bb99999"']
