@@ -91,7 +91,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction
 
     units = np.array([k * blocks + (last[r[0]]["_block"] + 1 if r[0] in last else 0) for r, k in zip(rows, whole, strict=True)], np.int64)
     quotas = split(units, shards, np.random.default_rng(seed)) if len(units) else np.zeros((shards, 0), np.int64)
-    firsts = np.concatenate([np.zeros((1, len(units)), np.int64), quotas.cumsum(axis=0)])[:-1]
+    firsts = np.concatenate([np.zeros((1, len(units)), np.int64), quotas.cumsum(axis=0)])
     found = []
     for i, (source, s, g, k, _) in enumerate(rows):
         at = last.get(source)
@@ -101,44 +101,57 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction
     return Plan(sized, spark.createDataFrame(found, "_source string, source_size long, target double, copies int, end_block int, end_h long, part long, firsts array<long>"))
 
 
-def _drawn(rows: DataFrame, by_source: DataFrame) -> DataFrame:
-    """rows (source, size, _h, _block) with what is drawn of them: extra_words besides `copies` times the whole.
+def _drawn(rows: DataFrame, by_source: DataFrame, blocks: int) -> DataFrame:
+    """rows (source, size, _h, _block) with draws: for each time that a shard draws the row's block, copy, words and shard.
 
-    What is broadcast has a row for each source, of which plan() bounds the number.
+    Blocks are counted over all copies of a source; each shard draws from its first to the next shard's.  The last block
+    drawn may be in part, in which case only its rows up to the end have words.  What is broadcast has a row for each
+    source, of which plan() bounds the number.
     """
+    unit = lambda copy: copy.cast("long") * blocks + F.col("_block")
+    shard = lambda copy: F.size(F.filter("firsts", lambda x: x <= unit(copy))) - 1
     # By unsigned value, as the blocks are: within the last block the leading bits agree, so that signed order does.
-    extra = F.when((F.col("_block") < F.col("end_block")) | ((F.col("_block") == F.col("end_block")) & (F.col("_h") < F.col("end_h"))), F.col("size")).when((F.col("_block") == F.col("end_block")) & (F.col("_h") == F.col("end_h")), F.least("part", "size")).otherwise(F.lit(0))
-    return rows.join(F.broadcast(by_source), rows["source"].eqNullSafe(by_source["_source"])).withColumn("extra_words", extra.cast("long")).drop("_source")
+    last = F.when(F.col("_h") < F.col("end_h"), F.col("size")).when(F.col("_h") == F.col("end_h"), F.least("part", "size")).otherwise(F.lit(0))
+    words = lambda copy: F.when((copy == F.col("copies")) & (F.col("_block") == F.col("end_block")), last).otherwise(F.col("size"))
+    draws = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda c: F.struct(c.alias("copy"), words(c).cast("long").alias("words"), shard(c).cast("int").alias("shard")))
+    # firsts ends with the number of all blocks drawn: what is beyond no shard draws.
+    draws = F.filter(draws, lambda d: (d["shard"] < F.size("firsts") - 1) & ((d["copy"] < F.col("copies")) | (d["words"] > 0)))
+    return rows.join(F.broadcast(by_source), rows["source"].eqNullSafe(by_source["_source"])).withColumn("draws", draws).drop("_source")
 
 
-def taken(docs: DataFrame, **how: object) -> DataFrame:
-    """A row for each document: doc_id, source, size, source_size, target, taken (words, repeats counted).
+def taken(docs: DataFrame, seed: int = 7, blocks: int = 4096, **how: object) -> DataFrame:
+    """A row for each document: doc_id, source, size, source_size, target, taken (words, repeats counted), shards.
 
-    Each source's taken words are its target, rounded; no document is taken more than `most` times over.  Null and
-    empty texts have size 0; null sources are one source, the last; null ids share a hash, so that they are taken alike;
-    repeated rows of an id are too (the last one's words are divided among them, rounded down).
+    taken is the sum of what the shards draw, and shards tells which, one for each copy.  Each source's taken words are
+    its target, rounded; no document is taken more than `most` times over.  Null and empty texts have size 0; null
+    sources are one source, the last; null ids share a hash, so that they are taken alike; repeated rows of an id are too
+    (the last one's words are divided among them, rounded down).
     """
-    p = plan(docs, **how)
-    return _drawn(p.sized, p.by_source).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies") + F.col("extra_words")).alias("taken"))
+    p = plan(docs, seed=seed, blocks=blocks, **how)
+    words = F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"])
+    return _drawn(p.sized, p.by_source, blocks).select("doc_id", "source", "size", "source_size", "target", words.alias("taken"), F.transform("draws", lambda d: d["shard"]).alias("shards"))
 
 
 def mixed(docs: DataFrame, seed: int = 7, blocks: int = 4096, **how: object) -> DataFrame:
     """The mix itself: the columns of docs once for each copy taken, with copy (from 0), words, shard and place.
 
     The document in which a source's quota ends has its first words only (`words` of them); all others are whole.
-    Documents of no words are in every copy of their source that is whole.  Written by shard and sorted by place, it
-    is shuffled within shards.
+    Documents of no words are in every copy of their source that is whole.  dealt() puts it in the order of shards and
+    places, in which it is shuffled within shards.
     """
     p = plan(docs, seed=seed, blocks=blocks, **how)
     own = docs.columns
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in own]).alias("_doc"), docs["source"].cast("string").alias("source"), F.regexp_count(text_of(docs["text"]), F.lit(WORD)).cast("long").alias("size"), *keyed(docs, seed, blocks))
-    drawn = _drawn(rows, p.by_source)
-    times = F.col("copies") + F.when(F.col("extra_words") > 0, 1).otherwise(0)
-    drawn = drawn.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), times - 1)))
-    words = F.when(F.col("copy") < F.col("copies"), F.col("size")).otherwise(F.col("extra_words"))
-    unit = F.col("copy").cast("long") * blocks + F.col("_block")
-    cut = F.when(words >= F.col("size"), F.col("_doc.text")).otherwise(F.expr(r"array_join(slice(regexp_extract_all(_doc.text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), 1, cast(extra_words as int)), '')"))
+    drawn = _drawn(rows, p.by_source, blocks).withColumn("draw", F.explode("draws"))
+    words = F.col("draw.words")
+    cut = F.when(words >= F.col("size"), F.col("_doc.text")).otherwise(F.expr(r"array_join(slice(regexp_extract_all(_doc.text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), 1, cast(draw.words as int)), '')"))
     return drawn.select(
         *[(cut if c == "text" else F.col("_doc").getField(c)).alias(c) for c in own],
-        F.col("copy").alias("_copy"), words.alias("_words"), (F.size(F.filter("firsts", lambda x: x <= unit)) - 1).alias("_shard"), F.xxhash64(F.lit(seed), F.col("_h"), F.col("copy")).alias("_place"),
+        F.col("draw.copy").alias("_copy"), words.alias("_words"), F.col("draw.shard").alias("_shard"), F.xxhash64(F.lit(seed), F.col("_h"), F.col("draw.copy")).alias("_place"),
     )
+
+
+def dealt(mix: DataFrame) -> DataFrame:
+    """What mixed() returns, by shard and in the order of places within: ranges of both, so that no task holds a whole shard
+    that is large."""
+    return mix.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")

@@ -45,7 +45,7 @@ def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in the shares of their weights: documents as often as they are drawn, by shard and shuffled within."""
-    out = mixing.mixed(docs)
+    out = mixing.dealt(mixing.mixed(docs))
     new = {"n_chars": F.when(F.col("text").isNotNull(), F.length("text").cast(dict(docs.dtypes).get("n_chars", "long")))}
     return out.select(*[(new[c] if c in new else F.col(f"`{c}`")).alias(c) for c in docs.columns])
 

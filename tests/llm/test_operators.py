@@ -358,6 +358,30 @@ def test_mix_meets_targets(docs, blocks):
     assert all(len(re.findall(r"[^\x20\x09-\x0D]+", t)) == n for t, n in zip(mix.text, mix._words, strict=True)) and mix._shard.between(0, 7).all()
 
 
+def test_shards_draw_what_is_taken(docs, monkeypatch):
+    """Words and shards come from the splitting tree: each shard's blocks are its quota, and without the tree all differs."""
+    told = mixing.taken(docs, blocks=64, shards=8).toPandas()
+    mix = mixing.mixed(docs, blocks=64, shards=8).select("doc_id", "_copy", "_words", "_shard").toPandas()
+    assert {i: sorted(s) for i, s in zip(told.doc_id, told.shards, strict=True) if len(s)} == mix.groupby("doc_id")._shard.agg(sorted).to_dict()
+    assert {s for row in told.shards for s in row} == set(range(8))
+    rows_ = mixing.plan(docs, blocks=64, shards=8).by_source.collect()
+    leaves = np.stack([np.diff(r["firsts"]) for r in rows_])
+    assert (leaves >= 0).all() and leaves.shape[1] == 8 and np.ptp(leaves.sum(axis=0)) <= 3
+    monkeypatch.setattr(mixing, "split", lambda quotas, shards, rng: np.concatenate([np.zeros((shards - 1, len(quotas)), np.int64), quotas[None, :] // 2]))
+    halved = mixing.taken(docs, blocks=64, shards=8).toPandas()
+    assert halved.taken.sum() < 0.8 * told.taken.sum() and {s for row in halved.shards for s in row} == {7}
+
+
+def test_mix_is_written_by_shard(spark, docs):
+    """The pipeline's mix comes by shard and, within, by place."""
+    import corpus_pipeline
+
+    given = docs.select("doc_id", "source", "text", "lang", "n_chars").repartition(5)
+    out = [r["doc_id"] for r in corpus_pipeline.mixed(spark, given, DIR).collect()]
+    want = [r["doc_id"] for r in mixing.mixed(given).orderBy("_shard", "_place").collect()]
+    assert out == want != sorted(want)
+
+
 def test_split_is_exact():
     quotas = np.array([5, 0, 17, 100])
     leaves = mixing.split(quotas, 7, np.random.default_rng(1))
