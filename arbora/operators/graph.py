@@ -190,19 +190,19 @@ def bounded_walk(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return induced(edges, seen)
 
 
-def paths(edges: DataFrame, roots: DataFrame, most: int = 64) -> DataFrame:
-    """(name, path): every path from a root, as an array; on trees and shallow graphs.  Longer ones than `most` and
-    those that would close a cycle end there."""
+def paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(name, path): every path from a root, as an array; on trees and graphs with few paths.  Those that would close a
+    cycle end there."""
     edges = written(edges_of(edges), "edges")
     level = roots.select("name", F.array("name").alias("path"))
-    out, n = level, 1
-    while n < most and not level.isEmpty():
+    out = level
+    while not level.isEmpty():
         level = written(level.join(edges.select(F.col("sup").alias("name"), F.col("sub").alias("next")), "name").where(~F.array_contains("path", F.col("next"))).select(F.col("next").alias("name"), F.array_append("path", F.col("next")).alias("path")), "paths")
-        out, n = out.union(level), n + 1
+        out = out.union(level)
     return out
 
 
-def topological(edges: DataFrame, most_rounds: int = 10_000) -> tuple[DataFrame, list[tuple[str, list[str]]]]:
+def topological(edges: DataFrame) -> tuple[DataFrame, list[tuple[str, list[str]]]]:
     """Placement parents-first, with cycles broken: edges that stay, and what was dropped of each name.
 
     When no further name has all parents placed, the one with the fewest unplaced parents, then the smallest, loses them.
@@ -212,9 +212,7 @@ def topological(edges: DataFrame, most_rounds: int = 10_000) -> tuple[DataFrame,
     names = nodes_of(left)
     placed = written(names.join(left.select(F.col("sub").alias("name")), "name", "left_anti"), "placed")
     waiting = left
-    for _ in range(most_rounds):
-        if waiting.isEmpty():
-            break
+    while not waiting.isEmpty():
         open_ = waiting.join(placed.select(F.col("name").alias("sup")), "sup", "left_anti")
         ready = written(waiting.select("sub").distinct().join(open_.select("sub"), "sub", "left_anti"), "ready")
         if ready.isEmpty():

@@ -93,3 +93,10 @@ def test_replay_is_idempotent(spark):
     again, second = rules.replay(after, log, names)
     assert {(r["store"], r["sub"], r["sup"]) for r in again.collect()} == told
     assert {what for _, what in second.done} == {"already"}
+
+
+def test_paths_of_any_depth(spark):
+    """A chain of 70 levels has a path for each name."""
+    chain = spark.createDataFrame([(f"n{i + 1}", f"n{i}") for i in range(69)], "sub string, sup string")
+    out = graph.paths(chain, spark.createDataFrame([("n0",)], "name string")).collect()
+    assert sorted(len(r["path"]) for r in out) == list(range(1, 71))
