@@ -35,7 +35,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
     held_out = F.coalesce(remainder_of_five() == 0, F.lit(False))
-    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

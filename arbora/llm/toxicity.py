@@ -1,12 +1,15 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine, from a block-max inverted index.
 
-The index holds a bounded sample of labelled rows, at most `sample` of them, taken in the order of a hash of their ids.
-Its vocabulary is the terms whose document frequency depends on the label (log-likelihood ratio above what the best of so
-many unrelated terms would reach).  Weights are (1 + log tf) * idf, vectors of length one; equal vectors are one entry.
-Postings of a term are cut into blocks of entries, and each block has its largest weight: the sum of these bounds a whole
-block's cosines, so blocks are read from the highest bound down until no bound reaches the k-th cosine found.  The result
-is exactly that of reading all.  Votes are weighted by the square of the cosine, that is by nearness, drawn towards the
-base rate, and calibrated by a logistic curve fitted on the sample, each row judged without itself.
+The index holds a bounded sample of labelled rows, at most `sample` of them, taken in the order of a hash of their ids, and
+every term of their texts.  Document frequencies are those of all documents.  A term's weight is (1 + log tf) * idf, stretched by
+how much the term's frequency depends on the label (its log-likelihood ratio over what the best of so many unrelated terms
+would reach, `floor` at least); vectors have length one, and equal ones are one entry.
+
+Entries that are alike stand together (spherical k-means), and postings of a term are cut into blocks of entries, each with
+its largest weight.  The sum of these bounds a whole block's cosines, so blocks are read from the highest bound down until no
+bound reaches the k-th cosine found: the result is exactly that of reading all.  Votes are weighted by the square of the
+cosine, that is by nearness, drawn towards the base rate, and calibrated by a logistic curve fitted on the sample, each
+row judged without itself.  The nearest examples are the evidence.
 """
 
 from __future__ import annotations
@@ -21,104 +24,153 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import remainder_of_five, slices, trim
+from arbora.llm.common import dropped, remainder_of_five, slices, trim, written
 
 WORD = re.compile(r"[^\W\d_]+")
+#: More than rounding adds to a cosine.
+SURE = 1e-6
+EVIDENCE = "array<struct<doc_id:long,cosine:double,toxic:double>>"
+Vector = tuple[np.ndarray, np.ndarray]
 
 
 def terms(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all runs (starts[i], starts[i] + 1, ... sizes[i] of them), one run after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+def alike(entries: list[Vector], cells: int, width: int = 256, rounds: int = 6, seed: int = 7) -> np.ndarray:
+    """A cell for each entry, by spherical k-means on terms folded into `width` places."""
+    rng = np.random.default_rng(seed)
+    x = np.zeros((len(entries), width))
+    sign = lambda t: np.where((t * 2654435761 >> 7) & 1, 1.0, -1.0)
+    for i, (t, w) in enumerate(entries):
+        np.add.at(x[i], t * 40503 % width, w * sign(t))
+    size = np.sqrt((x * x).sum(axis=1, keepdims=True))
+    x = x / np.where(size > 0, size, 1)
+    c = x[rng.choice(len(x), min(cells, len(x)), replace=False)]
+    near = np.zeros(len(x), int)
+    for _ in range(rounds):
+        near = (x @ c.T).argmax(axis=1)
+        total = np.zeros_like(c)
+        np.add.at(total, near, x)
+        size = np.sqrt((total * total).sum(axis=1, keepdims=True))
+        c = np.where(size > 1e-9, total / np.where(size > 1e-9, size, 1), c)
+    return near
+
+
 class Index:
-    """Entries (sparse vectors of term -> weight, with how many examples they stand for) in blocks."""
-
-    def __init__(self, entries: list[dict[int, float]], examples: list[int], toxic: list[int], n_terms: int, width: int = 32):
-        # Entries of the same strongest terms stand together, which makes the blocks' bounds tight.
-        order = sorted(range(len(entries)), key=lambda i: sorted(entries[i].items(), key=lambda x: (-x[1], x[0])))
-        self.order, self.width = order, width
-        self.examples, self.toxic = (np.array([x[i] for i in order], float) for x in (examples, toxic))
-        n_blocks = -(-len(order) // width)
-        self.most = np.zeros((n_terms, n_blocks))
-        self.postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        found: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for place, i in enumerate(order):
-            for t, w in entries[i].items():
-                found.setdefault((t, place // width), []).append((place % width, w))
-        for (t, b), own in found.items():
-            self.postings[t, b] = np.array([p for p, _ in own]), np.array([w for _, w in own])
-            self.most[t, b] = max(w for _, w in own)
-
-    def nearest(self, query: dict[int, float], k: int, less: int = -1) -> list[tuple[float, int]]:
+    """Entries (terms ascending, weights; with how many examples they stand for) in blocks, by postings of terms.
+
+    Terms of more than one entry in `often` have a weight for each entry and a largest one for each block; postings of all
+    others are lists, read whole.
+    """
+
+    def __init__(self, entries: list[Vector], examples: list[int], toxic: list[int], n_terms: int, width: int = 64, often: int = 32):
+        # Place -> entry.  Alike ones stand together, which makes the blocks' bounds tight.
+        cell = alike(entries, max(1, len(entries) // width)) if entries else np.zeros(0, int)
+        self.order, self.width = np.argsort(cell, kind="stable"), width
+        self.examples, self.toxic = (np.array(x, float)[self.order] if entries else np.zeros(0) for x in (examples, toxic))
+        self.blocks = -(-len(entries) // width)
+        sizes = np.array([len(entries[i][0]) for i in self.order], int)
+        term = np.concatenate([np.zeros(0, np.int64), *(entries[i][0] for i in self.order)])
+        weight = np.concatenate([np.zeros(0), *(entries[i][1] for i in self.order)]).astype(np.float32)
+        place = np.repeat(np.arange(len(entries)), sizes).astype(np.int32)
+        frequent = np.flatnonzero(np.bincount(term, minlength=n_terms) * often > len(entries))
+        #: Row of a frequent term, -1 of others.
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.blocks, width), np.float32)
+        some = self.row[term] >= 0
+        self.dense[self.row[term[some]], place[some] // width, place[some] % width] = weight[some]
+        self.most = self.dense.max(axis=2) if len(entries) else np.zeros((len(frequent), 0), np.float32)
+        by_term = np.flatnonzero(~some)[np.argsort(term[~some], kind="stable")]
+        self.place, self.weight = place[by_term], weight[by_term]
+        self.first = np.searchsorted(term[by_term], np.arange(n_terms + 1))
+
+    def nearest(self, query: Vector, k: int, less: int = -1) -> list[tuple[float, int]]:
         """(cosine, place) of the nearest entries, best first, ties by place: as many as stand for k examples.
 
-        less: a place whose entry counts for one example less.
+        less: a place whose entry counts for one example less.  Cosines are in single precision.
         """
-        if not query or not len(self.order):
+        at, q = query
+        if not len(at) or not self.blocks:
             return []
-        at = list(query)
-        bound = np.array([query[t] for t in at]) @ self.most[at]
-        found: list[tuple[float, int]] = []
-        floor = 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or bound[b] < floor - 1e-12:
-                break
-            cosine = np.zeros(self.width)
-            for t in at:
-                if (own := self.postings.get((t, b))) is not None:
-                    cosine[own[0]] += query[t] * own[1]
-            some = np.flatnonzero((cosine > 0) & (cosine >= floor))
-            found += zip(cosine[some].tolist(), (some + b * self.width).tolist(), strict=True)
-            found.sort(key=lambda x: (-x[0], x[1]))
-            n = 0.0
-            for i, (_, place) in enumerate(found):
-                n += self.examples[place] - (place == less)
-                if n >= k:
-                    floor = found[i][0]
-                    del found[i + 1 :]
-                    break
-        return found
+        row = self.row[at]
+        listed, rare, light = row >= 0, at[row < 0], q[row < 0]
+        row, heavy = row[listed], q[listed].astype(np.float32)
+        sizes = self.first[rare + 1] - self.first[rare]
+        posting = spread(self.first[rare], sizes)
+        listed = np.bincount(self.place[posting], np.repeat(light, sizes) * self.weight[posting], self.blocks * self.width).reshape(self.blocks, self.width)
+        bound = listed.max(axis=1) + heavy @ self.most[row]
+        order = np.argsort(-bound, kind="stable")
+        found, near = np.zeros(0, int), np.zeros(0)
+        floor, done, some, dense = 0.0, 0, 16, self.dense.reshape(-1, self.width)
+        while done < self.blocks and bound[order[done]] > SURE and bound[order[done]] >= floor - SURE:
+            now = order[done : done + some]
+            now = now[(bound[now] > SURE) & (bound[now] >= floor - SURE)]
+            done, some = done + some, 2 * some
+            cosine = (listed[now] + (heavy @ dense.take((row[:, None] * self.blocks + now).ravel(), axis=0).reshape(len(row), len(now) * self.width)).reshape(len(now), self.width)).ravel()
+            hit = np.flatnonzero((cosine > SURE) & (cosine >= floor))
+            found = np.concatenate([found, now[hit // self.width] * self.width + hit % self.width])
+            near = np.concatenate([near, cosine[hit]])
+            best = np.lexsort((found, -near))
+            stand = np.cumsum(self.examples[found[best]] - (found[best] == less))
+            upto = int(np.searchsorted(stand, k)) + 1
+            if upto <= len(best):
+                floor, best = near[best[upto - 1]], best[:upto]
+            found, near = found[best], near[best]
+        return list(zip(near.tolist(), found.tolist(), strict=True))
 
 
 class Model:
-    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, index: Index, ids: list[list[int]], none: tuple[int, int], base: float, k: int):
-        self.vocabulary, self.idf, self.index, self.ids, self.k, self.base = vocabulary, idf, index, ids, k, base
+    def __init__(self, vocabulary: dict[str, int], weight: np.ndarray, index: Index, ids: list[int], none: tuple[int, int], base: float, k: int):
+        """weight: of each term, for a tf of one; ids: a labelled id for each place; none: how many of the sample have no
+        term, and how many of these are toxic; base: the rate of toxic ones."""
+        self.vocabulary, self.weight, self.index, self.ids, self.k, self.base = vocabulary, weight, index, ids, k, base
         #: Texts without a term: as the sample's such texts are.
         self.no_terms = (none[1] + 0.1) / (none[0] + 1)
         self.curve = (0.0, 1.0)
 
-    def vector(self, counts: dict[str, int]) -> dict[int, float]:
-        return unit({self.vocabulary[w]: (1 + math.log(n)) * self.idf[self.vocabulary[w]] for w, n in counts.items()})
-
-    def votes(self, query: dict[int, float], less: int = -1, own: int = 0) -> float:
-        """Share of toxic among the nearest, in (0, 1)."""
+    def vector(self, text: str | None) -> Vector:
+        known = self.vocabulary
+        counts = Counter(terms(text))
+        return self.of(np.fromiter((known.get(w, -1) for w in counts), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
+
+    def of(self, at: np.ndarray, n: np.ndarray) -> Vector:
+        """Of terms (-1 for unknown ones) and how often they stand."""
+        order = np.argsort(at)
+        order = order[np.searchsorted(at[order], 0) :]
+        at, n = at[order], n[order]
+        w = (1 + np.log(n)) * self.weight[at]
+        size = np.sqrt((w * w).sum())
+        return at, w / size if len(at) else w
+
+    def share(self, near: list[tuple[float, int]], less: int = -1, own: int = 0) -> float:
+        """Of toxic among the nearest, in (0, 1), drawn towards the base rate."""
         of, all_ = self.base, 1.0
-        for cosine, place in self.index.nearest(query, self.k, less):
+        for cosine, place in near:
             w = cosine * cosine
             of += w * (self.index.toxic[place] - own * (place == less))
             all_ += w * (self.index.examples[place] - (place == less))
         return min(1 - 1e-6, max(1e-6, of / all_))
 
-    def score(self, text: str | None) -> float:
-        known = self.vocabulary
-        query = self.vector(Counter([w for w in terms(text) if w in known]))
-        return self.calibrated(self.votes(query)) if query else self.no_terms
+    def judge(self, text: str | None, shown: int = 0) -> tuple[float, list[tuple[int, float, float]]]:
+        """The score, and of the nearest `shown` labelled examples: id of one, cosine, share of toxic among its equals."""
+        query = self.vector(text)
+        if not len(query[0]):
+            return self.no_terms, []
+        near = self.index.nearest(query, self.k)
+        return self.calibrated(self.share(near)), [(self.ids[p], min(1.0, c), float(self.index.toxic[p] / self.index.examples[p])) for c, p in near[:shown]]
 
     def calibrated(self, share: float) -> float:
         a, b = self.curve
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, a + b * math.log(share / (1 - share))))))
 
-    def evidence(self, text: str | None) -> list[tuple[int, float, float]]:
-        """The nearest labelled examples: id of one, cosine, share of toxic among those of the same vector."""
-        known = self.vocabulary
-        found = self.index.nearest(self.vector(Counter([w for w in terms(text) if w in known])), self.k)
-        return [(self.ids[p][0], c, float(self.index.toxic[p] / self.index.examples[p])) for c, p in found]
-
-
-def unit(weights: dict[int, float]) -> dict[int, float]:
-    size = math.sqrt(sum(w * w for w in weights.values()))
-    return {t: w / size for t, w in weights.items()} if size else {}
-
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[float, float]:
     """Intercept and slope by Newton's method, with targets drawn in and a small ridge; the slope isn't negative."""
@@ -132,66 +184,95 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[float, flo
     return (float(beta[0]), float(beta[1])) if beta[1] > 0 else (0.0, 1.0)
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 8192, held_out: int = 0, k: int = 15, least_terms: int = 64, most_terms: int = 2048) -> Model:
-    """A model from docs (doc_id, text) and labels (doc_id, toxic).
+def stretches(seen: np.ndarray, n: np.ndarray, floor: float) -> np.ndarray:
+    """seen[label, term]: examples of the label with the term; n[label]: all examples -> a factor for each term."""
+    rate = seen.sum(axis=0) / max(1.0, n.sum())
+    ratio = np.zeros(seen.shape[1])
+    for y in (0, 1):
+        for count, of in ((seen[y], rate), (n[y] - seen[y], 1 - rate)):
+            some = count > 0
+            ratio[some] += 2 * count[some] * np.log(count[some] / (of[some] * n[y]))
+    return np.maximum(ratio / (2 * math.log(max(2, len(ratio))) + 4), floor)
 
-    Labels whose remainder is held_out, that are null, or whose id isn't in docs teach nothing; of repeated labels the
-    larger counts.  Without labels every score is 0.1.
-    """
-    # 2,048 terms at most enter the index, and only for samples in which so many depend on the label.
+
+def examples_of(docs: DataFrame, labels: DataFrame, sample: int, held_out: int) -> list[tuple[int, int, dict[str, int]]]:
+    """(id, toxic, counts of terms) of the sampled labelled rows, one for each id: the smallest of its texts."""
     own = labels.where(remainder_of_five(labels["doc_id"]) != held_out).groupBy(labels["doc_id"].cast("long").alias("_id")).agg(F.max(labels["toxic"].cast("int")).alias("_toxic")).where("_toxic is not null")
     picked = own.join(docs.select(docs["doc_id"].cast("long").alias("_id")), "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(sample).collect()
-    toxic = {r["_id"]: int(r["_toxic"] > 0) for r in picked}
     # The picked ids go along as a literal list: `sample` of them at most.
-    told = docs.sparkSession.createDataFrame([(i, t) for i, t in toxic.items()], "_id long, _toxic int")
-    rows = docs.select(docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("text")).join(F.broadcast(told), "_id")
-
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 2048):
-            seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-            for text, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                seen[y].update(set(terms(text)))
-            words = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([seen[y][w] for w in words], pa.int64()) for y in (0, 1))], ["term", "clean", "toxic"])
-
-    n = [len(toxic) - sum(toxic.values()), sum(toxic.values())]
-    df = rows.mapInArrow(frequencies, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("clean + toxic > 1")
-    part = lambda seen, of, all_: F.when(seen > 0, seen * F.log(seen / (of * all_))).otherwise(0.0)
-    rate = (F.col("clean") + F.col("toxic")) / max(1, sum(n))
-    ratio = F.lit(0.0)
-    for name, m in (("clean", n[0]), ("toxic", n[1])):
-        ratio = ratio + part(F.col(name), rate, F.lit(float(max(m, 1)))) + part(F.lit(m) - F.col(name), 1 - rate, F.lit(float(max(m, 1))))
-    tests = max(2, df.count())
-    best = df.withColumn("ratio", 2 * ratio).orderBy(F.desc("ratio"), "term").limit(most_terms).collect()
-    chosen = [r for i, r in enumerate(best) if r["ratio"] >= 2 * math.log(tests) + 4 or i < least_terms]
-    vocabulary = {r["term"]: i for i, r in enumerate(chosen)}
-    idf = np.array([math.log((1 + sum(n)) / (1 + r["clean"] + r["toxic"])) + 1 for r in chosen])
+    told = docs.sparkSession.createDataFrame([(r["_id"], int(r["_toxic"] > 0)) for r in picked], "_id long, _toxic int")
+    rows = docs.select(docs["doc_id"].cast("long").alias("_id"), F.coalesce(docs["text"], F.lit("")).alias("text")).join(F.broadcast(told), "_id")
+    rows = written(rows.groupBy("_id").agg(F.min("text").alias("text"), F.max("_toxic").alias("_toxic")), "labelled")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            own = [Counter(terms(t)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([list(c) for c in own], pa.list_(pa.string())), pa.array([list(c.values()) for c in own], pa.list_(pa.int64()))], ["_id", "_toxic", "terms", "counts"])
+
+    found = rows.mapInArrow(counted, "_id long, _toxic int, terms array<string>, counts array<long>").collect()
+    dropped(rows)
+    return sorted(((r["_id"], r["_toxic"], dict(zip(r["terms"], r["counts"], strict=True))) for r in found), key=lambda x: x[0])
+
+
+def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
+    """The number of documents, and in how many each term of the vocabulary stands.  A task sends a row for each term."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n = np.zeros(len(vocabulary), np.int64), 0
         for b in slices(batches):
-            own = [Counter([w for w in terms(t) if w in vocabulary]) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([list(c.items()) for c in own], pa.map_(pa.string(), pa.int64()))], ["_id", "_toxic", "counts"])
+            for text in b.column(0).to_pylist():
+                seen[[vocabulary[w] for w in set(terms(text)) if w in vocabulary]] += 1
+                n += 1
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(seen[some], n))], ["term", "n"])
+
+    told = docs.select(docs["text"]).mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out, total = np.zeros(len(vocabulary), np.int64), 0
+    term, n = (told[c].to_numpy() for c in ("term", "n"))
+    out[term[term >= 0]] = n[term >= 0]
+    total = int(n[term < 0].sum())
+    return total, out
+
 
-    examples = sorted(rows.mapInArrow(counted, "_id long, _toxic int, counts map<string,long>").collect(), key=lambda r: r["_id"])
-    base = (n[1] + 0.1) / (sum(n) + 1)
-    model = Model(vocabulary, idf, Index([], [], [], len(idf)), [], (0, 0), base, k)
-    entries: dict[tuple, list] = {}
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 4096, held_out: int = 0, k: int = 15, floor: float = 0.05) -> Model:
+    """A model from docs (doc_id, text) and labels (doc_id, toxic).
+
+    Labels whose remainder is held_out, that are null, or whose id is null or isn't in docs teach nothing; of repeated labels the
+    larger counts.  An id teaches once, however often it stands in docs: by the smallest of its texts, null ones being
+    empty.  Long texts count whole.  Without labels, or from empty tables, every score is 0.1.  Other columns are ignored.
+    """
+    told = examples_of(docs, labels, sample, held_out)
+    vocabulary: dict[str, int] = {}
+    for _, _, counts in told:
+        for w in sorted(counts):
+            vocabulary.setdefault(w, len(vocabulary))
+    n = np.array([sum(1 for _, y, _ in told if not y), sum(y for _, y, _ in told)], float)
+    base = (n[1] + 0.1) / (n.sum() + 1)
+    if not vocabulary:
+        return Model({}, np.zeros(0), Index([], [], [], 0), [], (int(n.sum()), int(n[1])), base, k)
+    seen = np.zeros((2, len(vocabulary)))
+    for _, y, counts in told:
+        seen[y, [vocabulary[w] for w in counts]] += 1
+    total, df = frequencies(docs, vocabulary)
+    weight = (np.log((1 + total) / (1 + df)) + 1) * stretches(seen, n, floor)
+    model = Model(vocabulary, weight, Index([], [], [], 0), [], (0, 0), base, k)
+    entries: dict[tuple, list[tuple[int, int]]] = {}
     none = [0, 0]
-    for r in examples:
-        vector = model.vector(r["counts"])
-        if vector:
-            entries.setdefault(tuple(sorted(vector.items())), []).append(r)
+    for i, y, counts in told:
+        if counts:
+            entries.setdefault(tuple(sorted((vocabulary[w], m) for w, m in counts.items())), []).append((i, y))
         else:
-            none = [none[0] + 1, none[1] + (r["_toxic"] > 0)]
-    own = list(entries.values())
-    index = Index([dict(k) for k in entries], [len(x) for x in own], [sum(r["_toxic"] > 0 for r in x) for x in own], len(idf))
-    model = Model(vocabulary, idf, index, [[r["_id"] for r in own[i]] for i in index.order], (none[0], none[1]), base, k)
+            none = [none[0] + 1, none[1] + y]
+    keys, own = list(entries), list(entries.values())
+    vectors = [model.of(*np.array(key).T) for key in keys]
+    index = Index(vectors, [len(x) for x in own], [sum(y for _, y in x) for x in own], len(vocabulary))
+    model = Model(vocabulary, weight, index, [own[i][0][0] for i in index.order], (none[0], none[1]), base, k)
     x, y = [], []
-    keys = list(entries)
     for place, i in enumerate(index.order):
-        for label in {int(r["_toxic"] > 0) for r in own[i]}:
-            share = model.votes(dict(keys[i]), place, label)
-            times = sum(int(r["_toxic"] > 0) == label for r in own[i])
+        near = index.nearest(vectors[i], k, place)
+        for label in {label for _, label in own[i]}:
+            share = model.share(near, place, label)
+            times = sum(1 for _, other in own[i] if other == label)
             x += [math.log(share / (1 - share))] * times
             y += [label] * times
     if len(set(y)) == 2:
@@ -199,15 +280,22 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8192, held_out: int
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with a column toxicity (0 to 1), from the text alone; null and empty texts score as texts without a term.
+def score(docs: DataFrame, model: Model, shown: int = 3) -> DataFrame:
+    """docs with the columns toxicity (0 to 1) and evidence (the nearest `shown` labelled examples: doc_id, cosine, share of
+    toxic among equal ones), from the text alone; columns of these names are replaced.
 
-    One pass without a shuffle; all columns and repeated rows stay.
+    Null and empty texts score as texts without a known term do, and have no evidence.  Long texts are read whole.  One pass
+    without a shuffle; all other columns and repeated rows stay.
     """
 
     def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.struct([("toxicity", pa.float64()), ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.float64())])))])
         for texts in batches:
-            yield pa.array([model.score(t) for i in range(0, len(texts), 512) for t in texts.slice(i, 512).to_pylist()], pa.float64())
+            out = [model.judge(t, shown) for i in range(0, len(texts), 512) for t in texts.slice(i, 512).to_pylist()]
+            yield pa.array([{"toxicity": s, "evidence": [dict(zip(("doc_id", "cosine", "toxic"), e, strict=True)) for e in es]} for s, es in out], kind)
         trim()
 
-    return docs.withColumn("toxicity", F.arrow_udf(judged, "double")(docs["text"]))
+    told = F.arrow_udf(judged, f"struct<toxicity:double,evidence:{EVIDENCE}>")(docs["text"])
+    own = [c for c in docs.columns if c not in ("toxicity", "evidence")]
+    rows = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in own]).alias("_doc"), told.alias("_told"))
+    return rows.select(*[F.col("_doc").getField(c).alias(c) for c in own], F.col("_told.toxicity").alias("toxicity"), F.col("_told.evidence").alias("evidence"))
