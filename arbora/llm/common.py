@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from arbora.session import dropped, written
 
-__all__ = ["components", "dropped", "forest", "remainder_of_five", "slices", "table", "text_of", "written"]
+__all__ = ["components", "dropped", "forest", "grouped", "remainder_of_five", "salt", "slices", "table", "text_of", "written"]
+SALT = "_salt"
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -65,37 +66,59 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
+def salt(spark: SparkSession, by: str | Column) -> Column:
+    """A number for a row by a hash of what tells rows of one key apart: as many as there are shuffle partitions, so that a
+    key that holds a third of all rows is dealt to all tasks."""
+    return F.pmod(F.xxhash64(by), F.lit(max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))).cast("int").alias(SALT)
+
+
+def grouped(rows: DataFrame, keys: list[str], parts: list[Column], whole: list[Column], having: str = "true") -> DataFrame:
+    """Aggregates of rows (with _salt) by keys, with a row for each salt that a key has: (keys, _salt, whole).
+
+    `parts` are aggregates by key and salt, `whole` aggregates of these by key, of which those stay that `having` holds for.  What is joined with it by keys and _salt
+    meets the key's aggregate without all of the key's rows in one task.
+    """
+    some = rows.groupBy(*keys, SALT).agg(*parts)
+    every = some.groupBy(*keys).agg(*whole, F.collect_list(SALT).alias("_salts")).where(having)
+    return every.withColumn(SALT, F.explode("_salts")).drop("_salts")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b: long): rows (id, component), component the smallest id reachable.
 
     Each round, every edge (u, v) is hung on the smallest neighbour of its larger end and of its smaller end (the
     large-star and small-star steps), which shortens paths by a constant factor, so rounds grow as the log of the
-    longest path.  Every step is a shuffle of edges with partial minima; no group is gathered.  Ids that are in no
-    link have no row.  Links of an id with itself give it a row of its own.
+    longest path.  Every step is a shuffle of edges with partial minima, salted, since the middle of a star may have a third
+    of all edges; no group is gathered.  Ids that are in no link have no row.  Links of an id with itself give it a row of
+    its own.  Links with a null end are none, repeated ones are one, and no links give no rows.
     """
+    spark = links.sparkSession
     edges = written(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null").distinct(), "links")
     ids = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    edges = written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    first = edges
+    given, edges = edges, written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
+
+    def with_least(rows: DataFrame) -> DataFrame:
+        """Adds m, the smallest v of each u."""
+        rows = rows.withColumn(SALT, salt(spark, "v"))
+        return rows.join(grouped(rows, ["u"], [F.min("v").alias("m")], [F.min("m").alias("m")]), ["u", SALT]).drop(SALT)
+
     while True:
         # Large star: every larger neighbour of u hangs on the smallest of u and its neighbours.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = with_least(both).withColumn("m", F.least("u", "m")).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "large")
         # Small star: u and its smaller neighbours hang on the smallest of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
+        joined = with_least(large)
+        small = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.where("v = m").select("u", "v")).distinct()
         small = written(small, "small")
         n = small.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("h")).first()
         now = (n["n"], n["h"])
-        dropped(large)
-        if edges is not first:
-            dropped(edges)
+        dropped(large, edges)
         edges = small
         if now == before or n["n"] == 0:
             break
         before = now
-    return ids.join(edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("m")), "id", "left").select("id", F.coalesce("m", "id").alias("component"))
+    out = written(ids.join(edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("m")), "id", "left").select("id", F.coalesce("m", "id").alias("component")), "components")
+    dropped(given, edges)
+    return out

@@ -7,7 +7,8 @@ documents agree in it with the probability of their weighted Jaccard similarity:
 Points are drawn only up to the time at which all places are filled, for many documents at once.
 
 Documents that agree on all places of a band share a bucket.  Each is compared with its bucket's first document, by exact
-counts.  What is then in other groups than the first is compared with all of the bucket: in large buckets by blocks, whose
+counts.  Buckets and groups of copies may hold a third of all rows, so every aggregate by bucket, by words or by first
+document is salted (common.grouped), and nothing is joined by such a key alone.  What is then in other groups than the first is compared with all of the bucket: in large buckets by blocks, whose
 tasks multiply matrices of counts and return a spanning forest of the links; in small ones pair by pair, but for pairs that
 the triangle inequality (the Jaccard distance is a metric) rules out by their distances to the first.  So a link is lost
 only if its ends share no bucket (at 0.8, 7 in 100,000), whatever a bucket's size.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import components, dropped, forest, slices, trim, written
+from arbora.llm.common import SALT, components, dropped, forest, grouped, salt, slices, text_of, trim, written
 from arbora.llm.hashing import ODD, Words, lowered, mixed_bits
 
 WIDTH = 5
@@ -131,48 +132,70 @@ def banded(sig: np.ndarray, rows: int) -> np.ndarray:
     return x.view(np.int64)
 
 
-def signed(docs: DataFrame, bands: int, rows: int, chunk: int = 1_000_000) -> DataFrame:
-    """(doc_id, key: two longs of the words, bands: array of longs, null without words)."""
+def portions(texts: list[bytes], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Runs (from, to) of texts of some `limit` bytes together; a longer text is a run by itself."""
+    i = 0
+    while i < len(texts):
+        j, n = i, 0
+        while j < len(texts) and (n == 0 or n + len(texts[j]) <= limit):
+            n += len(texts[j]) + 1
+            j += 1
+        yield i, j
+        i = j
+
+
+def encoded(texts: list[str | None]) -> list[bytes]:
+    return [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+
+
+def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(doc_id, h: a hash of the text as it is, key: two longs of the words, bands: array of longs, null without words)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            ids, texts = b.column(0).to_pylist(), [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
-            i = 0
-            while i < len(ids):
-                j, n = i, 0
-                while j < len(ids) and (n == 0 or n + len(texts[j]) <= chunk):
-                    n += len(texts[j]) + 1
-                    j += 1
+            texts = encoded(b.column(2).to_pylist())
+            for i, j in portions(texts):
                 s = Shingles(texts[i:j])
                 has = np.bincount(s.doc, minlength=s.n) > 0
                 told = banded(signatures(s, bands * rows), rows)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array(s.own[0]), pa.array(s.own[1]), pa.array([told[q] if has[q] else None for q in range(s.n)], pa.list_(pa.int64()))], ["doc_id", "k1", "k2", "bands"])
-                i = j
+                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], b.column(1)[i:j], pa.array(s.own[0]), pa.array(s.own[1]), pa.array([told[q] if has[q] else None for q in range(s.n)], pa.list_(pa.int64()))], ["doc_id", "h", "k1", "k2", "bands"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(task, "doc_id long, k1 long, k2 long, bands array<long>")
+    return marked(docs).select("doc_id", "h", "text").mapInArrow(task, "doc_id long, h long, k1 long, k2 long, bands array<long>")
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (a, b) with their exact similarity; texts (id, text) has a row for each id."""
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+def marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, h), which tells the rows of one id apart by their texts."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(text_of(docs["text"])).alias("h"))
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple] = {}
 
-        def of(i: int, text: str) -> tuple:
-            if i not in known:
-                if len(known) >= 64:
-                    known.clear()
-                s = Shingles([text.encode("utf-8", "surrogatepass")])
-                known[i] = s.hash, s.count
-            return known[i]
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs (a, b) with their exact similarity; texts (id, text) has a row for each id.
+
+    A task reads the text of each a once, then those of its partners; an a of many partners is dealt to many tasks.
+    """
+    pairs = pairs.withColumn(SALT, salt(pairs.sparkSession, "b"))
+    heads = pairs.select("a", SALT).distinct().join(texts.select(F.col("id").alias("a"), "text"), "a").select("a", SALT, F.lit(0).alias("side"), F.col("a").alias("b"), "text")
+    others = pairs.join(texts.select(F.col("id").alias("b"), "text"), "b").select("a", SALT, F.lit(1).alias("side"), "b", "text")
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
         for batch in slices(batches, 128):
-            a, b, ta, tb = (c.to_pylist() for c in batch.columns)
-            sim = [jaccard(of(i, x), of(j, y)) for i, j, x, y in zip(a, b, ta, tb, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], ["a", "b", "sim"])
+            a, side, b = (batch.column(i).to_pylist() for i in (0, 1, 2))
+            texts = encoded(batch.column(3).to_pylist())
+            out = []
+            for i, j in portions(texts):
+                s = Shingles(texts[i:j])
+                at = np.searchsorted(s.doc, np.arange(s.n + 1))
+                for r in range(i, j):
+                    own = s.hash[at[r - i] : at[r - i + 1]], s.count[at[r - i] : at[r - i + 1]]
+                    if side[r] == 0:
+                        head = own
+                    else:
+                        out.append((a[r], b[r], jaccard(head, own)))
+            columns = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["a", "b", "sim"])
 
-    return both.mapInArrow(task, "a long, b long, sim double")
+    return heads.unionByName(others).repartition("a", SALT).sortWithinPartitions("a", SALT, "side").select("a", "side", "b", "text").mapInArrow(task, "a long, b long, sim double")
 
 
 def overlaps(x: list[tuple], y: list[tuple]) -> np.ndarray:
@@ -220,21 +243,26 @@ def overlaps(x: list[tuple], y: list[tuple]) -> np.ndarray:
     return out
 
 
-def blocked(placed: DataFrame, others: DataFrame, texts: DataFrame, threshold: float, block: int = 512) -> DataFrame:
-    """Links (a, b) that connect whatever is linked between `others` and all that is `placed` in the same bucket."""
-    blocks = lambda rows, name: rows.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-    sizes = blocks(others, "nx").join(blocks(placed, "ny"), "bucket")
+def blocked(placed: DataFrame, others: DataFrame, salts: DataFrame, texts: DataFrame, threshold: float, block: int = 512, block_bytes: int = 2_000_000) -> DataFrame:
+    """Links (a, b) that connect whatever is linked between `others` and all that is `placed` in the same bucket.
+
+    salts (bucket, _salt) are those of the buckets.  Blocks have some `block` texts, fewer where these are long.
+    """
+    some = lambda rows, name: rows.join(texts.select("id", "bytes"), "id").groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int").alias(name))
+    sizes = some(others, "nx").join(some(placed, "ny"), "bucket").join(salts, "bucket")
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    told = lambda rows: rows.select("bucket", "id").join(sizes, "bucket").join(texts, "id")
+    told = lambda rows: rows.select("bucket", SALT, "id").join(sizes, ["bucket", SALT]).join(texts.select("id", "text"), "id")
     x = told(others).select("bucket", part("nx").alias("x"), F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("y"), F.lit(True).alias("asks"), "id", "text")
     y = told(placed).select("bucket", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("x"), part("ny").alias("y"), F.lit(False).alias("asks"), "id", "text")
 
     def task(group: pa.Table) -> pa.Table:
         asks = np.array(group["asks"].to_pylist(), bool)
-        ids, own = group["id"].to_numpy(), group["text"].to_pylist()
-        s = Shingles([t.encode("utf-8", "surrogatepass") for t in own])
-        at = np.searchsorted(s.doc, np.arange(s.n + 1))
-        sets = [(s.hash[i:j], s.count[i:j]) for i, j in zip(at, at[1:], strict=False)]
+        ids, own = group["id"].to_numpy(), encoded(group["text"].to_pylist())
+        sets: list[tuple] = []
+        for i, j in portions(own):
+            s = Shingles(own[i:j])
+            at = np.searchsorted(s.doc, np.arange(s.n + 1))
+            sets += [(s.hash[p:q], s.count[p:q]) for p, q in zip(at, at[1:], strict=False)]
         total = np.array([c.sum() for _, c in sets])
         xs, ys = np.flatnonzero(asks), np.flatnonzero(~asks)
         a, b = np.zeros(0, int), np.zeros(0, int)
@@ -253,41 +281,65 @@ def blocked(placed: DataFrame, others: DataFrame, texts: DataFrame, threshold: f
     return x.unionByName(y).groupBy("bucket", "x", "y").applyInArrow(task, "a long, b long")
 
 
-def dedup(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 5, small: int = 32) -> DataFrame:
-    """A row for each row of docs (doc_id, text): doc_id, component_id, kept.
+#: Nodes from here on stand for texts whose id stands for another text already.
+SECOND = 1 << 62
 
-    component_id is the smallest id that links reach, and its document is kept.  A text of one to four words is one
-    shingle, so it links with equal texts only.  Texts that are null, empty or without words link with nothing, nor do rows
-    without an id, whose component_id is null; they are all kept.  Repeated rows have the same answer; an id whose rows
-    differ in text has the answer of each.  No rows give no rows.
-    """
+
+def numbered(same: DataFrame) -> DataFrame:
+    """same (k1, k2, rep, ...) with node: the rep; but where several texts have the same, only the one of the smallest key,
+    and a hash of the key from SECOND on for the others."""
+    rows = same.withColumn(SALT, salt(same.sparkSession, F.struct("k1", "k2")))
+    key = F.struct("k1", "k2")
+    firsts = grouped(rows, ["rep"], [F.min(key).alias("k"), F.count("*").alias("n")], [F.min("k").alias("k"), F.sum("n").alias("n")], "n > 1")
+    if firsts.isEmpty():
+        return same.withColumn("node", F.col("rep"))
+    other = F.lit(SECOND) + F.xxhash64("k1", "k2").bitwiseAND(F.lit(SECOND - 1))
+    return rows.join(firsts, ["rep", SALT], "left").withColumn("node", F.when(F.col("k").isNull() | (F.col("k") == key), F.col("rep")).otherwise(other)).drop("k", "n", SALT)
+
+
+def answers(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 5, small: int = 32) -> DataFrame:
+    """dedup() with h, a hash of the row's text."""
+    spark = docs.sparkSession
     signs = written(signed(docs, bands, rows), "signatures")
-    whole = signs.where("bands is not null and doc_id is not null")
-    same = written(whole.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "bands")).alias("x")).select("k1", "k2", F.col("x.doc_id").alias("rep"), "x.bands"), "distinct")
-    entries = same.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
-    buckets = entries.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    member = written(entries.join(buckets, "bucket"), "buckets")
+    linked = F.col("bands").isNotNull() & F.col("doc_id").isNotNull()
+    whole = signs.where(linked).withColumn(SALT, salt(spark, "doc_id"))
+    every = written(whole.groupBy("k1", "k2", SALT).agg(F.min(F.struct("doc_id", "h", "bands")).alias("x")), "copies")
+    same = every.groupBy("k1", "k2").agg(F.min("x").alias("x")).select("k1", "k2", F.col("x.doc_id").alias("rep"), "x.h", "x.bands")
+    unnumbered = written(same, "distinct")
+    same = written(numbered(unnumbered), "distinct")
+    entries = same.select(F.col("node").alias("id"), F.explode("bands").alias("bucket")).withColumn(SALT, salt(spark, "id"))
+    buckets = written(grouped(entries, ["bucket"], [F.min("id").alias("first"), F.count("*").alias("n")], [F.min("first").alias("first"), F.sum("n").alias("n")], "n > 1"), "buckets")
+    salts = buckets.select("bucket", SALT)
+    member = written(entries.join(buckets, ["bucket", SALT]), "members")
     pairs = written(member.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    # An id may have rows of several texts: the one whose words were signed is meant.
-    texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].alias("text")).join(ids.hint("merge"), "id").where("text is not null").groupBy("id").agg(F.min("text").alias("text"))
-    texts = written(texts, "texts")
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = same.select("node", F.col("rep").alias("doc_id"), "h").join(ids, "node")
+    # Repeated rows of an id and text are one.
+    texts = marked(docs).join(wanted.hint("merge"), ["doc_id", "h"]).groupBy(F.col("node").alias("id")).agg(F.min(text_of()).alias("text"))
+    texts = written(texts.withColumn("bytes", F.octet_length("text").cast("long")), "texts")
     sims = written(compared(pairs, texts), "sims")
     near = sims.where(F.col("sim") >= threshold).select("a", "b")
-    comp = written(components(near), "groups")
+    scratch = [every, unnumbered, same, buckets, member, pairs, texts, sims]
+    comp = components(near)
+    scratch.append(comp)
 
     def apart(comp: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Of buckets with more than one group: all members, and those that aren't in the first one's group."""
-        placed = member.join(comp.select(F.col("id"), F.col("component").alias("c")), "id", "left").join(comp.select(F.col("id").alias("first"), F.col("component").alias("head")), "first", "left").select("bucket", "n", "id", "first", F.coalesce("c", "id").alias("c"), F.coalesce("head", "first").alias("head"))
-        others = written(placed.where("c != head"), "apart")
-        return placed.join(others.select("bucket").distinct(), "bucket"), others
+        heads = buckets.join(comp.select(F.col("id").alias("first"), F.col("component").alias("head")), "first", "left").select("bucket", SALT, "n", "first", F.coalesce("head", "first").alias("head"))
+        groups = member.select("bucket", SALT, "id").join(comp.select("id", F.col("component").alias("c")), "id", "left").select("bucket", SALT, "id", F.coalesce("c", "id").alias("c"))
+        placed = written(groups.join(heads, ["bucket", SALT]), "placed")
+        others = placed.where("c != head")
+        mixed = salts.join(others.select("bucket").distinct(), "bucket")
+        scratch.append(placed)
+        return placed.join(mixed, ["bucket", SALT], "left_semi"), others
 
     found = near
     placed, others = apart(comp)
     large = F.col("n") > small
     if not others.where(large).isEmpty():
-        found = written(found.union(blocked(placed.where(large), others.where(large), texts, threshold)), "near")
-        comp = written(components(found), "groups")
+        found = written(found.union(blocked(placed.where(large), others.where(large), salts, texts, threshold)), "near")
+        comp = components(found)
+        scratch += [found, comp]
         placed, others = apart(comp)
 
     reach = 1 - threshold
@@ -297,13 +349,32 @@ def dedup(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int =
     right = far(placed).select("bucket", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("d").alias("db"), "step")
     more = left.join(right, ["bucket", "step"]).where((F.col("ca") != F.col("cb")) & (F.abs(F.col("da") - F.col("db")) <= reach + 1e-9)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = written(more.join(sims.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    scratch.append(more)
     if not more.isEmpty():
         also = written(compared(more, texts).where(F.col("sim") >= threshold).select("a", "b"), "sims")
+        scratch.append(also)
         if not also.isEmpty():
             comp = components(found.union(also))
-    named = same.join(comp, same["rep"] == comp["id"], "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
-    out = signs.withColumn("linked", F.col("bands").isNotNull() & F.col("doc_id").isNotNull()).drop("bands")
-    linked = out.where("linked").join(named, ["k1", "k2"]).select("doc_id", "component_id")
-    alone = out.where("not linked").select("doc_id", F.col("doc_id").alias("component_id"))
-    dropped(texts, member)
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+            scratch.append(comp)
+    named = same.join(comp, same["node"] == comp["id"], "left").select("k1", "k2", "rep", F.coalesce("component", "node").alias("component_id"))
+    # A group of second texts only has the smallest of their ids.
+    second = named.where(F.col("component_id") >= SECOND).groupBy("component_id").agg(F.min("rep").alias("name"))
+    if not second.isEmpty():
+        named = named.join(second, "component_id", "left").withColumn("component_id", F.coalesce("name", "component_id"))
+    named = every.select("k1", "k2", SALT).join(named.select("k1", "k2", "component_id"), ["k1", "k2"])
+    out = whole.join(named, ["k1", "k2", SALT]).select("doc_id", "h", "component_id").unionByName(signs.where(~linked).select("doc_id", "h", F.col("doc_id").alias("component_id")))
+    out = written(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "answers")
+    dropped(signs, *scratch)
+    return out
+
+
+def dedup(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 5, small: int = 32) -> DataFrame:
+    """A row for each row of docs (doc_id, text): doc_id, component_id, kept.  Other columns are ignored.
+
+    component_id is the smallest id that links reach, and its document is kept.  A text of one to four words is one
+    shingle, so it links with equal texts only.  Texts that are null, empty or without words link with nothing, nor do rows
+    without an id, whose component_id is null; they are all kept.  Long texts are compared whole.  Repeated rows have the
+    same answer.  Rows of one id that differ in text have answers of their own: one of these texts (that of the smallest
+    hash of words) names a group by the id, the others only where all of a group are such.  No rows give no rows.
+    """
+    return answers(docs, threshold, bands, rows, small).select("doc_id", "component_id", "kept")
