@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from arbora.llm.common import dropped, text_of, written
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Into so many parts the blocks are cut in which quotas end.
+PARTS = 4096
 
 
 def targets(sizes: list[int], weights: list[int], share: Fraction, most: int) -> list[Fraction]:
@@ -57,12 +59,14 @@ def keyed(docs: DataFrame, seed: int, blocks: int) -> list:
     return [h.alias("_h"), F.shiftrightunsigned(h, 64 - (blocks.bit_length() - 1)).cast("int").alias("_block") if blocks > 1 else F.lit(0).alias("_block")]
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2, seed: int = 7, shards: int = 64, blocks: int = 4096, max_sources: int = 100_000) -> Plan:
+def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction = Fraction(3, 2), most: int = 2, seed: int = 7, shards: int = 64, blocks: int = 4096, max_sources: int = 100_000, near: float = 0.0) -> Plan:
     """Targets and draws for docs (doc_id, source, text).
 
     Sources by code point, null last, take `weights` in turn.  The catalogue of sources (not documents) comes to the
     driver; more than max_sources of them is an error.  A source's blocks are summed in their order in one task, which
-    is `blocks` rows at most; only the blocks in which sources' quotas end are sorted by document.
+    is `blocks` rows at most.  The block in which a source's quota ends is cut into PARTS by the hash's next bits, and only
+    the part in which it ends is sorted by document.  That last document is taken in part, to the word; but whole, or not
+    at all, where this misses the target by no more than the share `near`.
     """
     if blocks & (blocks - 1):
         raise ValueError("blocks is a power of two")
@@ -82,12 +86,23 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction
     rows = [(r["source"], s, float(g), k, e) for r, s, g, k, e in zip(sources, sizes, goal, whole, extra, strict=True)]
     told = spark.createDataFrame(rows, "source string, source_size long, target double, copies int, extra long")
 
-    upto = F.sum("words").over(Window.partitionBy("source").orderBy("_block"))
-    ends = summed.withColumn("upto", upto).join(told.where("extra > 0").select(F.col("source").alias("s"), "extra"), F.col("source").eqNullSafe(F.col("s"))).where("upto >= extra and upto - words < extra").select("s", "_block", (F.col("extra") - F.col("upto") + F.col("words")).alias("rest"))
-    inside = sized.join(F.broadcast(ends), sized["source"].eqNullSafe(ends["s"]) & (sized["_block"] == ends["_block"])).select("source", sized["_block"], "_h", "size", "rest")
+    def ends(sums: DataFrame, rest: DataFrame, by: str) -> DataFrame:
+        """sums (source, by, words), rest (s, extra) -> (s, by, rest): where a source's words reach extra, and what is lacking before."""
+        upto = F.sum("words").over(Window.partitionBy("source").orderBy(by))
+        rows = sums.withColumn("upto", upto).join(F.broadcast(rest), F.col("source").eqNullSafe(F.col("s")))
+        return rows.where("upto >= extra and upto - words < extra").select("s", by, (F.col("extra") - F.col("upto") + F.col("words")).alias("rest"))
+
+    # A row for each source at most, of which there are max_sources.
+    in_block = ends(summed, told.where("extra > 0").select(F.col("source").alias("s"), "extra"), "_block")
+    part = F.shiftrightunsigned("_h", 64 - (blocks.bit_length() - 1) - (PARTS.bit_length() - 1)).bitwiseAND(PARTS - 1).cast("int")
+    inside = written(sized.join(F.broadcast(in_block), sized["source"].eqNullSafe(F.col("s")) & (sized["_block"] == in_block["_block"])).select("source", sized["_block"], "_h", "size", "rest", part.alias("_part")), "inside")
+    by_part = inside.groupBy("source", "_part").agg(F.sum("size").alias("words"))
+    in_part = ends(by_part, inside.groupBy(F.col("source").alias("s")).agg(F.first("rest").alias("extra")), "_part").withColumnRenamed("_part", "p")
+    rows_ = inside.drop("rest").join(F.broadcast(in_part), F.col("source").eqNullSafe(F.col("s")) & (F.col("_part") == F.col("p")))
     w = Window.partitionBy("source").orderBy("_h")
-    by_hash = inside.groupBy("source", "_block", "_h").agg(F.sum("size").alias("size"), F.count("*").alias("rows"), F.first("rest").alias("rest")).withColumn("upto", F.sum("size").over(w))
+    by_hash = rows_.groupBy("source", "_block", "_h").agg(F.sum("size").alias("size"), F.count("*").alias("rows"), F.first("rest").alias("rest")).withColumn("upto", F.sum("size").over(w))
     last = {r["source"]: r for r in by_hash.where("upto >= rest and upto - size < rest").collect()}
+    dropped(inside)
 
     units = np.array([k * blocks + (last[r[0]]["_block"] + 1 if r[0] in last else 0) for r, k in zip(rows, whole, strict=True)], np.int64)
     quotas = split(units, shards, np.random.default_rng(seed)) if len(units) else np.zeros((shards, 0), np.int64)
@@ -95,7 +110,10 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction
     found = []
     for i, (source, s, g, k, _) in enumerate(rows):
         at = last.get(source)
-        part = (at["rest"] - at["upto"] + at["size"]) // at["rows"] if at else 0
+        lacking = at["rest"] - at["upto"] + at["size"] if at else 0
+        part = lacking // at["rows"] if at else 0
+        if at and min(lacking, at["size"] - lacking) <= near * g:
+            part = at["size"] if 2 * lacking >= at["size"] else 0
         found.append((source, s, g, k, at["_block"] if at else -1, at["_h"] if at else 0, part, firsts[:, i].tolist()))
     dropped(summed)
     return Plan(sized, spark.createDataFrame(found, "_source string, source_size long, target double, copies int, end_block int, end_h long, part long, firsts array<long>"))
@@ -110,8 +128,9 @@ def _drawn(rows: DataFrame, by_source: DataFrame, blocks: int) -> DataFrame:
     """
     unit = lambda copy: copy.cast("long") * blocks + F.col("_block")
     shard = lambda copy: F.size(F.filter("firsts", lambda x: x <= unit(copy))) - 1
-    # By unsigned value, as the blocks are: within the last block the leading bits agree, so that signed order does.
-    last = F.when(F.col("_h") < F.col("end_h"), F.col("size")).when(F.col("_h") == F.col("end_h"), F.least("part", "size")).otherwise(F.lit(0))
+    # By unsigned value, as blocks and their parts are.
+    unsigned = lambda c: F.col(c).bitwiseXOR(F.lit(-(1 << 63)))
+    last = F.when(unsigned("_h") < unsigned("end_h"), F.col("size")).when(F.col("_h") == F.col("end_h"), F.least("part", "size")).otherwise(F.lit(0))
     words = lambda copy: F.when((copy == F.col("copies")) & (F.col("_block") == F.col("end_block")), last).otherwise(F.col("size"))
     draws = F.transform(F.sequence(F.lit(0), F.col("copies")), lambda c: F.struct(c.alias("copy"), words(c).cast("long").alias("words"), shard(c).cast("int").alias("shard")))
     # firsts ends with the number of all blocks drawn: what is beyond no shard draws.
@@ -133,25 +152,24 @@ def taken(docs: DataFrame, seed: int = 7, blocks: int = 4096, **how: object) ->
 
 
 def mixed(docs: DataFrame, seed: int = 7, blocks: int = 4096, **how: object) -> DataFrame:
-    """The mix itself: the columns of docs once for each copy taken, with copy (from 0), words, shard and place.
+    """The mix itself: doc (a struct of the columns of docs, whatever their names) once for each copy taken, with copy (from
+    0), words, shard and place.
 
-    The document in which a source's quota ends has its first words only (`words` of them); all others are whole.
-    Documents of no words are in every copy of their source that is whole.  dealt() puts it in the order of shards and
-    places, in which it is shuffled within shards.
+    The document in which a source's quota ends may have its first words only (`words` of them, see plan()); all others are
+    whole.  Documents of no words are in every copy of their source that is whole: null texts stay null, empty ones
+    empty.  Null sources are one source, null ids are taken alike, repeated rows are too.  No rows give no rows.  dealt()
+    puts it in the order of shards and places, in which it is shuffled within shards.
     """
     p = plan(docs, seed=seed, blocks=blocks, **how)
-    own = docs.columns
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in own]).alias("_doc"), docs["source"].cast("string").alias("source"), F.regexp_count(text_of(docs["text"]), F.lit(WORD)).cast("long").alias("size"), *keyed(docs, seed, blocks))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("doc"), docs["source"].cast("string").alias("source"), F.regexp_count(text_of(docs["text"]), F.lit(WORD)).cast("long").alias("size"), *keyed(docs, seed, blocks))
     drawn = _drawn(rows, p.by_source, blocks).withColumn("draw", F.explode("draws"))
     words = F.col("draw.words")
-    cut = F.when(words >= F.col("size"), F.col("_doc.text")).otherwise(F.expr(r"array_join(slice(regexp_extract_all(_doc.text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), 1, cast(draw.words as int)), '')"))
-    return drawn.select(
-        *[(cut if c == "text" else F.col("_doc").getField(c)).alias(c) for c in own],
-        F.col("draw.copy").alias("_copy"), words.alias("_words"), F.col("draw.shard").alias("_shard"), F.xxhash64(F.lit(seed), F.col("_h"), F.col("draw.copy")).alias("_place"),
-    )
+    cut = F.expr(r"array_join(slice(regexp_extract_all(doc.text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), 1, cast(draw.words as int)), '')")
+    whole = F.col("doc").withField("text", F.when(words >= F.col("size"), F.col("doc.text")).otherwise(cut))
+    return drawn.select(whole.alias("doc"), F.col("draw.copy").alias("copy"), words.alias("words"), F.col("draw.shard").alias("shard"), F.xxhash64(F.lit(seed), F.col("_h"), F.col("draw.copy")).alias("place"))
 
 
 def dealt(mix: DataFrame) -> DataFrame:
     """What mixed() returns, by shard and in the order of places within: ranges of both, so that no task holds a whole shard
     that is large."""
-    return mix.repartitionByRange("_shard", "_place").sortWithinPartitions("_shard", "_place")
+    return mix.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
