@@ -5,24 +5,31 @@ values stay linked across documents, and different ones stay different.  A Feist
 keyed hash of one half to the other, in turns, so it is a permutation for any a and b:
 
 * card numbers: 13 to 19 digits with a right Luhn sum; all but the check digit, which is computed anew;
-* telephone numbers: +country code and ten digits, which are permuted; the code and all punctuation stay;
+* telephone numbers: +country code and 7 to 12 more digits, or ten digits as (3) 3-4 or 3-3-4; the country code and all
+  punctuation stay;
 * US social security numbers: within the valid areas, groups and serials;
-* IPv4 addresses: four numbers up to 255, as 32 bits;
-* dates, 1900-01-01 to 2099-08-05: year first, or day first, with `-`, `/` or `.`; the day's number, of 270 x 270;
+* IPv4 addresses: four numbers up to 255, as 32 bits; IPv6 addresses: hexadecimal digits as such, colons stay;
+* IBANs with a right remainder: letters as letters, digits as digits, the check digits computed anew;
+* dates, 1900-01-01 to 2099-08-05: year first, day first, or month first where that alone is a day, with `-`, `/` or `.`;
+  the day's number, of 270 x 270;
 * e-mail addresses: the local part, letters as letters (of the same case), digits as digits; the domain stays;
-* secrets behind `token =` and the like: 16 to 128 hexadecimal digits, as hexadecimal digits.
+* secrets behind `token =`, `password:` and the like: hexadecimal digits, 16 or more, as such; other words of 8 characters or
+  more that hold a digit, letters as letters and digits as digits.
 
-All of it is built-in functions.
+The keyed hash is HMAC-SHA256.  All of it is built-in functions.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: The country codes of one and of two digits; all others have three.
+COUNTRY_CODES = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -31,8 +38,12 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def keyed(key: str, tag: str, i: Column, value: Column) -> Column:
-    """A keyed hash, as 64 hexadecimal digits."""
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), i.cast("string"), value.cast("string")), 256)
+    """HMAC-SHA256 of tag, i and value, as 64 hexadecimal digits."""
+    secret = key.encode()
+    secret = (hashlib.sha256(secret).digest() if len(secret) > 64 else secret).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ x for b in secret)) for x in (0x36, 0x5C))
+    message = F.encode(F.concat_ws("|", F.lit(tag), i.cast("string"), value.cast("string")), "UTF-8")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 256))), 256)
 
 
 def halves(left: Column, right: Column, a: Column, b: Column, key: str, tag: str) -> Column:
@@ -53,11 +64,13 @@ def permuted(n: Column, a: int, b: int, key: str, tag: str) -> Column:
 
 
 def respelt(word: Column, key: str, tag: str, shifted: Callable[[Column, Column], Column]) -> Column:
-    """A word's halves, each shifted in turns, character by character, by a keyed hash of the other."""
+    """A word's halves, each shifted in turns, character by character, by keyed hashes of the other: one for every 16
+    characters, so that shifts don't repeat."""
 
     def shift(half: Column, i: Column, other: Column) -> Column:
-        by = lambda h, j: F.conv(F.substring(h, (j % 16) * 4 + 1, F.lit(4)), 16, 10).cast("int")
-        return let(keyed(key, tag, i, other), lambda h: F.array_join(F.transform(F.split(half, ""), lambda c, j: F.when(c == "", c).otherwise(shifted(c, by(h, j)))), ""))
+        by = lambda hs, j: F.conv(F.substring(F.element_at(hs, F.floor(j / 16).cast("int") + 1), (j % 16) * 4 + 1, F.lit(4)), 16, 10).cast("int")
+        hashes = F.transform(F.sequence(F.lit(0), F.floor(F.length(half) / 16).cast("int")), lambda n: keyed(key, tag, i, F.concat_ws("|", n.cast("string"), other)))
+        return let(hashes, lambda hs: F.array_join(F.transform(F.split(half, ""), lambda c, j: F.when(c == "", c).otherwise(shifted(c, by(hs, j)))), ""))
 
     def turn(s: Column, i: Column) -> Column:
         even = i % 2 == 0
@@ -77,11 +90,11 @@ def hexadecimal(c: Column, by: Column) -> Column:
     return F.substring(F.lit("0123456789abcdef"), (F.instr(F.lit("0123456789abcdef"), c) - 1 + by) % 16 + 1, F.lit(1))
 
 
-def refilled(template: Column, new: Column) -> Column:
-    """The template with its digits replaced, in order."""
+def refilled(template: Column, new: Column, of: str = "^[0-9]$") -> Column:
+    """The template with its digits (or what `of` says) replaced, in order."""
     return let(new, lambda digits: F.aggregate(
         F.split(template, ""), F.struct(F.lit(1).alias("p"), F.lit("").alias("o")),
-        lambda s, c: F.when(c.rlike("^[0-9]$"), F.struct((s["p"] + 1).alias("p"), F.concat(s["o"], F.substring(digits, s["p"], F.lit(1))).alias("o"))).otherwise(F.struct(s["p"].alias("p"), F.concat(s["o"], c).alias("o"))),
+        lambda s, c: F.when(c.rlike(of), F.struct((s["p"] + 1).alias("p"), F.concat(s["o"], F.substring(digits, s["p"], F.lit(1))).alias("o"))).otherwise(F.struct(s["p"].alias("p"), F.concat(s["o"], c).alias("o"))),
         lambda s: s["o"],
     ))
 
@@ -102,6 +115,14 @@ def power(k: Column) -> Column:
     return F.element_at(F.array(*[F.lit(10**i).cast("long") for i in range(11)]), k + 1)
 
 
+def renumbered(d: Column, key: str, tag: str) -> Column:
+    """A string of 2 to 20 digits as another of the same length, by the network on its halves."""
+    n = F.length(d)
+    k = F.floor(n / 2).cast("int")
+    s = halves(F.substring(d, F.lit(1), k).cast("long"), F.substring(d, k + 1, n - k).cast("long"), power(k), power(n - k), key, tag)
+    return let(s, lambda s: F.concat(F.lpad(s["l"].cast("string"), k, F.lit("0")), F.lpad(s["r"].cast("string"), n - k, F.lit("0"))))
+
+
 Kind = tuple[str, str, str, Callable[[Column], Column] | None, Callable[[Column, str], Column]]
 
 
@@ -111,10 +132,7 @@ def card_ok(m: Column) -> Column:
 
 def card(m: Column, key: str) -> Column:
     def new(d: Column) -> Column:
-        n = F.length(d) - 1
-        k = F.floor(n / 2).cast("int")
-        s = halves(F.substring(d, F.lit(1), k).cast("long"), F.substring(d, k + 1, n - k).cast("long"), power(k), power(n - k), key, "card")
-        joined = let(s, lambda s: F.concat(F.lpad(s["l"].cast("string"), k, F.lit("0")), F.lpad(s["r"].cast("string"), n - k, F.lit("0"))))
+        joined = renumbered(F.substring(d, F.lit(1), F.length(d) - 1), key, "card")
         return let(joined, lambda x: F.concat(x, ((10 - luhn(x, True) % 10) % 10).cast("string")))
 
     return refilled(m, let(digits_of(m), new))
@@ -122,9 +140,8 @@ def card(m: Column, key: str) -> Column:
 
 def phone(m: Column, key: str) -> Column:
     def new(d: Column) -> Column:
-        n = F.length(d)
-        own = permuted(F.substring(d, n - 9, F.lit(10)).cast("long"), 100_000, 100_000, key, "phone")
-        return F.concat(F.substring(d, F.lit(1), n - 10), F.lpad(own.cast("string"), 10, "0"))
+        code = F.when(~m.startswith("+"), 0).when(d.rlike(COUNTRY_CODES), F.length(F.regexp_extract(d, COUNTRY_CODES, 0))).otherwise(3)
+        return let(code, lambda n: F.concat(F.substring(d, F.lit(1), n), renumbered(F.substring(d, n + 1, F.length(d)), key, "phone")))
 
     return refilled(m, let(digits_of(m), new))
 
@@ -150,21 +167,28 @@ def address(m: Column, key: str) -> Column:
 FIRST, DAYS = "1900-01-01", 270
 
 
-def day(m: Column, year_first: bool) -> Column:
+def day(m: Column, order: str) -> Column:
     """Its number from 1900-01-01 on, null if there is no such day."""
     plain = F.regexp_replace(m, "[^0-9]", "-")
-    date = F.to_date(F.try_to_timestamp(plain, F.lit("yyyy-MM-dd" if year_first else "dd-MM-yyyy")))
+    date = F.to_date(F.try_to_timestamp(plain, F.lit(order)))
     return F.datediff(date, F.lit(FIRST).cast("date"))
 
 
-def dated(m: Column, key: str, year_first: bool) -> Column:
-    n = permuted(day(m, year_first).cast("long"), DAYS, DAYS, key, "date").cast("int")
-    new = F.date_format(F.date_add(F.lit(FIRST).cast("date"), n), "yyyyMMdd" if year_first else "ddMMyyyy")
-    return refilled(m, new)
+def in_days(*orders: str) -> Callable[[Column], Column]:
+    return lambda m: F.coalesce(*[F.when(day(m, o).between(0, DAYS * DAYS - 1), F.lit(True)) for o in orders], F.lit(False))
+
+
+def dated(*orders: str) -> Callable[[Column, str], Column]:
+    """A pseudonym in the first of the orders in which there is such a day."""
 
+    def new(m: Column, key: str) -> Column:
+        out = F.lit(None).cast("string")
+        for order in reversed(orders):
+            n = permuted(day(m, order).cast("long"), DAYS, DAYS, key, "date").cast("int")
+            out = F.when(in_days(order)(m), F.date_format(F.date_add(F.lit(FIRST).cast("date"), n), order.replace("-", ""))).otherwise(out)
+        return refilled(m, out)
 
-def in_days(year_first: bool) -> Callable[[Column], Column]:
-    return lambda m: F.coalesce(day(m, year_first).between(0, DAYS * DAYS - 1), F.lit(False))
+    return new
 
 
 def email(m: Column, key: str) -> Column:
@@ -173,12 +197,39 @@ def email(m: Column, key: str) -> Column:
 
 
 def secret(m: Column, key: str) -> Column:
-    told = F.regexp_extract(m, "[0-9a-f]*$", 0)
-    return F.concat(F.substring(m, F.lit(1), F.length(m) - F.length(told)), respelt(told, key, "hex", hexadecimal))
+    told = F.regexp_extract(m, r"[0-9A-Za-z_+/.-]*=*$", 0)
+    lower, upper = told.rlike("^[0-9a-f]{16,}$"), told.rlike("^[0-9A-F]{16,}$")
+    new = lambda t: F.when(lower, respelt(t, key, "hex", hexadecimal)).when(upper, F.upper(respelt(F.lower(t), key, "hex", hexadecimal))).otherwise(respelt(t, key, "word", alphanumeric))
+    return F.concat(F.substring(m, F.lit(1), F.length(m) - F.length(told)), new(told))
+
+
+def address6(m: Column, key: str) -> Column:
+    """Digits and colons as they stand: the same address written otherwise has another pseudonym."""
+    return refilled(m, respelt(F.regexp_replace(F.lower(m), ":", ""), key, "ip6", hexadecimal), "^[0-9A-Fa-f]$")
+
+
+def remainder_of_97(told: Column) -> Column:
+    """Of a string of digits and capital letters, which count as 10 to 35."""
+    step = lambda n, c: F.when(c.rlike("[A-Z]"), (n * 100 + F.ascii(c) - 55) % 97).when(c == "", n).otherwise((n * 10 + c.cast("int")) % 97)
+    return F.aggregate(F.split(told, ""), F.lit(0), step)
+
+
+def iban_ok(m: Column) -> Column:
+    return let(F.replace(m, F.lit(" "), F.lit("")), lambda x: F.length(x).between(15, 34) & (remainder_of_97(F.concat(F.substring(x, 5, 40), F.substring(x, 1, 4))) == 1))
+
+
+def iban(m: Column, key: str) -> Column:
+    def new(x: Column) -> Column:
+        country = F.substring(x, 1, 2)
+        return let(respelt(F.substring(x, 5, 40), key, "iban", alphanumeric), lambda own: F.concat(country, F.lpad((98 - remainder_of_97(F.concat(own, country, F.lit("00")))).cast("string"), 2, "0"), own))
+
+    return refilled(m, let(F.replace(m, F.lit(" "), F.lit("")), new), "^[0-9A-Z]$")
 
 
 always = lambda m: F.lit(True)
 DATE = r"[0-9](?<![0-9A-Za-z].)(?:{0}-{1}-{2}|{0}/{1}/{2}|{0}\.{1}\.{2})(?![0-9A-Za-z])"
+#: A name of a secret, and hexadecimal digits or a word with a digit in it.
+SECRET = r"""(?i:token|secret|passw(?:or)?d|pwd|api.?key)\s{0,3}[=:]\s{0,3}["']?(?<![0-9A-Za-z])(?:[0-9a-f]{16,}+|[0-9A-F]{16,}+|(?=[A-Za-z_+/.-]*[0-9])[0-9A-Za-z_+/.-]{7,}[0-9A-Za-z]=*)(?![0-9A-Za-z])"""
 #: A run of numbers parted by single blanks or hyphens, 13 digits or more, with what is glued to its ends.
 RUN = r"[A-Za-z+]?(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?:[ -][0-9]++)*+[0-9A-Za-z]*+"
 #: How cards are written: unbroken, or in these groups with one separator, the first digit an issuer's.
@@ -227,13 +278,16 @@ def cards(run: Column, key: str) -> Column:
 #: match, and look behind it only then; none can start inside a run that it could start before.
 KINDS: tuple[Kind, ...] = (
     ("emails", "@", r"[A-Za-z0-9._%+-](?<![A-Za-z0-9._%+-].)[A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", always, email),
-    ("secrets", "[=:]", r"""(?:token|secret|password|api.?key)\s{0,3}[=:]\s{0,3}["']?(?<![0-9A-Za-z])[0-9a-f]{16,128}(?![0-9A-Za-z])""", always, secret),
-    ("phones", "[+]", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])", always, phone),
+    ("secrets", "[=:]", SECRET, always, secret),
+    ("ibans", "[A-Z]{2}[0-9]{2}", r"[A-Z](?<![0-9A-Za-z].)[A-Z][0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])", iban_ok, iban),
+    ("phones", "[+]", r"\+(?:[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|[0-9](?:[ .()/-]{0,2}[0-9]){7,12}(?![0-9]))", always, phone),
     ("cards", "[0-9][0-9 -]{11}[0-9]", RUN, None, cards),
+    ("phones", "[0-9]{3}[-.][0-9]{4}", r"(?:\((?<![0-9A-Za-z+).].)(?<!\+[0-9]{1,3}[ .-]?.)[0-9]{3}\) ?[0-9]{3}|[0-9](?<![0-9A-Za-z+(./-].)(?<![0-9][ .-].)[0-9]{2}([-.])[0-9]{3}(?=\1))[-.][0-9]{4}(?![0-9A-Za-z]|[./-][0-9])", always, phone),
     ("ssns", "[0-9]-[0-9]{2}-[0-9]", r"[0-9](?<![0-9A-Za-z-].)[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", lambda m: ~m.rlike("^(?:000|666|9)|-00-|-0000$"), ssn),
     ("ips", "[0-9][.][0-9]", r"[0-9](?<![0-9A-Za-z.].)[0-9]{0,2}\.(?:[0-9]{1,3}\.){2}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])", lambda m: F.greatest(*octets(m)) < 256, address),
-    ("dates", "[0-9]{4}[-/.][0-9]", DATE.format("[0-9]{3}", "[0-9]{2}", "[0-9]{2}"), in_days(True), lambda m, key: dated(m, key, True)),
-    ("dates", "[0-9][-/.][0-9]{4}", DATE.format("[0-9]", "[0-9]{2}", "[0-9]{4}"), in_days(False), lambda m, key: dated(m, key, False)),
+    ("ips", "[0-9a-fA-F]:[0-9a-fA-F:]", r"[0-9A-Fa-f](?<![0-9A-Za-z:.].)[0-9A-Fa-f]{0,3}:(?:(?:[0-9A-Fa-f]{1,4}:){6}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,5}(?::[0-9A-Fa-f]{1,4}){1,5}|(?::[0-9A-Fa-f]{1,4}){2,6})(?![0-9A-Za-z:])", lambda m: m.rlike("[0-9]") & (F.regexp_count(m, F.lit(":")) < 8), address6),
+    ("dates", "[0-9]{4}[-/.][0-9]", DATE.format("[0-9]{3}", "[0-9]{2}", "[0-9]{2}"), in_days("yyyy-MM-dd"), dated("yyyy-MM-dd")),
+    ("dates", "[0-9][-/.][0-9]{4}", DATE.format("[0-9]", "[0-9]{2}", "[0-9]{4}"), in_days("dd-MM-yyyy", "MM-dd-yyyy"), dated("dd-MM-yyyy", "MM-dd-yyyy")),
 )
 
 
@@ -246,14 +300,23 @@ def replacing(ok: Callable[[Column], Column] | None, new: Callable[[Column, str]
 def pseudonymised(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """docs with `column` pseudonymised and a column n_found: how many values were replaced.
 
-    Null texts stay null with n_found 0.  Values that don't validate stay as they are.  All rows and columns stay.
+    Null texts stay null and empty ones empty, with n_found 0; long texts are read whole.  Values that don't validate stay
+    as they are.  All rows and columns stay, repeated rows alike; where docs has a column n_found, the number's name
+    gets underscores until it is free.  No rows give no rows.
     """
-    out = docs.withColumns({"n_found": F.lit(0)})
+
+    def unused(name: str) -> str:
+        while name.lower() in {c.lower() for c in docs.columns}:
+            name += "_"
+        return name
+
+    count, found = unused("n_found"), unused("_found")
+    out = docs.withColumn(count, F.lit(0))
     for _, sign, pattern, ok, new in KINDS:
-        text = F.col(column)
+        text = F.col(f"`{column}`")
         has = F.coalesce((text.contains(sign) if len(sign) == 1 else text.rlike(sign)) & text.rlike(pattern), F.lit(False))
         step = F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-        out = out.withColumn("_found", F.transform(step, replacing(ok, new, key)))
-        joined = F.array_join(F.zip_with(F.split(text, pattern, -1), F.col("_found"), lambda a, b: F.concat(a, F.coalesce(b["m"], F.lit("")))), "")
-        out = out.withColumns({column: F.when(F.col("_found").isNull(), text).otherwise(joined), "n_found": F.col("n_found") + F.coalesce(F.aggregate("_found", F.lit(0), lambda n, b: n + b["n"]), F.lit(0))}).drop("_found")
+        out = out.withColumn(found, F.transform(step, replacing(ok, new, key)))
+        joined = F.array_join(F.zip_with(F.split(text, pattern, -1), F.col(found), lambda a, b: F.concat(a, F.coalesce(b["m"], F.lit("")))), "")
+        out = out.withColumns({column: F.when(F.col(found).isNull(), text).otherwise(joined), count: F.col(count) + F.coalesce(F.aggregate(found, F.lit(0), lambda n, b: n + b["n"]), F.lit(0))}).drop(found)
     return out
