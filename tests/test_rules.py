@@ -32,6 +32,9 @@ def test_bins_and_titles(spark):
     assert tuple(one(spark, text.term_parts, "in(box)")) == ("in", "box")
     assert text.kinds_of("Wheat and meslin, seed; horses and other equines n.e.c.") == ["wheat", "meslin", "horses"]
     assert text.kinds_of("Meat of pigs, frozen") == ["meat"]
+    assert text.kinds_of("Red wine and red; twisted yarn and united") == ["red wine", "red", "twisted yarn", "united"]
+    assert text.kinds_of("paper put up for sale, cut; feed") == ["paper", "feed"] and text.kinds_of(None) == []
+    assert one(spark, text.media_keys, "-format") == ["-format"] and one(spark, text.media_keys, "png-format") == ["png-format", "png"]
     assert text.variants_of("fresh sea-fish")[:2] == ["fresh_sea-fish", "fresh_sea_fish"] and "sea_fish" in text.variants_of("fresh sea-fish")
     assert text.parents_listed("in(box) thing (a note)") == ["in(box)", "thing"]
 
@@ -95,6 +98,113 @@ def test_replay_is_idempotent(spark):
     assert {what for _, what in second.done} == {"already"}
 
 
+STORES = {
+    "core": {"entity": ["*"], "agent": ["entity"], "firm": ["agent"], "bank": ["firm"], "cell": ["entity"]},
+    "pack": {"club": ["agent"], "agent": ["*"], "team": ["club"], "firm": ["club", "agent"], "kid": ["cell"], "cell": ["*"], "own": ["*"]},
+    "side": {"club": ["agent"], "agent": ["*"]},
+}
+
+
+def machine_of(rows, prelude=None):
+    m = rules.Replay({s: {n: list(p) for n, p in x.items()} for s, x in STORES.items()}, prelude or {})
+    log = [rules.Ruling(p, s, a, tuple(o.split()), tuple(n.split())) for p, s, a, o, n in rows]
+    m.log = rules.Log(log)
+    for i, r in enumerate(log):
+        m.rule(i, r.pack, r.sub, r.action, r.old, r.new, i)
+    return m
+
+
+@pytest.mark.parametrize(("row", "said", "at", "wanted"), [
+    (("core", "guild", "add", "", "firm"), "done", "guild", ["firm"]),
+    (("core", "firm", "add", "", "entity"), "already", "firm", ["agent", "entity"]),
+    (("core", "firm", "add", "", "cell"), "error", "firm", ["agent"]),
+    (("core", "guild", "add", "", "nowhere"), "error", "guild", None),
+    (("core", "guild", "add", "", "club"), "error", "guild", None),
+    (("pack", "team", "parent+", "", "cell"), "done", "team", ["club", "cell"]),
+    (("pack", "team", "parent+", "", "agent"), "already", "team", ["club", "agent"]),
+    (("pack", "nobody", "parent+", "", "cell"), "error", "nobody", None),
+    (("pack", "team", "parent+", "", "in(cell)"), "done", "team", ["club", "in(cell)"]),
+    (("pack", "team", "move", "club", "firm"), "done", "team", ["firm"]),
+    (("pack", "team", "move", "cell", "agent"), "already", "team", ["club", "agent"]),
+    (("pack", "team", "move", "cell", "bank"), "error", "team", ["club"]),
+    (("pack", "firm", "cut", "club", ""), "done", "firm", ["agent"]),
+    (("pack", "team", "cut", "club", ""), "error", "team", ["club"]),
+    (("pack", "team", "cut", "cell", ""), "already", "team", ["club"]),
+    (("pack", "bank", "refine", "", "team"), "error", "bank", None),
+    (("pack", "bank", "refine-cross", "", "team"), "done", "bank", ["team"]),
+    (("pack", "bank", "refine-cross", "", "in(cell)"), "error", "bank", None),
+    (("pack", "bank", "refine-cross", "", "cell"), "error", "bank", None),
+    (("core", "bank", "refine-cross", "", "team"), "error", "bank", ["firm"]),
+    (("pack", "club", "promote", "", "agent"), "done", "club", ["*"]),
+    (("pack", "club", "promote", "", "team"), "error", "club", ["agent"]),
+    (("core", "bank", "promote", "", "agent"), "error", "bank", ["firm"]),
+    (("pack", "club", "disown", "", ""), "done", "club", ["*"]),
+    (("pack", "firm", "disown", "", "club"), "done", "firm", ["club"]),
+    (("pack", "firm", "disown", "", "bank"), "error", "firm", ["club", "agent"]),
+    (("pack", "own", "disown", "", ""), "error", "own", ["*"]),
+    (("pack", "team", "drop", "", ""), "done", "team", None),
+    (("core", "cell", "drop", "", ""), "error", "cell", ["entity"]),
+    (("pack", "cell", "drop", "", ""), "already", "cell", ["*"]),
+    (("pack", "nobody", "drop", "", ""), "already", "nobody", None),
+    (("pack", "team", "swap", "", ""), "error", "team", ["club"]),
+])
+def test_each_action(row, said, at, wanted):
+    m = machine_of([row])
+    assert ([w for _, w in m.done] or ["error"]) == [said] and len(m.errors) == (said == "error")
+    assert m.stores[row[0]].get(at) == wanted
+    if said == "error":
+        assert {s: x for s, x in m.stores.items() if x} == STORES
+
+
+@pytest.mark.parametrize("rows", [
+    [("pack", "team", "move", "club", "cell"), ("pack", "team", "move", "cell", "firm")],
+    [("pack", "team", "parent+", "", "cell"), ("pack", "team", "cut", "cell", "")],
+    [("core", "guild", "add", "", "firm"), ("core", "guild", "move", "firm", "cell")],
+    [("core", "guild", "add", "", "firm"), ("core", "guild", "drop", "", "")],
+    [("pack", "firm", "cut", "club", ""), ("pack", "firm", "parent+", "", "club")],
+    [("pack", "team", "move", "club", "cell"), ("pack", "team", "promote", "", "agent")],
+    [("pack", "bank", "refine-cross", "", "team"), ("pack", "bank", "move", "team", "club")],
+    [("pack", "club", "parent+", "", "cell"), ("pack", "club", "disown", "", "")],
+])
+def test_later_rows_win_and_stay(rows):
+    """Replayed on its own output, an earlier row doesn't bring back what a later one takes away."""
+    once = machine_of(rows)
+    assert not once.errors
+    again = rules.Replay({s: {n: list(p) for n, p in x.items()} for s, x in once.stores.items()})
+    again.log = once.log
+    log = [rules.Ruling(p, s, a, tuple(o.split()), tuple(n.split())) for p, s, a, o, n in rows]
+    for i, r in enumerate(log):
+        again.rule(i, r.pack, r.sub, r.action, r.old, r.new, i)
+    assert not again.errors and {w for _, w in again.done} == {"already"}
+    assert {s: {n: set(p) for n, p in x.items()} for s, x in again.stores.items()} == {s: {n: set(p) for n, p in x.items()} for s, x in once.stores.items()}
+
+
+def test_prelude_and_strictness(spark):
+    m = machine_of([("core", "in", "parent+", "", "entity")], {"in": ["relation"], "relation": []})
+    assert m.stores["core"]["in"] == ["relation", "entity"]
+    edges = spark.createDataFrame([("core", "a", "*", 0)], "store string, sub string, sup string, ord int")
+    log = spark.createDataFrame([(0, "core", "b", "move", "x", "a")], "seq int, pack string, sub string, action string, old string, new string")
+    with pytest.raises(ValueError, match="b isn't in core"):
+        rules.replay(edges, log, strict=True)
+
+
+def test_what_follows_a_log(spark):
+    rows = [("core", "shore", "*"), ("core", "coast", "shore"), ("core", "sea", "*"), ("p", "landfall", "coast"), ("p", "landfall", "shore"), ("p", "port", "in(sea)"), ("p", "port", "linear-dimension(length)"), ("p", "coast", "*"), ("q", "sea", "*"), ("q", "own", "*"), ("q", "gone", "*")]
+    edges = spark.createDataFrame([(*r, 0) for r in rows], "store string, sub string, sup string, ord int")
+    out = {(r["store"], r["sub"], r["sup"]) for r in rules.settled(edges, {"gone"}).collect()}
+    assert out == set(rows) - {("p", "landfall", "shore"), ("q", "sea", "*"), ("q", "gone", "*")} | {("p", "sea", "*")}
+
+
+def test_names_are_reused():
+    """floor -> floor-surface, then storey -> floor: a second run leaves the new floor alone."""
+    rows = [{"seq": 0, "pack": "core", "old": "floor", "new": "floor-surface", "kind": "sense"}, {"seq": 1, "pack": "core", "old": "storey", "new": "floor", "kind": "respell"}]
+    m = rules.Replay({"core": {"floor": ["*"], "storey": ["*"], "tile": ["on(floor)"]}})
+    rules.carry_out_renames(m, rows)
+    assert m.stores["core"] == {"floor-surface": ["*"], "floor": ["*"], "tile": ["on(floor-surface)"]}
+    rules.carry_out_renames(m, rows)
+    assert m.stores["core"] == {"floor-surface": ["*"], "floor": ["*"], "tile": ["on(floor-surface)"]}
+
+
 def test_paths_of_any_depth(spark):
     """A chain of 70 levels has a path for each name."""
     chain = spark.createDataFrame([(f"n{i + 1}", f"n{i}") for i in range(69)], "sub string, sup string")
