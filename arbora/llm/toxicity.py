@@ -14,6 +14,7 @@ row judged without itself.  The nearest examples are the evidence.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -195,8 +196,9 @@ def stretches(seen: np.ndarray, n: np.ndarray, floor: float) -> np.ndarray:
     return np.maximum(ratio / (2 * math.log(max(2, len(ratio))) + 4), floor)
 
 
-def examples_of(docs: DataFrame, labels: DataFrame, sample: int, held_out: int) -> list[tuple[int, int, dict[str, int]]]:
-    """(id, toxic, counts of terms) of the sampled labelled rows, one for each id: the smallest of its texts."""
+def examples_of(docs: DataFrame, labels: DataFrame, sample: int, held_out: int) -> pa.Table:
+    """(_id, _toxic, terms, counts: how often each term stands) of the sampled labelled rows, in the order of ids, one for each:
+    the smallest of its texts."""
     own = labels.where(remainder_of_five(labels["doc_id"]) != held_out).groupBy(labels["doc_id"].cast("long").alias("_id")).agg(F.max(labels["toxic"].cast("int")).alias("_toxic")).where("_toxic is not null")
     picked = own.join(docs.select(docs["doc_id"].cast("long").alias("_id")), "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(sample).collect()
     # The picked ids go along as a literal list: `sample` of them at most.
@@ -209,9 +211,9 @@ def examples_of(docs: DataFrame, labels: DataFrame, sample: int, held_out: int)
             own = [Counter(terms(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([list(c) for c in own], pa.list_(pa.string())), pa.array([list(c.values()) for c in own], pa.list_(pa.int64()))], ["_id", "_toxic", "terms", "counts"])
 
-    found = rows.mapInArrow(counted, "_id long, _toxic int, terms array<string>, counts array<long>").collect()
+    found = rows.mapInArrow(counted, "_id long, _toxic int, terms array<string>, counts array<long>").toArrow()
     dropped(rows)
-    return sorted(((r["_id"], r["_toxic"], dict(zip(r["terms"], r["counts"], strict=True))) for r in found), key=lambda x: x[0])
+    return found.sort_by("_id")
 
 
 def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
@@ -242,29 +244,37 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4096, held_out: int
     empty.  Long texts count whole.  Without labels, or from empty tables, every score is 0.1.  Other columns are ignored.
     """
     told = examples_of(docs, labels, sample, held_out)
-    vocabulary: dict[str, int] = {}
-    for _, _, counts in told:
-        for w in sorted(counts):
-            vocabulary.setdefault(w, len(vocabulary))
-    n = np.array([sum(1 for _, y, _ in told if not y), sum(y for _, y, _ in told)], float)
+    ids, toxic = (told[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("_id", "_toxic"))
+    listed = told["terms"].combine_chunks()
+    spelt = listed.flatten().dictionary_encode()
+    vocabulary = {w: i for i, w in enumerate(spelt.dictionary.to_pylist())}
+    term, times = spelt.indices.to_numpy().astype(np.int64), told["counts"].combine_chunks().flatten().to_numpy()
+    sizes = np.diff(listed.offsets.to_numpy()) if len(listed) else np.zeros(0, int)
+    del told, listed, spelt
+    n = np.array([len(toxic) - toxic.sum(), toxic.sum()], float)
     base = (n[1] + 0.1) / (n.sum() + 1)
     if not vocabulary:
         return Model({}, np.zeros(0), Index([], [], [], 0), [], (int(n.sum()), int(n[1])), base, k)
-    seen = np.zeros((2, len(vocabulary)))
-    for _, y, counts in told:
-        seen[y, [vocabulary[w] for w in counts]] += 1
+    label = np.repeat(toxic, sizes)
+    seen = np.stack([np.bincount(term[label == y], minlength=len(vocabulary)) for y in (0, 1)]).astype(float)
     total, df = frequencies(docs, vocabulary)
     weight = (np.log((1 + total) / (1 + df)) + 1) * stretches(seen, n, floor)
     model = Model(vocabulary, weight, Index([], [], [], 0), [], (0, 0), base, k)
-    entries: dict[tuple, list[tuple[int, int]]] = {}
+    # Rows of the same counts are one entry.
+    entries: dict[bytes, list[tuple[int, int]]] = {}
+    vectors: list[Vector] = []
     none = [0, 0]
-    for i, y, counts in told:
-        if counts:
-            entries.setdefault(tuple(sorted((vocabulary[w], m) for w, m in counts.items())), []).append((i, y))
-        else:
+    for i, y, end, size in zip(ids.tolist(), toxic.tolist(), np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+        if not size:
             none = [none[0] + 1, none[1] + y]
-    keys, own = list(entries), list(entries.values())
-    vectors = [model.of(*np.array(key).T) for key in keys]
+            continue
+        at, counts = term[end - size : end], times[end - size : end]
+        order = np.argsort(at)
+        key = hashlib.blake2b(np.stack([at[order], counts[order]]).tobytes(), digest_size=16).digest()
+        if key not in entries:
+            vectors.append(model.of(at, counts))
+        entries.setdefault(key, []).append((i, y))
+    own = list(entries.values())
     index = Index(vectors, [len(x) for x in own], [sum(y for _, y in x) for x in own], len(vocabulary))
     model = Model(vocabulary, weight, index, [own[i][0][0] for i in index.order], (none[0], none[1]), base, k)
     x, y = [], []
