@@ -106,7 +106,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # Large star: every larger neighbour of u hangs on the smallest of u and its neighbours.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_least(both).withColumn("m", F.least("u", "m")).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = with_least(both).withColumn("m", F.least("u", "m")).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large, "large")
         # Small star: u and its smaller neighbours hang on the smallest of them.
         joined = with_least(large)

@@ -287,6 +287,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4096, held_out: int
             y += [label] * times
     if len(set(y)) == 2:
         model.curve = logistic(np.array(x), np.array(y, float))
+    del entries, vectors, own
+    trim()
     return model
 
 
