@@ -3,17 +3,20 @@
 Smoothing: P(w | h) = (c(hw) + K * P(w | h')) / (c(h) + K), h' the context without its first word; at the end,
 P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)).  It sums to one.  As an automaton: a context seen in training is a state; each
 n-gram seen in training is an arc with its log-probability; every state has a failure arc to its shorter context, weighted
-log10(K / (c(h) + K)).  A text is read once, left to right, and its state carried along (for all texts of a block at once).
+log10(K / (c(h) + K)).  What a text adds is what one reading from left to right with a carried state adds; a block's texts
+are read at once, order by order, which gives the same arcs (Automaton.read() follows them one by one, for comparison).
 
 How it runs: each task cuts its documents into blocks of some 300,000 words.  A block sends each distinct n-gram once,
 with its training count here, to the bucket of the n-gram's hash.  A bucket sums them and answers a block only where the
 corpus's count differs from the block's own.  So a block knows the exact counts of its own n-grams, builds the part of the
 automaton that its documents can reach, and reads them.  Rows between tasks are packed arrays, so a frequent word costs
-one number per block.  Nothing is capped or pruned.
+one number per block.  Nothing is capped or pruned.  Texts are read twice; each block carries a digest of its texts from the
+first reading, so that a block that is cut otherwise the second time is an error and never a wrong count.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -183,29 +186,41 @@ def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0,
     Both scores are log10 probabilities of the whole text and its end.  Trained on the rows of docs (doc_id, text) whose
     remainder isn't held_out.  Null texts are empty: one token, the end.  Null ids are trained on.  Repeated rows count
     again and are scored alike.  Where nothing is trained on, every token has the unknown word's probability, 1.  No
-    rows give no rows.  Other columns are ignored.  Rows of docs must be dealt alike each time it is read, as files are.
+    rows give no rows.  Other columns are ignored.  Rows of docs must be dealt alike each time it is read, as files are;
+    if they aren't, that is an error.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(remainder_of_five(docs["doc_id"].cast("long")) == held_out, F.lit(False)).alias("held_out"), docs["text"].alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 << max(0, (total // bucket_bytes).bit_length())
     shift = 64 - (buckets.bit_length() - 1)
 
-    def edges(keys: np.ndarray) -> list[int]:
-        """Where each bucket, a range of hashes, begins among sorted hashes."""
-        return np.searchsorted(keys, np.array([b << shift for b in range(1, buckets)], np.uint64)).tolist()
+    def runs(keys: np.ndarray) -> list[tuple[int, int, int]]:
+        """Buckets are ranges of hashes: (bucket, from, to) of those that sorted hashes are in."""
+        if not len(keys):
+            return []
+        of = keys >> np.uint64(shift) if shift < 64 else np.zeros(len(keys), np.uint64)
+        start = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        return list(zip(of[start].tolist(), start.tolist(), [*start[1:].tolist(), len(keys)], strict=True))
+
+    def digest(ids: list, texts: list[bytes], held: list[bool]) -> bytes:
+        told = hashlib.blake2b(repr((ids, list(map(len, texts)), held)).encode(), digest_size=16)
+        for t in texts:
+            told.update(t)
+        return told.digest()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, texts, held in blocks(batches, block_bytes):
+        for number, ids, texts, held in blocks(batches, block_bytes):
             block = Block(texts, ~np.array(held), order)
-            out = []
+            out = [(-2 - number % buckets, number, digest(ids, texts, held))]
             for n in range(order):
-                at = [0, *edges(block.keys[n]), len(block.keys[n])]
-                out += [(n * buckets + b, number, packed(block.keys[n][i:j], block.counts[n][i:j])) for b, (i, j) in enumerate(zip(at, at[1:], strict=False)) if i < j]
+                out += [(n * buckets + b, number, packed(block.keys[n][i:j], block.counts[n][i:j])) for b, i, j in runs(block.keys[n])]
             bucket, of, payload = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(of, pa.int64()), pa.array(payload, pa.binary())], ["bucket", "block", "payload"])
 
     def summed(group: pa.Table) -> pa.Table:
         bucket, of = group["bucket"][0].as_py(), group["block"].to_pylist()
+        if bucket < 0:
+            return pa.Table.from_arrays([group["bucket"], group["block"], group["payload"], *[pa.array([0] * len(of), pa.int64())] * 2], ["bucket", "block", "payload", "tokens", "types"])
         parts = [unpacked(x) for x in group["payload"].to_pylist()]
         keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
         found, inverse = np.unique(keys, return_inverse=True)
@@ -238,16 +253,20 @@ def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0,
             yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([number], pa.int64()), pa.array([payload], pa.binary())], ["bucket", "block", "payload"])
 
     def scored(group: pa.Table) -> pa.Table:
-        answer, own = [], None
+        answer, own, told = [], None, None
         for bucket, payload in zip(group["bucket"].to_pylist(), group["payload"].to_pylist(), strict=True):
             if bucket == -1:
                 own = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(payload)).read_all()
+            elif bucket < 0:
+                told = payload
             else:
                 answer.append((bucket, payload))
+        if own is None or told != digest(own["doc_id"].to_pylist(), own["text"].to_pylist(), own["held_out"].to_pylist()):
+            raise RuntimeError("docs was cut into other blocks when it was read again")
         held = np.array(own["held_out"].to_pylist(), bool)
         block = Block(own["text"].to_pylist(), ~held, order)
         counts = [c.copy() for c in block.counts]
-        at = [[0, *edges(k)] for k in block.keys]
+        at = [{b: i for b, i, _ in runs(k)} for k in block.keys]
         for bucket, payload in answer:
             n, b = divmod(bucket, buckets)
             where, count = unpacked(payload)
