@@ -89,44 +89,49 @@ class Fingerprint:
         return min(1.0, max(0.0, float(a @ b) / size)) if size else 0.0
 
 
-def range_of(value: Column, cuts: list[int]) -> Column:
+def range_of(value: Column, cuts: list[Column]) -> Column:
     """The number of cuts (sorted) at or below value, in two steps: which run of cuts, and where in it."""
     step = max(1, math.isqrt(len(cuts)))
     runs = [cuts[i : i + step] for i in range(0, len(cuts), step)]
     if not runs:
         return F.lit(0)
     upto = lambda array: F.size(F.filter(array, lambda c: c <= value))
-    run = upto(F.array(*[F.lit(r[0]) for r in runs]))
-    inner = upto(F.element_at(F.array(*[F.array(*[F.lit(c) for c in r]) for r in runs]), run))
+    run = upto(F.array(*[r[0] for r in runs]))
+    inner = upto(F.element_at(F.array(*[F.array(*r) for r in runs]), run))
     return F.when(run == 0, 0).otherwise((run - 1) * step + inner)
 
 
-def with_next(docs: DataFrame, rows_per_task: int = 20_000, most_parts: int = 4096) -> DataFrame:
-    """docs (doc_id, text) dealt by ranges of ids, so that each range also has the row that follows it: rows (part, ahead, doc_id, text).
+def with_next(docs: DataFrame, rows_per_task: int = 20_000, most_parts: int = 1 << 16) -> DataFrame:
+    """docs (doc_id, text) dealt by ranges of (id, hash of text), so that each range also has the row that follows it: rows (part,
+    ahead, doc_id, text).
 
-    Ends of ranges come from quantiles of the ids.  The text is shuffled once; besides, the first row of each range goes
-    to the range before it too (ahead: true), the first row of all to the last range.
+    Ends of ranges come from quantiles of the ids and, of an id (or null) that has more rows than a task, of its hashes.  The
+    text is shuffled once; besides, the first row of each range goes to the range before it too (ahead: true), the first
+    row of all to the last range.
     """
+    place = lambda i, h: F.struct(i.isNotNull().alias("given"), F.coalesce(i, F.lit(0)).cast("long").alias("doc_id"), h.cast("long").alias("h"))
     ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_hash(docs).alias("h"))
     n = ids.count()
     parts = min(most_parts, max(1, -(-n // rows_per_task)))
-    cuts = sorted(set(ids.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or [])) if parts > 1 else []
-    at = F.when(F.col("doc_id").isNull(), 0).otherwise(range_of(F.col("doc_id"), cuts))
-    firsts = sorted((r["part"], r["k"]) for r in ids.groupBy(at.alias("part")).agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("given"), "doc_id", "h")).alias("k")).collect())
+    cuts: set[tuple] = set()
+    if parts > 1:
+        cuts = {(True, i, -(1 << 63)) for i in ids.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []}
+        # No more ids than parts have that many rows.
+        often = [(r["doc_id"], r["count"]) for r in ids.groupBy("doc_id").count().where(F.col("count") > 2 * n // parts).collect()]
+        for i, count in often:
+            k = -(-count * parts // n)
+            found = ids.where(F.col("doc_id").eqNullSafe(F.lit(i).cast("long"))).select(F.percentile_approx("h", [j / k for j in range(1, k)], 10 * k)).first()[0]
+            cuts |= {(i is not None, i or 0, h) for h in found}
+    at = range_of(place(F.col("doc_id"), F.col("h")), [place(F.lit(i if given else None).cast("long"), F.lit(h)) for given, i, h in sorted(cuts)])
+    firsts = sorted((r["part"], r["k"]) for r in ids.groupBy(at.alias("part")).agg(F.min(place(F.col("doc_id"), F.col("h"))).alias("k")).collect())
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), text_hash(docs).alias("h")).withColumn("part", at)
-    back = {part: firsts[i - 1][0] for i, (part, _) in enumerate(firsts)}
-    lead = F.lit(None)
-    for part, k in firsts:
-        same = (F.col("part") == part) & F.col("doc_id").eqNullSafe(F.lit(k["doc_id"]).cast("long")) & (F.col("h") == k["h"])
-        lead = F.when(same, F.lit(back[part])).otherwise(lead) if len(firsts) <= 64 else lead
-    if len(firsts) > 64:
-        told = docs.sparkSession.createDataFrame([(part, k["doc_id"], k["h"], back[part]) for part, k in firsts], "p int, d long, f long, back int")
-        rows = rows.join(F.broadcast(told), (F.col("part") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("f")), "left").drop("p", "d", "f")
-    else:
-        rows = rows.withColumn("back", lead.cast("int"))
+    # A row for each range: most_parts at most.
+    told = docs.sparkSession.createDataFrame([(part, k["given"], k["doc_id"], k["h"], firsts[i - 1][0]) for i, (part, k) in enumerate(firsts)], "p int, g boolean, d long, f long, back int")
+    leads = (F.col("part") == F.col("p")) & (F.col("doc_id").isNotNull() == F.col("g")) & (F.coalesce("doc_id", F.lit(0)) == F.col("d")) & (F.col("h") == F.col("f"))
+    rows = rows.join(F.broadcast(told), leads, "left").drop("p", "g", "d", "f")
     twice = F.when(F.col("back").isNull(), F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("ahead")))).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("ahead")), F.struct(F.col("back").alias("part"), F.lit(True).alias("ahead"))))
     rows = rows.select(F.explode(twice).alias("x"), "doc_id", "text", "h").select("x.part", "x.ahead", "doc_id", "text", "h")
-    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "ahead", F.col("doc_id").asc_nulls_first(), "h").select("part", "ahead", "doc_id", "text")
+    return rows.repartitionById(len(firsts) and max(p for p, _ in firsts) + 1 or 1, "part").sortWithinPartitions("part", "ahead", F.col("doc_id").asc_nulls_first(), "h").select("part", "ahead", "doc_id", "text")
 
 
 def text_hash(docs: DataFrame) -> Column:
