@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import components, forest, written
+from arbora.llm.common import SALT, components, forest, grouped, salt, written
 from arbora.llm.hashing import mixed_bits
 
 #: More than rounding adds to a cosine, or to the angle of one.
@@ -218,12 +218,16 @@ def dedup(vectors: DataFrame, threshold: float = 0.9, **how: int | float) -> Dat
     one = written(given.where("_id is not null").groupBy("_id").agg(F.min("_e").alias("_e")), "vectors")
     length = one.where("_e is not null").groupBy(F.size("_e").alias("l")).count().orderBy(F.desc("count"), "l").first()
     use = one.where(F.size("_e") == F.lit(length["l"] if length else -1))
-    same = use.groupBy("_e").agg(F.min("_id").alias("rep"), F.count("*").alias("times"))
-    reps = written(same.select("rep", "times", F.col("_e").alias("embedding")), "distinct")
+    # Equal vectors may be a third of all: they are counted, and told their answer, salted.
+    use = use.withColumn(SALT, salt(vectors.sparkSession, "_id"))
+    same = written(grouped(use, ["_e"], [F.min("_id").alias("rep"), F.count("*").alias("times")], [F.min("rep").alias("rep"), F.sum("times").alias("times")]), "equal")
+    reps = written(same.groupBy("rep").agg(F.first("times").alias("times"), F.first("_e").alias("embedding")), "distinct")
     counts, edges = links(reps, threshold, **how)
     comp = components(edges)
-    told = reps.join(counts, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("embedding", "times", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    told = reps.select("rep", "times").join(counts, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("rep", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     # The smallest id of a component is some representative's, since that is the smallest of its equals.
-    out = one.join(told, one["_e"] == told["embedding"], "left").select(F.col("_id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "_id").alias("component_id"))
+    linked = use.join(same.select("_e", SALT, "rep").join(told, "rep"), ["_e", SALT]).select("_id", "n_links", "component_id")
+    alone = one.where(F.col("_e").isNull() | (F.size("_e") != F.lit(length["l"] if length else -1))).select("_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    out = linked.unionByName(alone).select(F.col("_id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "_id").alias("component_id"))
     none = given.where("_id is null").select(F.col("_id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id")).unionByName(none.withColumn("kept", F.lit(True)))
