@@ -15,8 +15,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arbora.llm.common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ("length", "host_length", "depth", "digits", "entropy", "params", "labels", "hyphens", "top_rate", "site_rate")
+#: Of the rate of one half, and into how many parts the sample is dealt for its own rates.
+WEIGHT, FOLDS = 8.0, 5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -125,7 +129,17 @@ class Boosted:
         return 1 / (1 + F.exp(-reduce(lambda a, t: a + t.column(names), self.trees, F.lit(self.start))))
 
 
-def rated(rows: DataFrame, sample: DataFrame, weight: float = 8.0) -> DataFrame:
+def elsewhere(suffix: np.ndarray, y: np.ndarray, fold: np.ndarray, weight: float = WEIGHT) -> np.ndarray:
+    """For each row of the sample the rate that rated() would give if the row's own fold weren't in it, so that no label is told by
+    itself."""
+    _, of = np.unique(suffix, return_inverse=True)
+    groups = int(of.max(initial=-1)) + 1
+    both = of * FOLDS + fold
+    ones, n = (np.bincount(of, w, groups)[of] - np.bincount(both, w, groups * FOLDS)[both] for w in (y, np.ones(len(y))))
+    return np.where(n > 0, (ones + weight / 2) / (n + weight), 0.5)
+
+
+def rated(rows: DataFrame, sample: DataFrame, weight: float = WEIGHT) -> DataFrame:
     """Adds how often the sample's URLs of the same suffix are labelled 1, drawn towards one half.
 
     What is broadcast has a row for each suffix in the sample, so no more than the sample.
@@ -142,17 +156,18 @@ def filtered(pages: DataFrame, rules: dict[str, str], key: str = "page_id", labe
     The longest rule that fits decides; else the trees, which block from a score of 0.5 on.  They learn from labelled
     (url, label: 1 to block), or else from the pages that rules judge: `sample` of them, in the order of a hash of the URL.
     Null URLs and those without `://` have an empty host and path, which no rule fits.  With nothing to learn from the
-    score is 0.  Repeated rows have the same answer; no rows give none; other columns are ignored.
+    score is 0.  Long URLs are read whole; of rules of one length the last by code point wins; labelled rows whose URL is null or
+    whose label is null teach nothing, and repeated ones teach once.  Repeated rows have the same answer; no rows give none; other columns are ignored.
     """
     rows = parsed(pages, rules, key)
     if labelled is None:
         taught = rows.where("rule is not null").select(F.lit(0).alias("_k"), "_url", "host", "path", "rule", "ruled", (F.col("ruled") == "block").cast("int").alias("label"))
     else:
-        taught = parsed(labelled.select(F.lit(0).alias("_k"), "url", "label"), rules, "_k").join(labelled.select(F.col("url").alias("_url"), F.col("label").cast("int").alias("label")), "_url")
-    taught = taught.distinct().orderBy(F.xxhash64("_url"), "_url", "label").limit(sample)
-    taught = lexical(taught)
-    told = rated(taught, taught).select(*FEATURES, "label").collect()
-    x = np.array([[r[f] for f in FEATURES] for r in told], float).reshape(len(told), len(FEATURES))
-    model = Boosted.fit(x, np.array([r["label"] for r in told], float))
+        taught = parsed(labelled.where("url is not null").select(F.lit(0).alias("_k"), "url").distinct(), rules, "_k").join(labelled.select(F.col("url").alias("_url"), F.col("label").cast("int").alias("label")).where("label is not null").distinct(), "_url")
+    taught = written(lexical(taught.distinct().orderBy(F.xxhash64("_url"), "_url", "label").limit(sample)), "taught")
+    told = taught.select(*FEATURES[:-2], "label", "_top", "_site", F.pmod(F.xxhash64(F.lit(1), "_url"), F.lit(FOLDS)).cast("int").alias("fold")).toPandas()
+    y, fold = told["label"].to_numpy(float), told["fold"].to_numpy()
+    x = np.column_stack([told[list(FEATURES[:-2])].to_numpy(float), *(elsewhere(told[c].to_numpy(str), y, fold) for c in ("_top", "_site"))])
+    model = Boosted.fit(x, y)
     scored = rated(lexical(rows), taught).select(key, "host", "path", "rule", "ruled", model.column().alias("score"))
     return scored.select(key, "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")
