@@ -2,7 +2,8 @@
 
 Each template is a run of words with a mandatory key phrase in it.  The index maps the key phrases' words to (template,
 position).  One pass over all texts counts in how many documents each of these words stands; a template is looked up by the
-two words of its phrase that are rarest in the corpus (highest IDF).  A file's positions of these words, less their
+two words of its phrase that are rarest in the corpus (highest IDF).  A file that holds a phrase holds all of its words, so
+these two are also the file's highest-IDF words of that phrase: choosing them once for all files loses nothing.  A file's positions of these words, less their
 positions in the template, are intersected: where both agree, the template may stand, and there its key phrase is verified
 word by word and the rest of the template is compared at the same relative positions.  So every place where a key phrase
 stands is found, since both of its rarest words stand there.  All of it is built-in functions; nothing is shuffled but the
@@ -36,6 +37,13 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
     ("cc0", "to the extent possible under law dedicated to the public domain cc0 1 0 universal", "cc0 1 0"),
     ("public-domain", "this is free and unencumbered software released into the public domain", "released into the public domain"),
+    ("spdx", "spdx license identifier", "spdx license identifier"),
+    ("agpl", "under the terms of the gnu affero general public license", "affero general public license"),
+    ("gpl-2", "gnu general public license version 2", "general public license version 2"),
+    ("gpl-3", "gnu general public license version 3", "general public license version 3"),
+    ("epl", "made available under the terms of the eclipse public license v 2 0", "eclipse public license"),
+    ("bsl", "distributed under the boost software license version 1 0", "boost software license"),
+    ("warranty", "provided as is without warranty of any kind express or implied", "without warranty of any kind"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose", "distribute this software for any purpose"),
 )
 
@@ -65,8 +73,8 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str, str], ...] = TEMPLATE
 
     n_words; n_base, first_word, last_word (places of base phrases: how many, and the smallest and largest start, words
     from 0, else null); base_labels, labels (distinct, sorted, joined by commas, empty without any); score, from 0 to 1:
-    the largest share of a template's words that stand in place where its key phrase does; places: (label, start, score)
-    of each.  Null texts are empty: no words, score 0.  Repeated rows repeat; no rows give none.
+    the largest share of a notice's words that stand in place where its key phrase does, 0 if no notice's does (base
+    phrases, which are nothing but themselves, don't count); places: (label, start, score) of each.  Long texts are read whole.  Null texts are empty: no words, score 0.  Repeated rows repeat; no rows give none.
     """
     all_ = [(label, phrase.split(), 0, len(phrase.split()), True) for phrase, label in base.items()]
     for label, notice, phrase in templates:
@@ -113,6 +121,6 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str, str], ...] = TEMPLATE
     return rows.select(
         "doc_id", "text", "n_words", F.size(own).cast("long").alias("n_base"),
         F.array_min(F.transform(own, lambda p: p["start"])).cast("long").alias("first_word"), F.array_max(F.transform(own, lambda p: p["start"])).cast("long").alias("last_word"),
-        names(own).alias("base_labels"), names(F.col("places")).alias("labels"), F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"),
+        names(own).alias("base_labels"), names(F.col("places")).alias("labels"), F.coalesce(F.array_max(F.transform(F.filter("places", lambda p: ~p["base"]), lambda p: p["score"])), F.lit(0.0)).alias("score"),
         F.transform("places", lambda p: F.struct(p["label"].alias("label"), p["start"].alias("start"), p["score"].alias("score"))).alias("places"),
     )
