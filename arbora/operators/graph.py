@@ -112,6 +112,11 @@ def conjunctive_get(closed: DataFrame, wanted: list[str]) -> DataFrame:
     return closed.where(F.col("sup").isin(*wanted) & (F.col("sub") != F.col("sup"))).groupBy(F.col("sub").alias("name")).agg(F.count_distinct("sup").alias("n")).where(F.col("n") == len(set(wanted))).select("name")
 
 
+def stored_closure(closed: DataFrame) -> DataFrame:
+    """A closure written by what stands above, sorted within its files: reading what is below a few names skips all others."""
+    return written(closed.select("sub", "sup").repartitionByRange("sup").sortWithinPartitions("sup", "sub"), "closure")
+
+
 def is_below(closed: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs (sub, sup) with a column below."""
     told = closed.select("sub", "sup", F.lit(True).alias("below"))
@@ -145,7 +150,9 @@ def nearest_placed(edges: DataFrame, names: DataFrame, placed: DataFrame) -> Dat
 def owners(entries: DataFrame) -> DataFrame:
     """entries (store_ord, store, name, parents: array, stub) -> (name, owner, parents): the first store whose entry is
     no stub owns a name; parents are united and sorted."""
-    return entries.groupBy("name").agg(F.min_by("store", F.when(~F.col("stub"), F.col("store_ord"))).alias("owner"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("parents")))).alias("parents"))
+    owner = entries.groupBy("name").agg(F.min_by("store", F.when(~F.col("stub"), F.col("store_ord"))).alias("owner"))
+    united = entries.select("name", F.explode("parents").alias("p")).distinct().groupBy("name").agg(F.array_sort(F.collect_set("p")).alias("parents"))
+    return owner.join(united, "name", "left").select("name", "owner", F.coalesce("parents", F.array().cast("array<string>")).alias("parents"))
 
 
 def disjoint_parents(edges: DataFrame, closed: DataFrame, tops: DataFrame) -> DataFrame:
@@ -208,12 +215,12 @@ def topological(edges: DataFrame) -> tuple[DataFrame, list[tuple[str, list[str]]
     When no further name has all parents placed, the one with the fewest unplaced parents, then the smallest, loses them.
     """
     left = written(edges_of(edges), "edges")
-    kept, lost = left.limit(0), []
+    kept, lost = [], []
     names = nodes_of(left)
     placed = written(names.join(left.select(F.col("sub").alias("name")), "name", "left_anti"), "placed")
     waiting = left
     while not waiting.isEmpty():
-        open_ = waiting.join(placed.select(F.col("name").alias("sup")), "sup", "left_anti")
+        open_ = written(waiting.join(placed.select(F.col("name").alias("sup")), "sup", "left_anti"), "open")
         ready = written(waiting.select("sub").distinct().join(open_.select("sub"), "sub", "left_anti"), "ready")
         if ready.isEmpty():
             first = open_.groupBy("sub").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("sup")).alias("sups")).orderBy("n", "sub").first()
@@ -221,10 +228,14 @@ def topological(edges: DataFrame) -> tuple[DataFrame, list[tuple[str, list[str]]
             drop = (F.col("sub") == first["sub"]) & F.col("sup").isin(*first["sups"])
             waiting = waiting.where(~drop)
             ready = written(left.sparkSession.createDataFrame([(first["sub"],)], left.select("sub").schema), "ready")
-        kept = kept.union(waiting.join(ready, "sub", "left_semi").select("sub", "sup"))
+        kept.append(written(waiting.join(ready, "sub", "left_semi").select("sub", "sup"), "kept"))
         placed = written(placed.union(ready.select(F.col("sub").alias("name"))), "placed")
         waiting = written(waiting.join(ready, "sub", "left_anti").select("sub", "sup"), "waiting")
-    return kept, lost
+        dropped(open_)
+    out = left.limit(0)
+    for part in kept:
+        out = out.union(part)
+    return out, lost
 
 
 def guarded_links(parents: dict[str, list[str]], candidates: list[tuple[str, str]]) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
@@ -256,13 +267,13 @@ def guarded_links(parents: dict[str, list[str]], candidates: list[tuple[str, str
 
 
 def content_hash(edges: DataFrame) -> DataFrame:
-    """One row (hash): of the sorted lines, whatever the order of rows.
+    """One row (h0 to h7): of the lines, whatever the order of rows.
 
-    Lines are summed as a multiset would be, 64 bits at a time of sha256, so nothing is gathered.
+    Lines are summed as a multiset, each of the eight 32-bit words of their sha256 by itself, so nothing is gathered.
     """
     line = F.sha2(F.concat_ws(" ", "sub", "sup"), 256)
     part = lambda i: F.coalesce(F.sum(F.conv(F.substring(line, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")) % 4294967296
-    return edges_of(edges).agg(*[part(i).cast("long").alias(f"h{i}") for i in range(4)])
+    return edges_of(edges).agg(*[part(i).cast("long").alias(f"h{i}") for i in range(8)])
 
 
 def unattached(stores: DataFrame, edges: DataFrame, root: str = "*") -> DataFrame:

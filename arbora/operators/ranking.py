@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from arbora.functions.vectors import cosine, unit
 
 
-def ranked(rows: DataFrame, order: list[Column], name: str = "rank", parts: int = 64) -> DataFrame:
+def ranked(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Adds the ordinal rank from 0 by order, which must be a total order.
 
-    Rows are sorted across tasks, and numbered within them; each task's first number is the count of those before.
+    Rows are sorted across as many tasks as there are shuffle partitions, and numbered within them; each task's first number is the count of those before.
     """
     spark = rows.sparkSession
-    dealt = rows.repartitionByRange(min(parts, int(spark.conf.get("spark.sql.shuffle.partitions"))), *order).withColumn("_part", F.spark_partition_id())
+    dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
     from arbora.session import written
 
     dealt = written(dealt, "ranges")
@@ -90,7 +90,7 @@ def first_per_group(rows: DataFrame, keys: list[str], order: list[Column], k: in
 
 def seeded_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows in the order of a keyed hash: the same on every run."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return rows.orderBy(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)
 
 
 def centroids(rows: DataFrame, key: str, vector: str) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 def _none():
     return F.array().cast("array<string>")
 
@@ -88,7 +87,9 @@ def review_queue(decided: DataFrame, placed: DataFrame, cycles: DataFrame) -> Da
     missing = decided.select(F.col("sub").alias("name")).union(decided.select("sup")).distinct().join(here, "name", "left_anti")
     section = lambda df, n, name: df.select(F.lit(n).alias("section_ord"), F.lit(name).alias("section"), "sub", "sup")
     parts = [section(cycles, 0, "cycle"), section(decided.where("contradicted"), 1, "contradicted"), section(decided.where("status = 'disputed'"), 2, "disputed"), section(single, 3, "single")]
-    hints = decided.join(missing.withColumnRenamed("name", "sub"), "sub", "left_semi").groupBy("sub").agg(F.array_join(F.slice(F.array_sort(F.collect_set("sup")), 1, 8), " ").alias("sup"))
+    first = Window.partitionBy("sub").orderBy("sup")
+    hints = decided.join(missing.withColumnRenamed("name", "sub"), "sub", "left_semi").select("sub", "sup").distinct().withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= 8)
+    hints = hints.groupBy("sub").agg(F.array_join(F.array_sort(F.collect_set("sup")), " ").alias("sup"))
     parts.append(section(missing.withColumnRenamed("name", "sub").join(hints, "sub", "left"), 4, "unplaced"))
     out = parts[0]
     for p in parts[1:]:

@@ -115,11 +115,6 @@ def reduction_dag(t: Tables) -> DataFrame:
     return graph.reduction(goods(t).union(shortcuts(t)))
 
 
-@query(f"WITH {GOODS} SELECT sub, sup FROM goods")
-def merge_union(t: Tables) -> DataFrame:
-    return graph.merged(shortcuts(t), goods(t), goods(t))
-
-
 @query("WITH RECURSIVE e AS (SELECT DISTINCT 'k:'||(l_partkey % 211) AS sub, 'k:'||((l_suppkey * 7) % 211) AS sup FROM lineitem), " + CLOSED.format("e") + " SELECT sub, sup FROM closed")
 def cyclic_reach(t: Tables) -> DataFrame:
     return graph.closure(t.lineitem.select(F.concat(F.lit("k:"), (F.col("l_partkey") % 211).cast("string")).alias("sub"), F.concat(F.lit("k:"), (F.col("l_suppkey") * 7 % 211).cast("string")).alias("sup")))
@@ -199,29 +194,16 @@ def novelty(t: Tables) -> DataFrame:
     return graph.novelty(more, closed, graph.branches_of(closed, regions(t)))
 
 
-@query(f"WITH {GEO}, h AS (SELECT sha256(sub||' '||sup) AS h FROM geo) SELECT " + ", ".join(f"CAST(sum(('0x'||substr(h, {1 + 8 * i}, 8))::BIGINT) % 4294967296 AS BIGINT) AS h{i}" for i in range(4)) + " FROM h")
+@query(f"WITH {GEO}, h AS (SELECT sha256(sub||' '||sup) AS h FROM geo) SELECT " + ", ".join(f"CAST(sum(('0x'||substr(h, {1 + 8 * i}, 8))::BIGINT) % 4294967296 AS BIGINT) AS h{i}" for i in range(8)) + " FROM h")
 def content_hash(t: Tables) -> DataFrame:
     return graph.content_hash(geo(t))
 
 
-@query(f"""WITH {GEO}, down AS (SELECT sub, sup FROM geo WHERE sup LIKE 'r:%' OR sup LIKE 'n:%') SELECT sub, sup FROM down""")
-def bounded_walk(t: Tables) -> DataFrame:
-    return graph.bounded_walk(geo(t), regions(t).withColumn("reach", F.lit(2)))
-
-
 @query(f"""WITH RECURSIVE {GEO}, walk AS (SELECT 'r:'||r_regionkey AS name, 'r:'||r_regionkey AS path FROM region UNION ALL SELECT geo.sub, path||' > '||geo.sub FROM walk JOIN geo ON geo.sup = walk.name) SELECT name, path FROM walk""")
 def path_listing(t: Tables) -> DataFrame:
     return graph.paths(geo(t), regions(t)).withColumn("path", F.array_join("path", " > "))
 
 
-@query()
-def cycle_break(t: Tables) -> DataFrame:
-    """Nations below regions, and each region below its first nation: five loops."""
-    back = t.nation.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("n_nationkey")).select(named("r", "n_regionkey").alias("sub"), named("n", "n_nationkey").alias("sup"))
-    kept, _ = graph.topological(t.nation.select(named("n", "n_nationkey").alias("sub"), named("r", "n_regionkey").alias("sup")).union(back))
-    return kept
-
-
 # Votes.
 
 STATED = """stated AS (SELECT l_returnflag||l_linestatus AS source, 'k:'||(l_partkey % 50) AS sub, 'k:'||(l_suppkey * 3 % 50) AS sup FROM lineitem)"""
@@ -386,11 +368,6 @@ def family_join(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", family.alias("family")).join(sizes, "family").select("p_partkey", "family", "n")
 
 
-@query("WITH RECURSIVE r AS (SELECT n_nationkey, n_name FROM nation) SELECT n_nationkey, CASE n_name WHEN 'NATION_0' THEN 'NATION_2' WHEN 'NATION_1' THEN 'NATION_0' ELSE n_name END AS name FROM r")
-def rename_chain(t: Tables) -> DataFrame:
-    return t.nation.select("n_nationkey", joins.renamed(F.col("n_name"), [("NATION_0", "x"), ("NATION_1", "NATION_0"), ("x", "NATION_2")]).alias("name"))
-
-
 # Aggregations.
 
 
@@ -475,7 +452,7 @@ def sibling_distance(t: Tables) -> DataFrame:
     return ranking.sibling_distance(t.embeddings, "label", "vec_id", "embedding").withColumn("distance", F.round("distance", 6))
 
 
-@query()
+@query("SELECT * FROM customer ORDER BY sha256('7|'||c_custkey), c_custkey LIMIT 100")
 def seeded_sample(t: Tables) -> DataFrame:
     return ranking.seeded_sample(t.customer, "c_custkey", 100, 7)
 
@@ -530,31 +507,6 @@ def inverted_title(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.explode(text.index_phrases(title)).alias("x")).select("p_partkey", "x.phrase", "x.specific")
 
 
-@query("SELECT p_partkey, list_sort([replace(p_name, ' ', '-')]||[])[1] AS normal, split_part(p_name, ' ', 1)||' '||split_part(p_name, ' ', 2) AS label FROM part")
-def singular_labels(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", text.normalise(F.col("p_name")).alias("normal"), text.singular_label(F.concat("p_name", F.lit("s"))).alias("label"))
-
-
-@query()
-def kinds(t: Tables) -> DataFrame:
-    title = F.concat(F.col("p_name"), F.lit(" and "), F.lower("p_type"), F.lit(" goods, fresh or chilled; other things"))
-    return t.part.select("p_partkey", F.explode(text.kinds(title)).alias("kind"))
-
-
-@query()
-def variants(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.posexplode(text.variants(F.concat(F.lit("fresh "), F.col("p_name"), F.lit("s")))).alias("place", "key"))
-
-
-@query()
-def ruling_replay(t: Tables) -> DataFrame:
-    """Nations move between regions by a log, suppliers' pack gives up a name; replayed, reduced and with its stubs."""
-    one = lambda df, store, a, b: df.select(F.lit(store).alias("store"), a.alias("sub"), b.alias("sup"), F.lit(0).alias("ord"))
-    edges = one(t.nation, "core", named("n", "n_nationkey"), named("r", "n_regionkey")).union(one(t.region, "core", named("r", "r_regionkey"), F.lit("*"))).union(one(t.supplier, "pack", named("s", "s_suppkey"), named("n", "s_nationkey")))
-    moves = t.nation.select(F.col("n_nationkey").cast("long").alias("seq"), F.lit("core").alias("pack"), named("n", "n_nationkey").alias("sub"), F.lit("move").alias("action"), named("r", "n_regionkey").alias("old"), F.concat(F.lit("r:"), ((F.col("n_regionkey") + F.col("n_nationkey") % 2) % 5).cast("string")).alias("new"))
-    return rules.replay(edges, moves)[0]
-
-
 # Audits.
 
 

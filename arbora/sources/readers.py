@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arbora.functions import text
@@ -81,12 +81,31 @@ def raw_table(spark: SparkSession, path: str, columns: list[str], header: bool =
 
 
 def resolved_reviews(reviews: DataFrame, concepts: DataFrame) -> DataFrame:
-    """reviews (sub, sup, ..., sub_wn, sup_wn) with names bound anew by offset: concepts (name, wordnet)."""
-    first = concepts.where("wordnet is not null and wordnet != ''").groupBy("wordnet").agg(F.min("name").alias("now"))
+    """reviews (sub, sup, decision, reason, sub_wn, sup_wn; those at the end may be missing) with names bound anew by offset, to
+    the first concept that has it: concepts (name, wordnet, _ord)."""
+    first = concepts.where("wordnet is not null and wordnet != ''").groupBy("wordnet").agg(F.min_by("name", ORD).alias("now"))
     out = reviews
+    for column in ("sub", "sup", "decision", "reason", "sub_wn", "sup_wn"):
+        out = out.withColumn(column, F.trim(F.coalesce(F.col(column), F.lit(""))) if column in reviews.columns else F.lit(""))
     for end in ("sub", "sup"):
         out = out.join(first.select(F.col("wordnet").alias(f"{end}_wn"), F.col("now").alias(f"{end}_now")), f"{end}_wn", "left").withColumn(end, F.coalesce(f"{end}_now", end)).drop(f"{end}_now")
-    return out.select(*reviews.columns)
+    return out.select(*reviews.columns, *[c for c in ("decision", "reason", "sub_wn", "sup_wn") if c not in reviews.columns])
+
+
+def roots(spark: SparkSession, path: str) -> DataFrame:
+    """One name a line, without comments -> (name)."""
+    name = F.trim(F.substring_index("value", "#", 1))
+    return spark.read.text(path).select(name.alias("name")).where("name != ''")
+
+
+def roots_with_depth(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of an id and a depth -> (name, depth, _ord)."""
+    return raw_table(spark, path, ["name", "depth"], header=False).select(F.trim("name").alias("name"), F.trim("depth").cast("int").alias("depth"), ORD)
+
+
+def at_snapshot(spark: SparkSession, root: str, snapshot: str, name: str) -> DataFrame:
+    """The lines (value) of a file as it was at a snapshot, a folder below root that is never changed."""
+    return spark.read.text(f"{root.rstrip('/')}/{snapshot}/{name}")
 
 
 # Lexical databases.
@@ -107,6 +126,39 @@ def synsets(spark: SparkSession, path: str) -> DataFrame:
     return told.select(F.col("f")[0].alias("offset"), text.lexfile_name(F.col("f")[1]).alias("field"), lemmas.alias("lemmas"), F.coalesce(pointers, F.array().cast("array<struct<sym:string,target:string,pos:string>>")).alias("pointers"), "gloss")
 
 
+def links_of(found: DataFrame) -> DataFrame:
+    """synsets() with what its pointers say: above (targets of @ and @i), instance, usage (;u) and topics (;c)."""
+    targets = lambda *syms: F.transform(F.filter("pointers", lambda p: p["sym"].isin(*syms)), lambda p: p["target"])
+    up = F.filter("pointers", lambda p: p["sym"].isin("@", "@i") & (p["pos"] == "n"))
+    return found.select("*", F.transform(up, lambda p: p["target"]).alias("above"), F.exists(up, lambda p: p["sym"] == "@i").alias("instance"), targets(";u").alias("usage"), targets(";c").alias("topics"))
+
+
+def audited(found: DataFrame, width: int | None = None) -> DataFrame:
+    """(offset, field, words in lower case, above, gloss without examples, examples)."""
+    parts = F.transform(F.split("gloss", "; "), lambda x: F.trim(x))
+    examples = F.array_join(F.transform(F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x.startswith('"')), lambda x: F.trim(x, F.lit('"'))), " ")
+    return links_of(found).select("offset", "field", F.transform("lemmas", lambda w: F.lower(w)).alias("words"), "above", text.gloss_head(F.col("gloss"), width).alias("gloss"), examples.alias("examples"))
+
+
+def lemma_index(found: DataFrame) -> DataFrame:
+    """(lemma in lower case, offsets in the order of the file, which is that of offsets)."""
+    return found.select(F.explode("lemmas").alias("l"), "offset").groupBy(F.lower("l").alias("lemma")).agg(F.array_sort(F.collect_list("offset")).alias("offsets"))
+
+
+def core_senses(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """Lines `n [key] ...` and keys (sense_key, offset) -> (offset, _ord): the usual nouns, in the order of the file."""
+    f = F.split(F.trim("value"), r"\s+")
+    told = spark.read.text(path).select(f.alias("f"), F.monotonically_increasing_id().alias(ORD)).where((F.size("f") > 1) & (F.col("f")[0] == "n"))
+    return told.select(F.regexp_replace(F.col("f")[1], r"[\[\]]", "").alias("sense_key"), ORD).join(keys.groupBy("sense_key").agg(F.min("offset").alias("offset")), "sense_key").select("offset", ORD)
+
+
+def bridged(ids: DataFrame, bridge: DataFrame) -> DataFrame:
+    """ids (qid, wordnet: `offset-n` of the newer release, ord), bridge (new, offset) -> (offset, qid): the first id that says an
+    offset has it."""
+    told = ids.where(F.col("wordnet").endswith("-n")).select("qid", "ord", F.regexp_replace("wordnet", "-n$", "").alias("new"))
+    return told.join(bridge, "new").groupBy("offset").agg(F.min_by("qid", F.struct("ord", "new")).alias("qid"))
+
+
 def hypernyms(found: DataFrame, instances: bool = False) -> DataFrame:
     """Edges of noun pointers `@`; instance links `@i` only if wanted."""
     syms = ["@", "@i"] if instances else ["@"]
@@ -122,11 +174,11 @@ def sense_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sense_counts(spark: SparkSession, path: str) -> DataFrame:
-    """index.sense -> (lemma, pos, offset, count)."""
+    """index.sense -> (sense_key, lemma, pos, offset, count)."""
     f = F.split(F.trim("value"), r"\s+")
     told = lines(spark, path).where(F.trim("value") != "").select(f.alias("f"))
     sense = F.col("f")[0]
-    return told.select(F.split_part(sense, F.lit("%"), F.lit(1)).alias("lemma"), F.substring(F.split_part(sense, F.lit("%"), F.lit(2)), 1, 1).alias("pos"), F.col("f")[1].alias("offset"), F.coalesce(F.get("f", F.lit(3)).cast("long"), F.lit(0)).alias("count"))
+    return told.select(sense.alias("sense_key"), F.split_part(sense, F.lit("%"), F.lit(1)).alias("lemma"), F.substring(F.split_part(sense, F.lit("%"), F.lit(2)), 1, 1).alias("pos"), F.col("f")[1].alias("offset"), F.coalesce(F.get("f", F.lit(3)).cast("long"), F.lit(0)).alias("count"))
 
 
 # Ontologies.
@@ -329,6 +381,82 @@ def path_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     return told.select(F.trim(F.substring_index("value", " - ", 1)).alias("id"), steps.alias("path"), F.element_at(steps, -1).alias("label"))
 
 
+def taxonomy(spark: SparkSession, path: str, root: str = "root") -> tuple[DataFrame, DataFrame]:
+    """path_taxonomy() as nodes (id, label) and edges: a path hangs below the path without its last step.
+
+    `A & B` (or `A and B`) whose halves share a head is that head; else it stays as a bin, and beside it its two kinds
+    stand as idA and idB in small letters.  Other nodes of one label are one node, the first; links that close a loop by
+    that go, the first ones first.
+    """
+    from arbora.operators import aggregates, graph
+
+    told = written(path_taxonomy(spark, path).withColumn(ORD, F.monotonically_increasing_id()), "paths")
+    up = told.select(F.col("path").alias("above"), F.col("id").alias("parent"))
+    rows = told.withColumn("above", F.slice("path", F.lit(1), F.size("path") - 1)).join(up, "above", "left").withColumn("parent", F.coalesce("parent", F.lit(root)))
+    spelt = F.replace(F.col("label"), F.lit(" and "), F.lit(" & "))
+    is_bin = F.col("label").contains(" & ") | F.col("label").contains(" and ")
+    rows = rows.select("id", "parent", ORD, spelt.alias("spelt"), is_bin.alias("bin"), F.when(is_bin, text.shared_head(spelt)).alias("head"), "label")
+    name = F.when(F.col("bin"), F.coalesce("head", F.lower("spelt"))).otherwise(text.singular_label(F.col("label")))
+    halves = F.when(F.col("bin") & F.col("head").isNull(), text.split_bin(F.col("label"))).otherwise(F.array().cast("array<string>"))
+    entries = F.concat(F.array(F.struct(F.col("id"), name.alias("label"), F.lit(0).alias("k"))), F.transform(halves, lambda x, i: F.struct(F.concat("id", F.char(97 + i)).alias("id"), x.alias("label"), (i + 1).alias("k"))))
+    nodes = written(rows.select("parent", ORD, F.explode(entries).alias("e")).select("e.id", "e.label", F.struct(ORD, "e.k").alias("ord"), F.array("parent").alias("parents")), "kinds")
+    # A bin is a node by itself, whatever its label.
+    unique = nodes.withColumn("label", F.when(F.col("label").contains(" & "), F.concat_ws("\u0000", "label", "id")).otherwise(F.col("label")))
+    top = spark.createDataFrame([(root, "\u0000root")], "id string, label string").select("id", "label", F.struct(F.lit(-1).cast("long").alias(ORD), F.lit(0).alias("k")).alias("ord"), F.array().cast("array<string>").alias("parents"))
+    merged = written(aggregates.merged_by_label(unique.union(top)), "merged")
+    edges = merged.select(F.col("id").alias("sub"), F.explode("parents").alias("sup"))
+    loops = edges.join(graph.closure(edges).select(F.col("sub").alias("sup"), F.col("sup").alias("sub")), ["sub", "sup"], "left_semi")
+    cut = _unlooped([(r["sub"], r["sup"]) for r in loops.join(unique.select(F.col("id").alias("sub"), "ord"), "sub").orderBy("ord", "sup").collect()])
+    if cut:
+        edges = edges.join(spark.createDataFrame(cut, "sub string, sup string"), ["sub", "sup"], "left_anti")
+    label = F.when(F.col("id") == root, root).otherwise(F.substring_index("label", "\u0000", 1))
+    return merged.select("id", label.alias("label")), edges
+
+
+def _unlooped(links: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Of links that lie on loops, in order, those that close one as the others stand: they go, one name after the other."""
+    above: dict[str, list[str]] = {}
+    for sub, sup in links:
+        above.setdefault(sub, []).append(sup)
+    gone = []
+    for sub in list(above):
+        closing = []
+        for sup in above[sub]:
+            seen, todo = set(), [sup]
+            while todo:
+                n = todo.pop()
+                if n not in seen:
+                    seen.add(n)
+                    todo += above.get(n, ())
+            if sub in seen:
+                closing.append(sup)
+        above[sub] = [p for p in above[sub] if p not in closing]
+        gone += [(sub, p) for p in closing]
+    return gone
+
+
+def product_codes(spark: SparkSession, path: str, root: str = "root", services: str = "services", goods: str = "goods") -> tuple[DataFrame, DataFrame]:
+    """code_list() as nodes (id, label) and edges: a code hangs below the code without its last digit, single digits below
+    services (5 to 9) or goods, and so does division 53, below goods.
+
+    A code of goods that has codes below it and a title of several kinds is a bin: each kind stands beside it, as the
+    code with a letter.
+    """
+    from arbora.operators.selection import is_goods
+
+    code = F.trim("code")
+    told = code_list(spark, path).select(code.alias("id"), F.trim("title").alias("title"))
+    parent = F.when(F.length("id") == 1, F.when(F.col("id").rlike("^[5-9]$"), services).otherwise(goods)).when(F.col("id") == "53", goods).otherwise(F.expr("substring(id, 1, length(id) - 1)"))
+    rows = written(told.select("id", F.lower("title").alias("label"), parent.alias("parent")), "codes")
+    having = rows.select(F.col("parent").alias("id")).distinct()
+    bins = rows.join(having, "id", "left_semi").where(is_goods(F.col("id"))).withColumn("kinds", text.kinds(F.col("label"))).where(text.is_union(F.col("label"), F.col("kinds")))
+    leaves = bins.select("id", "parent", F.posexplode("kinds").alias("i", "kind")).select(F.concat("id", F.char(F.col("i") + 97)).alias("id"), F.concat("kind", F.lit(" (from "), "id", F.lit(")")).alias("label"), "parent")
+    whole = rows.unionByName(leaves)
+    tops = spark.createDataFrame([(root, root), (services, services), (goods, goods)], "id string, label string")
+    edges = whole.select(F.col("id").alias("sub"), F.col("parent").alias("sup")).union(spark.createDataFrame([(services, root), (goods, root)], "sub string, sup string"))
+    return whole.select("id", "label").union(tops), edges
+
+
 def code_list(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
     """A CSV of (code, title) with a header; codes stay strings."""
     return spark.read.csv(path, header=True, encoding=encoding, escape='"', schema="code string, title string").where("code is not null")
@@ -343,12 +471,19 @@ def level_list(spark: SparkSession, path: str, levels: list[tuple[str, str, int]
     return rows.select(ORD, each.alias("x")).where("x.code is not null").groupBy("x.code").agg(F.min_by("x.title", ORD).alias("title"))
 
 
-def registry(spark: SparkSession, path: str) -> DataFrame:
-    """Registry CSVs (Name, Template), one for each top type -> (media_type, dead); the template is authoritative, and
-    rows that name no subtype are skipped."""
-    rows = spark.read.csv(path, header=True, escape='"').select("Name", "Template", F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1).alias("top"))
-    kind = F.coalesce(F.nullif(F.trim("Template"), F.lit("")), F.concat_ws("/", "top", F.substring_index(F.trim("Name"), " ", 1)))
-    return rows.select(F.lower(kind).alias("media_type"), text.is_dead(F.col("Name")).alias("dead")).where(F.col("media_type").rlike("^[^/]+/[^/]+$"))
+def registry(spark: SparkSession, folder: str, tops: list[str]) -> DataFrame:
+    """Registry CSVs (Name, Template), top.csv for each top type -> (media_type, top, dead).  The template is authoritative; rows
+    without one, or with one that names no subtype, are placeholders.  Files that aren't there are left out."""
+    rows = None
+    for top in tops:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{top}.csv")
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            continue
+        own = spark.read.csv(path.toString(), header=True, escape='"').select(F.trim("Template").alias("media_type"), text.is_dead(F.col("Name")).alias("dead"))
+        rows = own if rows is None else rows.union(own)
+    if rows is None:
+        return spark.createDataFrame([], "media_type string, top string, dead boolean")
+    return rows.where(F.col("media_type").contains("/")).select("media_type", F.split_part("media_type", F.lit("/"), F.lit(1)).alias("top"), "dead")
 
 
 # Selections and snapshots.
@@ -367,15 +502,28 @@ def selected(spec: DataFrame, synset: DataFrame, hypernym: DataFrame, closed: Da
 
 def first_of_each(rows: DataFrame, group: str, order: str, most: int) -> DataFrame:
     """At most so many rows of each group, by order: a capped pull."""
-    from pyspark.sql import Window
-
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(order))).where(F.col("_n") <= most).drop("_n")
 
 
-def vectors(spark: SparkSession, path: str) -> DataFrame:
-    """Lines `word x y z` -> (word, vector)."""
+def vectors(spark: SparkSession, path: str, normalised: bool = False) -> DataFrame:
+    """Lines `word x y z` -> (word, vector), of length one if told so.  A zip archive's members are read by one task each."""
+
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for content in b["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in z.namelist():
+                        with io.TextIOWrapper(z.open(name), encoding="utf-8") as told:
+                            while part := [line.rstrip("\n") for _, line in zip(range(4096), told, strict=False)]:
+                                yield pd.DataFrame({"value": part})
+
+    told = spark.read.format("binaryFile").load(path).select("content").mapInPandas(members, "value string") if path.endswith(".zip") else spark.read.text(path)
     f = F.split("value", " ")
-    return spark.read.text(path).select(f[0].alias("word"), F.transform(F.slice(f, F.lit(2), F.size(f) - 1), lambda x: x.cast("float")).alias("vector"))
+    rows = told.select(f[0].alias("word"), F.transform(F.slice(f, F.lit(2), F.size(f) - 1), lambda x: x.cast("float")).alias("vector"))
+    if not normalised:
+        return rows
+    size = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x.cast("double") * x))
+    return rows.withColumn("_s", size).select("word", F.transform("vector", lambda x: (x / (F.col("_s") + 1e-9)).cast("float")).alias("vector"))
 
 
 # Workbooks.
@@ -451,3 +599,29 @@ def pulled(chunks: DataFrame, ask: Callable[[list], list[tuple]], schema: str, t
                 yield pd.DataFrame(found, columns=names)
 
     return chunks.select("values").mapInPandas(rows, schema)
+
+
+def by_prefix(prefixes: list[str], spark: SparkSession) -> DataFrame:
+    """Chunks (chunk, values) of one prefix each, for sources that answer ranges of ids."""
+    return spark.createDataFrame([(i, [p]) for i, p in enumerate(prefixes)], "chunk long, values array<string>").repartition(max(1, len(prefixes)))
+
+
+def first_labels(rows: DataFrame) -> DataFrame:
+    """rows (qid, label, ord) of a pull -> (qid, label): the last label that was told, else the id."""
+    return rows.groupBy("qid").agg(F.max_by("label", F.when(F.col("label").isNotNull(), F.col("ord"))).alias("label")).select("qid", F.coalesce("label", "qid").alias("label"))
+
+
+def looked_up(wanted: DataFrame, entities: DataFrame, kinds: DataFrame, unwanted: list[str], shown: int = 6) -> DataFrame:
+    """wanted (label), entities (qid, label: each of its names), kinds (qid, kind) -> (label, qids): the first `shown` entities of
+    a label, by id, that are of none of the unwanted kinds; none is an empty array."""
+    out = kinds.where(F.col("kind").isin(*unwanted)).select("qid").distinct()
+    found = entities.select("qid", "label").distinct().join(out, "qid", "left_anti").join(wanted.select("label").distinct(), "label", "left_semi")
+    w = Window.partitionBy("label").orderBy("qid")
+    some = found.withColumn("k", F.row_number().over(w)).where(F.col("k") <= shown).groupBy("label").agg(F.array_sort(F.collect_list("qid")).alias("qids"))
+    return wanted.select("label").distinct().join(some, "label", "left").select("label", F.coalesce("qids", F.array().cast("array<string>")).alias("qids"))
+
+
+def instances_of(classes: DataFrame, links: DataFrame, most: int) -> DataFrame:
+    """classes (kind), links (item, kind) -> (item, kind): of each class its first `most` items, by id, with all classes of theirs."""
+    chosen = first_of_each(links.join(classes.select("kind"), "kind", "left_semi"), "kind", "item", most).select("item").distinct()
+    return links.join(chosen, "item", "left_semi").select("item", "kind").distinct()

@@ -47,7 +47,7 @@ def test_lexicon(spark, tmp_path):
     (tmp_path / "index.noun").write_text("entity n 2 1 ~ 2 1 00001740 00002000  \n")
     assert [tuple(r) for r in readers.sense_index(spark, str(tmp_path / "index.noun")).collect()] == [("entity", 1, "00001740"), ("entity", 2, "00002000")]
     (tmp_path / "index.sense").write_text("entity%1:03:00:: 00001740 1 11\n")
-    assert tuple(readers.sense_counts(spark, str(tmp_path / "index.sense")).first()) == ("entity", "1", "00001740", 11)
+    assert tuple(readers.sense_counts(spark, str(tmp_path / "index.sense")).first()) [1:] == ("entity", "1", "00001740", 11)
 
 
 def test_ontologies(spark, tmp_path):
@@ -74,8 +74,8 @@ def test_lists(spark, tmp_path):
     assert [(r["id"], r["path"], r["label"]) for r in readers.path_taxonomy(spark, str(tmp_path / "t.txt")).collect()] == [("1", ["Animals"], "Animals"), ("2", ["Animals", "Pets"], "Pets")]
     (tmp_path / "l.csv").write_text("m,mt,u,ut\n1,one,1,unit\n1,again,12,two\n")
     assert {tuple(r) for r in readers.level_list(spark, str(tmp_path / "l.csv"), [("m", "mt", 1), ("u", "ut", 2)]).collect()} == {("1", "one"), ("01", "unit"), ("12", "two")}
-    (tmp_path / "image.csv").write_text("Name,Template\npng,image/png\nold (OBSOLETE),\nvnd.x/y/z,\n")
-    assert {tuple(r) for r in readers.registry(spark, str(tmp_path / "image.csv")).collect()} == {("image/png", False), ("image/old", True)}
+    (tmp_path / "image.csv").write_text("Name,Template\npng,image/PNG\nold (OBSOLETE),image/old\nplaceholder,\n")
+    assert {tuple(r) for r in readers.registry(spark, str(tmp_path), ["image", "audio"]).collect()} == {("image/PNG", "image", False), ("image/old", "image", True)}
 
 
 def test_stream(spark, tmp_path):
