@@ -18,10 +18,11 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,18 @@ def terms(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def hashed(words: Iterable[str], n: int) -> np.ndarray:
+    """64-bit hashes, by which tasks know terms: a vocabulary is eight bytes a term."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
+
+
+def known_in(vocabulary: np.ndarray, words: Collection[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The places of words in a sorted vocabulary of hashes, and whether they are in it."""
+    h = hashed(words, len(words))
+    at = np.searchsorted(vocabulary, h)
+    return at, vocabulary[np.minimum(at, len(vocabulary) - 1)] == h if len(vocabulary) else np.zeros(len(h), bool)
+
+
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all runs (starts[i], starts[i] + 1, ... sizes[i] of them), one run after the other."""
     before = np.cumsum(sizes) - sizes
@@ -71,7 +84,7 @@ class Index:
     others are lists, read whole.
     """
 
-    def __init__(self, entries: list[Vector], examples: list[int], toxic: list[int], n_terms: int, width: int = 64, often: int = 32):
+    def __init__(self, entries: list[Vector], examples: list[int], toxic: list[int], n_terms: int, width: int = 64, often: int = 16):
         # Place -> entry.  Alike ones stand together, which makes the blocks' bounds tight.
         cell = alike(entries, max(1, len(entries) // width)) if entries else np.zeros(0, int)
         self.order, self.width = np.argsort(cell, kind="stable"), width
@@ -80,7 +93,7 @@ class Index:
         sizes = np.array([len(entries[i][0]) for i in self.order], int)
         term = np.concatenate([np.zeros(0, np.int64), *(entries[i][0] for i in self.order)])
         weight = np.concatenate([np.zeros(0), *(entries[i][1] for i in self.order)]).astype(np.float32)
-        place = np.repeat(np.arange(len(entries)), sizes).astype(np.int32)
+        place = np.repeat(np.arange(len(entries)), sizes).astype(np.int16 if len(entries) < 1 << 15 else np.int32)
         frequent = np.flatnonzero(np.bincount(term, minlength=n_terms) * often > len(entries))
         #: Row of a frequent term, -1 of others.
         self.row = np.full(n_terms, -1, np.int32)
@@ -91,7 +104,7 @@ class Index:
         self.most = self.dense.max(axis=2) if len(entries) else np.zeros((len(frequent), 0), np.float32)
         by_term = np.flatnonzero(~some)[np.argsort(term[~some], kind="stable")]
         self.place, self.weight = place[by_term], weight[by_term]
-        self.first = np.searchsorted(term[by_term], np.arange(n_terms + 1))
+        self.first = np.searchsorted(term[by_term], np.arange(n_terms + 1)).astype(np.int32)
 
     def nearest(self, query: Vector, k: int, less: int = -1) -> list[tuple[float, int]]:
         """(cosine, place) of the nearest entries, best first, ties by place: as many as stand for k examples.
@@ -129,7 +142,7 @@ class Index:
 
 
 class Model:
-    def __init__(self, vocabulary: dict[str, int], weight: np.ndarray, index: Index, ids: list[int], none: tuple[int, int], base: float, k: int):
+    def __init__(self, vocabulary: np.ndarray, weight: np.ndarray, index: Index, ids: list[int], none: tuple[int, int], base: float, k: int):
         """weight: of each term, for a tf of one; ids: a labelled id for each place; none: how many of the sample have no
         term, and how many of these are toxic; base: the rate of toxic ones."""
         self.vocabulary, self.weight, self.index, self.ids, self.k, self.base = vocabulary, weight, index, ids, k, base
@@ -138,14 +151,13 @@ class Model:
         self.curve = (0.0, 1.0)
 
     def vector(self, text: str | None) -> Vector:
-        known = self.vocabulary
         counts = Counter(terms(text))
-        return self.of(np.fromiter((known.get(w, -1) for w in counts), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
+        at, known = known_in(self.vocabulary, counts)
+        return self.of(at[known], np.fromiter(counts.values(), np.int64, len(counts))[known])
 
     def of(self, at: np.ndarray, n: np.ndarray) -> Vector:
-        """Of terms (-1 for unknown ones) and how often they stand."""
+        """Of terms and how often they stand."""
         order = np.argsort(at)
-        order = order[np.searchsorted(at[order], 0) :]
         at, n = at[order], n[order]
         w = (1 + np.log(n)) * self.weight[at]
         size = np.sqrt((w * w).sum())
@@ -216,14 +228,15 @@ def examples_of(docs: DataFrame, labels: DataFrame, sample: int, held_out: int)
     return found.sort_by("_id")
 
 
-def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
+def frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
     """The number of documents, and in how many each term of the vocabulary stands.  A task sends a row for each term."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(len(vocabulary), np.int64), 0
         for b in slices(batches):
             for text in b.column(0).to_pylist():
-                seen[[vocabulary[w] for w in set(terms(text)) if w in vocabulary]] += 1
+                at, known = known_in(vocabulary, set(terms(text)))
+                seen[at[known]] += 1
                 n += 1
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(seen[some], n))], ["term", "n"])
@@ -247,14 +260,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4096, held_out: int
     ids, toxic = (told[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("_id", "_toxic"))
     listed = told["terms"].combine_chunks()
     spelt = listed.flatten().dictionary_encode()
-    vocabulary = {w: i for i, w in enumerate(spelt.dictionary.to_pylist())}
-    term, times = spelt.indices.to_numpy().astype(np.int64), told["counts"].combine_chunks().flatten().to_numpy()
+    hashes = hashed(spelt.dictionary.to_pylist(), len(spelt.dictionary))
+    vocabulary, rank = np.unique(hashes, return_inverse=True)
+    term, times = rank[spelt.indices.to_numpy()].astype(np.int64), told["counts"].combine_chunks().flatten().to_numpy()
     sizes = np.diff(listed.offsets.to_numpy()) if len(listed) else np.zeros(0, int)
-    del told, listed, spelt
+    del told, listed, spelt, hashes, rank
     n = np.array([len(toxic) - toxic.sum(), toxic.sum()], float)
     base = (n[1] + 0.1) / (n.sum() + 1)
-    if not vocabulary:
-        return Model({}, np.zeros(0), Index([], [], [], 0), [], (int(n.sum()), int(n[1])), base, k)
+    if not len(vocabulary):
+        return Model(vocabulary, np.zeros(0), Index([], [], [], 0), [], (int(n.sum()), int(n[1])), base, k)
     label = np.repeat(toxic, sizes)
     seen = np.stack([np.bincount(term[label == y], minlength=len(vocabulary)) for y in (0, 1)]).astype(float)
     total, df = frequencies(docs, vocabulary)
