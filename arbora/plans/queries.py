@@ -115,9 +115,12 @@ def reduction_dag(t: Tables) -> DataFrame:
     return graph.reduction(goods(t).union(shortcuts(t)))
 
 
-@query("WITH RECURSIVE e AS (SELECT DISTINCT 'k:'||(l_partkey % 211) AS sub, 'k:'||((l_suppkey * 7) % 211) AS sup FROM lineitem), " + CLOSED.format("e") + " SELECT sub, sup FROM closed")
+@query("WITH RECURSIVE e AS (SELECT 'c:'||c_custkey AS sub, 'c:'||(c_custkey // 2) AS sup FROM customer WHERE c_custkey > 1 UNION SELECT 'c:'||c_custkey, 'c:'||(c_custkey * 5) FROM customer WHERE c_custkey < 10), " + CLOSED.format("e") + " SELECT sub, sup FROM closed")
 def cyclic_reach(t: Tables) -> DataFrame:
-    return graph.closure(t.lineitem.select(F.concat(F.lit("k:"), (F.col("l_partkey") % 211).cast("string")).alias("sub"), F.concat(F.lit("k:"), (F.col("l_suppkey") * 7 % 211).cast("string")).alias("sup")))
+    """Customers below the one of half their number, and the first ones below one of five times theirs: loops, which all reach."""
+    k = F.col("c_custkey")
+    one = lambda rows, to: rows.select(named("c", "c_custkey").alias("sub"), F.concat(F.lit("c:"), to.cast("string")).alias("sup"))
+    return graph.closure(one(t.customer.where("c_custkey > 1"), F.floor(k / 2)).union(one(t.customer.where("c_custkey < 10"), k * 5)))
 
 
 @query(f"{GOODS_CLOSED} SELECT sub AS name FROM closed WHERE sup IN ('brand', 'goods') GROUP BY sub HAVING count(DISTINCT sup) = 2")
@@ -206,9 +209,9 @@ def path_listing(t: Tables) -> DataFrame:
 
 # Votes.
 
-STATED = """stated AS (SELECT l_returnflag||l_linestatus AS source, 'k:'||(l_partkey % 50) AS sub, 'k:'||(l_suppkey * 3 % 50) AS sup FROM lineitem)"""
+STATED = """stated AS (SELECT l_returnflag||l_linestatus AS source, 'k:'||l_partkey AS sub, 'k:'||(l_suppkey * 3) AS sup FROM lineitem)"""
 WITNESSES = """w AS (SELECT sub, sup, list_sort(list(DISTINCT source)) AS f FROM stated GROUP BY sub, sup), pairs AS (SELECT w.sub, w.sup, w.f AS "for", coalesce(r.f, []) AS against FROM w LEFT JOIN w AS r ON r.sub = w.sup AND r.sup = w.sub)"""
-RULED = """verdicts AS (SELECT sub, sup, arg_max(decision, ord) AS decision FROM (SELECT 'k:'||(user_id % 50) AS sub, 'k:'||(CAST(floor(value) AS BIGINT) % 50) AS sup, CASE WHEN event_type = 'purchase' THEN 'accept' ELSE 'reject' END AS decision, event_id AS ord
+RULED = """verdicts AS (SELECT sub, sup, arg_max(decision, ord) AS decision FROM (SELECT 'k:'||user_id AS sub, 'k:'||CAST(floor(value) AS BIGINT) AS sup, CASE WHEN event_type = 'purchase' THEN 'accept' ELSE 'reject' END AS decision, event_id AS ord
 FROM events WHERE event_type IN ('purchase', 'error')) GROUP BY sub, sup)"""
 DECIDED = """decided AS (SELECT p.sub, p.sup, CASE WHEN coalesce(v.decision, '') = 'reject' THEN 'rejected' WHEN v.decision = 'accept' THEN 'accepted' WHEN len(against) > 0 THEN 'disputed'
 WHEN list_contains("for", 'AF') AND len("for") < 2 THEN 'dissented' WHEN len("for") >= 2 THEN 'accepted' ELSE 'single' END AS status FROM pairs AS p LEFT JOIN verdicts AS v ON v.sub = p.sub AND v.sup = p.sup)"""
@@ -219,12 +222,12 @@ def key(column: Column) -> Column:
 
 
 def stated(t: Tables) -> DataFrame:
-    return t.lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("source"), key(F.col("l_partkey") % 50).alias("sub"), key(F.col("l_suppkey") * 3 % 50).alias("sup"))
+    return t.lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("source"), key(F.col("l_partkey")).alias("sub"), key(F.col("l_suppkey") * 3).alias("sup"))
 
 
 def verdicts(t: Tables) -> DataFrame:
     told = t.events.where("event_type in ('purchase', 'error')")
-    return told.select(key(F.col("user_id") % 50).alias("sub"), key(F.floor("value") % 50).alias("sup"), F.when(F.col("event_type") == "purchase", "accept").otherwise("reject").alias("decision"), F.col("event_id").alias("ord"))
+    return told.select(key(F.col("user_id")).alias("sub"), key(F.floor("value")).alias("sup"), F.when(F.col("event_type") == "purchase", "accept").otherwise("reject").alias("decision"), F.col("event_id").alias("ord"))
 
 
 def decided(t: Tables) -> DataFrame:
@@ -250,13 +253,13 @@ def status_histogram(t: Tables) -> DataFrame:
 EVIDENCE = """f AS (SELECT substr(source, 1, 1) AS source, sub, sup FROM stated), known AS (SELECT sub AS name, source FROM f UNION SELECT sup, source FROM f),
 told AS (SELECT p.sub, p.sup, (SELECT list_sort(list(DISTINCT source)) FROM f WHERE f.sub = p.sub AND f.sup = p.sup) AS e,
 (SELECT list_sort(list(DISTINCT a.source)) FROM known AS a JOIN known AS b ON a.source = b.source WHERE a.name = p.sub AND b.name = p.sup) AS t,
-(SELECT list_sort(list(DISTINCT source)) FROM f WHERE f.sub = p.sup AND f.sup = p.sub) AS r FROM (SELECT DISTINCT 'k:'||(c_custkey % 50) AS sub, 'k:'||(c_nationkey * 2) AS sup FROM customer) AS p),
+(SELECT list_sort(list(DISTINCT source)) FROM f WHERE f.sub = p.sup AND f.sup = p.sub) AS r FROM (SELECT DISTINCT 'k:'||c_custkey AS sub, 'k:'||(c_nationkey * 2) AS sup FROM customer) AS p),
 classed AS (SELECT sub, sup, coalesce(array_to_string(e, ' '), '') AS "E", coalesce(array_to_string(t, ' '), '') AS "T", coalesce(array_to_string(r, ' '), '') AS "R",
 CASE WHEN r IS NOT NULL AND e IS NULL THEN 'reversed' WHEN len(e) >= 2 THEN '2+' WHEN len(e) = 1 THEN '1' WHEN t IS NOT NULL THEN '0-testable' ELSE '0-untestable' END AS class FROM told)"""
 
 
 def checked(t: Tables) -> DataFrame:
-    pairs = t.customer.select(key(F.col("c_custkey") % 50).alias("sub"), key(F.col("c_nationkey") * 2).alias("sup")).distinct()
+    pairs = t.customer.select(key(F.col("c_custkey")).alias("sub"), key(F.col("c_nationkey") * 2).alias("sup")).distinct()
     return votes.closure_check(pairs, stated(t).withColumn("source", F.substring("source", 1, 1)), ["A", "N", "R"])
 
 
