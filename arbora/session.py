@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged(spark: SparkSession, path: str, extract: Callable[[], DataFrame]) -> DataFrame:
+    """The table at path; if it isn't there whole, extract() is written there first."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        extract().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def dropped(*frames: DataFrame) -> None:
     """Deletes tables that written() made and that nothing reads any more."""
     for df in frames:
