@@ -132,7 +132,7 @@ def banded(sig: np.ndarray, rows: int) -> np.ndarray:
     return x.view(np.int64)
 
 
-def portions(texts: list[bytes], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def portions(texts: list[bytes], limit: int = 400_000) -> Iterator[tuple[int, int]]:
     """Runs (from, to) of texts of some `limit` bytes together; a longer text is a run by itself."""
     i = 0
     while i < len(texts):

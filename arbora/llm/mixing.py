@@ -47,10 +47,10 @@ def split(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarr
 
 
 class Plan:
-    """What plan() has found: sized (the rows with size, hash and block) and, by source, what is drawn of it."""
+    """What plan() has found: sized (the rows with size, hash and block), by source what is drawn of it, and all words drawn."""
 
-    def __init__(self, sized: DataFrame, by_source: DataFrame):
-        self.sized, self.by_source = sized, by_source
+    def __init__(self, sized: DataFrame, by_source: DataFrame, words: int):
+        self.sized, self.by_source, self.words = sized, by_source, words
 
 
 def keyed(docs: DataFrame, seed: int, blocks: int) -> list:
@@ -116,7 +116,7 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: Fraction
             part = at["size"] if 2 * lacking >= at["size"] else 0
         found.append((source, s, g, k, at["_block"] if at else -1, at["_h"] if at else 0, part, firsts[:, i].tolist()))
     dropped(summed)
-    return Plan(sized, spark.createDataFrame(found, "_source string, source_size long, target double, copies int, end_block int, end_h long, part long, firsts array<long>"))
+    return Plan(sized, spark.createDataFrame(found, "_source string, source_size long, target double, copies int, end_block int, end_h long, part long, firsts array<long>"), sum(words))
 
 
 def _drawn(rows: DataFrame, by_source: DataFrame, blocks: int) -> DataFrame:
@@ -160,7 +160,10 @@ def mixed(docs: DataFrame, seed: int = 7, blocks: int = 4096, **how: object) ->
     empty.  Null sources are one source, null ids are taken alike, repeated rows are too.  No rows give no rows.  dealt()
     puts it in the order of shards and places, in which it is shuffled within shards.
     """
-    p = plan(docs, seed=seed, blocks=blocks, **how)
+    return _mixed(docs, plan(docs, seed=seed, blocks=blocks, **how), seed, blocks)
+
+
+def _mixed(docs: DataFrame, p: Plan, seed: int, blocks: int) -> DataFrame:
     rows = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("doc"), docs["source"].cast("string").alias("source"), F.regexp_count(text_of(docs["text"]), F.lit(WORD)).cast("long").alias("size"), *keyed(docs, seed, blocks))
     drawn = _drawn(rows, p.by_source, blocks).withColumn("draw", F.explode("draws"))
     words = F.col("draw.words")
@@ -169,7 +172,9 @@ def mixed(docs: DataFrame, seed: int = 7, blocks: int = 4096, **how: object) ->
     return drawn.select(whole.alias("doc"), F.col("draw.copy").alias("copy"), words.alias("words"), F.col("draw.shard").alias("shard"), F.xxhash64(F.lit(seed), F.col("_h"), F.col("draw.copy")).alias("place"))
 
 
-def dealt(mix: DataFrame) -> DataFrame:
-    """What mixed() returns, by shard and in the order of places within: ranges of both, so that no task holds a whole shard
-    that is large."""
-    return mix.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
+def dealt(docs: DataFrame, seed: int = 7, blocks: int = 4096, shards: int = 64, task_words: int = 2_000_000, **how: object) -> DataFrame:
+    """What mixed() returns, by shard and in the order of places within: a range for each shard at least, and for every
+    `task_words` of the mix, so that no task holds a whole shard that is large."""
+    p = plan(docs, seed=seed, blocks=blocks, shards=shards, **how)
+    parts = max(shards, -(-p.words // task_words))
+    return _mixed(docs, p, seed, blocks).repartitionByRange(parts, "shard", "place").sortWithinPartitions("shard", "place")
