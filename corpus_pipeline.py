@@ -71,7 +71,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     has its first words.  Null sources are one source; null ids are drawn alike, repeated rows are too; null and empty texts
     have no words and come with each whole copy of their source.  No documents give none; all columns stay.
     """
-    return unpacked(mixing.dealt(mixing.mixed(docs, near=0.005)).withColumn("_text", F.col("doc.text")), docs, "_text")
+    return unpacked(mixing.dealt(docs, near=0.005).withColumn("_text", F.col("doc.text")), docs, "_text")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
