@@ -20,13 +20,14 @@ def gold_first_senses(counts: DataFrame, least: int = 5) -> DataFrame:
 
 def first_senses(bags: DataFrame, words: DataFrame, vectors: DataFrame) -> DataFrame:
     """The direct method: bags (lemma, offset, word), words (lemma, key), vectors (word, vector) -> (lemma, offset, sim,
-    place): senses by the cosine of the lemma's vector and the mean vector of the sense's bag, for two senses or more."""
+    place): senses by the cosine of the lemma's vector and the mean vector of the sense's bag, for two senses or more.  Cosines
+    are compared to nine digits, so that the order of sums doesn't tell."""
     known = vectors.select("word", "vector")
     means = centroids(bags.join(known, "word").withColumn("sense", F.struct("lemma", "offset")), "sense", "vector").select("sense.lemma", "sense.offset", "centroid")
     own = words.join(known.select(F.col("word").alias("key"), "vector"), "key").select("lemma", "vector")
     told = means.join(own, "lemma").select("lemma", "offset", cosine(F.col("centroid"), F.col("vector")).alias("sim"))
     several = told.groupBy("lemma").agg(F.count("*").alias("n")).where("n > 1").select("lemma")
-    return first_per_group(told.join(several, "lemma", "left_semi"), ["lemma"], [F.desc("sim"), F.col("offset")], 1 << 30)
+    return first_per_group(told.join(several, "lemma", "left_semi"), ["lemma"], [F.round("sim", 9).desc(), F.col("offset")], 1 << 30)
 
 
 def neighbour_votes(similar: DataFrame, k: int = 50) -> DataFrame:

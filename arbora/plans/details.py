@@ -159,7 +159,7 @@ def guarded_links(t: Tables) -> DataFrame:
 
 
 @query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), b AS (SELECT l_orderkey AS lemma, l_suppkey AS o, l_partkey AS w FROM lineitem), m AS (SELECT lemma, o, i, avg(e[i]) AS x FROM b JOIN v ON vec_id = w, range(1, 65) AS t(i) GROUP BY lemma, o, i),
-s AS (SELECT m.lemma, m.o, sum(x * e[i]) / sqrt(sum(x * x) * sum(e[i] * e[i])) AS sim FROM m JOIN v ON vec_id = m.lemma GROUP BY m.lemma, m.o), c AS (SELECT *, count(*) OVER (PARTITION BY lemma) AS n, row_number() OVER (PARTITION BY lemma ORDER BY sim DESC, o) AS place FROM s)
+s AS (SELECT m.lemma, m.o, sum(x * e[i]) / sqrt(sum(x * x) * sum(e[i] * e[i])) AS sim FROM m JOIN v ON vec_id = m.lemma GROUP BY m.lemma, m.o), c AS (SELECT *, count(*) OVER (PARTITION BY lemma) AS n, row_number() OVER (PARTITION BY lemma ORDER BY round(sim, 9) DESC, o) AS place FROM s)
 SELECT lemma, o AS "offset", round(sim, 6) AS sim, CAST(place AS INTEGER) AS place FROM c WHERE n > 1""")
 def first_senses(t: Tables) -> DataFrame:
     """Orders as lemmas, their suppliers as senses, their parts as words of the senses' bags: by the cosine of means."""

@@ -37,10 +37,8 @@ def test_same_as_sql(spark, duck, name):
     assert told(QUERIES[name](spark, DIR).toPandas()) == told(duck.sql(SQL[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_runs_twice_alike(spark, name):
-    a, b = (told(QUERIES[name](spark, DIR).toPandas()) for _ in range(2))
-    assert a == b and a[1]
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
