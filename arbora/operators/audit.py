@@ -163,16 +163,15 @@ class Naming:
     def candidates(self, found: list[tuple[str, list[str], str]], by_hand: dict[str, str] | None = None, dropped: set[str] = frozenset()) -> None:
         """found (offset, names of its lemmas, field).  A name given by hand is as said; else the first lemma, if it is free;
         else another lemma that is neither taken nor any candidate's first; else the first with its field, or a number."""
-        by_hand = by_hand or {}
-        wanted = [c for c in found if c[0] not in dropped]
-        reserved = {lemmas[0] for offset, lemmas, _ in wanted if offset not in by_hand} | set(by_hand.values())
-        for offset, lemmas, field in wanted:
+        told = by_hand or {}
+        rows = [(offset, lemmas, field) for offset, lemmas, field in found if offset not in dropped]
+        spoken_for = {*told.values(), *(lemmas[0] for offset, lemmas, _ in rows if offset not in told)}
+        for offset, lemmas, field in rows:
             if offset in self.of:
                 continue
-            name = by_hand.get(offset, lemmas[0])
-            if offset not in by_hand and name in self.names:
-                spare = [w for w in lemmas[1:] if w not in self.names and w not in reserved]
-                name = self.numbered(spare[0] if spare else f"{name}.{field}")
+            choice = [told[offset]] if offset in told else [w for i, w in enumerate(lemmas) if w not in self.names and (i == 0 or w not in spoken_for)]
+            name = choice[0] if choice else self.numbered(f"{lemmas[0]}.{field}")
+            if offset not in told and name != lemmas[0]:
                 self.queue.append((name, f"{lemmas[0]} is taken", offset))
             self.give(name, offset)
 
