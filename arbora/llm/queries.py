@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as queries over their whole tables."""
+"""The operators and the pipeline as queries over their whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import embedding_dedup, fingerprints, language_model, licences, minhash_dedup, mixing, packing, pii, toxicity, urls
+from arbora.llm import dialogue, embedding_dedup, fingerprints, language_model, lexical_search, licences, minhash_dedup, mixing, packing, pii, toxicity, urls
 from arbora.llm.common import remainder_of_five, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,10 +62,18 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(dialogue.damaged(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup, op11_lexical_search, op13_conversation_repair)} | {"pipeline": corpus_pipeline.run}
 
 
 #: Words of a text for shingles and licences: lower case A-Z, runs of ASCII letters and digits and all beyond ASCII.
@@ -80,6 +88,12 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_dedup": f"""WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), ids AS (SELECT vec_id AS id FROM v),
 links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v AS x JOIN v AS y ON x.vec_id != y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9), {_GROUPS}
 SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, min(root) AS component_id, id = min(root) AS kept FROM reach GROUP BY id""",
+        "op11_lexical_search": """WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM documents),
+q AS (SELECT item_id, t, count(*) AS k FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id), a AS (SELECT count(*) AS n, CAST(sum(n) AS BIGINT) AS len FROM d), tf AS (SELECT doc_id, t, count(*) AS tf FROM t GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(a.n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN a GROUP BY t),
+s AS (SELECT item_id, tf.doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * d.n * a.n) // a.len)))) AS BIGINT) AS score FROM q JOIN tf USING (t) JOIN w USING (t) JOIN d ON d.doc_id = tf.doc_id CROSS JOIN a GROUP BY item_id, tf.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10""",
         "op10_minhash_dedup": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents), ids AS (SELECT id FROM w),
 s AS (SELECT id, s, count(*) AS n FROM (SELECT id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w WHERE len(w) > 0) GROUP BY id, s),
 total AS (SELECT id, sum(n) AS n FROM s GROUP BY id), shared AS (SELECT x.id AS a, y.id AS b, sum(least(x.n, y.n)) AS n FROM s AS x JOIN s AS y ON x.s = y.s AND x.id != y.id GROUP BY x.id, y.id),
