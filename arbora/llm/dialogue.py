@@ -184,7 +184,7 @@ class Told:
             chain, at, state = chain
             cuts.append((at, state))
         cuts.reverse()
-        ends = [at for at, _ in cuts[1:]] + [len(labels)]
+        ends = [*(at for at, _ in cuts[1:]), len(labels)][: len(cuts)]
         return cost, labels, [(state, labels[at:to]) for (at, state), to in zip(cuts, ends, strict=True)]
 
     def _ends(self) -> Iterator[tuple[int, tuple[int, str]]]:

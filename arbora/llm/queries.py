@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arbora.llm import dialogue, embedding_dedup, fingerprints, language_model, lexical_search, licences, minhash_dedup, mixing, packing, pii, toxicity, urls
+from arbora.llm import dialogue, embedding_dedup, fingerprints, language_model, lexical_search, licences, minhash_dedup, mixing, packing, pii, suffix_dedup, toxicity, urls
 from arbora.llm.common import remainder_of_five, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue.repair(dialogue.damaged(table(spark, sf_dir, "conversations")))
 
@@ -73,7 +77,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup, op11_lexical_search, op13_conversation_repair)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup, op11_lexical_search, op12_suffix_dedup, op13_conversation_repair)} | {"pipeline": corpus_pipeline.run}
 
 
 #: Words of a text for shingles and licences: lower case A-Z, runs of ASCII letters and digits and all beyond ASCII.
@@ -94,6 +98,25 @@ d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id), a AS (SELECT count(*
 w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(a.n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN a GROUP BY t),
 s AS (SELECT item_id, tf.doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * d.n * a.n) // a.len)))) AS BIGINT) AS score FROM q JOIN tf USING (t) JOIN w USING (t) JOIN d ON d.doc_id = tf.doc_id CROSS JOIN a GROUP BY item_id, tf.doc_id)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10""",
+        "op13_conversation_repair": """WITH RECURSIVE crc(i, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM crc WHERE k = 8),
+said AS (SELECT coalesce('=' || conv_id, '') AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+crcs AS (SELECT said.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS r FROM said CROSS JOIN tab),
+damaged AS (SELECT conv, turn, CASE r WHEN 4 THEN 'user' ELSE role END AS role, CASE r WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM crcs JOIN (VALUES (1), (2)) AS copies(n) ON n = 1 OR r = 3 WHERE r != 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST) AS nth,
+rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
+f AS (SELECT *, left(role, 1) AS r, CASE WHEN said = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) AS two FROM o),
+told AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv),
+gr(g, s, h) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(g, h, c, l) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (2, 3, 3, 'I'), (3, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')),
+ed AS (SELECT g, NULL AS s, 'D' AS kind, h, c + 4 AS c, l || 'D' AS l FROM ins UNION ALL SELECT ins.g, s, 'K', gr.h, c, l || 'K' FROM ins JOIN gr ON gr.g = ins.h UNION ALL SELECT ins.g, NULL, 'R', gr.h, c + 3, l || 'R' FROM ins JOIN gr ON gr.g = ins.h WHERE s != 's'),
+dp(conv, i, g, w) AS (SELECT conv, 0, 0, {'c': 0, 'l': ''} FROM told UNION ALL
+SELECT dp.conv, any_value(f.i), ed.h, min({'c': w.c + ed.c + CASE WHEN fault = 3 AND kind != 'D' THEN 3 ELSE 0 END, 'l': w.l || ed.l}) FROM dp JOIN f ON f.conv = dp.conv AND f.i = dp.i + 1 JOIN ed ON ed.g = dp.g AND (kind = 'D' OR fault IN (0, 3) AND (kind = 'R' OR ed.s = f.r)) GROUP BY dp.conv, ed.h),
+best AS (SELECT conv, min({'c': w.c + ins.c, 'l': w.l || ins.l}) AS w FROM dp JOIN told USING (conv) JOIN ins ON ins.g = dp.g AND ins.h IN (0, 3) WHERE i = n GROUP BY conv),
+labels AS (SELECT conv, p, substr(w.l, p, 1) AS label, length(replace(substr(w.l, 1, p), 'I', '')) AS i, length(replace(substr(w.l, 1, p), 'D', '')) AS at, length(replace(w.l, 'D', '')) AS made FROM (SELECT conv, w, unnest(range(1, length(w.l) + 1)) AS p FROM best)),
+mended AS (SELECT labels.conv, string_agg(CASE WHEN label = 'K' THEN role WHEN (at + made) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE label WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t FROM labels LEFT JOIN f ON f.conv = labels.conv AND f.i = labels.i WHERE label != 'D' GROUP BY labels.conv)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.c, 0) AS BIGINT) AS cost, coalesce(w.l, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM said) LEFT JOIN told USING (conv) LEFT JOIN best USING (conv) LEFT JOIN mended USING (conv)""",
         "op10_minhash_dedup": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents), ids AS (SELECT id FROM w),
 s AS (SELECT id, s, count(*) AS n FROM (SELECT id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w WHERE len(w) > 0) GROUP BY id, s),
 total AS (SELECT id, sum(n) AS n FROM s GROUP BY id), shared AS (SELECT x.id AS a, y.id AS b, sum(least(x.n, y.n)) AS n FROM s AS x JOIN s AS y ON x.s = y.s AND x.id != y.id GROUP BY x.id, y.id),
