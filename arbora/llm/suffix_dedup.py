@@ -38,8 +38,8 @@ LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes that a window has besides its core.
 REACH = SPAN // 2
-BLOCK, PIECE = 16 << 20, 2 << 20
-MESSAGES = 1 << 20
+BLOCK, PIECE = 4 << 20, 1 << 20
+MESSAGES = 1 << 18
 PARTS = 1 << 17
 PLACE = np.uint64((1 << 31) - 1)
 
