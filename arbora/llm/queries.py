@@ -113,8 +113,8 @@ ed AS (SELECT g, NULL AS s, 'D' AS kind, h, c + 4 AS c, l || 'D' AS l FROM ins U
 dp(conv, i, g, w) AS (SELECT conv, 0, 0, {'c': 0, 'l': ''} FROM told UNION ALL
 SELECT dp.conv, any_value(f.i), ed.h, min({'c': w.c + ed.c + CASE WHEN fault = 3 AND kind != 'D' THEN 3 ELSE 0 END, 'l': w.l || ed.l}) FROM dp JOIN f ON f.conv = dp.conv AND f.i = dp.i + 1 JOIN ed ON ed.g = dp.g AND (kind = 'D' OR fault IN (0, 3) AND (kind = 'R' OR ed.s = f.r)) GROUP BY dp.conv, ed.h),
 best AS (SELECT conv, min({'c': w.c + ins.c, 'l': w.l || ins.l}) AS w FROM dp JOIN told USING (conv) JOIN ins ON ins.g = dp.g AND ins.h IN (0, 3) WHERE i = n GROUP BY conv),
-labels AS (SELECT conv, p, substr(w.l, p, 1) AS label, length(replace(substr(w.l, 1, p), 'I', '')) AS i, length(replace(substr(w.l, 1, p), 'D', '')) AS at, length(replace(w.l, 'D', '')) AS made FROM (SELECT conv, w, unnest(range(1, length(w.l) + 1)) AS p FROM best)),
-mended AS (SELECT labels.conv, string_agg(CASE WHEN label = 'K' THEN role WHEN (at + made) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE label WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t FROM labels LEFT JOIN f ON f.conv = labels.conv AND f.i = labels.i WHERE label != 'D' GROUP BY labels.conv)
+labels AS (SELECT conv, p, substr(w.l, p, 1) AS label, length(replace(substr(w.l, 1, p), 'I', '')) AS i, length(replace(substr(w.l, 1, p), 'D', '')) AS put, length(replace(w.l, 'D', '')) AS made FROM (SELECT conv, w, unnest(range(1, length(w.l) + 1)) AS p FROM best)),
+mended AS (SELECT labels.conv, string_agg(CASE WHEN label = 'K' THEN role WHEN (put + made) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE label WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t FROM labels LEFT JOIN f ON f.conv = labels.conv AND f.i = labels.i WHERE label != 'D' GROUP BY labels.conv)
 SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.c, 0) AS BIGINT) AS cost, coalesce(w.l, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv, conv_id FROM said) LEFT JOIN told USING (conv) LEFT JOIN best USING (conv) LEFT JOIN mended USING (conv)""",
         "op10_minhash_dedup": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents), ids AS (SELECT id FROM w),
