@@ -85,6 +85,29 @@ def media_route(registered: DataFrame, formats: DataFrame) -> DataFrame:
     return found.select("media_type", F.when(F.size("names") == 1, F.col("names")[0]).alias("name"), route.alias("route"))
 
 
+def media_rows(registered: DataFrame, formats: DataFrame, picks: DataFrame) -> DataFrame:
+    """registered (media_type, label), formats (name, keys: array, the best first), picks (name, media_type, note) made by hand
+    -> (name, media_type, note, how).
+
+    A pick of `-` refuses a name: it has no row.  Other picks hold whether the name is a format or not (picked), unless the type
+    isn't registered (unknown).  Of other formats the first key that is a registered subtype counts: under one type the row
+    is made by name (named), under several it is left to people (ambiguous, without a type); without such a key there is none.
+    The last pick of a name holds.
+    """
+    last = picks.withColumn("_at", F.monotonically_increasing_id()) if "ord" not in picks.columns else picks.withColumnRenamed("ord", "_at")
+    last = last.groupBy("name").agg(F.max_by(F.struct("media_type", "note"), "_at").alias("p")).select("name", "p.media_type", "p.note")
+    types = registered.select("media_type", "label").distinct()
+    hand = last.where("media_type != '-'").join(types.withColumn("_there", F.lit(True)), "media_type", "left")
+    note = F.when(F.trim(F.coalesce("note", F.lit(""))) != "", F.col("note")).otherwise(F.concat(F.lit("pick: "), F.col("label")))
+    hand = hand.select("name", F.when(F.col("_there"), F.col("media_type")).alias("media_type"), F.when(F.col("_there"), note).alias("note"), F.when(F.col("_there"), "picked").otherwise("unknown").alias("how"))
+    subtypes = types.where(F.col("media_type").contains("/")).groupBy(F.lower(F.substring_index("media_type", "/", -1)).alias("key")).agg(F.count("*").alias("n"), F.min(F.struct("media_type", "label")).alias("t"))
+    free = formats.join(last.select("name"), "name", "left_anti").select("name", F.posexplode("keys").alias("at", "key")).withColumn("key", F.lower("key"))
+    hit = free.join(subtypes, "key").groupBy("name").agg(F.min_by(F.struct("n", "t"), "at").alias("h"))
+    one = F.col("h.n") == 1
+    auto = hit.select("name", F.when(one, F.col("h.t.media_type")).alias("media_type"), F.when(one, F.concat(F.lit("by name: "), F.col("h.t.label"))).alias("note"), F.when(one, "named").otherwise("ambiguous").alias("how"))
+    return hand.union(auto)
+
+
 def named_in_turn(candidates: list[tuple[str, list[str]]], taken: set[str], ending: str) -> list[tuple[str, str]]:
     """Names for new synsets, one after the other: the first wanted name that is free, else the first with an ending, else
     that with a number.  Each choice is taken for all that follow, so this runs on the driver, over what people will read."""

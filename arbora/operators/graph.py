@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.session import dropped, written
+from arbora.operators.ranking import ranked
+from arbora.session import Grown, dropped, written
 
 
 def edges_of(df: DataFrame, sub: str | Column = "sub", sup: str | Column = "sup") -> DataFrame:
@@ -25,26 +26,15 @@ def nodes_of(edges: DataFrame) -> DataFrame:
 
 
 def _grown(start: DataFrame, step: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
-    """The least set that holds start and step(what was new)."""
-    new = written(start.distinct(), "new")
-    parts = [new]
+    """The least set that holds start and step(what was new).
+
+    What is known lies in buckets by `keys`: a round shuffles only what it has found.  start has one row for each key.
+    """
+    known = Grown(start, keys)
+    new = known.add(start.distinct())
     while not new.isEmpty():
-        known = parts[0]
-        for p in parts[1:]:
-            known = known.union(p)
-        new = written(step(new).distinct().join(known, keys, "left_anti").select(*start.columns), "new")
-        parts.append(new)
-        if len(parts) > 12:
-            whole = parts[0]
-            for p in parts[1:]:
-                whole = whole.union(p)
-            whole = written(whole, "known")
-            dropped(*parts[:-1])
-            parts = [whole]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+        new = known.add(known.without(step(new)))
+    return known.all()
 
 
 def closure(edges: DataFrame) -> DataFrame:
@@ -54,6 +44,73 @@ def closure(edges: DataFrame) -> DataFrame:
     return _grown(edges, lambda new: new.join(up, "sup").select("sub", F.col("above").alias("sup")), ["sub", "sup"])
 
 
+def in_store(store: Column, name: Column) -> Column:
+    """A name of one store, as a name of its own."""
+    return F.concat(F.length(store).cast("string"), F.lit(":"), store, name)
+
+
+def without_store(name: Column) -> Column:
+    """The name that in_store() was given."""
+    n = F.split_part(name, F.lit(":"), F.lit(1))
+    return F.substring(name, F.length(n) + n.cast("int") + 2, F.length(name))
+
+
+def published_edges(stores: DataFrame) -> DataFrame:
+    """Edges of published stores (store, sub, sup, published), each store's by itself: what one store states entails nothing
+    together with another's."""
+    told = stores.where("published")
+    return edges_of(told, in_store(F.col("store"), F.col("sub")), in_store(F.col("store"), F.col("sup")))
+
+
+def published_pairs(closed: DataFrame) -> DataFrame:
+    """(sub, sup): what any published store entails, from the closure of published_edges()."""
+    return closed.select(without_store(F.col("sub")).alias("sub"), without_store(F.col("sup")).alias("sup")).distinct()
+
+
+def revised_closure(closed: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """The closure of the edges `after`, from the closure of `before` and what differs.
+
+    Edges that are gone: pairs with a path over one of them are set aside (one join on either side of these edges), and
+    those of them that still have a path are found again, the shortest first (delete and rederive).  New edges: pairs with one
+    new edge on their path, then with two, and so on, each by joining what is new with the new edges and the closure that
+    was there.  Rounds grow with the new edges on a path and the length of what is found again, not with the graph.
+    """
+    before, after = written(edges_of(before), "before"), written(edges_of(after), "after")
+    gone, more = written(before.join(after, ["sub", "sup"], "left_anti"), "gone"), written(after.join(before, ["sub", "sup"], "left_anti"), "more")
+    kept = closed.select("sub", "sup")
+    if not gone.isEmpty():
+        aside = written(_across(kept, gone).join(kept, ["sub", "sup"], "left_semi"), "aside")
+        sure = written(kept.join(aside, ["sub", "sup"], "left_anti"), "sure")
+        stay = before.join(gone, ["sub", "sup"], "left_anti")
+        # Edges that are needed: those that begin where a pair that was set aside begins.
+        stay = written(stay.join(aside.select("sub").distinct(), "sub", "left_semi"), "stay")
+        hop = stay.select("sub", F.col("sup").alias("mid"))
+        over = lambda pairs: hop.join(pairs.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup")
+        again = _grown(aside.join(stay.union(over(sure)).distinct(), ["sub", "sup"], "left_semi"), lambda new: over(new).join(aside, ["sub", "sup"], "left_semi"), ["sub", "sup"])
+        kept = written(sure.union(again), "kept")
+        dropped(aside, sure, stay)
+    if more.isEmpty():
+        return kept
+    grown = Grown(kept, ["sub", "sup"], "revised")
+    grown.add(kept)
+    new = grown.add(grown.without(_across(kept, more)))
+    while not new.isEmpty():
+        # One more new edge behind what was found, and the closure that was there behind that.
+        further = new.select("sub", F.col("sup").alias("mid")).join(more.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup").distinct()
+        new = grown.add(grown.without(further.union(_behind(further, kept))))
+    return grown.all()
+
+
+def _behind(pairs: DataFrame, closed: DataFrame) -> DataFrame:
+    return pairs.select("sub", F.col("sup").alias("mid")).join(closed.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup")
+
+
+def _across(closed: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pairs with one of the edges on a path: at or below its lower end, at or above its upper one."""
+    below = edges.select("sub", "sup").union(closed.select("sub", F.col("sup").alias("mid")).join(edges.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup")).distinct()
+    return below.union(_behind(below, closed)).distinct()
+
+
 def ancestors(edges: DataFrame, names: DataFrame) -> DataFrame:
     """closure() from the given names (name) only."""
     edges = written(edges_of(edges), "edges")
@@ -77,6 +134,28 @@ def depths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return _grown(roots.select("name", F.lit(0).alias("depth")), lambda new: new.join(hop, "name").select(F.col("next").alias("name"), (F.col("depth") + 1).alias("depth")), ["name"])
 
 
+def estimated_cone_sizes(edges: DataFrame, log_size: int = 14) -> DataFrame:
+    """(name, cone): about how many distinct names are strictly below, without any pair of names.
+
+    Each name holds a sketch of what is below it (HyperLogLog, 2^log_size registers); sketches are united upwards, round by
+    round, until none grows.  What travels is a sketch for each edge whose lower end has grown.  The relative standard error is
+    1.04 / 2^(log_size/2): 0.8 % with 14.  Names on a cycle count themselves, as do those above it.
+    """
+    edges = written(edges_of(edges), "edges")
+    below = edges.groupBy(F.col("sup").alias("name")).agg(F.hll_sketch_agg("sub", F.lit(log_size)).alias("s"))
+    now = written(below.withColumn("n", F.hll_sketch_estimate("s")), "sketches")
+    grown = now
+    while not grown.isEmpty():
+        up = edges.select(F.col("sub").alias("name"), "sup").join(grown.select("name", "s"), "name").select(F.col("sup").alias("name"), "s", F.lit(True).alias("new"))
+        both = now.select("name", "s", F.lit(False).alias("new")).join(up.select("name").distinct(), "name", "left_semi").union(up)
+        united = both.groupBy("name").agg(F.hll_union_agg("s").alias("s")).withColumn("n", F.hll_sketch_estimate("s"))
+        changed = written(united.join(now.select("name", F.col("n").alias("before")), "name", "left").where("before is null or n != before").select("name", "s", "n"), "grown")
+        after = written(now.join(changed, "name", "left_anti").union(changed), "sketches")
+        dropped(now)
+        now, grown = after, changed
+    return nodes_of(edges).join(now, "name", "left").select("name", F.coalesce("n", F.lit(0)).alias("cone"))
+
+
 def cone_sizes(edges: DataFrame, closed: DataFrame | None = None) -> DataFrame:
     """(name, cone): how many distinct names are strictly below."""
     closed = closure(edges) if closed is None else closed
@@ -209,33 +288,71 @@ def paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return out
 
 
-def topological(edges: DataFrame) -> tuple[DataFrame, list[tuple[str, list[str]]]]:
-    """Placement parents-first, with cycles broken: edges that stay, and what was dropped of each name.
+def weak_components(edges: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, component): the smallest name that is connected, whichever way edges point; names alone are their own.
+
+    Each round a name takes the smallest component that it or a neighbour has, and then that component's own, so that
+    rounds grow as the log of the longest path.
+    """
+    both = written(edges.select(F.col("sub").alias("name"), F.col("sup").alias("other")).union(edges.select("sup", "sub")).distinct(), "links")
+    now = written(names.select("name", F.col("name").alias("component")).distinct(), "components")
+    while True:
+        near = both.join(now.select(F.col("name").alias("other"), F.col("component").alias("near")), "other").groupBy("name").agg(F.min("near").alias("near"))
+        least = now.join(near, "name", "left").select("name", F.col("component").alias("before"), F.least("component", F.coalesce("near", "component")).alias("component"))
+        least = written(least, "least")
+        jumped = least.join(least.select(F.col("name").alias("component"), F.col("component").alias("further")), "component", "left")
+        after = written(jumped.select("name", "before", F.least("component", F.coalesce("further", "component")).alias("component")), "components")
+        dropped(now, least)
+        now = after.select("name", "component")
+        if after.where("component != before").isEmpty():
+            dropped(both)
+            return now
+
+
+def topological(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Placement parents-first, with cycles broken: edges that stay, and those that are dropped.
 
     When no further name has all parents placed, the one with the fewest unplaced parents, then the smallest, loses them.
+    Names that nothing waiting connects can't bear on each other, so all connected parts of what waits are placed, and lose
+    parents, at once: rounds grow with the longest chain within a part and the names that lose parents in it, not with the
+    number of parts or cycles.  A name's own loop counts as any other parent.
     """
-    left = written(edges_of(edges), "edges")
-    kept, lost = [], []
-    names = nodes_of(left)
-    placed = written(names.join(left.select(F.col("sub").alias("name")), "name", "left_anti"), "placed")
-    waiting = left
+    whole = written(edges_of(edges), "edges")
+    names = nodes_of(whole)
+    roots = names.join(whole.select(F.col("sub").alias("name")), "name", "left_anti")
+    placed = Grown(names, ["name"], "placed")
+    lost = Grown(whole, ["sub", "sup"], "lost")
+    new = placed.add(roots)
+    lost.add(whole.limit(0))
+    #: Edges whose name isn't placed and whose parent isn't, either, and each waiting name's part.
+    open_ = written(whole, "open")
+    waiting = written(whole.select(F.col("sub").alias("name")).distinct(), "waiting")
+    parts: DataFrame | None = None
     while not waiting.isEmpty():
-        open_ = written(waiting.join(placed.select(F.col("name").alias("sup")), "sup", "left_anti"), "open")
-        ready = written(waiting.select("sub").distinct().join(open_.select("sub"), "sub", "left_anti"), "ready")
-        if ready.isEmpty():
-            first = open_.groupBy("sub").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("sup")).alias("sups")).orderBy("n", "sub").first()
-            lost.append((first["sub"], first["sups"]))
-            drop = (F.col("sub") == first["sub"]) & F.col("sup").isin(*first["sups"])
-            waiting = waiting.where(~drop)
-            ready = written(left.sparkSession.createDataFrame([(first["sub"],)], left.select("sub").schema), "ready")
-        kept.append(written(waiting.join(ready, "sub", "left_semi").select("sub", "sup"), "kept"))
-        placed = written(placed.union(ready.select(F.col("sub").alias("name"))), "placed")
-        waiting = written(waiting.join(ready, "sub", "left_anti").select("sub", "sup"), "waiting")
-        dropped(open_)
-    out = left.limit(0)
-    for part in kept:
-        out = out.union(part)
-    return out, lost
+        if not new.isEmpty():
+            kept = written(open_.join(new.select(F.col("name").alias("sup")), "sup", "left_anti").select("sub", "sup"), "open")
+            dropped(open_)
+            open_ = kept
+        blocked = open_.select(F.col("sub").alias("name")).distinct()
+        ready = written(waiting.join(blocked, "name", "left_anti"), "ready")
+        if parts is None and ready.isEmpty():
+            parts = weak_components(open_, waiting)
+        if parts is not None:
+            # Parts in which a name is ready wait for it; in each of the others one name loses its parents.
+            stuck = waiting.join(parts, "name").join(ready.join(parts, "name").select("component").distinct(), "component", "left_anti")
+            counted = open_.groupBy(F.col("sub").alias("name")).agg(F.count("*").alias("n"))
+            loser = stuck.join(counted, "name").groupBy("component").agg(F.min(F.struct("n", "name")).alias("x")).select(F.col("x.name").alias("name"))
+            loser = written(loser, "losers")
+            lost.add(open_.join(loser.select(F.col("name").alias("sub")), "sub", "left_semi").select("sub", "sup"))
+            rest = written(open_.join(loser.select(F.col("name").alias("sub")), "sub", "left_anti").select("sub", "sup"), "open")
+            dropped(open_)
+            open_, ready = rest, ready.union(loser)
+        new = placed.add(ready)
+        still = written(waiting.join(new, "name", "left_anti"), "waiting")
+        dropped(waiting)
+        waiting = still
+    lost_edges = lost.all()
+    return whole.join(lost_edges, ["sub", "sup"], "left_anti").select("sub", "sup"), lost_edges
 
 
 def guarded_links(parents: dict[str, list[str]], candidates: list[tuple[str, str]]) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
@@ -286,6 +403,50 @@ def unattached(stores: DataFrame, edges: DataFrame, root: str = "*") -> DataFram
     return told.select("store", "name", F.when(F.col("there").isNull(), "missing").otherwise("stranded").alias("what"))
 
 
+def numbered_tree(edges: DataFrame) -> DataFrame:
+    """(name, pre, last): the places of a forest's names in preorder from 0, and the last place below each.
+
+    Each name is stepped into and out of; these steps form one list (roots and children in the order of names), whose ranks
+    come from pointer jumping: each round every step learns what its successor's successor knows, so rounds grow as the log
+    of the number of names, whatever the depth.  A name lies below another if its place is between the other's two.
+    edges are a forest's: each name has one parent at most.
+    """
+    spark = edges.sparkSession
+    edges = written(edges_of(edges), "edges")
+    roots = nodes_of(edges).join(edges.select(F.col("sub").alias("name")), "name", "left_anti")
+    # All names by parent, roots behind them; a name's next sibling has the next number, if it has the same parent.
+    rows = edges.select(F.col("sub").alias("name"), F.col("sup").alias("parent")).union(roots.select("name", F.lit(None).cast(dict(edges.dtypes)["sup"])))
+    placed = written(ranked(rows, [F.col("parent").asc_nulls_last(), F.col("name")], "at"), "siblings")
+    following = placed.select((F.col("at") - 1).alias("at"), F.col("name").alias("next"), F.col("parent").alias("beside"))
+    first = placed.join(placed.select((F.col("at") + 1).alias("at"), F.col("parent").alias("before"), F.lit(True).alias("has")), "at", "left").where("has is null or not (parent <=> before)").where("parent is not null")
+    first = first.select(F.col("parent").alias("name"), F.col("name").alias("child"))
+    into = lambda c: F.struct(F.lit(0).alias("out"), c.alias("name"))
+    out_of = lambda c: F.struct(F.lit(1).alias("out"), c.alias("name"))
+    entered = placed.select("name").join(first, "name", "left").select(into(F.col("name")).alias("step"), F.coalesce(F.when(F.col("child").isNotNull(), into(F.col("child"))), out_of(F.col("name"))).alias("next"), F.lit(1).cast("long").alias("n"))
+    beside = placed.join(following, "at", "left").select("name", "parent", F.when(F.col("parent").eqNullSafe(F.col("beside")), F.col("next")).alias("next"))
+    left = beside.select(out_of(F.col("name")).alias("step"), F.when(F.col("next").isNotNull(), into(F.col("next"))).when(F.col("parent").isNotNull(), out_of(F.col("parent"))).alias("next"), F.lit(0).cast("long").alias("n"))
+    now = written(entered.union(left), "steps")
+    while not now.where("next is not null").isEmpty():
+        ahead = now.select(F.col("step").alias("next"), F.col("next").alias("then"), F.col("n").alias("more"))
+        # Steps that have reached the end of the list are known, and only looked up.
+        jumped = now.where("next is not null").join(ahead, "next").select("step", F.col("then").alias("next"), (F.col("n") + F.col("more")).alias("n"))
+        after = written(now.where("next is null").union(jumped), "steps")
+        dropped(now)
+        now = after
+    total = roots.count() + edges.count()
+    told = now.groupBy("step.name").agg(F.max(F.when(F.col("step.out") == 0, F.col("n"))).alias("a"), F.max(F.when(F.col("step.out") == 1, F.col("n"))).alias("z"))
+    # n counts the names that are stepped into from here on.
+    return told.select("name", (F.lit(total) - F.col("a")).cast("long").alias("pre"), (F.lit(total) - F.col("z") - 1).cast("long").alias("last"))
+
+
+def within(tree: DataFrame, pairs: DataFrame) -> DataFrame:
+    """pairs (sub, sup) with below: whether sub lies strictly below sup in a numbered tree, by comparing places."""
+    low = tree.select(F.col("name").alias("sub"), F.col("pre").alias("_at"))
+    top = tree.select(F.col("name").alias("sup"), F.col("pre").alias("_from"), F.col("last").alias("_to"))
+    told = pairs.join(low, "sub", "left").join(top, "sup", "left")
+    return told.select(*pairs.columns, F.coalesce((F.col("_at") > F.col("_from")) & (F.col("_at") <= F.col("_to")), F.lit(False)).alias("below"))
+
+
 def differing_parents(edges: DataFrame) -> DataFrame:
     """edges (store, sub, sup) -> (name, stores, sets): names of several stores with more than one set of parents."""
     each = edges.groupBy("store", "sub").agg(F.array_join(F.array_sort(F.collect_set("sup")), " ").alias("parents"))

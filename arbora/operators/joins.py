@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from arbora.operators.aggregates import SALT, salted
+
 
 def label_matches(concepts: DataFrame, labels: DataFrame) -> DataFrame:
     """concepts (name, key) x labels (key, id) -> (name, ids): sorted ids under the name's key; qualified names (with a
@@ -12,12 +14,28 @@ def label_matches(concepts: DataFrame, labels: DataFrame) -> DataFrame:
     return concepts.where(~F.col("name").contains(".")).join(labels.select("key", "id").distinct(), "key").groupBy("name").agg(F.array_sort(F.collect_set("id")).alias("ids"))
 
 
+def bounded_matches(concepts: DataFrame, labels: DataFrame, shown: int = 6) -> DataFrame:
+    """As label_matches, with the first `shown` ids and n, how many there are: (name, ids, n).
+
+    Ids of a key are counted, and its first ones found, by salts, so that a key may have any number of them; what meets the
+    concepts is one row for each key.
+    """
+    told = salted(labels.where("key is not null and id is not null").select("key", "id").distinct(), "id")
+    first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("id"))
+    some = told.withColumn("_n", first("key", SALT)).where(F.col("_n") <= shown).withColumn("_n", first("key")).where(F.col("_n") <= shown)
+    ids = some.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    n = told.groupBy("key", SALT).agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"))
+    return concepts.where(~F.col("name").contains(".")).select("name", "key").distinct().join(ids.join(n, "key"), "key").select("name", "ids", "n")
+
+
 def unique_matches(matches: DataFrame) -> DataFrame:
     return matches.where(F.size("ids") == 1).select("name", F.col("ids")[0].alias("id"))
 
 
 def ambiguous_matches(matches: DataFrame, shown: int = 6) -> DataFrame:
-    return matches.where(F.size("ids") > 1).select("name", F.slice("ids", 1, shown).alias("ids"), F.size("ids").alias("n"))
+    """Names with several ids: the first of them, and how many there are."""
+    n = F.col("n") if "n" in matches.columns else F.size("ids")
+    return matches.where(n > 1).select("name", F.slice("ids", 1, shown).alias("ids"), n.cast("int").alias("n"))
 
 
 def hub_join(concepts: DataFrame, mapping: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -6,12 +6,27 @@ range's own ranks start at the sum of the ranges before it.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arbora.functions.vectors import cosine, unit
+from arbora.functions.vectors import cosine, norm, unit
+from arbora.session import written
+
+
+def _dealt(rows: DataFrame, order: list[Column], weight: Column) -> tuple[DataFrame, DataFrame]:
+    """rows sorted by ranges with _part, and (_part, _start: the weight of all parts before): a row for each shuffle partition."""
+    spark = rows.sparkSession
+    dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
+    dealt = written(dealt, "ranges")
+    total, starts = 0, []
+    for r in dealt.groupBy("_part").agg(weight.alias("n")).orderBy("_part").collect():
+        starts.append((r["_part"], total))
+        total += r["n"]
+    return dealt, F.broadcast(spark.createDataFrame(starts, "_part int, _start long"))
 
 
 def ranked(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
@@ -19,19 +34,9 @@ def ranked(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFram
 
     Rows are sorted across as many tasks as there are shuffle partitions, and numbered within them; each task's first number is the count of those before.
     """
-    spark = rows.sparkSession
-    dealt = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
-    from arbora.session import written
-
-    dealt = written(dealt, "ranges")
-    before = {r["_part"]: r["n"] for r in dealt.groupBy("_part").agg(F.count("*").alias("n")).collect()}
-    total, starts = 0, []
-    for part in sorted(before):
-        starts.append((part, total))
-        total += before[part]
-    start = reduce(lambda c, s: F.when(F.col("_part") == s[0], F.lit(s[1])).otherwise(c), starts, F.lit(0))
+    dealt, starts = _dealt(rows, order, F.count("*"))
     w = Window.partitionBy("_part").orderBy(*order)
-    return dealt.withColumn(name, (start + F.row_number().over(w) - 1).cast("long")).drop("_part")
+    return dealt.withColumn("_n", F.row_number().over(w)).join(starts, "_part").withColumn(name, F.col("_start") + F.col("_n") - 1).drop("_part", "_n", "_start")
 
 
 def percentile(rows: DataFrame, value: str, ties: str, name: str = "pct") -> DataFrame:
@@ -54,17 +59,9 @@ def auc(rows: DataFrame, score: str, positive: str) -> DataFrame:
 
 def _running(rows: DataFrame, order: str, weight: str) -> DataFrame:
     """Adds _before: the sum of weight over all rows of a smaller `order`, by ranges."""
-    from arbora.session import written
-
-    spark = rows.sparkSession
-    dealt = written(rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), order).withColumn("_part", F.spark_partition_id()), "ranges")
-    sums = {r["_part"]: r["s"] for r in dealt.groupBy("_part").agg(F.sum(weight).alias("s")).collect()}
-    total, start = 0, F.lit(0)
-    for part in sorted(sums):
-        start = F.when(F.col("_part") == part, F.lit(total)).otherwise(start)
-        total += sums[part]
+    dealt, starts = _dealt(rows, [F.col(order)], F.sum(weight))
     w = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return dealt.withColumn("_before", start + F.coalesce(F.sum(weight).over(w), F.lit(0))).drop("_part")
+    return dealt.withColumn("_b", F.coalesce(F.sum(weight).over(w), F.lit(0))).join(starts, "_part").withColumn("_before", F.col("_start") + F.col("_b")).drop("_part", "_b", "_start")
 
 
 def lead_over_held(scores: DataFrame, held: DataFrame) -> DataFrame:
@@ -118,36 +115,124 @@ def trap(rows: DataFrame, name: str, name_gloss: str, lead: str, sense_rank: str
     return composite(own, [-F.col(name_gloss), F.coalesce(F.col(lead), F.lit(0.0)), F.coalesce(F.col(sense_rank), F.lit(0)).cast("double")], name, "trap")
 
 
-def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1024) -> DataFrame:
-    """own, pool (name, hub, vector) -> (name, twin, sim): the same hub is a twin of 1; else the most similar of the pool
-    from `least` on, by similarity and then name.
+def parent_similarities(edges: DataFrame, vectors: DataFrame) -> DataFrame:
+    """edges (sub, sup), vectors (name, vector) -> (name, lowest, parents): a name's parents with their similarities, the most
+    similar first, and the lowest of these; pairs of which one has no vector are left out."""
+    low = vectors.select(F.col("name").alias("sub"), F.col("vector").alias("v"))
+    top = vectors.select(F.col("name").alias("sup"), F.col("vector").alias("w"))
+    told = edges.select("sub", "sup").distinct().join(low, "sub").join(top, "sup").select("sub", "sup", cosine(F.col("v"), F.col("w")).alias("sim")).where("sim is not null")
+    every = F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("_s"), F.col("sup").alias("parent"), "sim")))
+    return told.groupBy(F.col("sub").alias("name")).agg(F.min("sim").alias("lowest"), F.transform(every, lambda x: F.struct(x["parent"].alias("parent"), x["sim"].alias("sim"))).alias("parents"))
 
-    Blocks of both sides meet in tasks that multiply matrices and return the best for each row.
-    """
-    import numpy as np
-    import pyarrow as pa
 
-    n, m = (max(1, -(-df.count() // per_task)) for df in (own, pool))
-    key = lambda k: F.pmod(F.xxhash64("name"), F.lit(k)).cast("int")
-    told = lambda df: df.select("name", F.coalesce("hub", F.lit("")).alias("hub"), unit(F.col("vector")).alias("vector"))
-    a = told(own).select(key(n).alias("x"), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("y"), F.lit(True).alias("own"), "name", "hub", "vector")
-    b = told(pool).select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("x"), key(m).alias("y"), F.lit(False).alias("own"), "name", "hub", "vector")
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Arrays of one length as rows."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1) if len(flat) else np.zeros((0, 1))
+
+
+def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Euclidean ones, of unit vectors."""
+    return np.sqrt(np.maximum(2 - 2 * (v @ pivots.T), 0))
+
+
+#: What rounding may add to a distance that is a root.
+EPSILON = 1e-6
+
+
+def _in_cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Adds each vector's nearest pivot and its distance."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            d = _distances(_matrix(b.column("vector")), pivots) if len(b) else np.zeros((0, len(pivots)))
+            cell = d.argmin(axis=1)
+            columns = [pa.array(cell, pa.int32()), pa.array(d[np.arange(len(b)), cell], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *columns], names=[*b.schema.names, "cell", "distance"])
+
+    return vectors.mapInArrow(near, "name string, vector array<double>, cell int, distance double")
+
+
+def _products(visits: DataFrame, pool: DataFrame, per_task: int) -> DataFrame:
+    """visits (cell, name, vector) x pool (cell, name, vector) -> (name, twin, sim): the best of each visit, by blocks of both."""
+    blocks = lambda df, c: df.groupBy("cell").agg(F.ceil(F.count("*") / per_task).cast("int").alias(c))
+    # A row for each cell.
+    sizes = F.broadcast(blocks(visits, "xs").join(blocks(pool, "ys"), "cell"))
+    block = lambda n: F.pmod(F.xxhash64("name"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = visits.join(sizes, "cell").select("cell", block("xs").alias("x"), every("ys").alias("y"), F.lit(True).alias("own"), "name", "vector")
+    b = pool.join(sizes, "cell").select("cell", every("xs").alias("x"), block("ys").alias("y"), F.lit(False).alias("own"), "name", "vector")
 
     def task(group: pa.Table) -> pa.Table:
         mine = np.array(group["own"].to_pylist(), bool)
-        names, hubs = np.array(group["name"].to_pylist(), object), np.array(group["hub"].to_pylist(), object)
-        v = np.array(group["vector"].to_pylist(), float)
+        names, v = np.array(group["name"].to_pylist(), object), _matrix(group["vector"])
         out = []
         if mine.any() and not mine.all():
             i, j = np.flatnonzero(mine), np.flatnonzero(~mine)
             j = j[np.argsort(names[j].astype(str), kind="stable")]
             s = v[i] @ v[j].T
-            s[hubs[i][:, None] == hubs[j][None, :]] = np.where((hubs[i] != "")[:, None] & (hubs[i][:, None] == hubs[j][None, :]), 2.0, s)[hubs[i][:, None] == hubs[j][None, :]]
             s[names[i][:, None] == names[j][None, :]] = -2
             best = s.argmax(axis=1)
-            out = [(names[p], names[j[q]], float(s[r, q])) for r, (p, q) in enumerate(zip(i, best, strict=True)) if s[r, q] >= least]
+            out = [(names[p], names[j[q]], float(s[r, q])) for r, (p, q) in enumerate(zip(i, best, strict=True)) if s[r, q] > -2]
         columns = list(zip(*out, strict=True)) or [()] * 3
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()), strict=True)], ["name", "twin", "sim"])
 
-    found = a.unionByName(b).groupBy("x", "y").applyInArrow(task, "name string, twin string, sim double")
-    return found.groupBy("name").agg(F.min_by(F.struct("twin", F.least("sim", F.lit(1.0)).alias("sim")), F.struct(-F.col("sim"), "twin")).alias("x")).select("name", "x.twin", "x.sim")
+    return a.unionByName(b).groupBy("cell", "x", "y").applyInArrow(task, "name string, twin string, sim double")
+
+
+def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1024, most_pivots: int = 1024) -> DataFrame:
+    """own, pool (name, hub, vector) -> (name, twin, sim): the same hub is a twin of 1, the first by name; else the most similar of the
+    pool from `least` on, by similarity and then name.  Names are their own twins never; names whose vector is null or has no length have twins by hub only.
+
+    The pool is dealt to cells by its nearest pivot (a bounded sample, as many as the root of the pool).  Each vector visits
+    its nearest cell first.  What it finds there, or `least`, bounds how far its twin can be; of the other cells it visits those that this
+    leaves open by the triangle inequality (a cell's radii, and the plane between two pivots).  Nothing is missed.
+    """
+    told = lambda df: df.where("vector is not null").where(norm(F.col("vector")) > 0).select("name", unit(F.col("vector")).alias("vector"))
+    hubs = pool.where("hub != ''").select("hub", F.col("name").alias("twin")).distinct()
+    first = hubs.groupBy("hub").agg(F.min("twin").alias("first"))
+    second = hubs.join(first, "hub").where("twin != first").groupBy("hub").agg(F.min("twin").alias("second"))
+    same = own.where("hub != ''").select("name", "hub").join(first.join(second, "hub", "left"), "hub")
+    same = same.withColumn("twin", F.when(F.col("first") != F.col("name"), F.col("first")).otherwise(F.col("second"))).where("twin is not null").groupBy("name").agg(F.min("twin").alias("twin"))
+    same = same.select("name", "twin", F.lit(1.0).alias("sim"))
+    mine = written(told(own.join(same.select("name"), "name", "left_anti")).distinct(), "own")
+    others = written(told(pool), "pool")
+    n = others.count()
+    if n == 0:
+        return same
+    sample = others.orderBy(F.xxhash64("name"), "name").limit(min(most_pivots, max(1, int(n**0.5)))).collect()
+    pivots = np.array([r["vector"] for r in sample], float)
+    cells = written(_in_cells(others, pivots), "cells")
+    # A row for each pivot.
+    low, high = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
+    for r in cells.groupBy("cell").agg(F.min("distance").alias("low"), F.max("distance").alias("high")).collect():
+        low[r["cell"]], high[r["cell"]] = r["low"], r["high"]
+    limit = float(np.sqrt(max(2 - 2 * least, 0))) + EPSILON
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(cell, name, vector): the cells that are open, given the similarity found so far (null: the nearest cell only)."""
+        for b in batches:
+            if not len(b):
+                continue
+            d = _distances(_matrix(b.column("vector")), pivots)
+            d[:, ~np.isfinite(low)] = np.inf
+            nearest = d.argmin(axis=1)
+            if "sim" in b.schema.names:
+                found = b.column("sim").fill_null(-1.0).to_numpy(zero_copy_only=False)
+                reach = np.minimum(np.sqrt(np.maximum(2 - 2 * found, 0)) + EPSILON, limit)
+                with np.errstate(invalid="ignore"):
+                    bound = np.maximum(np.maximum(d - high, low - d), (d - d.min(axis=1, keepdims=True)) / 2)
+                open_ = (bound <= reach[:, None] + EPSILON) & np.isfinite(low)
+                open_[np.arange(len(b)), nearest] = False
+                row, cell = np.nonzero(open_)
+            else:
+                row, cell = np.arange(len(b)), nearest
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), b.column("name").take(pa.array(row)), b.column("vector").take(pa.array(row))], names=["cell", "name", "vector"])
+
+    layout = "cell int, name string, vector array<double>"
+    near = written(_products(mine.mapInArrow(visits, layout), cells, per_task), "near")
+    best = near.groupBy("name").agg(F.max("sim").alias("sim"))
+    further = written(mine.join(best, "name", "left").mapInArrow(visits, layout), "visits")
+    found = near.union(_products(further, cells, per_task)).where(F.col("sim") >= least)
+    found = found.groupBy("name").agg(F.min_by(F.struct("twin", F.least("sim", F.lit(1.0)).alias("sim")), F.struct(-F.col("sim"), "twin")).alias("x")).select("name", "x.twin", "x.sim")
+    return same.union(found)

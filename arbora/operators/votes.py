@@ -19,11 +19,23 @@ def witnesses(stated: DataFrame) -> DataFrame:
     low, high = F.least("sub", "sup"), F.greatest("sub", "sup")
     sides = stated.where("sub is not null and sup is not null and source is not null").groupBy(low.alias("low"), high.alias("high")).agg(
         F.array_sort(F.collect_set(F.when(~flip, F.col("source")))).alias("up"), F.array_sort(F.collect_set(F.when(flip, F.col("source")))).alias("down"))
+    return both_ways(sides)
+
+
+def both_ways(sides: DataFrame) -> DataFrame:
+    """sides (low, high, up, down: sources that state high above low, or low above high) -> (sub, sup, for, against)."""
     both = F.when(F.col("low") == F.col("high"), F.array(F.struct("low", "high", F.col("up").alias("for"), F.col("up").alias("against")))).otherwise(F.array(
         F.struct("low", "high", F.col("up").alias("for"), F.col("down").alias("against")), F.struct(F.col("high").alias("low"), F.col("low").alias("high"), F.col("down").alias("for"), F.col("up").alias("against"))))
     return sides.select(F.explode(both).alias("x")).select(F.col("x.low").alias("sub"), F.col("x.high").alias("sup"), F.col("x.for").alias("for"), F.col("x.against").alias("against")).where(F.size("for") > 0)
 
 
+def published(pairs: DataFrame, entailed: DataFrame) -> DataFrame:
+    """Adds published to pairs (sub, sup): whether a published store entails them; such pairs stay accepted unless a ruling
+    rejects them."""
+    told = entailed.select("sub", "sup").distinct().withColumn("published", F.lit(True))
+    return pairs.join(told, ["sub", "sup"], "left").withColumn("published", F.coalesce("published", F.lit(False)))
+
+
 def ruled(stated: DataFrame, rulings: DataFrame) -> DataFrame:
     """Adds to stated the witness that each ruling (ruler, sub, sup, decision) is: an acceptance states the pair."""
     accept = rulings.where("decision = 'accept'")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
+import pyarrow.dataset as pads
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -477,12 +480,24 @@ def pull_first_labels(t: Tables) -> DataFrame:
 @query("SELECT lpad(p_partkey||'', 8, '0') AS id, p_name AS label FROM part")
 def pull_by_prefix(t: Tables) -> DataFrame:
     """Answers of a source that is asked for ranges of ids, from a folder of recorded answers."""
-    recorded = written(t.part.select(F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("id"), F.col("p_name").alias("label")), "answers")
-    # The answers are recorded by prefix; asking is a lookup in them.
-    answers = recorded.groupBy(F.substring("id", 7, 1).alias("p")).agg(F.collect_list(F.struct("id", "label")).alias("rows"))
-    told = {r["p"]: [(x["id"], x["label"]) for x in r["rows"]] for r in answers.collect()}
-    chunks = readers.by_prefix(sorted(told), t.spark)
-    return readers.pulled(chunks, lambda values: [row for v in values for row in told[v]], "id string, label string")
+    recorded = fresh(t, "answers")
+    rows = t.part.select(F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("id"), F.col("p_name").alias("label"))
+    rows.withColumn("p", F.concat(F.lit("p"), F.substring("id", 7, 1))).write.partitionBy("p").parquet(recorded)
+    # The answers are recorded by prefix; asking is a lookup in them, by the workers.
+    chunks = readers.by_prefix([f"p{i}" for i in range(10)], t.spark)
+    return readers.pulled(chunks, recorded_by(recorded), "id string, label string")
+
+
+def recorded_by(folder: str) -> Callable[[list[str]], list[tuple]]:
+    """A source that answers a prefix with what is recorded of it."""
+
+    def ask(values: list[str]) -> list[tuple]:
+        system, path = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
+        there = [f"{path}/p={v}" for v in values if system.get_file_info(f"{path}/p={v}").type == pafs.FileType.Directory]
+        told = [pads.dataset(p, filesystem=system).to_table(columns=["id", "label"]) for p in there]
+        return [row for x in told for row in zip(x["id"].to_pylist(), x["label"].to_pylist(), strict=True)]
+
+    return ask
 
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS label FROM part")

@@ -307,7 +307,7 @@ MATCHES = "m AS (SELECT name, list_sort(list(DISTINCT id)) AS ids FROM (SELECT '
 def matches(t: Tables) -> DataFrame:
     concepts = t.supplier.select(named("s", "s_suppkey").alias("name"), F.concat(F.lit("NATION_"), (F.col("s_suppkey") % 40).cast("string")).alias("key"))
     labels = t.nation.select(F.col("n_name").alias("key"), named("n", "n_nationkey").alias("id")).union(t.region.select(F.concat(F.lit("NATION_"), F.col("r_regionkey").cast("string")), named("r", "r_regionkey")))
-    return joins.label_matches(concepts, labels)
+    return joins.bounded_matches(concepts, labels)
 
 
 @query(f"WITH {MATCHES} SELECT name, ids[1] AS id FROM m WHERE len(ids) = 1")

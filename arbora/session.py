@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "4g") -> SparkSession:
@@ -22,14 +24,14 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "4g
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, as the cluster names it.
 
-    Only a local session may leave it unset: it then gets a folder of its own, since one machine holds everything.
+    Only a local session may leave it unset: it then gets a folder of its own, since one machine holds everything.  The
+    setting itself is left alone, as a running session may not change it.
     """
     at = spark.conf.get("spark.checkpoint.dir", "")
     if not at:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", at)
+        at = f"{tempfile.gettempdir()}/checkpoints/{spark.sparkContext.applicationId}"
     return at.rstrip("/")
 
 
@@ -55,3 +57,29 @@ def dropped(*frames: DataFrame) -> None:
         for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
             hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+class Grown:
+    """Rows that are only added to, in rounds, bucketed by keys in the shared folder: what is to be compared with all that is known is
+    shuffled, what is known is not.  Each round's rows are a partition, written once, so a lost executor costs nothing."""
+
+    def __init__(self, schema: DataFrame, keys: list[str], name: str = "grown"):
+        self.spark, self.keys, self.columns, self.rounds = schema.sparkSession, keys, schema.columns, 0
+        self.table = f"{name}_{uuid.uuid4().hex}"
+        self.path = f"{scratch_dir(self.spark)}/{self.table}"
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Writes a round of rows that are new, and reads it back."""
+        now = rows.select(*self.columns, F.lit(self.rounds).alias("_round"))
+        now.write.mode("append").partitionBy("_round").bucketBy(self.buckets, *self.keys).option("path", self.path).saveAsTable(self.table)
+        self.rounds += 1
+        return self.spark.table(self.table).where(F.col("_round") == self.rounds - 1).select(*self.columns)
+
+    def without(self, rows: DataFrame) -> DataFrame:
+        """Distinct rows whose keys are not known; the hash table is of the new rows, what is known streams by."""
+        known = self.all().select(*self.keys).withColumn("_known", F.lit(True))
+        return known.join(rows.distinct().hint("shuffle_hash"), self.keys, "right").where("_known is null").select(*self.columns)
+
+    def all(self) -> DataFrame:
+        return self.spark.table(self.table).select(*self.columns)

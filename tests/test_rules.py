@@ -49,7 +49,7 @@ def test_graph(spark):
     loop = spark.createDataFrame([("x", "y"), ("y", "x"), ("z", "x")], "sub string, sup string")
     assert {tuple(r) for r in graph.closure(loop).collect()} == {("x", "y"), ("y", "x"), ("x", "x"), ("y", "y"), ("z", "x"), ("z", "y")}
     kept, lost = graph.topological(loop)
-    assert lost == [("x", ["y"])] and {tuple(r) for r in kept.collect()} == {("y", "x"), ("z", "x")}
+    assert lost.collect() == [("x", "y")] and {tuple(r) for r in kept.collect()} == {("y", "x"), ("z", "x")}
     assert graph.closure(edges.limit(0)).count() == 0
     assert graph.content_hash(edges).first() == graph.content_hash(edges.orderBy(F.desc("sub"))).first()
     assert graph.merged(edges, edges).count() == graph.merged(edges).count()
