@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from arbora.llm.common import SALT, components, forest, grouped, salt, written
 from arbora.llm.hashing import mixed_bits
 
+#: Visits of a batch that are spelt out at a time.
+CHUNK = 1 << 16
 #: More than rounding adds to a cosine, or to the angle of one.
 SURE = 1e-6
 
@@ -60,10 +62,17 @@ def chained(c: np.ndarray) -> np.ndarray:
     return np.array(order)
 
 
+def spans(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each span of n numbers from first on: which span, and the numbers."""
+    span = np.repeat(np.arange(len(n)), n)
+    return span, np.arange(len(span)) - np.repeat(np.cumsum(n) - n, n) + first[span]
+
+
 class Layout:
     """Cells in the order of centroids, cut and packed into blocks of about `block` members, and who has to visit whom.
 
-    A unit is a cell of more than `block` members, cut into blocks, or a row of cells that make one block.
+    A unit is a cell of more than `block` members, cut into blocks, or a row of cells that make one block.  All that is kept
+    is by cells and units, of which there are `most_cells` at most; blocks, which grow with the table, are ranges of a unit.
     """
 
     def __init__(self, centroids: np.ndarray, members: np.ndarray, radius: np.ndarray, threshold: float, block: int, group: int):
@@ -79,25 +88,32 @@ class Layout:
         self.starts, self.parts = np.array(starts), np.array(parts)
         self.first = np.concatenate([[0], self.parts.cumsum()])
         self.unit = np.repeat(np.arange(len(starts)), np.diff([*starts, len(members)]))
-        blocks = int(self.first[-1])
-        self.groups = -(-blocks // group)
         # Cells with members so far apart that none of them are linked.
         near = np.arccos(np.clip(centroids @ centroids.T, -1, 1)) <= radius[:, None] + radius[None, :] + self.angle + SURE
-        near = np.logical_or.reduceat(self.by_block(near), self.starts, axis=0)
-        near = np.logical_or.reduceat(np.repeat(near, self.parts, axis=0), np.arange(0, blocks, group), axis=0)
-        #: [group of visitors, block]: whether the block's members are needed there.
-        self.needed = near & (np.arange(self.groups)[:, None] <= np.arange(blocks)[None, :] // group)
-
-    def by_block(self, cells: np.ndarray) -> np.ndarray:
-        """[row, cell] -> [row, block]: whether any of the block's cells is set."""
-        return np.repeat(np.logical_or.reduceat(cells, self.starts, axis=1), self.parts, axis=1)
+        #: [unit, unit]: whether any of their cells can hold a link.
+        self.near = np.logical_or.reduceat(np.logical_or.reduceat(near, self.starts, axis=1), self.starts, axis=0)
 
     def own(self, home: np.ndarray, ids: np.ndarray) -> np.ndarray:
         unit = self.unit[home]
         return self.first[unit] + (mixed_bits(ids.astype(np.uint64)) % self.parts[unit].astype(np.uint64)).astype(np.int64)
 
-    def visited(self, sims: np.ndarray, home: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """[row, block]: the later blocks that may hold a link of the row, by two bounds that are exact.
+    def hosts(self, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, group): the groups of visitors, up to the row's own, in which its block's members are needed."""
+        blocks, row = np.unique(own, return_inverse=True)
+        of = np.searchsorted(self.first, blocks, side="right") - 1
+        for i, (block, unit) in enumerate(zip(blocks.tolist(), of.tolist(), strict=True)):
+            near = np.flatnonzero(self.near[unit])
+            near = near[self.first[near] <= block]
+            low, high = self.first[near] // self.group, np.minimum((self.first[near + 1] - 1) // self.group, block // self.group)
+            groups = np.unique(spans(low, high - low + 1)[1])
+            rows = np.flatnonzero(row == i)
+            step = max(1, CHUNK // max(1, len(rows)))
+            for j in range(0, len(groups), step):
+                some = groups[j : j + step]
+                yield np.repeat(rows, len(some)), np.tile(some, len(rows))
+
+    def visits(self, sims: np.ndarray, home: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, block): the later blocks that may hold a link of the row, by two bounds that are exact.
 
         A member is within the cell's radius, so the row is within that and the threshold's angle of the centroid.  And
         a member is on its own centroid's side of the plane between it and the row's home's.
@@ -106,14 +122,21 @@ class Layout:
         if self.threshold > 0:
             gap = np.sqrt(np.maximum(0, 2 - 2 * self.centroids[home] @ self.centroids.T))
             cells &= np.take_along_axis(sims, home[:, None], axis=1) - sims <= np.sin(self.angle) * gap + SURE
-        return self.by_block(cells) & (np.arange(self.first[-1])[None, :] > own[:, None])
-
-
-def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_cells: int = 4096, sample: int = 65_536, visits: int | None = None, slack: float | None = None, block: int = 4096, group: int = 4) -> tuple[DataFrame, DataFrame]:
+        row, unit = np.nonzero(np.logical_or.reduceat(cells, self.starts, axis=1))
+        low = np.maximum(self.first[unit], own[row] + 1)
+        n = np.maximum(self.first[unit + 1] - low, 0)
+        ends = np.cumsum(n)
+        at = 0
+        while at < len(n):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
+            span, block = spans(low[at:to], n[at:to])
+            yield row[at:to][span], block
+            at = to
+
+
+def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_cells: int = 4096, sample: int = 65_536, block: int = 4096, group: int = 4) -> tuple[DataFrame, DataFrame]:
     """vectors (rep: long, times: long, embedding: array of finite doubles, not all zero, of one length; rep unique)
     -> counts (rep, n: links to other vectors, equal ones counted) and edges (a, b) that connect what is linked.
-
-    `visits` and `slack`, which used to limit the cells compared, change nothing: all that can hold a link are.
     """
     spark = vectors.sparkSession
     n = vectors.count()
@@ -156,14 +179,13 @@ def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_
             home = sims.argmax(axis=1)
             own = layout.own(home, b.column(0).to_numpy())
             vector = pa.array([r.tobytes() for r in x], pa.binary())
-            v, to = np.nonzero(layout.visited(sims, home, own))
-            m, at = np.nonzero(layout.needed[:, own].T)
-            row, x_, y = np.concatenate([v, m]), np.concatenate([own[v] // group, at]), np.concatenate([to, own[m]])
-            member = np.arange(len(row)) >= len(v)
-            for i in range(0, len(row), 4096):
-                part = slice(i, i + 4096)
-                take = pa.array(row[part])
-                yield pa.RecordBatch.from_arrays([pa.array(x_[part].astype(np.int32)), pa.array(y[part].astype(np.int32)), pa.array(member[part]), b.column(0).take(take), b.column(1).take(take), vector.take(take)], ["x", "y", "member", "rep", "times", "vector"])
+            for member, found in ((False, layout.visits(sims, home, own)), (True, layout.hosts(own))):
+                for row, at in found:
+                    x_, y = (at, own[row]) if member else (own[row] // group, at)
+                    for i in range(0, len(row), 4096):
+                        part = slice(i, i + 4096)
+                        take = pa.array(row[part])
+                        yield pa.RecordBatch.from_arrays([pa.array(x_[part].astype(np.int32)), pa.array(y[part].astype(np.int32)), pa.array(np.full(len(take), member)), b.column(0).take(take), b.column(1).take(take), vector.take(take)], ["x", "y", "member", "rep", "times", "vector"])
 
     def compared(tile: pa.Table) -> pa.Table:
         member = tile["member"].to_numpy()
@@ -207,27 +229,29 @@ def links(vectors: DataFrame, threshold: float = 0.9, per_cell: int = 400, most_
 def dedup(vectors: DataFrame, threshold: float = 0.9, **how: int | float) -> DataFrame:
     """A row for each vec_id: vec_id, n_links, component_id, kept.
 
-    Vectors (vec_id, embedding) that are null or empty, all zero, hold null or non-finite components, or aren't of the
-    table's most frequent length (of several, the smallest) link with nothing, nor do vectors without an id, whose
-    component_id is null and which are kept.  Rows of one id are one vector, the smallest that is valid.  Components are
+    Vectors (vec_id, embedding) that are null or empty, all zero, or hold null or non-finite components link with nothing, nor
+    do vectors without an id, whose component_id is null and which are kept, nor vectors of different lengths with each
+    other.  Rows of one id are one vector, the smallest that is valid.  Components are
     those of all links; a component's smallest id is kept.  No rows give no rows.
     """
     e = F.col("_e")
     valid = e.isNotNull() & (F.size(e) > 0) & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
     given = vectors.select(vectors["vec_id"].cast("long").alias("_id"), vectors["embedding"].cast("array<double>").alias("_e")).withColumn("_e", F.when(valid, F.transform(e, lambda v: v + F.lit(0.0))))
     one = written(given.where("_id is not null").groupBy("_id").agg(F.min("_e").alias("_e")), "vectors")
-    length = one.where("_e is not null").groupBy(F.size("_e").alias("l")).count().orderBy(F.desc("count"), "l").first()
-    use = one.where(F.size("_e") == F.lit(length["l"] if length else -1))
     # Equal vectors may be a third of all: they are counted, and told their answer, salted.
-    use = use.withColumn(SALT, salt(vectors.sparkSession, "_id"))
+    use = one.where("_e is not null").withColumn(SALT, salt(vectors.sparkSession, "_id"))
     same = written(grouped(use, ["_e"], [F.min("_id").alias("rep"), F.count("*").alias("times")], [F.min("rep").alias("rep"), F.sum("times").alias("times")]), "equal")
     reps = written(same.groupBy("rep").agg(F.first("times").alias("times"), F.first("_e").alias("embedding")), "distinct")
-    counts, edges = links(reps, threshold, **how)
+    counts, edges = links(reps.limit(0), threshold, **how)
+    # Vectors of each length among themselves: tables have one, as a rule.
+    for r in reps.groupBy(F.size("embedding").alias("l")).count().orderBy(F.desc("count"), "l").collect():
+        more = links(reps.where(F.size("embedding") == r["l"]), threshold, **how)
+        counts, edges = counts.union(more[0]), edges.union(more[1])
     comp = components(edges)
     told = reps.select("rep", "times").join(counts, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("rep", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     # The smallest id of a component is some representative's, since that is the smallest of its equals.
     linked = use.join(same.select("_e", SALT, "rep").join(told, "rep"), ["_e", SALT]).select("_id", "n_links", "component_id")
-    alone = one.where(F.col("_e").isNull() | (F.size("_e") != F.lit(length["l"] if length else -1))).select("_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
+    alone = one.where("_e is null").select("_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
     out = linked.unionByName(alone).select(F.col("_id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "_id").alias("component_id"))
     none = given.where("_id is null").select(F.col("_id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id")).unionByName(none.withColumn("kept", F.lit(True)))

@@ -169,12 +169,14 @@ def _mixed(docs: DataFrame, p: Plan, seed: int, blocks: int) -> DataFrame:
     words = F.col("draw.words")
     cut = F.expr(r"array_join(slice(regexp_extract_all(doc.text, '[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*', 0), 1, cast(draw.words as int)), '')")
     whole = F.col("doc").withField("text", F.when(words >= F.col("size"), F.col("doc.text")).otherwise(cut))
-    return drawn.select(whole.alias("doc"), F.col("draw.copy").alias("copy"), words.alias("words"), F.col("draw.shard").alias("shard"), F.xxhash64(F.lit(seed), F.col("_h"), F.col("draw.copy")).alias("place"))
+    return drawn.select(whole.alias("doc"), F.col("draw.copy").alias("copy"), words.alias("words"), F.col("draw.shard").alias("shard"), F.xxhash64(F.lit(seed), F.col("_h"), F.col("draw.copy"), F.col("doc.text")).alias("place"))
 
 
-def dealt(docs: DataFrame, seed: int = 7, blocks: int = 4096, shards: int = 64, task_words: int = 2_000_000, **how: object) -> DataFrame:
+def dealt(docs: DataFrame, seed: int = 7, blocks: int = 4096, shards: int = 64, task_words: int = 2_000_000, most_ranges: int = 32_768, **how: object) -> DataFrame:
     """What mixed() returns, by shard and in the order of places within: a range for each shard at least, and for every
-    `task_words` of the mix, so that no task holds a whole shard that is large."""
+    `task_words` of the mix, so that no task holds a whole shard that is large; beyond `most_ranges` ranges these grow instead
+    (a range is sorted with spill).  A place is a hash of id, copy and text, so that rows of one id, or of none, are dealt to
+    all ranges.  Nulls, empty and long texts, ties and repeated rows are as in mixed(); no rows give none."""
     p = plan(docs, seed=seed, blocks=blocks, shards=shards, **how)
-    parts = max(shards, -(-p.words // task_words))
+    parts = max(shards, min(most_ranges, -(-p.words // task_words)))
     return _mixed(docs, p, seed, blocks).repartitionByRange(parts, "shard", "place").sortWithinPartitions("shard", "place")

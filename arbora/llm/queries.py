@@ -103,9 +103,9 @@ tab AS (SELECT list(c ORDER BY i) AS tab FROM crc WHERE k = 8),
 said AS (SELECT coalesce('=' || conv_id, '') AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
 crcs AS (SELECT said.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS r FROM said CROSS JOIN tab),
 damaged AS (SELECT conv, turn, CASE r WHEN 4 THEN 'user' ELSE role END AS role, CASE r WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM crcs JOIN (VALUES (1), (2)) AS copies(n) ON n = 1 OR r = 3 WHERE r != 0),
-o AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST) AS nth,
+o AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
 rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
-f AS (SELECT *, left(role, 1) AS r, CASE WHEN said = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) AS two FROM o),
+f AS (SELECT *, left(role, 1) AS r, CASE WHEN said = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 2 WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) AS two FROM o),
 told AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv),
 gr(g, s, h) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
 ins(g, h, c, l) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (2, 3, 3, 'I'), (3, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')),
