@@ -229,6 +229,13 @@ def file_synonyms(t: Tables) -> DataFrame:
     return sinks.synonyms(concepts, synset_file(t)).select(F.concat(F.lit("c:"), F.expr("substring(name, 2)")).alias("name"), F.array_join("words", " ").alias("words"))
 
 
+@query(f"""WITH {SYNSETS} SELECT 'c:'||s_suppkey AS name, 'w'||s_suppkey||' size-'||p_size AS words FROM supplier JOIN part ON p_partkey = s_suppkey""")
+def file_generated_words(t: Tables) -> DataFrame:
+    """What a finding aid is generated from: other words with dashes."""
+    concepts = t.supplier.select(line("c:", F.col("s_suppkey")).alias("name"), F.lpad(F.col("s_suppkey").cast("string"), 8, "0").alias("wordnet"))
+    return sinks.generated_words(concepts, synset_file(t)).select("name", F.array_join("words", " ").alias("words"))
+
+
 SENSES = """s AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS rank, lpad(l_partkey||'', 8, '0') AS "offset" FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey) = 1),
 n AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY rank) AS rank, "offset" FROM s)"""
 

@@ -135,3 +135,11 @@ def synonyms(concepts: DataFrame, synsets: DataFrame) -> DataFrame:
     told = concepts.select("name", F.col("wordnet").alias("offset")).join(synsets.select("offset", "lemmas"), "offset")
     other = F.filter("lemmas", lambda w: F.translate(F.lower(w), "_", "-") != F.col("name"))
     return told.select("name", F.array_sort(F.array_distinct(F.transform(other, lambda w: F.translate(w, "_", " ")))).alias("words"))
+
+
+def generated_words(concepts: DataFrame, synsets: DataFrame) -> DataFrame:
+    """(name, words): what a generated finding aid has of each concept: the lemmas of its synset in small letters with dashes, in
+    their order, without repeats and without the name itself; concepts that are left without any have no row."""
+    told = concepts.select("name", F.col("wordnet").alias("offset")).join(synsets.select("offset", "lemmas"), "offset")
+    words = F.array_distinct(F.transform("lemmas", lambda w: F.translate(F.lower(w), "_", "-")))
+    return told.select("name", F.filter(words, lambda w: w != F.col("name")).alias("words")).where(F.size("words") > 0)
