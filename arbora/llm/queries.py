@@ -74,10 +74,33 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue.repair(dialogue.damaged(table(spark, sf_dir, "conversations")))
 
 
+# What of these results SQL can tell, too: the operators' columns that nothing is learned for.
+
+
+def rules_of_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
+def base_of_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def targets_of_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
+def base_of_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_lm_scoring(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+def edits_of_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup, op11_lexical_search, op12_suffix_dedup, op13_conversation_repair)} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in (op1_url_filter, op2_embedding_dedup, op3_pii, op4_toxicity, op5_packing, op6_license_scan, op7_mixing, op8_lm_scoring, op9_fingerprints, op10_minhash_dedup, op11_lexical_search, op12_suffix_dedup, op13_conversation_repair, rules_of_urls, base_of_licenses, targets_of_mixing, base_of_lm, edits_of_fingerprints)} | {"pipeline": corpus_pipeline.run}
 
 
 #: Words of a text for shingles and licences: lower case A-Z, runs of ASCII letters and digits and all beyond ASCII.
@@ -86,6 +109,12 @@ _WORDS = f"list_filter(regexp_split_to_array({_FOLD}, '[\\x00-\\x2F\\x3A-\\x60\\
 _GROUPS = """reach AS (SELECT id, id AS root FROM ids UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.root)"""
 
 
+#: crc32 of an ASCII text: a table of 256 remainders, and a walk over the characters.
+_CRC = """crc(i, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM crc WHERE k = 8)"""
+_CRC_OF = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda x: CAST(ord(x) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express an operator; the others are tested against brute force in tests/llm."""
     return {
@@ -98,10 +127,9 @@ d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id), a AS (SELECT count(*
 w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(a.n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN a GROUP BY t),
 s AS (SELECT item_id, tf.doc_id, CAST(sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * d.n * a.n) // a.len)))) AS BIGINT) AS score FROM q JOIN tf USING (t) JOIN w USING (t) JOIN d ON d.doc_id = tf.doc_id CROSS JOIN a GROUP BY item_id, tf.doc_id)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10""",
-        "op13_conversation_repair": """WITH RECURSIVE crc(i, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
-tab AS (SELECT list(c ORDER BY i) AS tab FROM crc WHERE k = 8),
+        "op13_conversation_repair": f"""WITH RECURSIVE {_CRC},
 said AS (SELECT coalesce('=' || conv_id, '') AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
-crcs AS (SELECT said.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: CAST(ord(x) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS r FROM said CROSS JOIN tab),
+crcs AS (SELECT said.*, {_CRC_OF.format("k")} % 20 AS r FROM said CROSS JOIN tab),
 damaged AS (SELECT conv, turn, CASE r WHEN 4 THEN 'user' ELSE role END AS role, CASE r WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM crcs JOIN (VALUES (1), (2)) AS copies(n) ON n = 1 OR r = 3 WHERE r != 0),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
 rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
@@ -110,13 +138,30 @@ told AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn),
 gr(g, s, h) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
 ins(g, h, c, l) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (2, 3, 3, 'I'), (3, 2, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')),
 ed AS (SELECT g, NULL AS s, 'D' AS kind, h, c + 4 AS c, l || 'D' AS l FROM ins UNION ALL SELECT ins.g, s, 'K', gr.h, c, l || 'K' FROM ins JOIN gr ON gr.g = ins.h UNION ALL SELECT ins.g, NULL, 'R', gr.h, c + 3, l || 'R' FROM ins JOIN gr ON gr.g = ins.h WHERE s != 's'),
-dp(conv, i, g, w) AS (SELECT conv, 0, 0, {'c': 0, 'l': ''} FROM told UNION ALL
-SELECT dp.conv, any_value(f.i), ed.h, min({'c': w.c + ed.c + CASE WHEN fault = 3 AND kind != 'D' THEN 3 ELSE 0 END, 'l': w.l || ed.l}) FROM dp JOIN f ON f.conv = dp.conv AND f.i = dp.i + 1 JOIN ed ON ed.g = dp.g AND (kind = 'D' OR fault IN (0, 3) AND (kind = 'R' OR ed.s = f.r)) GROUP BY dp.conv, ed.h),
-best AS (SELECT conv, min({'c': w.c + ins.c, 'l': w.l || ins.l}) AS w FROM dp JOIN told USING (conv) JOIN ins ON ins.g = dp.g AND ins.h IN (0, 3) WHERE i = n GROUP BY conv),
+dp(conv, i, g, w) AS (SELECT conv, 0, 0, {{'c': 0, 'l': ''}} FROM told UNION ALL
+SELECT dp.conv, any_value(f.i), ed.h, min({{'c': w.c + ed.c + CASE WHEN fault = 3 AND kind != 'D' THEN 3 ELSE 0 END, 'l': w.l || ed.l}}) FROM dp JOIN f ON f.conv = dp.conv AND f.i = dp.i + 1 JOIN ed ON ed.g = dp.g AND (kind = 'D' OR fault IN (0, 3) AND (kind = 'R' OR ed.s = f.r)) GROUP BY dp.conv, ed.h),
+best AS (SELECT conv, min({{'c': w.c + ins.c, 'l': w.l || ins.l}}) AS w FROM dp JOIN told USING (conv) JOIN ins ON ins.g = dp.g AND ins.h IN (0, 3) WHERE i = n GROUP BY conv),
 labels AS (SELECT conv, p, substr(w.l, p, 1) AS label, length(replace(substr(w.l, 1, p), 'I', '')) AS i, length(replace(substr(w.l, 1, p), 'D', '')) AS put, length(replace(w.l, 'D', '')) AS made FROM (SELECT conv, w, unnest(range(1, length(w.l) + 1)) AS p FROM best)),
 mended AS (SELECT labels.conv, string_agg(CASE WHEN label = 'K' THEN role WHEN (put + made) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE label WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t FROM labels LEFT JOIN f ON f.conv = labels.conv AND f.i = labels.i WHERE label != 'D' GROUP BY labels.conv)
 SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(w.c, 0) AS BIGINT) AS cost, coalesce(w.l, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv, conv_id FROM said) LEFT JOIN told USING (conv) LEFT JOIN best USING (conv) LEFT JOIN mended USING (conv)""",
+        "rules_of_urls": """WITH r(rule, host, path) AS (VALUES ('com/en/', 'com', '/en/'), ('example.com/en/7', 'example.com', '/en/7'), ('net/de/', 'net', '/de/'), ('example.net/de/8', 'example.net', '/de/8'), ('org/es/', 'org', '/es/')),
+u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages), h AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+p AS (SELECT row_number() OVER () AS nr, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h)
+SELECT page_id, p.host, p.path, (SELECT arg_max(rule, length(rule)) FROM r WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS rule FROM p""",
+        "base_of_licenses": f"""WITH w AS (SELECT row_number() OVER () AS nr, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents), b(label, p) AS (VALUES ('cc-by', ['cc', 'by']), ('gpl', ['general', 'public', 'license']), ('reserved', ['all', 'rights', 'reserved'])),
+places AS (SELECT nr, label, i - 1 AS i FROM (SELECT nr, w, unnest(range(1, len(w) + 1)) AS i FROM w) JOIN b ON w[i] = p[1] AND w[i:i + len(p) - 1] = p)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, count(label) AS n_base, min(i) AS first_word, max(i) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels FROM w LEFT JOIN places USING (nr) GROUP BY w.nr, doc_id, w""",
+        "targets_of_mixing": """WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, sum(size) AS n, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+o AS (SELECT *, sum(2 * n) OVER w1 AS capped, sum(w) OVER w2 AS free, 2 * n / w AS until, 1.5 * sum(n) OVER () AS total FROM s WINDOW w1 AS (ORDER BY 2 * n / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), w2 AS (ORDER BY 2 * n / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+share AS (SELECT arg_min((total - coalesce(capped, 0)) / free, until) FILTER ((total - coalesce(capped, 0)) / free <= until) AS each_ FROM o)
+SELECT doc_id, size, CAST(n AS BIGINT) AS source_size, round(CAST(least(2 * n, coalesce(each_, 2 * n) * w) AS DOUBLE), 6) AS target FROM d JOIN o ON o.source IS NOT DISTINCT FROM d.source CROSS JOIN share""",
+        "base_of_lm": f"""WITH RECURSIVE {_CRC}, d AS (SELECT row_number() OVER () AS nr, doc_id, coalesce({_CRC_OF.format("CAST(doc_id AS VARCHAR)")} % 5 = 1, false) AS held, list_append(regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+'), chr(0)) AS w FROM documents CROSS JOIN tab),
+t AS (SELECT nr, held, unnest(w) AS t FROM d), c AS (SELECT t, count(*) AS c FROM t WHERE NOT held GROUP BY t), a AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n, count(*) AS v FROM c)
+SELECT doc_id, d.held AS held_out, count(*) AS n_tokens, count(c.c) AS n_known, a.n AS train_tokens, round(sum(log10((coalesce(c.c, 0) + 0.5) / (a.n + 0.5 * (a.v + 1)))), 6) AS base_score FROM d JOIN t USING (nr) LEFT JOIN c USING (t) CROSS JOIN a GROUP BY d.nr, doc_id, d.held, a.n""",
+        "edits_of_fingerprints": """WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS next FROM documents)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(substr(t, 1, length(t) - length(t) // 2) || substr(next, 1, length(t) // 2)) AS edited_sha256 FROM d""",
         "op10_minhash_dedup": f"""WITH RECURSIVE w AS (SELECT doc_id AS id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents), ids AS (SELECT id FROM w),
 s AS (SELECT id, s, count(*) AS n FROM (SELECT id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w WHERE len(w) > 0) GROUP BY id, s),
 total AS (SELECT id, sum(n) AS n FROM s GROUP BY id), shared AS (SELECT x.id AS a, y.id AS b, sum(least(x.n, y.n)) AS n FROM s AS x JOIN s AS y ON x.s = y.s AND x.id != y.id GROUP BY x.id, y.id),
