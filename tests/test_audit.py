@@ -1,6 +1,6 @@
 """Audit rules on small cases."""
 
-from arbora.operators import audit, votes
+from arbora.operators import audit, ranking, votes
 
 
 def test_flags(spark):
@@ -53,3 +53,10 @@ def test_ownership(spark):
     own, edges = votes.owned_edges(accepted, names("mine", "theirs", "base", "leaf", "both"), names("mine", "both"), names("base"), external)
     assert {r["name"] for r in own.collect()} == {"mine", "theirs", "leaf", "both"}
     assert {tuple(r) for r in edges.collect()} == {("mine", "base"), ("theirs", "mine")}
+
+
+def test_composites(spark):
+    """Means of percentiles, ranked; rows without a similarity are left out, other nulls count as 0."""
+    rows = spark.createDataFrame([("a", -1.0, 3.0, 5), ("b", -2.0, None, 7), ("c", -3.0, 2.0, 6), ("d", None, 1.0, 1)], "name string, low double, other double, rank int")
+    assert {tuple(r) for r in ranking.misfit(rows, "name", "low", "other").select("name", "misfit").collect()} == {("a", 0.5), ("b", 0.0), ("c", 1.0)}
+    assert {tuple(r) for r in ranking.trap(rows, "name", "low", "other", "rank").select("name", "trap").collect()} == {("a", 0.0), ("b", 0.5), ("c", 1.0)}
