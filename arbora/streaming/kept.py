@@ -1,47 +1,22 @@
 """The vote over a log that goes on, with each pair's witnesses kept as state.
 
-A log has rows (source, sub, sup, stated, ord): from ord on, a source states a pair or takes it back.  The state of an
-unordered pair is a map from source and direction to the last such row, whatever order rows arrive in, so a batch touches only
-the pairs that it names and reads nothing that was told before.  The state lies in RocksDB, which the session must name
-as its state store (`STORE`).
+A log has rows (source, sub, sup, stated, ord): from ord on, a source states a pair or takes it back.  The state of a voice (an
+unordered pair, a source and a direction) is the last such row, whatever order rows arrive in, so a batch touches only
+the voices that it names and reads nothing that was told before.  A voice is a key of its own, so that a pair may have any number
+of sources.  The state lies in RocksDB, which the session must name as its state store (`STORE`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from arbora.operators import votes
 
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-SIDES = "low string, high string, up array<string>, down array<string>"
-
-
-class Ballot(StatefulProcessor):
-    """One unordered pair: who has stated it last, either way round."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.said = handle.getMapState("said", "source string, down boolean", "stated boolean, ord long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        for part in rows:
-            for source, down, stated, ord_ in zip(part["source"], part["down"], part["stated"], part["ord"], strict=True):
-                voice = (source, bool(down))
-                if not self.said.containsKey(voice) or self.said.getValue(voice)[1] <= ord_:
-                    self.said.updateValue(voice, (bool(stated), int(ord_)))
-        up, down = [], []
-        for (source, downwards), (stated, _) in self.said.iterator():
-            if stated:
-                (down if downwards else up).append(source)
-        yield pd.DataFrame({"low": [key[0]], "high": [key[1]], "up": [sorted(up)], "down": [sorted(down)]})
-
-    def close(self) -> None:
-        return
+VOICE = ["low", "high", "source", "down"]
+VOICES = "low string, high string, source string, down boolean, stated boolean, epoch long"
 
 
 def sides(log: DataFrame) -> DataFrame:
@@ -57,18 +32,19 @@ def votes_of(log: DataFrame) -> DataFrame:
 
 
 def keep(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Takes the vote on a streamed log: each batch writes the pairs it has changed below path, by epoch; a batch that is repeated
+    """Takes the vote on a streamed log: each batch writes the voices it has heard below path, by epoch; a batch that is repeated
     after a failure replaces what it wrote before."""
 
     def write(changed: DataFrame, epoch: int) -> None:
         changed.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(f"{path}/{epoch:09d}")
 
-    changed = sides(log).groupBy("low", "high").transformWithStateInPandas(statefulProcessor=Ballot(), outputStructType=SIDES, outputMode="Update", timeMode="None")
+    changed = sides(log).groupBy(*VOICE).agg(F.max_by("stated", "ord").alias("stated"))
     return changed.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The vote as it is now: (sub, sup, for, against)."""
-    told = spark.read.schema(f"{SIDES}, epoch long").parquet(f"{path}/*")
-    last = told.groupBy("low", "high").agg(F.max_by(F.struct("up", "down"), "epoch").alias("s"))
-    return votes.both_ways(last.select("low", "high", "s.up", "s.down"))
+    told = spark.read.schema(VOICES).parquet(f"{path}/*")
+    held = told.groupBy(*VOICE).agg(F.max_by("stated", "epoch").alias("stated")).where("stated")
+    side = lambda down, name: F.array_sort(F.collect_set(F.when(F.col("down") == down, F.col("source")))).alias(name)
+    return votes.both_ways(held.groupBy("low", "high").agg(side(False, "up"), side(True, "down")))
