@@ -573,10 +573,20 @@ def workbook(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
 
 def chunked(ids: DataFrame, column: str, size: int) -> DataFrame:
     """ids in chunks of some `size`: (chunk, values: array).  Chunks are by hash, so no task numbers all rows; each is cut
-    to size within."""
-    parts = max(1, -(-ids.count() // max(1, 64 * size)))
-    held = ids.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct().groupBy(F.pmod(F.xxhash64("v"), F.lit(parts)).alias("p")).agg(F.array_sort(F.collect_list("v")).alias("all"))
+    to size within, and is of one part."""
+    parts = parts_of(ids.count(), size)
+    held = ids.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct().groupBy(part_of(F.col("v"), parts).alias("p")).agg(F.array_sort(F.collect_list("v")).alias("all"))
     starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(size))
+def parts_of(n: int, size: int) -> int:
+    """How many parts n ids are dealt to before they are cut to chunks."""
+    return max(1, -(-n // max(1, 64 * size)))
+
+
+def part_of(value: Column, parts: int) -> Column:
+    """The part of an id, which Python tells as zlib.crc32(id.encode()) % parts."""
+    return F.crc32(value.cast("string").cast("binary")) % parts
+
+
     return held.select("p", "all", F.explode(starts).alias("at")).select((F.col("p") * (1 << 20) + F.col("at") / size).cast("long").alias("chunk"), F.slice("all", F.col("at") + 1, F.lit(size)).alias("values"))
 
 

@@ -423,3 +423,21 @@ def test_kept_votes_are_an_aggregation_of_spark(spark, tmp_path):
     query.awaitTermination()
     assert [o["operatorName"] for o in query.lastProgress["stateOperators"]] == ["stateStoreSave"]
     assert [(r["sub"], r["sup"], len(r["for"]), r["against"]) for r in kept.current(spark, str(tmp_path / "out")).collect()] == [("a", "b", 200, [])]
+
+
+def test_a_lookup_reads_the_part_of_its_chunk(spark, tmp_path):
+    """Chunks are of one part, and other parts' answers aren't opened."""
+    ids = spark.range(3000).select(F.col("id").cast("string").alias("id"))
+    parts = readers.parts_of(3000, 10)
+    ids.withColumn("label", F.concat(F.lit("l"), "id")).withColumn("p", readers.part_of(F.col("id"), parts)).write.partitionBy("p").parquet(str(tmp_path / "answers"))
+    ask = upkeep.looked_up_in(str(tmp_path / "answers"), parts)
+    assert parts == 5
+    for r in readers.chunked(ids, "id", 10).limit(20).collect():
+        (own,) = {zlib.crc32(v.encode()) % parts for v in r["values"]}
+        hidden = [p for p in range(parts) if p != own]
+        for p in hidden:
+            os.rename(tmp_path / "answers" / f"p={p}", tmp_path / f"p={p}")
+        assert ask(r["values"]) == [(v, f"l{v}") for v in r["values"]]
+        for p in hidden:
+            os.rename(tmp_path / f"p={p}", tmp_path / "answers" / f"p={p}")
+    assert ask(["none"]) == []
