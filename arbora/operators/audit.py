@@ -79,10 +79,12 @@ def media_route(registered: DataFrame, formats: DataFrame) -> DataFrame:
     """registered (media_type), formats (name, keys: array) -> (media_type, name, route): by subtype, under one format
     (picked), several (ambiguous) or none (unmatched)."""
     subtype = F.regexp_replace(F.split_part("media_type", F.lit("/"), F.lit(2)), r"^(?:vnd\.|x-|prs\.)", "")
-    keyed = formats.select("name", F.explode("keys").alias("key"))
-    found = registered.select("media_type", subtype.alias("key")).join(keyed, "key", "left").groupBy("media_type").agg(F.array_sort(F.collect_set("name")).alias("names"))
-    route = F.when(F.size("names") == 1, "picked").when(F.size("names") > 1, "ambiguous").otherwise("unmatched")
-    return found.select("media_type", F.when(F.size("names") == 1, F.col("names")[0]).alias("name"), route.alias("route"))
+    # Of the formats under a key it is told how many there are, and the first: keys and types meet as one row each.
+    keyed = formats.select("name", F.explode("keys").alias("key")).where("name is not null").distinct()
+    under = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("name").alias("first"))
+    found = registered.select("media_type").distinct().withColumn("key", subtype).join(under, "key", "left")
+    route = F.when(F.col("n") == 1, "picked").when(F.col("n") > 1, "ambiguous").otherwise("unmatched")
+    return found.select("media_type", F.when(F.col("n") == 1, F.col("first")).alias("name"), route.alias("route"))
 
 
 def media_rows(registered: DataFrame, formats: DataFrame, picks: DataFrame) -> DataFrame:

@@ -441,3 +441,12 @@ def test_a_lookup_reads_the_part_of_its_chunk(spark, tmp_path):
         for p in hidden:
             os.rename(tmp_path / f"p={p}", tmp_path / "answers" / f"p={p}")
     assert ask(["none"]) == []
+
+
+def test_types_and_formats_meet_as_one_row_each(spark):
+    """Many formats under a key, and a type that is registered many times, make no pairs."""
+    registered = spark.range(3000).select(F.lit("image/x-a").alias("media_type")).union(frame(spark, [("image/b",), (None,)], "media_type string"))
+    formats = spark.range(3000).select(F.concat(F.lit("f"), "id").alias("name"), F.array(F.lit("a"), F.lit("a")).alias("keys")).union(frame(spark, [("g", ["b", "b"]), (None, ["b"])], "name string, keys array<string>"))
+    out = audit.media_route(registered, formats)
+    assert pairs(out) == {("image/x-a", None, "ambiguous"), ("image/b", "g", "picked"), (None, None, "unmatched")}
+    assert "collect_set" not in out._jdf.queryExecution().optimizedPlan().toString()
