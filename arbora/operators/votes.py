@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arbora.session import written
+
 
 def _none():
     return F.array().cast("array<string>")
@@ -93,7 +95,11 @@ def closure_check(pairs: DataFrame, entails: DataFrame, sources: list[str]) -> D
 
 
 def review_queue(decided: DataFrame, placed: DataFrame, cycles: DataFrame) -> DataFrame:
-    """(section, sub, sup) in the order of sections: cycle, contradicted, disputed, single with both ends placed, unplaced."""
+    """(section, sub, sup) in the order of sections: cycle, contradicted, disputed, single with both ends placed, unplaced.
+
+    All sections read what is decided, which is written once rather than decided for each.
+    """
+    decided = written(decided.select("sub", "sup", "status", "contradicted"), "decided")
     here = placed.select("name").distinct()
     single = decided.where("status = 'single'").join(here.withColumnRenamed("name", "sub"), "sub", "left_semi").join(here.withColumnRenamed("name", "sup"), "sup", "left_semi")
     missing = decided.select(F.col("sub").alias("name")).union(decided.select("sup")).distinct().join(here, "name", "left_anti")

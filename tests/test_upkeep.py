@@ -450,3 +450,13 @@ def test_types_and_formats_meet_as_one_row_each(spark):
     out = audit.media_route(registered, formats)
     assert pairs(out) == {("image/x-a", None, "ambiguous"), ("image/b", "g", "picked"), (None, None, "unmatched")}
     assert "collect_set" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_queue_is_decided_once(spark):
+    """All sections read what was decided from where it was written."""
+    calls = spark.sparkContext.accumulator(0)
+    told = F.udf(lambda x: (calls.add(1), x)[1], "string").asNondeterministic()
+    rows = frame(spark, [("a", "b", "single", False), ("a", "c", "disputed", True), ("d", "a", "accepted", False)], "sub string, sup string, status string, contradicted boolean")
+    out = votes.review_queue(rows.withColumn("status", told("status")), frame(spark, [("a",), ("b",)], "name string"), rows.limit(0).select("sub", "sup"))
+    assert pairs(out.drop("section_ord")) == {("contradicted", "a", "c"), ("disputed", "a", "c"), ("single", "a", "b"), ("unplaced", "c", None), ("unplaced", "d", "a")}
+    assert calls.value == 3
