@@ -169,11 +169,24 @@ def top_cut(edges: DataFrame, roots: DataFrame, depth: int, least: int) -> DataF
 
 
 def reduction(edges: DataFrame, closed: DataFrame | None = None) -> DataFrame:
-    """Without edges that a sibling parent implies (for graphs without cycles)."""
-    edges = edges_of(edges)
-    closed = closure(edges) if closed is None else closed
-    implied = edges.select("sub", F.col("sup").alias("mid")).join(closed.select(F.col("sub").alias("mid"), F.col("sup")), "mid").where("mid != sup").select("sub", "sup")
-    return edges.join(implied, ["sub", "sup"], "left_anti")
+    """Without edges that a sibling parent implies (for graphs without cycles).
+
+    A name's only parent has no sibling, so only what is above the parents of names with several is closed.
+    """
+    if closed is not None:
+        edges = edges_of(edges)
+        return edges.join(_implied(edges, closed), ["sub", "sup"], "left_anti")
+    edges = written(edges_of(edges), "reduced")
+    several = edges.groupBy("sub").agg(F.count("*").alias("n")).where("n > 1").select("sub")
+    siblings = written(edges.join(several, "sub", "left_semi"), "siblings")
+    if siblings.isEmpty():
+        return edges
+    return edges.join(_implied(siblings, ancestors(edges, siblings.select(F.col("sup").alias("name")))), ["sub", "sup"], "left_anti")
+
+
+def _implied(edges: DataFrame, closed: DataFrame) -> DataFrame:
+    """Pairs (sub, sup) with a path that begins with one of the edges and goes on."""
+    return edges.select("sub", F.col("sup").alias("mid")).join(closed.select(F.col("sub").alias("mid"), F.col("sup")), "mid").where("mid != sup").select("sub", "sup")
 
 
 def merged(*stores: DataFrame) -> DataFrame:

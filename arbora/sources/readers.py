@@ -34,7 +34,13 @@ def lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
 # Stores: a name and its parents on each line, shell-quoted.
 
 
+#: Without quotes shlex parts lines at these blanks, and does nothing else.
+BLANKS, QUOTES = re.compile("[ \t\r\n]+"), re.compile("['\"\\\\]")
+
+
 def _split_quoted(line: str) -> list[str]:
+    if not QUOTES.search(line):
+        return [f for f in BLANKS.split(line) if f]
     try:
         return shlex.split(line, comments=False)
     except ValueError:
@@ -571,12 +577,6 @@ def workbook(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
 # Remote pulls.
 
 
-def chunked(ids: DataFrame, column: str, size: int) -> DataFrame:
-    """ids in chunks of some `size`: (chunk, values: array).  Chunks are by hash, so no task numbers all rows; each is cut
-    to size within, and is of one part."""
-    parts = parts_of(ids.count(), size)
-    held = ids.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct().groupBy(part_of(F.col("v"), parts).alias("p")).agg(F.array_sort(F.collect_list("v")).alias("all"))
-    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(size))
 def parts_of(n: int, size: int) -> int:
     """How many parts n ids are dealt to before they are cut to chunks."""
     return max(1, -(-n // max(1, 64 * size)))
@@ -587,6 +587,12 @@ def part_of(value: Column, parts: int) -> Column:
     return F.crc32(value.cast("string").cast("binary")) % parts
 
 
+def chunked(ids: DataFrame, column: str, size: int) -> DataFrame:
+    """ids in chunks of some `size`: (chunk, values: array).  Chunks are by hash, so no task numbers all rows; each is cut
+    to size within, and is of one part."""
+    parts = parts_of(ids.count(), size)
+    held = ids.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct().groupBy(part_of(F.col("v"), parts).alias("p")).agg(F.array_sort(F.collect_list("v")).alias("all"))
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(size))
     return held.select("p", "all", F.explode(starts).alias("at")).select((F.col("p") * (1 << 20) + F.col("at") / size).cast("long").alias("chunk"), F.slice("all", F.col("at") + 1, F.lit(size)).alias("values"))
 
 

@@ -18,6 +18,7 @@ of its files but those that begin with `_` or `.`, as writers leave them.
 from __future__ import annotations
 
 import json
+import re
 import shlex
 from collections.abc import Iterable, Iterator
 
@@ -29,7 +30,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 SCHEMAS = {"entries": "name string, parents array<string>", "edges": "sub string, sup string", "meta": "name string, gloss string, wn30 string"}
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 META = b"#:meta "
-CHUNK = 1 << 20
+CHUNK, TAIL = 1 << 20, 1 << 12
+#: Without quotes shlex parts lines at these blanks, and does nothing else.
+BLANKS, QUOTES = re.compile("[ \t\r\n]+"), re.compile("['\"\\\\]")
 
 
 class Range(InputPartition):
@@ -39,6 +42,8 @@ class Range(InputPartition):
 
 def fields(line: str) -> list[str]:
     """The fields of a line, shell-quoted or, where quotes don't close, parted by blanks."""
+    if not QUOTES.search(line):
+        return [f for f in BLANKS.split(line) if f]
     try:
         return shlex.split(line, comments=False)
     except ValueError:
@@ -79,6 +84,8 @@ class StoreReader(DataSourceReader):
         if not part.path:
             return
         system = pafs.FileSystem.from_uri(self.path)[0] if "://" in self.path or self.path.startswith("file:") else pafs.LocalFileSystem()
+        # No more than the range and what its last line may need.
+        chunk = min(CHUNK, part.end - part.start + TAIL)
         with system.open_input_file(part.path) as f:
             at, left = part.start, b""
             if at:
@@ -86,7 +93,7 @@ class StoreReader(DataSourceReader):
                 f.seek(at - 1)
                 at -= 1
                 while True:
-                    data = f.read(CHUNK)
+                    data = f.read(chunk)
                     if not data:
                         return
                     if (cut := data.find(b"\n")) >= 0:
@@ -96,7 +103,7 @@ class StoreReader(DataSourceReader):
                     at += len(data)
             while at < part.end:
                 while (cut := left.find(b"\n")) < 0:
-                    data = f.read(CHUNK)
+                    data = f.read(chunk)
                     if not data:
                         if left:
                             yield left

@@ -460,3 +460,26 @@ def test_a_queue_is_decided_once(spark):
     out = votes.review_queue(rows.withColumn("status", told("status")), frame(spark, [("a",), ("b",)], "name string"), rows.limit(0).select("sub", "sup"))
     assert pairs(out.drop("section_ord")) == {("contradicted", "a", "c"), ("disputed", "a", "c"), ("single", "a", "b"), ("unplaced", "c", None), ("unplaced", "d", "a")}
     assert calls.value == 3
+
+
+def test_reduction_closes_what_siblings_need(spark, monkeypatch):
+    """A tree has no siblings, so that nothing is closed; else the closure begins at parents of names with several."""
+    tree = frame(spark, [("a", "b"), ("b", "c"), ("d", "c")])
+    monkeypatch.setattr(graph, "closure", lambda edges: pytest.fail("closed"))
+    monkeypatch.setattr(graph, "ancestors", lambda edges, names: pytest.fail("closed"))
+    assert pairs(graph.reduction(tree)) == {("a", "b"), ("b", "c"), ("d", "c")}
+    monkeypatch.undo()
+    rng = random.Random(8)
+    edges = {(f"n{b}", f"n{a}") for a, b in (sorted(rng.sample(range(25), 2)) for _ in range(70))}
+    whole = closed(edges)
+    assert pairs(graph.reduction(frame(spark, edges))) == {(a, b) for a, b in edges if not any(a == x and m != b and (m, b) in whole for x, m in edges)}
+
+
+def test_lines_without_quotes(spark):
+    """The short way parts lines as shlex does."""
+    for line in ("a b", " a\tb\r", "a\x0bb c d", "#a b", "a 'b c' d", "a \\b", 'a "b', "", "é ~ * ( ) ;|&"):
+        try:
+            wanted = shlex.split(line, comments=False)
+        except ValueError:
+            wanted = line.split()
+        assert store_source.fields(line) == wanted == readers._split_quoted(line)
