@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.functions.vectors import cosine
-from arbora.operators.ranking import centroids, first_per_group, ranked
+from arbora.operators.ranking import centroids, first_per_group, longest, ranked
 
 
 def gold_first_senses(counts: DataFrame, least: int = 5) -> DataFrame:
@@ -23,7 +23,7 @@ def first_senses(bags: DataFrame, words: DataFrame, vectors: DataFrame) -> DataF
     place): senses by the cosine of the lemma's vector and the mean vector of the sense's bag, for two senses or more.  Cosines
     are compared to nine digits, so that the order of sums doesn't tell."""
     known = vectors.select("word", "vector")
-    means = centroids(bags.join(known, "word").withColumn("sense", F.struct("lemma", "offset")), "sense", "vector").select("sense.lemma", "sense.offset", "centroid")
+    means = centroids(bags.join(known, "word").withColumn("sense", F.struct("lemma", "offset")), "sense", "vector", longest(known, "vector")).select("sense.lemma", "sense.offset", "centroid")
     own = words.join(known.select(F.col("word").alias("key"), "vector"), "key").select("lemma", "vector")
     told = means.join(own, "lemma").select("lemma", "offset", cosine(F.col("centroid"), F.col("vector")).alias("sim"))
     several = told.groupBy("lemma").agg(F.count("*").alias("n")).where("n > 1").select("lemma")

@@ -91,10 +91,20 @@ def seeded_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return rows.orderBy(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)
 
 
-def centroids(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, centroid, n): the mean of each group's vectors, summed by place."""
-    told = rows.select(key, F.posexplode(vector).alias("i", "x")).groupBy(key, "i").agg(F.avg(F.col("x").cast("double")).alias("m"), F.count("*").alias("n"))
-    return told.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("centroid"), F.max("n").alias("n"))
+def centroids(rows: DataFrame, key: str, vector: str, places: int | None = None) -> DataFrame:
+    """(key, centroid, n): the mean of each group's vectors, by place; places is the longest vector's, and is looked up if it isn't given.
+
+    Each place is a mean of its own, so what a task sends on is one row for each group that it has seen.
+    """
+    if places is None:
+        places = longest(rows, vector)
+    told = rows.where(F.size(vector) > 0).groupBy(key).agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("_size"), *[F.avg(F.get(vector, F.lit(i)).cast("double")).alias(f"_m{i}") for i in range(places)])
+    return told.select(key, F.slice(F.array(*[F.col(f"_m{i}") for i in range(places)]).cast("array<double>"), F.lit(1), F.col("_size")).alias("centroid"), "n")
+
+
+def longest(rows: DataFrame, vector: str) -> int:
+    """How many places the longest vector has."""
+    return max(rows.agg(F.max(F.size(vector))).first()[0] or 0, 0)
 
 
 def sibling_distance(rows: DataFrame, key: str, name: str, vector: str, least: int = 3) -> DataFrame:

@@ -483,3 +483,11 @@ def test_lines_without_quotes(spark):
         except ValueError:
             wanted = line.split()
         assert store_source.fields(line) == wanted == readers._split_quoted(line)
+
+
+def test_centroids_send_no_places(spark):
+    """Vectors of any lengths, with nulls; a row for each group is shuffled, not one for each place."""
+    df = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0]), ("a", [None, 4.0, 5.0]), ("b", [1.0]), ("c", []), ("c", None)], "k string, v array<double>")
+    out = ranking.centroids(df, "k", "v")
+    assert {(r["k"], tuple(r["centroid"]), r["n"]) for r in out.collect()} == {("a", (2.0, 3.0, 5.0), 3), ("b", (1.0,), 1)}
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
