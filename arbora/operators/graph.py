@@ -134,22 +134,29 @@ def depths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return _grown(roots.select("name", F.lit(0).alias("depth")), lambda new: new.join(hop, "name").select(F.col("next").alias("name"), (F.col("depth") + 1).alias("depth")), ["name"])
 
 
-def estimated_cone_sizes(edges: DataFrame, log_size: int = 14) -> DataFrame:
-    """(name, cone): about how many distinct names are strictly below, without any pair of names.
+def estimated_cone_sizes(edges: DataFrame, log_size: int = 14, exact: int = 64) -> DataFrame:
+    """(name, cone): about how many distinct names are strictly below, without any pair of names; up to `exact` of them, just how many.
 
     Each name holds a sketch of what is below it (HyperLogLog, 2^log_size registers); sketches are united upwards, round by
     round, until none grows.  What travels is a sketch for each edge whose lower end has grown.  The relative standard error is
-    1.04 / 2^(log_size/2): 0.8 % with 14.  Names on a cycle count themselves, as do those above it.
+    1.04 / 2^(log_size/2): 0.8 % with 14.  A sketch tells names apart by 26 bits and a place, so among many small cones some
+    would be one short; names with at most `exact` below them hold these as they are.  Names on a cycle count themselves, as do those
+    above it.
     """
     edges = written(edges_of(edges), "edges")
-    below = edges.groupBy(F.col("sup").alias("name")).agg(F.hll_sketch_agg("sub", F.lit(log_size)).alias("s"))
-    now = written(below.withColumn("n", F.hll_sketch_estimate("s")), "sketches")
+    below = edges.groupBy(F.col("sup").alias("name")).agg(F.hll_sketch_agg("sub", F.lit(log_size)).alias("s"), F.count("*").alias("kids"))
+    small = edges.join(below.where(F.col("kids") <= exact).select(F.col("name").alias("sup")), "sup", "left_semi").groupBy(F.col("sup").alias("name")).agg(F.array_sort(F.collect_list("sub")).alias("few"))
+    size = F.when(F.col("few").isNotNull(), F.size("few").cast("long")).otherwise(F.hll_sketch_estimate("s"))
+    now = written(below.drop("kids").join(small, "name", "left").withColumn("n", size), "sketches")
     grown = now
     while not grown.isEmpty():
-        up = edges.select(F.col("sub").alias("name"), "sup").join(grown.select("name", "s"), "name").select(F.col("sup").alias("name"), "s", F.lit(True).alias("new"))
-        both = now.select("name", "s", F.lit(False).alias("new")).join(up.select("name").distinct(), "name", "left_semi").union(up)
-        united = both.groupBy("name").agg(F.hll_union_agg("s").alias("s")).withColumn("n", F.hll_sketch_estimate("s"))
-        changed = written(united.join(now.select("name", F.col("n").alias("before")), "name", "left").where("before is null or n != before").select("name", "s", "n"), "grown")
+        up = edges.select(F.col("sub").alias("name"), "sup").join(grown.select("name", "s", "few"), "name").select(F.col("sup").alias("name"), "s", "few")
+        # Names that are held as they are have few edges below them, so that few such lists meet.
+        both = now.select("name", "s", "few").join(up.select("name").distinct(), "name", "left_semi").union(up).join(now.select("name", F.col("few").isNotNull().alias("held")), "name")
+        united = both.groupBy("name").agg(F.hll_union_agg("s").alias("s"), F.bool_and(F.col("held") & F.col("few").isNotNull()).alias("held"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("held"), F.col("few")))))).alias("few"))
+        united = united.select("name", "s", F.when(F.col("held") & (F.size("few") <= exact), F.col("few")).alias("few")).withColumn("n", size)
+        known = now.select("name", F.col("n").alias("before"), F.col("few").isNotNull().alias("held"))
+        changed = written(united.join(known, "name").where((F.col("n") != F.col("before")) | (F.col("held") != F.col("few").isNotNull())).select("name", "s", "few", "n"), "grown")
         after = written(now.join(changed, "name", "left_anti").union(changed), "sketches")
         dropped(now)
         now, grown = after, changed

@@ -491,3 +491,13 @@ def test_centroids_send_no_places(spark):
     out = ranking.centroids(df, "k", "v")
     assert {(r["k"], tuple(r["centroid"]), r["n"]) for r in out.collect()} == {("a", (2.0, 3.0, 5.0), 3), ("b", (1.0,), 1)}
     assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_cones_are_exact(spark):
+    """Two names that a sketch doesn't tell apart count as two."""
+    names = spark.range(90000).select(F.concat(F.lit("x"), "id").alias("x"))
+    alike = names.groupBy("x").agg(F.hll_sketch_agg("x", F.lit(14)).alias("s")).groupBy("s").agg(F.collect_list("x").alias("x")).where(F.size("x") > 1).first()["x"][:2]
+    edges = [(x, "top") for x in alike] + [("top", "all")] + [(f"y{i}", "all") for i in range(61)]
+    assert {r["name"]: r["cone"] for r in graph.estimated_cone_sizes(frame(spark, edges)).where("cone > 0").collect()} == {"top": 2, "all": 64}
+    told = {r["name"]: r["cone"] for r in graph.estimated_cone_sizes(frame(spark, edges), exact=8).where("cone > 0").collect()}
+    assert told["top"] == 2 and abs(told["all"] - 64) <= 2
