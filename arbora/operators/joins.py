@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.operators.aggregates import SALT, salted
+from arbora.session import written
 
 
 def label_matches(concepts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -48,11 +49,26 @@ def view(alignment: DataFrame, closed: DataFrame) -> DataFrame:
 
     Only exact alignments may stand above; a name that isn't exact is also below its own id; names of one id entail nothing.
     """
-    above = alignment.where("exact").select(F.col("id").alias("sup_id"), F.col("name").alias("sup"))
+    above = alignment.where("exact and id is not null").select(F.col("id").alias("sup_id"), F.col("name").alias("sup")).distinct()
     up = closed.select(F.col("sub").alias("id"), F.col("sup").alias("sup_id"))
     own = alignment.where("not exact").select("name", F.col("id").alias("sup_id"))
-    pairs = alignment.select("name", "id").join(up.where("id != sup_id"), "id").select("name", "sup_id").union(own)
-    return pairs.join(above, "sup_id").where("name != sup").select(F.col("name").alias("sub"), "sup").distinct()
+    pairs = written(alignment.select("name", "id").join(up.where("id != sup_id"), "id").select("name", "sup_id").union(own).where("sup_id is not null").distinct(), "pairs")
+    above = written(above.join(above.groupBy("sup").agg((F.count("*") > 1).alias("several")), "sup").select("sup_id", "sup", "several"), "above")
+    # Only a name of several ids can be met twice; for the others nothing is gathered.
+    once, again = (_in_blocks(pairs, above.where(F.col("several") == several)).where("name != sup").select(F.col("name").alias("sub"), "sup") for several in (False, True))
+    return once.union(again.distinct())
+
+
+def _in_blocks(pairs: DataFrame, above: DataFrame, size: int = 4096) -> DataFrame:
+    """pairs (name, sup_id) and above (sup_id, sup) joined by sup_id, in blocks of some `size` rows of both, so that an id may have any
+    number of either."""
+    blocks = lambda df, n: df.groupBy("sup_id").agg(F.ceil(F.count("*") / size).cast("int").alias(n))
+    sizes = blocks(pairs, "xs").join(blocks(above, "ys"), "sup_id")
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = pairs.join(sizes, "sup_id").select("sup_id", block("name", "xs").alias("x"), every("ys").alias("y"), "name")
+    b = above.join(sizes, "sup_id").select("sup_id", every("xs").alias("x"), block("sup", "ys").alias("y"), "sup")
+    return a.join(b, ["sup_id", "x", "y"])
 
 
 def overlaid(files: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:

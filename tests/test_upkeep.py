@@ -501,3 +501,17 @@ def test_small_cones_are_exact(spark):
     assert {r["name"]: r["cone"] for r in graph.estimated_cone_sizes(frame(spark, edges)).where("cone > 0").collect()} == {"top": 2, "all": 64}
     told = {r["name"]: r["cone"] for r in graph.estimated_cone_sizes(frame(spark, edges), exact=8).where("cone > 0").collect()}
     assert told["top"] == 2 and abs(told["all"] - 64) <= 2
+
+
+def test_view_as_all_pairs(spark):
+    """Names of several ids, names that are aligned twice, and an id of many names: each pair once, in blocks of a bounded size."""
+    rng = random.Random(9)
+    rows = [(f"a{rng.randint(0, 40)}", f"i{rng.randint(0, 5)}", rng.random() < 0.5) for _ in range(120)] + [("z", None, True), ("z", None, False), (None, "i1", True)]
+    above = {("i0", "i1"), ("i1", "i2"), ("i0", "i2"), ("i3", "i2"), ("i4", "i4")}
+    wanted = {(n, m) for n, i, e in rows for m, j, f in rows if f and n and m and i and j and n != m and (((i, j) in above and i != j) or (not e and i == j))}
+    df, up = spark.createDataFrame(rows, "name string, id string, exact boolean"), frame(spark, above)
+    got = joins.view(df, up).collect()
+    assert len(got) == len(wanted) and {tuple(r) for r in got} == wanted
+    pairs_, tops = frame(spark, [(f"n{i}", "i") for i in range(50)], "name string, sup_id string"), frame(spark, [("i", f"m{i}") for i in range(50)], "sup_id string, sup string")
+    blocks = joins._in_blocks(pairs_, tops, 8)
+    assert blocks.count() == 2500 and blocks.select("x", "y").distinct().count() == 49
