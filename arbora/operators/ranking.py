@@ -191,7 +191,7 @@ def _products(visits: DataFrame, pool: DataFrame, per_task: int) -> DataFrame:
     return a.unionByName(b).groupBy("cell", "x", "y").applyInArrow(task, "name string, twin string, sim double")
 
 
-def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1024, most_pivots: int = 1024) -> DataFrame:
+def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1024, most_pivots: int = 1024, most_visits: int = 1 << 16) -> DataFrame:
     """own, pool (name, hub, vector) -> (name, twin, sim): the same hub is a twin of 1, the first by name; else the most similar of the
     pool from `least` on, by similarity and then name.  Names are their own twins never; names whose vector is null or has no length have twins by hub only.
 
@@ -219,26 +219,30 @@ def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1
     for r in cells.groupBy("cell").agg(F.min("distance").alias("low"), F.max("distance").alias("high")).collect():
         low[r["cell"]], high[r["cell"]] = r["low"], r["high"]
     limit = float(np.sqrt(max(2 - 2 * least, 0))) + EPSILON
+    step = max(1, most_visits // len(pivots))
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(cell, name, vector): the cells that are open, given the similarity found so far (null: the nearest cell only)."""
         for b in batches:
-            if not len(b):
-                continue
-            d = _distances(_matrix(b.column("vector")), pivots)
-            d[:, ~np.isfinite(low)] = np.inf
-            nearest = d.argmin(axis=1)
-            if "sim" in b.schema.names:
-                found = b.column("sim").fill_null(-1.0).to_numpy(zero_copy_only=False)
-                reach = np.minimum(np.sqrt(np.maximum(2 - 2 * found, 0)) + EPSILON, limit)
-                with np.errstate(invalid="ignore"):
-                    bound = np.maximum(np.maximum(d - high, low - d), (d - d.min(axis=1, keepdims=True)) / 2)
-                open_ = (bound <= reach[:, None] + EPSILON) & np.isfinite(low)
-                open_[np.arange(len(b)), nearest] = False
-                row, cell = np.nonzero(open_)
-            else:
-                row, cell = np.arange(len(b)), nearest
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), b.column("name").take(pa.array(row)), b.column("vector").take(pa.array(row))], names=["cell", "name", "vector"])
+            # What one slice sends on is bounded, though each of its vectors may visit all cells.
+            for i in range(0, len(b), step):
+                yield from visited(b.slice(i, step))
+
+    def visited(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        d = _distances(_matrix(b.column("vector")), pivots)
+        d[:, ~np.isfinite(low)] = np.inf
+        nearest = d.argmin(axis=1)
+        if "sim" in b.schema.names:
+            found = b.column("sim").fill_null(-1.0).to_numpy(zero_copy_only=False)
+            reach = np.minimum(np.sqrt(np.maximum(2 - 2 * found, 0)) + EPSILON, limit)
+            with np.errstate(invalid="ignore"):
+                bound = np.maximum(np.maximum(d - high, low - d), (d - d.min(axis=1, keepdims=True)) / 2)
+            open_ = (bound <= reach[:, None] + EPSILON) & np.isfinite(low)
+            open_[np.arange(len(b)), nearest] = False
+            row, cell = np.nonzero(open_)
+        else:
+            row, cell = np.arange(len(b)), nearest
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), b.column("name").take(pa.array(row)), b.column("vector").take(pa.array(row))], names=["cell", "name", "vector"])
 
     layout = "cell int, name string, vector array<double>"
     near = written(_products(mine.mapInArrow(visits, layout), cells, per_task), "near")

@@ -515,3 +515,12 @@ def test_view_as_all_pairs(spark):
     pairs_, tops = frame(spark, [(f"n{i}", "i") for i in range(50)], "name string, sup_id string"), frame(spark, [("i", f"m{i}") for i in range(50)], "sup_id string, sup string")
     blocks = joins._in_blocks(pairs_, tops, 8)
     assert blocks.count() == 2500 and blocks.select("x", "y").distinct().count() == 49
+
+
+def test_a_slice_of_visits_is_bounded(spark):
+    """However many cells are open, what a task holds at once is bounded; nothing is missed by that."""
+    rng = np.random.default_rng(5)
+    rows = [(f"v{i}", "", [float(x) for x in rng.normal(size=8)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "name string, hub string, vector array<double>")
+    told = lambda **more: {(r["name"], r["twin"], round(r["sim"], 9)) for r in ranking.twins(df, df, 0.1, **more).collect()}
+    assert told(most_visits=17) == told()
