@@ -431,21 +431,23 @@ def numbered_tree(edges: DataFrame) -> DataFrame:
     of the number of names, whatever the depth.  A name lies below another if its place is between the other's two.
     edges are a forest's: each name has one parent at most.
     """
-    spark = edges.sparkSession
     edges = written(edges_of(edges), "edges")
     roots = nodes_of(edges).join(edges.select(F.col("sub").alias("name")), "name", "left_anti")
     # All names by parent, roots behind them; a name's next sibling has the next number, if it has the same parent.
     rows = edges.select(F.col("sub").alias("name"), F.col("sup").alias("parent")).union(roots.select("name", F.lit(None).cast(dict(edges.dtypes)["sup"])))
     placed = written(ranked(rows, [F.col("parent").asc_nulls_last(), F.col("name")], "at"), "siblings")
-    following = placed.select((F.col("at") - 1).alias("at"), F.col("name").alias("next"), F.col("parent").alias("beside"))
+    following = placed.select((F.col("at") - 1).alias("at"), F.col("at").alias("next"), F.col("parent").alias("beside"))
     first = placed.join(placed.select((F.col("at") + 1).alias("at"), F.col("parent").alias("before"), F.lit(True).alias("has")), "at", "left").where("has is null or not (parent <=> before)").where("parent is not null")
-    first = first.select(F.col("parent").alias("name"), F.col("name").alias("child"))
-    into = lambda c: F.struct(F.lit(0).alias("out"), c.alias("name"))
-    out_of = lambda c: F.struct(F.lit(1).alias("out"), c.alias("name"))
-    entered = placed.select("name").join(first, "name", "left").select(into(F.col("name")).alias("step"), F.coalesce(F.when(F.col("child").isNotNull(), into(F.col("child"))), out_of(F.col("name"))).alias("next"), F.lit(1).cast("long").alias("n"))
-    beside = placed.join(following, "at", "left").select("name", "parent", F.when(F.col("parent").eqNullSafe(F.col("beside")), F.col("next")).alias("next"))
-    left = beside.select(out_of(F.col("name")).alias("step"), F.when(F.col("next").isNotNull(), into(F.col("next"))).when(F.col("parent").isNotNull(), out_of(F.col("parent"))).alias("next"), F.lit(0).cast("long").alias("n"))
-    now = written(entered.union(left), "steps")
+    first = first.select(F.col("parent").alias("name"), F.col("at").alias("child"))
+    beside = written(placed.join(following, "at", "left").select("at", "name", "parent", F.when(F.col("parent").eqNullSafe(F.col("beside")), F.col("next")).alias("next")), "beside")
+    # One for each parent.
+    ends = beside.where("next is null and parent is not null").select("at", "parent").join(placed.select(F.col("name").alias("parent"), F.col("at").alias("up")), "parent").select("at", "up")
+    # Steps are numbers: into a name is twice its own, out of it one more.  What has no children is left as it is entered.
+    into, out_of = lambda c: F.col(c) * 2, lambda c: F.col(c) * 2 + 1
+    step = lambda at, then, n: F.struct(at.alias("step"), then.alias("next"), F.lit(n).cast("long").alias("n"))
+    then = F.coalesce(into("next"), out_of("up"))
+    steps = F.when(F.col("child").isNull(), F.array(step(into("at"), then, 1))).otherwise(F.array(step(into("at"), into("child"), 1), step(out_of("at"), then, 0)))
+    now = written(beside.join(ends, "at", "left").join(first, "name", "left").select(F.explode(steps).alias("x")).select("x.*"), "steps")
     while not now.where("next is not null").isEmpty():
         ahead = now.select(F.col("step").alias("next"), F.col("next").alias("then"), F.col("n").alias("more"))
         # Steps that have reached the end of the list are known, and only looked up.
@@ -454,9 +456,10 @@ def numbered_tree(edges: DataFrame) -> DataFrame:
         dropped(now)
         now = after
     total = roots.count() + edges.count()
-    told = now.groupBy("step.name").agg(F.max(F.when(F.col("step.out") == 0, F.col("n"))).alias("a"), F.max(F.when(F.col("step.out") == 1, F.col("n"))).alias("z"))
+    side = lambda odd, name: F.max(F.when(F.col("step") % 2 == odd, F.col("n"))).alias(name)
+    told = now.groupBy(F.shiftright("step", 1).alias("at")).agg(side(0, "a"), side(1, "z")).join(placed.select("at", "name"), "at")
     # n counts the names that are stepped into from here on.
-    return told.select("name", (F.lit(total) - F.col("a")).cast("long").alias("pre"), (F.lit(total) - F.col("z") - 1).cast("long").alias("last"))
+    return told.select("name", (F.lit(total) - F.col("a")).cast("long").alias("pre"), (F.lit(total) - F.coalesce(F.col("z") + 1, "a")).cast("long").alias("last"))
 
 
 def within(tree: DataFrame, pairs: DataFrame) -> DataFrame:

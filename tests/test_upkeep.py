@@ -524,3 +524,15 @@ def test_a_slice_of_visits_is_bounded(spark):
     df = spark.createDataFrame(rows, "name string, hub string, vector array<double>")
     told = lambda **more: {(r["name"], r["twin"], round(r["sim"], 9)) for r in ranking.twins(df, df, 0.1, **more).collect()}
     assert told(most_visits=17) == told()
+
+
+def test_steps_of_a_tree_are_numbers(spark, monkeypatch):
+    """What is jumped over has no names, and one step for each name without children."""
+    seen = []
+    real = graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: (seen.append((name, df)), real(df, name))[1])
+    edges = [("b", "a"), ("c", "a"), ("d", "b"), ("e", "b"), ("g", "f")]
+    got = {tuple(r) for r in graph.numbered_tree(frame(spark, edges)).collect()}
+    assert got == {("a", 0, 4), ("b", 1, 3), ("d", 2, 2), ("e", 3, 3), ("c", 4, 4), ("f", 5, 6), ("g", 6, 6)}
+    steps = [df for name, df in seen if name == "steps"]
+    assert set(dict(steps[0].dtypes).values()) == {"bigint"} and steps[0].count() == 7 + 3
