@@ -24,6 +24,13 @@ def pairs(df):
     return {tuple(r) for r in df.collect()}
 
 
+def stages_of(spark):
+    """What the session's status store tells of its stages."""
+    jvm = spark._jvm
+    told = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, spark._sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return [told.apply(i) for i in range(told.size())]
+
+
 def frame(spark, rows, schema="sub string, sup string"):
     return spark.createDataFrame(list(rows), schema)
 
@@ -135,6 +142,25 @@ def test_closure_of_a_chain(spark):
     assert graph.closure(frame(spark, [(str(i), str(i + 1)) for i in range(n)])).count() == n * (n + 1) // 2
 
 
+@pytest.mark.parametrize("seed", range(1))
+def test_shared_closure(spark, seed):
+    """Sets of more names than a row holds, with loops: as by a search."""
+    rng = random.Random(seed)
+    edges = {(f"n{rng.randint(0, 300)}", f"n{rng.randint(0, 300)}") for _ in range(1200)} | {("x", "x"), ("lone", "n1")}
+    out = graph.shared_closure(frame(spark, edges))
+    assert pairs(out) == closed(edges) and out.count() == len(closed(edges))
+    assert graph.shared_closure(frame(spark, [])).count() == 0
+
+
+def test_shared_closure_joins_no_pair_for_each_path(spark):
+    """600 names below 30, all of which are below the same 200: 18,000 rows go on to these, not 3,600,000 pairs."""
+    edges = frame(spark, [(f"p{i}", f"s{j}") for i in range(600) for j in range(30)] + [(f"s{j}", f"o{k}") for j in range(30) for k in range(200)])
+    spark.range(1).count()
+    before = max([s.stageId() for s in stages_of(spark)], default=-1)
+    assert graph.shared_closure(edges).count() == 600 * 30 + 30 * 200 + 600 * 200
+    assert max(s.shuffleWriteRecords() for s in stages_of(spark) if s.stageId() > before) < 100_000
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_revised_closure(spark, seed):
     """Edges in and out, loops among them: as closing anew."""
