@@ -223,6 +223,15 @@ def test_many_cycles_need_no_more_jobs(spark):
     assert jobs(10_000) <= few * 1.3 + 10
 
 
+def test_what_cycles_shuffle(spark):
+    """Rows that are shuffled for each edge of many loops."""
+    loops = [e for i in range(5000) for e in ((f"a{i}", f"b{i}"), (f"b{i}", f"a{i}"))]
+    before = max([s.stageId() for s in stages_of(spark)], default=-1)
+    kept_, lost = graph.topological(frame(spark, loops))
+    assert kept_.count() == lost.count() == 5000
+    assert sum(s.shuffleWriteRecords() for s in stages_of(spark) if s.stageId() > before) < 10 * len(loops)
+
+
 # Trees.
 
 
