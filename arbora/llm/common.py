@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from arbora.session import dropped, written
 
-__all__ = ["components", "dropped", "forest", "grouped", "remainder_of_five", "salt", "slices", "table", "text_of", "written"]
+__all__ = ["components", "dropped", "forest", "grouped", "met", "remainder_of_five", "salt", "slices", "table", "text_of", "written"]
 SALT = "_salt"
 
 
@@ -83,6 +83,12 @@ def grouped(rows: DataFrame, keys: list[str], parts: list[Column], whole: list[C
     return every.withColumn(SALT, F.explode("_salts")).drop("_salts")
 
 
+def met(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner") -> DataFrame:
+    """Joined by sorting both: what happens to be small isn't sent to the driver and on to all tasks, as each such table costs
+    the driver a thread and memory besides its rows, and loops make many."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b: long): rows (id, component), component the smallest id reachable.
 
@@ -93,17 +99,21 @@ def components(links: DataFrame) -> DataFrame:
     its own.  Links with a null end are none, repeated ones are one, and no links give no rows.
     """
     spark = links.sparkSession
-    edges = written(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null").distinct(), "links")
-    ids = edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct()
-    given, edges = edges, written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+    a, b = F.col("a").cast("long"), F.col("b").cast("long")
+    given = written(links.where("a is not null and b is not null").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
+    edges = given.where("u != v")
 
     def with_least(rows: DataFrame) -> DataFrame:
         """Adds m, the smallest v of each u."""
         rows = rows.withColumn(SALT, salt(spark, "v"))
-        return rows.join(grouped(rows, ["u"], [F.min("v").alias("m")], [F.min("m").alias("m")]), ["u", SALT]).drop(SALT)
+        return met(rows, grouped(rows, ["u"], [F.min("v").alias("m")], [F.min("m").alias("m")]), ["u", SALT]).drop(SALT)
 
-    while True:
+    def stars() -> bool:
+        """Each u hangs on one v, which hangs on none."""
+        ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+        return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+    while not stars():
         # Large star: every larger neighbour of u hangs on the smallest of u and its neighbours.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = with_least(both).withColumn("m", F.least("u", "m")).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -111,14 +121,9 @@ def components(links: DataFrame) -> DataFrame:
         # Small star: u and its smaller neighbours hang on the smallest of them.
         joined = with_least(large)
         small = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.where("v = m").select("u", "v")).distinct()
-        small = written(small, "small")
-        n = small.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("h")).first()
-        now = (n["n"], n["h"])
-        dropped(large, edges)
-        edges = small
-        if now == before or n["n"] == 0:
-            break
-        before = now
-    out = written(ids.join(edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("m")), "id", "left").select("id", F.coalesce("m", "id").alias("component")), "components")
-    dropped(given, edges)
+        before, edges = edges, written(small, "small")
+        dropped(large, *([] if before.inputFiles() == given.inputFiles() else [before]))
+    own = given.select(F.col("u").alias("id"), F.col("u").alias("component")).union(given.select("v", "v")).union(edges.select("u", "v"))
+    out = written(own.groupBy("id").agg(F.min("component").alias("component")), "components")
+    dropped(*([given] if edges.inputFiles() == given.inputFiles() else [given, edges]))
     return out

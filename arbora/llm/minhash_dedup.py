@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import SALT, components, dropped, forest, grouped, salt, slices, text_of, trim, written
+from arbora.llm.common import SALT, components, dropped, forest, grouped, met, salt, slices, text_of, trim, written
 from arbora.llm.hashing import ODD, Words, lowered, mixed_bits
 
 WIDTH = 5
@@ -174,8 +174,8 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     A task reads the text of each a once, then those of its partners; an a of many partners is dealt to many tasks.
     """
     pairs = pairs.withColumn(SALT, salt(pairs.sparkSession, "b"))
-    heads = pairs.select("a", SALT).distinct().join(texts.select(F.col("id").alias("a"), "text"), "a").select("a", SALT, F.lit(0).alias("side"), F.col("a").alias("b"), "text")
-    others = pairs.join(texts.select(F.col("id").alias("b"), "text"), "b").select("a", SALT, F.lit(1).alias("side"), "b", "text")
+    heads = met(pairs.select("a", SALT).distinct(), texts.select(F.col("id").alias("a"), "text"), "a").select("a", SALT, F.lit(0).alias("side"), F.col("a").alias("b"), "text")
+    others = met(pairs, texts.select(F.col("id").alias("b"), "text"), "b").select("a", SALT, F.lit(1).alias("side"), "b", "text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = None
@@ -248,10 +248,10 @@ def blocked(placed: DataFrame, others: DataFrame, salts: DataFrame, texts: DataF
 
     salts (bucket, _salt) are those of the buckets.  Blocks have some `block` texts, fewer where these are long.
     """
-    some = lambda rows, name: rows.join(texts.select("id", "bytes"), "id").groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int").alias(name))
-    sizes = some(others, "nx").join(some(placed, "ny"), "bucket").join(salts, "bucket")
+    some = lambda rows, name: met(rows, texts.select("id", "bytes"), "id").groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("bytes") / block_bytes)).cast("int").alias(name))
+    sizes = met(met(some(others, "nx"), some(placed, "ny"), "bucket"), salts, "bucket")
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    told = lambda rows: rows.select("bucket", SALT, "id").join(sizes, ["bucket", SALT]).join(texts.select("id", "text"), "id")
+    told = lambda rows: met(met(rows.select("bucket", SALT, "id"), sizes, ["bucket", SALT]), texts.select("id", "text"), "id")
     x = told(others).select("bucket", part("nx").alias("x"), F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("y"), F.lit(True).alias("asks"), "id", "text")
     y = told(placed).select("bucket", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("x"), part("ny").alias("y"), F.lit(False).alias("asks"), "id", "text")
 
@@ -294,7 +294,7 @@ def numbered(same: DataFrame) -> DataFrame:
     if firsts.isEmpty():
         return same.withColumn("node", F.col("rep"))
     other = F.lit(SECOND) + F.xxhash64("k1", "k2").bitwiseAND(F.lit(SECOND - 1))
-    return rows.join(firsts, ["rep", SALT], "left").withColumn("node", F.when(F.col("k").isNull() | (F.col("k") == key), F.col("rep")).otherwise(other)).drop("k", "n", SALT)
+    return met(rows, firsts, ["rep", SALT], "left").withColumn("node", F.when(F.col("k").isNull() | (F.col("k") == key), F.col("rep")).otherwise(other)).drop("k", "n", SALT)
 
 
 def answers(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 5, small: int = 32) -> DataFrame:
@@ -310,10 +310,10 @@ def answers(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int
     entries = same.select(F.col("node").alias("id"), F.explode("bands").alias("bucket")).withColumn(SALT, salt(spark, "id"))
     buckets = written(grouped(entries, ["bucket"], [F.min("id").alias("first"), F.count("*").alias("n")], [F.min("first").alias("first"), F.sum("n").alias("n")], "n > 1"), "buckets")
     salts = buckets.select("bucket", SALT)
-    member = written(entries.join(buckets, ["bucket", SALT]), "members")
+    member = written(met(entries, buckets, ["bucket", SALT]), "members")
     pairs = written(member.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = same.select("node", F.col("rep").alias("doc_id"), "h").join(ids, "node")
+    wanted = met(same.select("node", F.col("rep").alias("doc_id"), "h"), ids, "node")
     # Repeated rows of an id and text are one.
     texts = marked(docs).join(wanted.hint("merge"), ["doc_id", "h"]).groupBy(F.col("node").alias("id")).agg(F.min(text_of()).alias("text"))
     texts = written(texts.withColumn("bytes", F.octet_length("text").cast("long")), "texts")
@@ -325,13 +325,13 @@ def answers(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int
 
     def apart(comp: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Of buckets with more than one group: all members, and those that aren't in the first one's group."""
-        heads = buckets.join(comp.select(F.col("id").alias("first"), F.col("component").alias("head")), "first", "left").select("bucket", SALT, "n", "first", F.coalesce("head", "first").alias("head"))
-        groups = member.select("bucket", SALT, "id").join(comp.select("id", F.col("component").alias("c")), "id", "left").select("bucket", SALT, "id", F.coalesce("c", "id").alias("c"))
-        placed = written(groups.join(heads, ["bucket", SALT]), "placed")
+        heads = met(buckets, comp.select(F.col("id").alias("first"), F.col("component").alias("head")), "first", "left").select("bucket", SALT, "n", "first", F.coalesce("head", "first").alias("head"))
+        groups = met(member.select("bucket", SALT, "id"), comp.select("id", F.col("component").alias("c")), "id", "left").select("bucket", SALT, "id", F.coalesce("c", "id").alias("c"))
+        placed = written(met(groups, heads, ["bucket", SALT]), "placed")
         others = placed.where("c != head")
-        mixed = salts.join(others.select("bucket").distinct(), "bucket")
+        mixed = met(salts, others.select("bucket").distinct(), "bucket")
         scratch.append(placed)
-        return placed.join(mixed, ["bucket", SALT], "left_semi"), others
+        return met(placed, mixed, ["bucket", SALT], "left_semi"), others
 
     found = near
     placed, others = apart(comp)
@@ -344,11 +344,11 @@ def answers(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int
 
     reach = 1 - threshold
     d = F.when(F.col("id") == F.col("first"), 0.0).otherwise(1 - F.col("sim"))
-    far = lambda rows: rows.where(~large).join(sims.select(F.col("a").alias("first"), F.col("b").alias("id"), "sim"), ["first", "id"], "left").select("bucket", "id", "c", d.alias("d"), F.floor(d / reach + 1e-9).alias("step"))
+    far = lambda rows: met(rows.where(~large), sims.select(F.col("a").alias("first"), F.col("b").alias("id"), "sim"), ["first", "id"], "left").select("bucket", "id", "c", d.alias("d"), F.floor(d / reach + 1e-9).alias("step"))
     left = far(others).select("bucket", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("d").alias("da"), F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"))
     right = far(placed).select("bucket", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("d").alias("db"), "step")
-    more = left.join(right, ["bucket", "step"]).where((F.col("ca") != F.col("cb")) & (F.abs(F.col("da") - F.col("db")) <= reach + 1e-9)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = written(more.join(sims.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    more = met(left, right, ["bucket", "step"]).where((F.col("ca") != F.col("cb")) & (F.abs(F.col("da") - F.col("db")) <= reach + 1e-9)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = written(met(more, sims.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     scratch.append(more)
     if not more.isEmpty():
         also = written(compared(more, texts).where(F.col("sim") >= threshold).select("a", "b"), "sims")
@@ -356,13 +356,13 @@ def answers(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int
         if not also.isEmpty():
             comp = components(found.union(also))
             scratch.append(comp)
-    named = same.join(comp, same["node"] == comp["id"], "left").select("k1", "k2", "rep", F.coalesce("component", "node").alias("component_id"))
+    named = met(same, comp.withColumnRenamed("id", "node"), "node", "left").select("k1", "k2", "rep", F.coalesce("component", "node").alias("component_id"))
     # A group of second texts only has the smallest of their ids.
     second = named.where(F.col("component_id") >= SECOND).groupBy("component_id").agg(F.min("rep").alias("name"))
     if not second.isEmpty():
-        named = named.join(second, "component_id", "left").withColumn("component_id", F.coalesce("name", "component_id"))
-    named = every.select("k1", "k2", SALT).join(named.select("k1", "k2", "component_id"), ["k1", "k2"])
-    out = whole.join(named, ["k1", "k2", SALT]).select("doc_id", "h", "component_id").unionByName(signs.where(~linked).select("doc_id", "h", F.col("doc_id").alias("component_id")))
+        named = met(named, second, "component_id", "left").withColumn("component_id", F.coalesce("name", "component_id"))
+    named = met(every.select("k1", "k2", SALT), named.select("k1", "k2", "component_id"), ["k1", "k2"])
+    out = met(whole, named, ["k1", "k2", SALT]).select("doc_id", "h", "component_id").unionByName(signs.where(~linked).select("doc_id", "h", F.col("doc_id").alias("component_id")))
     out = written(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "answers")
     dropped(signs, *scratch)
     return out
