@@ -10,14 +10,15 @@ How it runs: each task cuts its documents into blocks of some 300,000 words.  A
 with its training count here, to the bucket of the n-gram's hash.  A bucket sums them and answers a block only where the
 corpus's count differs from the block's own.  So a block knows the exact counts of its own n-grams, builds the part of the
 automaton that its documents can reach, and reads them.  Rows between tasks are packed arrays, so a frequent word costs
-one number per block.  Nothing is capped or pruned.  Texts are read twice; each block carries a digest of its texts from the
-first reading, so that a block that is cut otherwise the second time is an error and never a wrong count.
+one number per block.  Nothing is capped or pruned.  The longest n-grams are counted in a pass of
+their own, whose messages are sent when those of the shorter ones are gone from disk.  So texts are read three times; each block
+carries a digest of its texts from each reading, so that a block that is cut otherwise another time is an error and never a wrong count.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arbora.llm.common import remainder_of_five, slices, written
+from arbora.llm.common import remainder_of_five, slices
 from arbora.llm.hashing import ODD, Words, lowered, mixed_bits
+from arbora.session import tidied
 
 #: Stand for the beginning of a text, which is only a context, and its end, which is a token.
 BEGIN, END = np.uint64(1), np.uint64(2)
@@ -49,9 +51,9 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """Documents as tokens, and the distinct n-grams of each order with their training counts here."""
+    """Documents as tokens, and the distinct n-grams of orders from `least` + 1 on with their training counts here."""
 
-    def __init__(self, texts: list[bytes], train: np.ndarray, order: int):
+    def __init__(self, texts: list[bytes], train: np.ndarray, order: int, least: int = 0):
         data = lowered(np.frombuffer(b"\n".join(texts), np.uint8))
         h, start = _words(data)
         ends = np.cumsum([len(t) + 1 for t in texts])
@@ -69,6 +71,8 @@ class Block:
             if n:
                 with np.errstate(over="ignore"):
                     keys = np.concatenate([np.zeros(1, np.uint64), mixed_bits(keys[:-1] * ODD + tokens[1:])])
+            if n < least:
+                continue
             valid = np.flatnonzero(depth >= n)
             found, at, inverse = np.unique(keys[valid], return_index=True, return_inverse=True)
             ids = np.full(len(tokens), -1)
@@ -208,14 +212,17 @@ def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0,
             told.update(t)
         return told.digest()
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, ids, texts, held in blocks(batches, block_bytes):
-            block = Block(texts, ~np.array(held), order)
-            out = [(-2 - number % buckets, number, digest(ids, texts, held))]
-            for n in range(order):
-                out += [(n * buckets + b, number, packed(block.keys[n][i:j], block.counts[n][i:j])) for b, i, j in runs(block.keys[n])]
-            bucket, of, payload = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(of, pa.int64()), pa.array(payload, pa.binary())], ["bucket", "block", "payload"])
+    def counted(least: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for number, ids, texts, held in blocks(batches, block_bytes):
+                block = Block(texts, ~np.array(held), most, least)
+                out = [(-2 - number % buckets, number, digest(ids, texts, held))]
+                for n, (keys, counts) in enumerate(zip(block.keys, block.counts, strict=True), least):
+                    out += [(n * buckets + b, number, packed(keys[i:j], counts[i:j])) for b, i, j in runs(keys)]
+                bucket, of, payload = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(of, pa.int64()), pa.array(payload, pa.binary())], ["bucket", "block", "payload"])
+
+        return task
 
     def summed(group: pa.Table) -> pa.Table:
         bucket, of = group["bucket"][0].as_py(), group["block"].to_pylist()
@@ -239,7 +246,14 @@ def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0,
         columns = list(zip(*out, strict=True)) or [()] * 5
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()], strict=True)], ["bucket", "block", "payload", "tokens", "types"])
 
-    answers = written(rows.mapInArrow(counted, "bucket long, block long, payload binary").repartition(max(1, min(order * buckets, 1 << 14)), "bucket").groupBy("bucket").applyInArrow(summed, "bucket long, block long, payload binary, tokens long, types long"), "ngrams")
+    def answered(least: int, most: int) -> DataFrame:
+        sent = rows.mapInArrow(counted(least, most), "bucket long, block long, payload binary").repartition(max(1, min((most - least) * buckets, 1 << 14)), "bucket")
+        return tidied(sent.groupBy("bucket").applyInArrow(summed, "bucket long, block long, payload binary, tokens long, types long"), "ngrams")
+
+    # The longest n-grams are counted by themselves, so that less lies on disk at once.
+    answers = answered(0, max(1, order - 1))
+    if order > 1:
+        answers = answers.union(answered(order - 1, order))
     told = answers.where("block = -1").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     tokens, types = int(told[0]), int(told[1])
 
@@ -253,15 +267,15 @@ def score(docs: DataFrame, held_out: int = 1, order: int = 3, k: float = 100.0,
             yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([number], pa.int64()), pa.array([payload], pa.binary())], ["bucket", "block", "payload"])
 
     def scored(group: pa.Table) -> pa.Table:
-        answer, own, told = [], None, None
+        answer, own, told = [], None, set()
         for bucket, payload in zip(group["bucket"].to_pylist(), group["payload"].to_pylist(), strict=True):
             if bucket == -1:
                 own = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(payload)).read_all()
             elif bucket < 0:
-                told = payload
+                told.add(payload)
             else:
                 answer.append((bucket, payload))
-        if own is None or told != digest(own["doc_id"].to_pylist(), own["text"].to_pylist(), own["held_out"].to_pylist()):
+        if own is None or told != {digest(own["doc_id"].to_pylist(), own["text"].to_pylist(), own["held_out"].to_pylist())}:
             raise RuntimeError("docs was cut into other blocks when it was read again")
         held = np.array(own["held_out"].to_pylist(), bool)
         block = Block(own["text"].to_pylist(), ~held, order)

@@ -43,6 +43,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark then deletes a query's shuffle files when the query ends, not when the driver next collects garbage.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def tidied(df: DataFrame, name: str) -> DataFrame:
+    """written(), and the shuffles that made it are gone when it returns.  For large shuffles before other large ones."""
+    conf = df.sparkSession.conf
+    before = conf.get(TIDY)
+    conf.set(TIDY, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(TIDY, before)
+
+
 def staged(spark: SparkSession, path: str, extract: Callable[[], DataFrame]) -> DataFrame:
     """The table at path; if it isn't there whole, extract() is written there first."""
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
