@@ -6,7 +6,7 @@ rest, so it ends on cycles and its lineage stays short.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,18 +38,33 @@ def _grown(start: DataFrame, step: Callable[[DataFrame], DataFrame], keys: list[
     return known.all()
 
 
-def _hops(edges: DataFrame, sent: int = 4) -> Callable[[], DataFrame]:
+def _hops(edges: DataFrame, sent: int = 4, rounds: Iterator[int] | None = None) -> Callable[[], DataFrame]:
     """Edges (sub, sup) as a round joins them (sup, above).  Spark may send small edges to all tasks, by way of the driver, in the
     first rounds only, so that what the driver is sent doesn't grow with rounds."""
-    up, rounds = edges.select(F.col("sub").alias("sup"), F.col("sup").alias("above")), count()
+    up, rounds = edges.select(F.col("sub").alias("sup"), F.col("sup").alias("above")), count() if rounds is None else rounds
     return lambda: up if next(rounds) < sent else up.hint("merge")
 
 
 def closure(edges: DataFrame) -> DataFrame:
-    """All pairs (sub, sup) with a path of at least one edge; on a cycle a node is below itself."""
-    edges = written(edges_of(edges), "edges")
-    up = _hops(edges)
-    return _grown(edges, lambda new: new.join(up(), "sup").select("sub", F.col("above").alias("sup")), ["sub", "sup"])
+    """All pairs (sub, sup) with a path of at least one edge; on a cycle a node is below itself.
+
+    A round goes on only over edges that begin where a path of so many edges ends.  Each round's are among those of the round
+    before; once they are no longer halved, they stay.  When there are none, no path is longer.
+    """
+    known = Grown(edges.select("sub", "sup"), ["sub", "sup"])
+    new = known.add(edges_of(edges))
+    hop, n, narrows, rounds = new, new.count(), True, count()
+    while not new.isEmpty():
+        if narrows:
+            ends = hop.select(F.col("sup").alias("sub")).distinct()
+            narrow = written(hop.join(ends, "sub", "left_semi").select("sub", "sup"), "hop")
+            left = narrow.count()
+            if not left:
+                break
+            hop, n, narrows = narrow, left, 2 * left <= n
+            up = _hops(hop, rounds=rounds)
+        new = known.add(known.without(new.join(up(), "sup").select("sub", F.col("above").alias("sup"))))
+    return known.all()
 
 
 #: A row of sets() holds some of so many names following each other, as bits of long numbers.
@@ -125,46 +140,57 @@ def published_pairs(closed: DataFrame) -> DataFrame:
 def revised_closure(closed: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
     """The closure of the edges `after`, from the closure of `before` and what differs.
 
-    Edges that are gone: pairs with a path over one of them are set aside (one join on either side of these edges), and
-    those of them that still have a path are found again, the shortest first (delete and rederive).  New edges: pairs with one
-    new edge on their path, then with two, and so on, each by joining what is new with the new edges and the closure that
-    was there.  Rounds grow with the new edges on a path and the length of what is found again, not with the graph.
+    Edges that are gone: pairs with a path over one of them are set aside, and those of them that still have a path are found
+    again, the shortest first (delete and rederive).  New edges: paths that begin with one are found first, by rounds over
+    these alone; then the closure that was there is joined with them once.  Rounds grow with the new edges on a path and the
+    length of what is found again, not with the graph.  What stays is written once, in the buckets of the closure that was
+    there, and is shuffled only where the ends of what differs are too many to be sent to all tasks.
     """
-    before, after = written(edges_of(before), "before"), written(edges_of(after), "after")
-    gone, more = written(before.join(after, ["sub", "sup"], "left_anti"), "gone"), written(after.join(before, ["sub", "sup"], "left_anti"), "more")
-    kept = closed.select("sub", "sup")
+    keys = ["sub", "sup"]
+    side = lambda edges, n: edges.select(*keys).where("sub is not null and sup is not null").withColumn("side", F.lit(n))
+    told = written(side(before, 1).union(side(after, 2)).groupBy(*keys).agg(F.bit_or("side").alias("side")), "sides")
+    gone, more = (written(told.where(F.col("side") == n).select(*keys), name) for n, name in ((1, "gone"), (2, "more")))
+    kept, grown = closed.select(*keys), Grown(closed.select(*keys), keys, "revised")
     if not gone.isEmpty():
-        aside = written(_across(kept, gone), "across")
-        aside = written(aside.join(kept, ["sub", "sup"], "left_semi"), "aside")
-        sure = written(kept.join(aside, ["sub", "sup"], "left_anti"), "sure")
-        stay = before.join(gone, ["sub", "sup"], "left_anti")
+        aside = written(_led_to(_onward(gone, kept), kept).distinct(), "aside")
+        grown.add(kept.join(aside.hint("shuffle_hash"), keys, "left_anti"))
+        sure = grown.all()
         # Edges that are needed: those that begin where a pair that was set aside begins.
-        stay = written(stay.join(aside.select("sub").distinct(), "sub", "left_semi"), "stay")
+        stay = written(told.where("side = 3").join(aside.select("sub").distinct(), "sub", "left_semi").select(*keys), "stay")
         hop = stay.select("sub", F.col("sup").alias("mid"))
-        over = lambda pairs: hop.join(pairs.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup")
-        again = _grown(aside.join(stay.union(over(sure)).distinct(), ["sub", "sup"], "left_semi"), lambda new: over(new).join(aside, ["sub", "sup"], "left_semi"), ["sub", "sup"])
-        kept = written(sure.union(again), "kept")
-        dropped(aside, sure, stay)
+        over = lambda pairs: hop.join(pairs.select(F.col("sub").alias("mid"), "sup"), "mid").select(*keys)
+        start = aside.join(stay.union(over(_from(sure, stay))).distinct(), keys, "left_semi")
+        grown.add(_grown(start, lambda new: over(new).join(aside, keys, "left_semi"), keys))
+        dropped(aside, stay)
+        kept = grown.all()
+    elif not more.isEmpty():
+        grown.add(kept)
+    dropped(told)
     if more.isEmpty():
         return kept
-    grown = Grown(kept, ["sub", "sup"], "revised")
-    grown.add(kept)
-    new = grown.add(grown.without(_across(kept, more)))
-    while not new.isEmpty():
-        # One more new edge behind what was found, and the closure that was there behind that.
-        further = new.select("sub", F.col("sup").alias("mid")).join(more.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup").distinct()
-        new = grown.add(grown.without(further.union(_behind(further, kept))))
+    first = _onward(more, kept)
+    step = first.select(F.col("sub").alias("mid"), "sup")
+    paths_ = written(_grown(first, lambda new: new.select("sub", F.col("sup").alias("mid")).join(step, "mid").select(*keys), keys), "paths")
+    grown.add(grown.without(_led_to(paths_, kept)))
     return grown.all()
 
 
-def _behind(pairs: DataFrame, closed: DataFrame) -> DataFrame:
-    return pairs.select("sub", F.col("sup").alias("mid")).join(closed.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup")
+def _from(closed: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pairs that begin where one of the edges ends; these ends are written, so that Spark knows whether they are few."""
+    ends = written(edges.select(F.col("sup").alias("sub")).distinct(), "ends")
+    return closed.join(ends, "sub", "left_semi").select("sub", "sup")
+
+
+def _onward(edges: DataFrame, closed: DataFrame) -> DataFrame:
+    """Pairs with a path that begins with one of the edges and goes on in the closure."""
+    behind = edges.select("sub", F.col("sup").alias("mid")).join(_from(closed, edges).select(F.col("sub").alias("mid"), "sup"), "mid")
+    return written(edges.union(behind.select("sub", "sup")).distinct(), "onward")
 
 
-def _across(closed: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pairs with one of the edges on a path: at or below its lower end, at or above its upper one."""
-    below = edges.select("sub", "sup").union(closed.select("sub", F.col("sup").alias("mid")).join(edges.select(F.col("sub").alias("mid"), "sup"), "mid").select("sub", "sup")).distinct()
-    return below.union(_behind(below, closed)).distinct()
+def _led_to(paths: DataFrame, closed: DataFrame) -> DataFrame:
+    """The paths, and all pairs that lead to where one of them begins."""
+    before = closed.select("sub", F.col("sup").alias("mid")).join(paths.select(F.col("sub").alias("mid"), "sup"), "mid")
+    return paths.select("sub", "sup").union(before.select("sub", "sup"))
 
 
 def ancestors(edges: DataFrame, names: DataFrame) -> DataFrame:

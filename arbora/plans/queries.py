@@ -45,12 +45,17 @@ def named(letter: str, column: str) -> Column:
 # Graphs.
 
 
-def geo(t: Tables) -> DataFrame:
+def geo_rows(t: Tables) -> DataFrame:
+    """geo's edges as the tables have them: what makes them distinct itself needs no geo()."""
     edge = lambda df, a, b: df.select(named(*a).alias("sub"), named(*b).alias("sup"))
     up = edge(t.nation, ("n", "n_nationkey"), ("r", "n_regionkey"))
     for df, a, b in ((t.customer, ("c", "c_custkey"), ("n", "c_nationkey")), (t.supplier, ("s", "s_suppkey"), ("n", "s_nationkey")), (t.orders, ("o", "o_orderkey"), ("c", "o_custkey"))):
         up = up.union(edge(df, a, b))
-    return graph.edges_of(up)
+    return up
+
+
+def geo(t: Tables) -> DataFrame:
+    return graph.edges_of(geo_rows(t))
 
 
 GEO = """geo AS (SELECT 'n:'||n_nationkey AS sub, 'r:'||n_regionkey AS sup FROM nation UNION SELECT 'c:'||c_custkey, 'n:'||c_nationkey FROM customer

@@ -177,6 +177,22 @@ def test_revised_closure(spark, seed):
     assert pairs(out) == closed(after) and out.count() == len(closed(after))
 
 
+def test_revised_closure_shuffles_what_differs(spark):
+    """2,000 names below 20 below one: rounds go on over the 20 edges, and when one of these moves, what was known isn't shuffled anew."""
+    inner = [(f"p{j}", "top") for j in range(20)]
+    before = [(f"c{i}", f"p{i % 20}") for i in range(2000)] + inner
+    after = [(a, "p1" if a == "c0" else b) for a, b in before] + [("top", "world")]
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(conf, "4k")
+    try:
+        known, seen = graph.closure(frame(spark, before)), max(s.stageId() for s in stages_of(spark))
+        out = graph.revised_closure(known, frame(spark, before), frame(spark, after))
+        assert pairs(out) == closed(after)
+    finally:
+        spark.conf.unset(conf)
+    assert sum(s.shuffleWriteRecords() for s in stages_of(spark) if s.stageId() > seen) < 10_000
+
+
 def test_revised_closure_of_nothing(spark):
     none, one = frame(spark, []), frame(spark, [("a", "b")])
     assert pairs(graph.revised_closure(none, none, one)) == {("a", "b")} and pairs(graph.revised_closure(one, one, none)) == set() == pairs(graph.revised_closure(none, none, none))
