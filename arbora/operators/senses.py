@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arbora.operators import graph
 from arbora.session import written
 
 SENSES = "array<string>"
@@ -25,9 +24,9 @@ def guided_senses(tree: DataFrame, labels: DataFrame, candidates: DataFrame, abo
     Each level reads the guides of the level before, written to the shared folder.
     """
     silent = ~F.coalesce("guides", F.lit(True)) if "guides" in tree.columns else F.lit(False)
-    edges = tree.where("node is not null").groupBy("node").agg(F.min("parent").alias("parent"), F.max(silent).alias("silent"))
+    edges = written(tree.where("node is not null").groupBy("node").agg(F.min("parent").alias("parent"), F.max(silent).alias("silent")), "parents")
     roots = edges.select(F.col("parent").alias("name")).where("name is not null").distinct().join(edges.where("parent is not null").select(F.col("node").alias("name")), "name", "left_anti")
-    depth = graph.depths(edges.select(F.col("node").alias("sub"), F.col("parent").alias("sup")), roots)
+    depth = _levels(edges.where("parent is not null").select("node", "parent"), roots)
     nodes = edges.join(labels.select("node").where("node is not null").distinct(), "node", "full").join(depth.withColumnRenamed("name", "node"), "node", "left")
     nodes = written(nodes.select("node", "parent", F.coalesce("silent", F.lit(False)).alias("silent"), F.coalesce("depth", F.lit(0)).alias("depth")), "nodes")
 
@@ -42,9 +41,9 @@ def guided_senses(tree: DataFrame, labels: DataFrame, candidates: DataFrame, abo
     above = above.select(F.col("sense").cast("string").alias("sense"), F.col("above").cast("string").alias("guide")).distinct()
     liked = None if preferred is None else preferred.select("node", F.col("sense").cast("string").alias("sense")).distinct()
 
-    deepest = nodes.agg(F.max("depth")).first()[0]
+    deepest = nodes.agg(F.max("depth")).first()[0] or 0
     guides, out = None, []
-    for level in range((deepest or 0) + 1):
+    for level in range(deepest + 1):
         here = nodes.where(F.col("depth") == level)
         if guides is None:
             here = here.withColumn("guide", F.lit(None).cast(SENSES))
@@ -59,15 +58,30 @@ def guided_senses(tree: DataFrame, labels: DataFrame, candidates: DataFrame, abo
         route = F.when(F.col("pick.sense").isNotNull(), "picked").when(F.col("pick").isNotNull(), "refused").when(F.size("left") == 1, "chosen").when(F.size("left") > 1, "ambiguous").otherwise("unmatched")
         sense = F.when(F.col("pick").isNotNull(), F.col("pick.sense")).when(F.size("left") == 1, F.col("left")[0])
         done = written(rows.select(*keys, sense.alias("sense"), route.alias("route"), "left"), "chosen")
+        out.append(done)
+        if level == deepest:
+            break
         own = done.where("sense is not null").groupBy("node").agg(F.array_sort(F.collect_set("sense")).alias("own"))
         guides = written(here.join(own, "node", "left").select("node", F.coalesce(F.when(~F.col("silent"), F.col("own")), "guide").alias("guide")), "guides")
-        out.append(done)
     whole = out[0]
     for part in out[1:]:
         whole = whole.union(part)
     return whole
 
 
+def _levels(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(name, depth) of what is below roots (name), where each node has one parent: it is reached once, so that a level needn't be
+    compared with those before."""
+    level, depth = written(roots.select("name"), "roots"), 0
+    out = level.withColumn("depth", F.lit(0))
+    while True:
+        below = written(edges.join(level.select(F.col("name").alias("parent")), "parent").select(F.col("node").alias("name")), "level")
+        if below.isEmpty():
+            return out
+        level, depth = below, depth + 1
+        out = out.union(level.withColumn("depth", F.lit(depth)))
+
+
 def _kept(rows: DataFrame, open_: Column, spread: DataFrame, by: DataFrame, on: list[str], single: bool) -> DataFrame:
     """rows whose open candidates are only those that `by` has, where it has any (single: just one)."""
     held = spread.where(open_).withColumn("sense", F.explode("left")).join(by, on, "left_semi")

@@ -20,6 +20,17 @@ def test_guided_senses(spark):
     assert senses.guided_senses(tree.limit(0), labels.limit(0), candidates, above).count() == 0
 
 
+def test_guided_senses_write_what_is_read(spark, monkeypatch):
+    """Each name's parent is found once, and the last level's choices guide nobody."""
+    names = []
+    monkeypatch.setattr(senses, "written", lambda df, name, f=senses.written: names.append(name) or f(df, name))
+    tree = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y"), ("y", "x")], "node string, parent string")
+    labels = tree.selectExpr("node", "node as label")
+    out = senses.guided_senses(tree, labels, labels.selectExpr("node", "label", "'s' as sense"), spark.createDataFrame([], "sense string, above string"))
+    assert sorted(r["node"] for r in out.collect()) == ["b", "c", "x", "y"]
+    assert names.count("parents") == 1 and names.count("chosen") == 3 and names.count("guides") == 2
+
+
 def test_rewrites():
     m = Replay({"core": {"chain": ["*"], "in": ["*"]}, "pack": {"pool": ["coin", "box"], "coin": ["chain"], "box": ["*"], "lost": ["nowhere"], "old": ["coin"]}})
     revisions.rewrite(m, 0, "pack", "pool", "coin", "rewrite", "in(chain) chain")
