@@ -8,6 +8,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -166,6 +167,48 @@ def test_shared_closure_joins_no_pair_for_each_path(spark):
     assert max(s.shuffleWriteRecords() for s in stages_of(spark) if s.stageId() > before) < 100_000
 
 
+def test_shared_closure_shuffles_no_row_for_each_path_and_block(spark):
+    """600 names below 30, all of which are below the same 600: what is shuffled is united first, even if no table is sent to all tasks."""
+    edges = frame(spark, [(f"p{i}", f"s{j}") for i in range(600) for j in range(30)] + [(f"s{j}", f"o{k}") for j in range(30) for k in range(600)])
+    spark.range(1).count()
+    before = max([s.stageId() for s in stages_of(spark)], default=-1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert graph.shared_closure(edges).count() == 600 * 30 + 30 * 600 + 600 * 600
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(s.shuffleWriteRecords() for s in stages_of(spark) if s.stageId() > before) < 10_000
+
+
+def test_shared_closure_in_small_tasks(spark, monkeypatch):
+    """The same whatever is united in a task, and whether numbers are sent or sorted."""
+    rng = random.Random(3)
+    edges = {(f"n{rng.randint(0, 700)}", f"n{rng.randint(0, 700)}") for _ in range(1100)} | {("x", "x")}
+    for name, value in (("NEAR", 2), ("VIA_ROWS", 40), ("OVER_ROWS", 70), ("MOST_SENT", 0)):
+        monkeypatch.setattr(graph, name, value)
+    out = graph.shared_closure(frame(spark, edges))
+    assert pairs(out) == closed(edges) and out.count() == len(closed(edges))
+
+
+@pytest.mark.parametrize("joined", [1, 50, 1 << 20])
+def test_united_in_slices(monkeypatch, joined):
+    monkeypatch.setattr(graph, "JOINED", joined)
+    rng = random.Random(4)
+    below = {(n, rng.randint(0, 600)) for n in "abcdefgh" for _ in range(25)}
+    above = {(a, rng.randint(0, 900)) for a in range(0, 600, 2) for _ in range(4)}
+
+    def sets(rows, key, type_):
+        words = {}
+        for a, b in rows:
+            words.setdefault((a, b // 256), [0] * 4)[b % 256 // 64] |= 1 << b % 64
+        signed = [[w - (1 << 64) if w >> 63 else w for w in x] for x in words.values()]
+        return pa.table({key: pa.array([a for a, _ in words], type_), "block": pa.array([b for _, b in words], pa.int64()), **{w: pa.array([x[i] for x in signed], pa.int64()) for i, w in enumerate(graph.BITS)}})
+
+    got = graph._united(sets(below, "name", pa.string()), sets(above, "above", pa.int64())).to_pylist()
+    told = {(r["name"], r["block"] * 256 + 64 * i + j) for r in got for i, w in enumerate(graph.BITS) for j in range(64) if r[w] >> j & 1}
+    assert told == {(n, b) for n, x in below for a, b in above if a == x}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_revised_closure(spark, seed):
     """Edges in and out, loops among them: as closing anew."""
