@@ -6,7 +6,7 @@ range's own ranks start at the sum of the ranges before it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arbora.functions.vectors import cosine, norm, unit
-from arbora.session import written
+from arbora.session import dropped, tidied, written
 
 
 def _dealt(rows: DataFrame, order: list[Column], weight: Column) -> tuple[DataFrame, DataFrame]:
@@ -191,13 +191,90 @@ def _products(visits: DataFrame, pool: DataFrame, per_task: int) -> DataFrame:
     return a.unionByName(b).groupBy("cell", "x", "y").applyInArrow(task, "name string, twin string, sim double")
 
 
-def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1024, most_pivots: int = 1024, most_visits: int = 1 << 16) -> DataFrame:
+def _units(pivots: np.ndarray, members: np.ndarray, block: int) -> np.ndarray:
+    """For each cell its unit: cells that follow each other, each nearest to the one before, while they make one block."""
+    left, at, unit, held, out = np.ones(len(pivots), bool), 0, 0, 0, np.zeros(len(pivots), np.int64)
+    for _ in range(len(pivots)):
+        left[at] = False
+        if held and held + members[at] > block:
+            unit, held = unit + 1, 0
+        out[at], held = unit, held + members[at]
+        at = int(np.where(left, pivots @ pivots[at], -np.inf).argmax())
+    return out
+
+
+def _by_blocks(met: DataFrame, pool: DataFrame, open_cells: Callable[[pa.RecordBatch], np.ndarray], unit: np.ndarray, own: np.ndarray, members: np.ndarray, least: float, block: int) -> DataFrame:
+    """met (name, vector, cell, sim) x pool (cell, name, vector) -> (name, twin, sim): the best that a block of each holds, from `least` on, where a cell is open.
+
+    Both are packed into blocks, a row each.  A task reads some blocks of both and compares each with each, so that nothing is shuffled or
+    written for a pair of blocks: disk grows with the tables, whatever is open.
+    """
+    blocked = lambda df, n: df.withColumn("unit", F.element_at(F.lit(unit.tolist()), F.col("cell") + 1)).withColumn("part", F.pmod(F.xxhash64("name"), F.element_at(F.lit(np.maximum(1, -(-np.bincount(unit, n).astype(np.int64) // block)).tolist()), F.col("unit").cast("int") + 1)))
+
+    def packed(group: pa.Table, units: np.ndarray) -> pa.Table:
+        names = np.array(group["name"].to_pylist(), object)
+        order = np.argsort(names, kind="stable")
+        columns = [pa.array([x]) for x in (group["unit"][0].as_py(), group["part"][0].as_py())] + [pa.array([units.tolist()], pa.list_(pa.int64())), pa.array([names[order].tolist()], pa.list_(pa.string())), pa.array([_matrix(group["vector"])[order].astype(float).tobytes()], pa.binary())]
+        return pa.Table.from_arrays(columns, names=["unit", "part", "units", "names", "vectors"])
+
+    def visitors(group: pa.Table) -> pa.Table:
+        open_ = np.zeros(len(unit), bool)
+        for b in group.to_batches(max_chunksize=512):
+            open_ |= open_cells(b).any(axis=0)
+        return packed(group, np.unique(unit[open_]))
+
+    layout = "unit long, part long, units array<long>, names array<string>, vectors binary"
+    a = tidied(blocked(met, own).groupBy("unit", "part").applyInArrow(visitors, layout), "visitors")
+    b = tidied(blocked(pool, members).groupBy("unit", "part").applyInArrow(lambda group: packed(group, unit[:0]), layout), "blocks")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of blocks; those of one visitor follow each other, and what they tell of it is one row a name."""
+        at, names, v, sims, twins_ = None, [], None, None, None
+
+        def told() -> pa.RecordBatch:
+            some = np.flatnonzero(sims >= least) if at else []
+            return pa.RecordBatch.from_arrays([pa.array([names[i] for i in some], pa.string()), pa.array([twins_[i] for i in some], pa.string()), pa.array([sims[i] for i in some], pa.float64())], names=["name", "twin", "sim"])
+
+        for batch in batches:
+            for i in range(len(batch)):
+                row = lambda c, batch=batch, i=i: batch.column(c)[i]
+                if at != (row("u").as_py(), row("p").as_py()):
+                    yield told()
+                    at, names = (row("u").as_py(), row("p").as_py()), row("own").as_py()
+                    v = np.frombuffer(row("v").as_py(), float).reshape(len(names), -1)
+                    sims, twins_ = np.full(len(names), -2.0), np.full(len(names), None, object)
+                others = row("names").as_py()
+                w = np.frombuffer(row("vectors").as_py(), float).reshape(len(others), -1)
+                known = np.array(others, object)
+                both = set(names) & set(others)
+                for j in range(0, len(names), 1024):
+                    s = v[j : j + 1024] @ w.T
+                    for k, name in enumerate(names[j : j + 1024]) if both else ():
+                        if name in both:
+                            s[k, known == name] = -2
+                    best = s.argmax(axis=1)
+                    sim, twin = s[np.arange(len(s)), best], known[best]
+                    old = sims[j : j + 1024]
+                    better = sim > old
+                    for k in np.flatnonzero((sim == old) & (sim > -2)):
+                        better[k] = twin[k] < twins_[j + k]
+                    rows = j + np.flatnonzero(better)
+                    sims[rows], twins_[rows] = sim[better], twin[better]
+        yield told()
+
+    x = a.select(F.col("unit").alias("u"), F.col("part").alias("p"), "units", F.col("names").alias("own"), F.col("vectors").alias("v"))
+    pairs = x.join(b.select("unit", "names", "vectors").hint("shuffle_replicate_nl"), F.array_contains("units", F.col("unit")))
+    return pairs.select("u", "p", "own", "v", "names", "vectors").mapInArrow(compared, "name string, twin string, sim double")
+
+
+def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1024, most_pivots: int = 1024, most_visits: int = 1 << 16, most_open: float = 4, block: int = 4096) -> DataFrame:
     """own, pool (name, hub, vector) -> (name, twin, sim): the same hub is a twin of 1, the first by name; else the most similar of the
     pool from `least` on, by similarity and then name.  Names are their own twins never; names whose vector is null or has no length have twins by hub only.
 
     The pool is dealt to cells by its nearest pivot (a bounded sample, as many as the root of the pool).  Each vector visits
     its nearest cell first.  What it finds there, or `least`, bounds how far its twin can be; of the other cells it visits those that this
     leaves open by the triangle inequality (a cell's radii, and the plane between two pivots).  Nothing is missed.
+    Where these are more than `most_open` for each vector, vectors aren't sent to them: blocks of vectors are compared with blocks (_by_blocks).
     """
     told = lambda df: df.where("vector is not null").where(norm(F.col("vector")) > 0).select("name", unit(F.col("vector")).alias("vector"))
     hubs = pool.where("hub != ''").select("hub", F.col("name").alias("twin")).distinct()
@@ -215,9 +292,10 @@ def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1
     pivots = np.array([r["vector"] for r in sample], float)
     cells = written(_in_cells(others, pivots), "cells")
     # A row for each pivot.
-    low, high = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
-    for r in cells.groupBy("cell").agg(F.min("distance").alias("low"), F.max("distance").alias("high")).collect():
-        low[r["cell"]], high[r["cell"]] = r["low"], r["high"]
+    low, high, members = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)
+    for r in cells.groupBy("cell").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.count("*").alias("n")).collect():
+        low[r["cell"]], high[r["cell"]], members[r["cell"]] = r["low"], r["high"], r["n"]
+    dropped(others)
     limit = float(np.sqrt(max(2 - 2 * least, 0))) + EPSILON
     step = max(1, most_visits // len(pivots))
 
@@ -228,26 +306,52 @@ def twins(own: DataFrame, pool: DataFrame, least: float = 0.9, per_task: int = 1
             for i in range(0, len(b), step):
                 yield from visited(b.slice(i, step))
 
-    def visited(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def open_cells(b: pa.RecordBatch) -> np.ndarray:
+        """[row, cell]: whether the cell, not the nearest one, may hold something nearer than what was found."""
         d = _distances(_matrix(b.column("vector")), pivots)
         d[:, ~np.isfinite(low)] = np.inf
-        nearest = d.argmin(axis=1)
+        found = b.column("sim").fill_null(-1.0).to_numpy(zero_copy_only=False)
+        reach = np.minimum(np.sqrt(np.maximum(2 - 2 * found, 0)) + EPSILON, limit)
+        with np.errstate(invalid="ignore"):
+            bound = np.maximum(np.maximum(d - high, low - d), (d - d.min(axis=1, keepdims=True)) / 2)
+        open_ = (bound <= reach[:, None] + EPSILON) & np.isfinite(low)
+        open_[np.arange(len(b)), d.argmin(axis=1)] = False
+        return open_
+
+    def visited(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         if "sim" in b.schema.names:
-            found = b.column("sim").fill_null(-1.0).to_numpy(zero_copy_only=False)
-            reach = np.minimum(np.sqrt(np.maximum(2 - 2 * found, 0)) + EPSILON, limit)
-            with np.errstate(invalid="ignore"):
-                bound = np.maximum(np.maximum(d - high, low - d), (d - d.min(axis=1, keepdims=True)) / 2)
-            open_ = (bound <= reach[:, None] + EPSILON) & np.isfinite(low)
-            open_[np.arange(len(b)), nearest] = False
-            row, cell = np.nonzero(open_)
+            row, cell = np.nonzero(open_cells(b))
         else:
-            row, cell = np.arange(len(b)), nearest
+            d = _distances(_matrix(b.column("vector")), pivots)
+            d[:, ~np.isfinite(low)] = np.inf
+            row, cell = np.arange(len(b)), d.argmin(axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), b.column("name").take(pa.array(row)), b.column("vector").take(pa.array(row))], names=["cell", "name", "vector"])
 
     layout = "cell int, name string, vector array<double>"
-    near = written(_products(mine.mapInArrow(visits, layout), cells, per_task), "near")
+    near = tidied(_products(mine.mapInArrow(visits, layout), cells, per_task), "near")
     best = near.groupBy("name").agg(F.max("sim").alias("sim"))
-    further = written(mine.join(best, "name", "left").mapInArrow(visits, layout), "visits")
-    found = near.union(_products(further, cells, per_task)).where(F.col("sim") >= least)
+    met = tidied(_in_cells(mine, pivots).join(best, "name", "left"), "met")
+    dropped(mine)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, open_ = np.zeros(len(pivots), np.int64), np.zeros(len(pivots), np.int64)
+        for b in batches:
+            for i in range(0, len(b), step):
+                cell = b.column("cell").slice(i, step).to_numpy()
+                np.add.at(own, cell, 1)
+                np.add.at(open_, cell, open_cells(b.slice(i, step)).sum(axis=1))
+        some = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (some, own, open_)], names=["cell", "own", "open"])
+
+    # A row for each pivot.
+    homes = met.mapInArrow(counted, "cell long, own long, open long").groupBy("cell").agg(F.sum("own").alias("own"), F.sum("open").alias("open")).collect()
+    if sum(r["open"] for r in homes) <= most_open * sum(r["own"] for r in homes):
+        further = _products(written(met.mapInArrow(visits, layout), "visits"), cells, per_task)
+    else:
+        visitors = np.zeros(len(pivots), np.int64)
+        for r in homes:
+            visitors[r["cell"]] = r["own"]
+        further = written(_by_blocks(met, cells, open_cells, _units(pivots, members, block), visitors, members, least, block), "further")
+    found = near.union(further).where(F.col("sim") >= least)
     found = found.groupBy("name").agg(F.min_by(F.struct("twin", F.least("sim", F.lit(1.0)).alias("sim")), F.struct(-F.col("sim"), "twin")).alias("x")).select("name", "x.twin", "x.sim")
     return same.union(found)

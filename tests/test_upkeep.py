@@ -381,6 +381,29 @@ def test_twins_as_all_pairs(spark, least):
     assert ranking.twins(own, pool.limit(0), least).count() == 0 == ranking.twins(own.limit(0), pool, least).count()
 
 
+def test_twins_by_blocks_as_by_cells(spark):
+    """The same twins whether vectors are sent to cells or blocks are compared with blocks; names that occur twice and hubs among them."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(400, 6))
+    rows = [(f"v{i if i % 37 else i + 1:03d}", f"h{i // 50}" if i % 50 < 2 else "", x.tolist()) for i, x in enumerate(v)] + [("none", "", None), ("zero", "", [0.0] * 6)]
+    df = spark.createDataFrame(rows, "name string, hub string, vector array<double>")
+    own, pool = df.where("name < 'v300'"), df.where("name > 'v100'")
+    for least in (0.95, -1.0):
+        told = lambda **how: {(r["name"], r["twin"], round(r["sim"], 9)) for r in ranking.twins(own, pool, least, **how).collect()}  # noqa: B023, E731
+        by_cells = told(most_open=1e9)
+        assert len(by_cells) > 50 and told(most_open=-1, block=7) == by_cells == told(most_open=-1)
+
+
+def test_spread_vectors_are_not_sent_to_all_cells(spark):
+    """Where bounds rule out little, what is shuffled and written is the tables a few times, not a row for each cell."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(f"v{i}", "", x.tolist()) for i, x in enumerate(rng.normal(size=(900, 16)))], "name string, hub string, vector array<double>").cache()
+    df.count()
+    before = max([s.stageId() for s in stages_of(spark)], default=-1)
+    assert ranking.twins(df, df, 0.1).count() > 800
+    assert max(max(s.shuffleWriteRecords(), s.outputRecords()) for s in stages_of(spark) if s.stageId() > before) < 4 * 900
+
+
 def test_cells_leave_most_pairs_out(spark):
     """On vectors in clusters the products grow more slowly than all pairs."""
     rng = np.random.default_rng(2)
